@@ -10,7 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealreports.functions.calendar import parse_date
+from dealreports.functions.calendar import date_sql
+from dealreports.functions.text import literal, quoted
 
 _OBJECTS = "array<struct<key string, label string, value variant>>"
 
@@ -66,7 +67,7 @@ def equals_flag(value: Column, wanted: str) -> Column:
 def _per_row(df: DataFrame, drop: list[str], **made: Column) -> DataFrame:
     """``df`` without ``drop`` but with columns that are made once per row, however often they are used."""
     generator = F.inline(F.array(F.struct(*[column.alias(name) for name, column in made.items()])))
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in drop], generator)
+    return df.select(*[quoted(c) for c in df.columns if c not in drop], generator)
 
 
 def parse_once(df: DataFrame, text: str = "field_values") -> DataFrame:
@@ -93,7 +94,7 @@ def _pick(df: DataFrame, groups: Mapping[str, tuple[list[str], Column, str, str]
         names, values = f"__{group}_names", f"__{group}_values"
         sides[names], sides[values] = _names_and_values(elements, by, keep)
         picked[group] = F.transform(
-            F.array(*[F.lit(w) for w in wanted]), _lookup_in(names, values)
+            F.expr(f"array({', '.join(literal(w) for w in wanted)})"), _lookup_in(names, values)
         )
     return _per_row(_per_row(df, ["items"], **sides), list(sides), **picked)
 
@@ -112,9 +113,9 @@ def extract(
     """
     renames = dict(attributes) if isinstance(attributes, Mapping) else {a: a for a in attributes}
     elements = only_with_value(F.col("items")) if require_value else F.col("items")
-    return _pick(parse_once(df, text), {"__picked": (list(renames), elements, by, keep)}).select(
-        *[F.col(f"`{c}`") for c in df.columns if c != text],
-        *[F.get("__picked", F.lit(i)).alias(column) for i, column in enumerate(renames.values())],
+    return _pick(parse_once(df, text), {"__picked": (list(renames), elements, by, keep)}).selectExpr(
+        *[quoted(c) for c in df.columns if c != text],
+        *[f"get(__picked, {i}) AS {quoted(column)}" for i, column in enumerate(renames.values())],
     )
 
 
@@ -145,18 +146,17 @@ def flatten(df: DataFrame, spec: FlatSpec, text: str = "field_values") -> DataFr
     }
     groups = {f"__{group}": parts for group, parts in groups.items() if parts[0]}
 
-    def value(group: str, i: int, name: str) -> Column:
-        text_value = F.get(group, F.lit(i))
-        if group.startswith("__keys") and name in spec.key_dates:
-            return parse_date(text_value).alias(name)
-        return text_value.alias(name)
-
-    return _pick(parse_once(df, text), groups).select(
-        *[F.col(f"`{c}`") for c in df.columns if c != text],
-        *[
-            F.struct(*[value(group, i, n) for i, n in enumerate(parts[0])]).alias(group[2:])
-            for group, parts in groups.items()
-        ],
+    def struct(group: str, names: list[str]) -> str:
+        fields = []
+        for i, name in enumerate(names):
+            value = f"get({group}, {i})"
+            is_date = group.startswith("__keys") and name in spec.key_dates
+            fields.append(f"{literal(name)}, {date_sql(value) if is_date else value}")
+        return f"named_struct({', '.join(fields)}) AS {group[2:]}"
+
+    return _pick(parse_once(df, text), groups).selectExpr(
+        *[quoted(c) for c in df.columns if c != text],
+        *[struct(group, parts[0]) for group, parts in groups.items()],
     )
 
 

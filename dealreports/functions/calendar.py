@@ -1,7 +1,8 @@
 """Month and half-month arithmetic.
 
 The reporting moment ``as_of`` is always a parameter. Bounds that depend only on it are computed on the
-driver and enter the plan as literals, so that filters on dates reach the scan.
+driver and enter the plan as literals, so that filters on dates reach the scan. Functions that take a
+``date`` take it as SQL text: a column name or an expression.
 """
 
 from calendar import monthrange
@@ -10,34 +11,41 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# How dates are written in the attribute values, first match wins.
-DATE_FORMATS = ("M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss")
+from dealreports.functions.text import literal, quoted
+
+# How dates are written in the attribute values besides ISO, first match wins.
+DATE_FORMATS = ("M/d/yyyy",)
+DATETIME_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss")
+
+_ALMOST_A_DAY = "INTERVAL '23:59:59' HOUR TO SECOND"
+
+
+def moment_sql(value: datetime) -> str:
+    return f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'"
 
 
 def moment(value: datetime) -> Column:
-    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.expr(moment_sql(value))
+
+
+def date_sql(text: str, date_formats=DATE_FORMATS, datetime_formats=DATETIME_FORMATS) -> str:
+    """Date text to a timestamp without zone; ISO first, then the formats; NULL when none fits."""
+    tries = [f"try_cast({text} AS TIMESTAMP_NTZ)"]
+    tries += [f"CAST(try_to_date({text}, {literal(f)}) AS TIMESTAMP_NTZ)" for f in date_formats]
+    tries += [f"CAST(try_to_timestamp({text}, {literal(f)}) AS TIMESTAMP_NTZ)" for f in datetime_formats]
+    return f"coalesce({', '.join(tries)})"
 
 
-def parse_date(text: Column, formats=DATE_FORMATS) -> Column:
-    """Date text to a timestamp without zone; ISO first, then ``formats``; NULL when none fits."""
-    tries = [text.try_cast("timestamp_ntz")]
-    for fmt in formats:
-        if "H" in fmt:
-            tries.append(F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz"))
-        else:
-            tries.append(F.try_to_date(text, fmt).cast("timestamp_ntz"))
-    return F.coalesce(*tries)
+def parse_date(text: str) -> Column:
+    return F.expr(date_sql(text))
 
 
-def rejected_dates(df: DataFrame, columns, formats=DATE_FORMATS) -> DataFrame:
+def rejected_dates(df: DataFrame, columns) -> DataFrame:
     """How many non-blank texts per column are no date: (column, rejected)."""
     counts = df.agg(
-        *[
-            F.count_if((F.col(f"`{c}`") != "") & parse_date(F.col(f"`{c}`"), formats).isNull()).alias(c)
-            for c in columns
-        ]
+        *[F.expr(f"count_if({quoted(c)} <> '' AND {date_sql(quoted(c))} IS NULL)").alias(c) for c in columns]
     )
-    return counts.unpivot([], [f"`{c}`" for c in columns], "column", "rejected")
+    return counts.unpivot([], [quoted(c) for c in columns], "column", "rejected")
 
 
 # --- driver-side months -------------------------------------------------------------------------
@@ -64,26 +72,36 @@ def month_bounds(as_of: datetime, offset: int, bounds: str = "calendar") -> tupl
     raise ValueError(f"bounds must be 'calendar' or 'clock', not {bounds!r}")
 
 
-def in_month(date: Column, as_of: datetime, offset: int = 0, bounds: str = "calendar") -> Column:
+def in_month(date: str, as_of: datetime, offset: int = 0, bounds: str = "calendar") -> Column:
     low, high = month_bounds(as_of, offset, bounds)
-    upper = date < moment(high) if bounds == "calendar" else date <= moment(high)
-    return (date >= moment(low)) & upper
+    upper = "<" if bounds == "calendar" else "<="
+    return F.expr(f"{date} >= {moment_sql(low)} AND {date} {upper} {moment_sql(high)}")
 
 
-def from_month(date: Column, as_of: datetime, offset: int = 1, bounds: str = "calendar") -> Column:
-    return date >= moment(month_bounds(as_of, offset, bounds)[0])
+def from_month(date: str, as_of: datetime, offset: int = 1, bounds: str = "calendar") -> Column:
+    return F.expr(f"{date} >= {moment_sql(month_bounds(as_of, offset, bounds)[0])}")
 
 
-def year_to_date(date: Column, as_of: datetime, extra_months: int = 0) -> Column:
+def between_sql(date: str, low: datetime, high: datetime) -> str:
+    return f"({date} >= {moment_sql(low)} AND {date} < {moment_sql(high)})"
+
+
+def year_to_date_sql(date: str, as_of: datetime, extra_months: int = 0) -> str:
     """January of the year up to the month of ``as_of`` plus ``extra_months``, never past December."""
-    last = min(as_of.month + extra_months, 12)
-    return (date >= moment(datetime(as_of.year, 1, 1))) & (
-        date < moment(first_of_month(datetime(as_of.year, last, 1), 1))
-    )
+    last = datetime(as_of.year, min(as_of.month + extra_months, 12), 1)
+    return between_sql(date, datetime(as_of.year, 1, 1), first_of_month(last, 1))
+
+
+def in_year_sql(date: str, year: int) -> str:
+    return between_sql(date, datetime(year, 1, 1), datetime(year + 1, 1, 1))
 
 
-def in_year(date: Column, year: int) -> Column:
-    return (date >= moment(datetime(year, 1, 1))) & (date < moment(datetime(year + 1, 1, 1)))
+def year_to_date(date: str, as_of: datetime, extra_months: int = 0) -> Column:
+    return F.expr(year_to_date_sql(date, as_of, extra_months))
+
+
+def in_year(date: str, year: int) -> Column:
+    return F.expr(in_year_sql(date, year))
 
 
 def months_of_year(year: int, through: int = 12) -> list[datetime]:
@@ -93,72 +111,75 @@ def months_of_year(year: int, through: int = 12) -> list[datetime]:
 # --- column-side periods ------------------------------------------------------------------------
 
 
-def month_start(date: Column) -> Column:
-    return F.trunc(date, "MM").cast("timestamp_ntz")
+def month_start(date: str) -> Column:
+    return F.expr(f"CAST(trunc({date}, 'MM') AS TIMESTAMP_NTZ)")
 
 
-def month_end(date: Column) -> Column:
+def month_end_sql(date: str) -> str:
     """Last day of the month at 23:59:59."""
-    return F.last_day(date).cast("timestamp_ntz") + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")
+    return f"(CAST(last_day({date}) AS TIMESTAMP_NTZ) + {_ALMOST_A_DAY})"
+
 
+def month_end(date: str) -> Column:
+    return F.expr(month_end_sql(date))
 
-def next_month_end(date: Column) -> Column:
+
+def next_month_end(date: str) -> Column:
     """Last day of the following month at midnight."""
-    return F.last_day(F.add_months(F.trunc(date, "MM"), 1)).cast("timestamp_ntz")
+    return F.expr(f"CAST(last_day(add_months(trunc({date}, 'MM'), 1)) AS TIMESTAMP_NTZ)")
 
 
-def half_month_start(date: Column) -> Column:
-    first = F.trunc(date, "MM")
-    return F.when(F.dayofmonth(date) <= 15, first).otherwise(F.date_add(first, 15)).cast("timestamp_ntz")
+def _half_month_days(date: str) -> tuple[str, str]:
+    first = f"trunc({date}, 'MM')"
+    return (
+        f"CASE WHEN day({date}) <= 15 THEN {first} ELSE date_add({first}, 15) END",
+        f"CASE WHEN day({date}) <= 15 THEN date_add({first}, 14) ELSE last_day({date}) END",
+    )
 
 
-def half_month_end(date: Column) -> Column:
+def half_month_start(date: str) -> Column:
+    """The 1st or the 16th."""
+    return F.expr(f"CAST({_half_month_days(date)[0]} AS TIMESTAMP_NTZ)")
+
+
+def half_month_end(date: str) -> Column:
     """The 15th or the last day of the month, at 23:59:59."""
-    last = F.when(F.dayofmonth(date) <= 15, F.date_add(F.trunc(date, "MM"), 14)).otherwise(F.last_day(date))
-    return last.cast("timestamp_ntz") + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")
+    return F.expr(f"CAST({_half_month_days(date)[1]} AS TIMESTAMP_NTZ) + {_ALMOST_A_DAY}")
 
 
-def half_month_label(date: Column) -> Column:
+def half_month_label(date: str) -> Column:
     """``2024/03/16 - 2024/03/31``"""
-    return F.concat(
-        F.date_format(half_month_start(date), "yyyy/MM/dd"),
-        F.lit(" - "),
-        F.date_format(half_month_end(date), "yyyy/MM/dd"),
-    )
+    start, end = _half_month_days(date)
+    return F.expr(f"concat(date_format({start}, 'yyyy/MM/dd'), ' - ', date_format({end}, 'yyyy/MM/dd'))")
 
 
-def long_month_label(date: Column) -> Column:
+def long_month_label(date: str) -> Column:
     """``MARCH 2024``"""
-    return F.upper(F.date_format(date, "MMMM yyyy"))
+    return F.expr(f"upper(date_format({date}, 'MMMM yyyy'))")
 
 
-def short_month_label(date: Column) -> Column:
+def short_month_label(date: str) -> Column:
     """``Mar 2024``"""
-    return F.date_format(date, "MMM yyyy")
+    return F.expr(f"date_format({date}, 'MMM yyyy')")
 
 
-def parse_month_label(label: Column) -> Column:
+def parse_month_label(label: str) -> Column:
     """``MARCH 2024`` to the first of that month; NULL when it is no month label."""
-    return F.try_to_date(F.initcap(label), "MMMM yyyy")
+    return F.expr(f"try_to_date(initcap({label}), 'MMMM yyyy')")
 
 
 def period_table(spark: SparkSession, months: list[datetime], as_of: datetime) -> DataFrame:
     """One row per month: label, start, end, next start, next end, and the later of end and ``as_of``."""
-    start = F.col("period_start")
-    one_second = F.expr("INTERVAL '1' SECOND")
-
-    def after(n):
-        return F.add_months(start, n).cast("timestamp_ntz")
-
+    starts = ", ".join(moment_sql(m) for m in months)
     return (
         spark.range(1)
-        .select(F.explode(F.array(*[moment(m) for m in months])).alias("period_start"))
-        .select(
-            long_month_label(start).alias("period"),
-            start,
-            (after(1) - one_second).alias("period_end"),
-            after(1).alias("next_start"),
-            (after(2) - one_second).alias("next_end"),
-            F.greatest(after(1) - one_second, moment(as_of)).alias("current_end"),
+        .selectExpr(f"explode(array({starts})) AS period_start")
+        .selectExpr(
+            "upper(date_format(period_start, 'MMMM yyyy')) AS period",
+            "period_start",
+            "add_months(period_start, 1)::TIMESTAMP_NTZ - INTERVAL '1' SECOND AS period_end",
+            "add_months(period_start, 1)::TIMESTAMP_NTZ AS next_start",
+            "add_months(period_start, 2)::TIMESTAMP_NTZ - INTERVAL '1' SECOND AS next_end",
         )
+        .withColumn("current_end", F.expr(f"greatest(period_end, {moment_sql(as_of)})"))
     )

@@ -7,19 +7,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealreports.fixed import SYSTEM_COLUMNS
-from dealreports.functions.calendar import moment, parse_date
+from dealreports.functions.calendar import date_sql, moment_sql
+from dealreports.functions.text import field, literal, quoted
 
-MONEY = "decimal(18,2)"
-RATED_MONEY = "decimal(20,4)"
+MONEY = "DECIMAL(18,2)"
+RATED_MONEY = "DECIMAL(20,4)"
 
 
 def named(name: str) -> Column:
     """A column whose name may hold spaces or dots."""
-    return F.col(f"`{name}`")
+    return F.col(quoted(name))
+
+
+def changed(df: DataFrame, expressions: Mapping[str, str]) -> DataFrame:
+    """``df`` with columns replaced or added by SQL expressions, all over the columns as they were."""
+    kept = [
+        f"{expressions[c]} AS {quoted(c)}" if c in expressions else quoted(c)
+        for c in df.columns
+    ]
+    added = [f"{e} AS {quoted(c)}" for c, e in expressions.items() if c not in df.columns]
+    return df.selectExpr(*kept, *added)
 
 
 def in_order(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    return df.select(*[named(n) for n in names])
+    return df.select(*[quoted(n) for n in names])
 
 
 def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -30,54 +41,52 @@ def rename_system(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(SYSTEM_COLUMNS)
 
 
-def side_by_side(df: DataFrame, group: str, labels: Iterable[str]) -> DataFrame:
+def side_by_side(df: DataFrame, group: str, labels: Iterable[str], *first: str) -> DataFrame:
     """The renamed system columns and some attributes of the flat table next to each other."""
-    return df.select(
-        *[F.col(raw).alias(name) for raw, name in SYSTEM_COLUMNS.items()],
-        *[F.col(f"{group}.`{label}`").alias(label) for label in labels],
+    return df.selectExpr(
+        *first,
+        *[f"{raw} AS {quoted(name)}" for raw, name in SYSTEM_COLUMNS.items()],
+        *[f"{field(group, label)} AS {quoted(label)}" for label in labels],
     )
 
 
 def to_dates(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    return df.withColumns({n: parse_date(named(n)) for n in names})
+    return changed(df, {n: date_sql(quoted(n)) for n in names})
 
 
 def fill_dates(df: DataFrame, names: Iterable[str], filler: datetime) -> DataFrame:
-    return df.withColumns({n: F.coalesce(named(n), moment(filler)) for n in names})
+    return changed(df, {n: f"coalesce({quoted(n)}, {moment_sql(filler)})" for n in names})
 
 
-def is_blank(value: Column) -> Column:
-    return value.isNull() | (value == "")
+def is_blank(text: str) -> str:
+    return f"({text} IS NULL OR {text} = '')"
 
 
 def fill_blank(df: DataFrame, names: Iterable[str], filler: str) -> DataFrame:
     """NULL and empty text become ``filler``; columns that are no text are left alone."""
     texts = {f.name for f in df.schema if f.dataType.simpleString() == "string"}
-    return df.withColumns(
-        {n: F.when(is_blank(named(n)), filler).otherwise(named(n)) for n in names if n in texts}
+    return changed(
+        df, {n: f"coalesce(nullif({quoted(n)}, ''), {literal(filler)})" for n in names if n in texts}
     )
 
 
 def fill_counts(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    return df.withColumns({n: F.coalesce(named(n), F.lit(0)).cast("long") for n in names})
+    return changed(df, {n: f"CAST(coalesce({quoted(n)}, 0) AS BIGINT)" for n in names})
 
 
-def to_money(value: Column) -> Column:
+def to_money(text: str) -> str:
     """Text to an amount, NULL when it is none."""
-    return value.try_cast(MONEY)
+    return f"try_cast({text} AS {MONEY})"
 
 
 def constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name, value in values.items()})
 
 
-def sum_of(*amounts: Column) -> Column:
+def sum_of(amounts: Iterable[str]) -> str:
     """Row-wise sum where a missing amount counts as nothing."""
-    total = F.lit(0).cast(MONEY)
-    for amount in amounts:
-        total = total + F.coalesce(amount, F.lit(0).cast(MONEY))
-    return total.cast(MONEY)
+    return f"CAST({' + '.join(f'coalesce({a}, 0)' for a in amounts)} AS {MONEY})"
 
 
-def indicator(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0)
+def indicator(condition: str) -> str:
+    return f"CASE WHEN {condition} THEN 1 ELSE 0 END"

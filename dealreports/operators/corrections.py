@@ -1,17 +1,18 @@
 """Ordered corrections of curated transactions. Each takes the table as the one before left it."""
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 
 from dealreports import fixed
-from dealreports.operators.columns import is_blank, named
+from dealreports.functions.text import in_list, literal
+from dealreports.operators.columns import changed, is_blank
 from dealreports.operators.filters import both_from_year
 
 
-def empty_closing(df: DataFrame, statuses=fixed.NO_CLOSING_STATUSES) -> DataFrame:
+def empty_closing(df: DataFrame, statuses: Sequence[str] = fixed.NO_CLOSING_STATUSES) -> DataFrame:
     """Rows in these statuses have no closing. Runs before the billing status replaces the status."""
-    no_closing = named("Contract Status").isin(list(statuses))
-    return df.withColumn("Closing", F.when(no_closing, None).otherwise(named("Closing")))
+    return changed(df, {"Closing": f"CASE WHEN `Contract Status` IN {in_list(statuses)} THEN NULL ELSE Closing END"})
 
 
 def empty_listing(
@@ -22,36 +23,35 @@ def empty_listing(
     The listing amount is left alone, since the test for it comes after its date was emptied;
     ``zero_listing_amount`` sets it to 0.
     """
-    both = both_from_year(named("CTC Started with Empower"), named("Listing Started with Empower"), cutover_year)
+    both = both_from_year("`CTC Started with Empower`", "`Listing Started with Empower`", cutover_year)
     emptied = {
-        n: F.when(both, None).otherwise(named(n))
+        n: f"CASE WHEN {both} THEN NULL ELSE `{n}` END"
         for n in ("Listing Started with Empower", "Live on MLS Date", "Listing PAID Date")
     }
     if zero_listing_amount:
-        emptied["Listing PAID Amount"] = F.when(both, "0").otherwise(named("Listing PAID Amount"))
-    return df.withColumns(emptied)
+        emptied["Listing PAID Amount"] = f"CASE WHEN {both} THEN '0' ELSE `Listing PAID Amount` END"
+    return changed(df, emptied)
 
 
 def override_status(df: DataFrame) -> DataFrame:
     """A billing status replaces the contract status."""
-    billing = named("Billing Status")
-    return df.withColumn("Contract Status", F.when(billing != "none", billing).otherwise(named("Contract Status")))
+    return changed(
+        df,
+        {"Contract Status": "CASE WHEN `Billing Status` <> 'none' THEN `Billing Status` ELSE `Contract Status` END"},
+    )
 
 
-def is_no_amount(text: Column) -> Column:
+def is_no_amount(text: str) -> str:
     """NULL, empty, or zero however it is written."""
-    return is_blank(text) | F.coalesce(text.try_cast("double") == 0, F.lit(False))
+    return f"({is_blank(text)} OR coalesce(try_cast({text} AS DOUBLE) = 0, FALSE))"
 
 
-def billing_amount() -> Column:
+def correct_billing(df: DataFrame) -> DataFrame:
     """Blank amounts of rows with a closing: the other amount, or the price of the service."""
-    amount, other = named("Billing Amount"), named("Other Amount")
-    preferred = F.coalesce(named("Preferred  Ai  CTC") == "Yes", F.lit(False))
-    replacement = F.when(~is_no_amount(other), other).otherwise(
-        F.when(preferred, fixed.PREFERRED_BILLING_AMOUNT).otherwise(fixed.STANDARD_BILLING_AMOUNT)
+    price = (
+        f"CASE WHEN `Preferred  Ai  CTC` = 'Yes' THEN {literal(fixed.PREFERRED_BILLING_AMOUNT)} "
+        f"ELSE {literal(fixed.STANDARD_BILLING_AMOUNT)} END"
     )
-    return F.when(is_no_amount(amount) & named("Closing").isNotNull(), replacement).otherwise(amount)
-
-
-def correct_billing(df: DataFrame) -> DataFrame:
-    return df.withColumn("Billing Amount", billing_amount())
+    replacement = f"CASE WHEN {is_no_amount('`Other Amount`')} THEN {price} ELSE `Other Amount` END"
+    missing = f"{is_no_amount('`Billing Amount`')} AND Closing IS NOT NULL"
+    return changed(df, {"Billing Amount": f"CASE WHEN {missing} THEN {replacement} ELSE `Billing Amount` END"})

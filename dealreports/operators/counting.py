@@ -5,18 +5,18 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealreports.functions.calendar import moment, short_month_label
+from dealreports.functions.calendar import between_sql, short_month_label
 from dealreports.operators.columns import named
 
 TOTAL = "Total Result"
 
 
-def month_of(date: Column) -> Column:
-    return F.trunc(date, "MM")
+def month_of(date: str) -> Column:
+    return F.expr(f"trunc({date}, 'MM')")
 
 
-def month_literals(months: list[datetime]) -> Column:
-    return F.array(*[F.lit(m.date()) for m in months])
+def month_literals(months: list[datetime]) -> str:
+    return f"array({', '.join(f"DATE '{m:%Y-%m-%d}'" for m in months)})"
 
 
 def counts_on_spine(hits: DataFrame, keys: DataFrame, months: list[datetime]) -> DataFrame:
@@ -26,7 +26,7 @@ def counts_on_spine(hits: DataFrame, keys: DataFrame, months: list[datetime]) ->
     short list of known keys.
     """
     key = keys.columns[0]
-    cells = keys.select(key, F.explode(month_literals(months)).alias("month"), F.lit(0).alias("n"))
+    cells = keys.selectExpr(key, f"explode({month_literals(months)}) AS month", "0 AS n")
     weighted = hits.select(key, "month", F.lit(1).alias("n")).unionByName(cells)
     return weighted.groupBy(key, "month").agg(F.sum("n").alias("n"))
 
@@ -40,7 +40,7 @@ def later_months(key: str) -> Column:
 def months_as_columns(counts: DataFrame, keys: list[str], months: list[datetime]) -> DataFrame:
     """One column per month, named ``Mar 2024``."""
     labels = [m.strftime("%b %Y") for m in months]
-    labelled = counts.withColumn("label", short_month_label(F.col("month")))
+    labelled = counts.withColumn("label", short_month_label("month"))
     return labelled.groupBy(*keys).pivot("label", labels).agg(F.first("n"))
 
 
@@ -72,12 +72,9 @@ def cells_with_totals(df: DataFrame, row: str, column: str, amount: str) -> Data
 def totals_matrix(cells: DataFrame, row: str, column: str, columns: list[str]) -> DataFrame:
     """The cells as a matrix, empty ones 0, with the total as last column."""
     wide = cells.groupBy(named(row)).pivot(column, [*columns, TOTAL]).agg(F.first("amount"))
-    amount = cells.schema["amount"].dataType
-    return wide.select(
-        named(row), *[F.coalesce(named(c), F.lit(0)).cast(amount).alias(c) for c in [*columns, TOTAL]]
-    )
+    return wide.na.fill(0)
 
 
-def first_days_in(df: DataFrame, date: Column, low: datetime, high: datetime) -> DataFrame:
+def months_in(df: DataFrame, date: str, low: datetime, high: datetime) -> DataFrame:
     """The distinct months of a date inside [low, high)."""
-    return df.where((date >= moment(low)) & (date < moment(high))).select(month_of(date).alias("month")).distinct()
+    return df.where(between_sql(date, low, high)).select(month_of(date).alias("month")).distinct()

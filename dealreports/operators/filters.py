@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealreports.fixed import EXCLUDED_TITLE_WORDS
-from dealreports.functions.calendar import in_year
+from dealreports.functions.text import in_list, literal, quoted
 from dealreports.operators.columns import is_blank, named
 
+# The dates that show that some service was started.
 START_DATES = [
     "CTC Started with Empower",
     "Listing Started with Empower",
@@ -17,13 +18,13 @@ START_DATES = [
 ]
 
 
-def is_value(column: Column, wanted: str) -> Column:
-    return column.eqNullSafe(F.lit(wanted))
+def is_value(column: str, wanted: str) -> Column:
+    return F.expr(f"{column} <=> {literal(wanted)}")
 
 
-def is_not_value(column: Column, wanted: str) -> Column:
+def is_not_value(column: str, wanted: str) -> Column:
     """True for NULL too."""
-    return ~is_value(column, wanted)
+    return F.expr(f"NOT ({column} <=> {literal(wanted)})")
 
 
 def member_of(df: DataFrame, column: str, names: Sequence[str] | DataFrame) -> DataFrame:
@@ -31,28 +32,19 @@ def member_of(df: DataFrame, column: str, names: Sequence[str] | DataFrame) -> D
     if isinstance(names, DataFrame):
         wanted = names.select(F.col("name").alias("__name"))
         return df.join(wanted, named(column) == F.col("__name"), "left_semi")
-    return df.where(named(column).isin(list(names)))
+    return df.where(f"{quoted(column)} IN {in_list(names)}")
 
 
-def title_is_excluded(title: Column, words: Iterable[str] = EXCLUDED_TITLE_WORDS) -> Column:
+def title_is_excluded(title: str, words: Iterable[str] = EXCLUDED_TITLE_WORDS) -> Column:
     """Any of the words anywhere in the title, in any case; a NULL title is kept."""
-    found = F.lit(False)
-    for word in words:
-        found = found | F.lower(title).contains(word)
-    return F.coalesce(found, F.lit(False))
+    found = " OR ".join(f"contains(lower({title}), {literal(w)})" for w in words)
+    return F.expr(f"coalesce({found}, FALSE)")
 
 
-def never_started(name: Column) -> Column:
+def never_started(name: str) -> Column:
     """The name is blank and no service has a start date."""
-    condition = is_blank(name)
-    for date in START_DATES:
-        condition = condition & named(date).isNull()
-    return condition
+    return F.expr(" AND ".join([is_blank(name), *[f"{quoted(date)} IS NULL" for date in START_DATES]]))
 
 
-def label_in_year(period_start: Column, year: int) -> Column:
-    return in_year(period_start, year)
-
-
-def both_from_year(a: Column, b: Column, year: int) -> Column:
-    return F.coalesce((F.year(a) >= year) & (F.year(b) >= year), F.lit(False))
+def both_from_year(a: str, b: str, year: int) -> str:
+    return f"coalesce(year({a}) >= {year} AND year({b}) >= {year}, FALSE)"

@@ -9,13 +9,21 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealreports import fixed
-from dealreports.functions.calendar import in_year, long_month_label, moment, month_end, months_of_year, parse_date
+from dealreports.functions.calendar import (
+    date_sql,
+    in_year_sql,
+    long_month_label,
+    moment_sql,
+    month_end_sql,
+    months_of_year,
+)
+from dealreports.functions.text import field, in_list, quoted
 from dealreports.operators.columns import fill_counts, in_order, named
-from dealreports.operators.counting import first_days_in, month_literals, month_of
+from dealreports.operators.counting import month_literals, months_in
 
 NAME = "Empower TC Name"
 AGENT_NAME = "Transaction Coordinator"
@@ -99,60 +107,55 @@ MEASURES = [
 
 def source(flat: DataFrame, date_filler: datetime = fixed.REPORT_DATE_FILLER) -> DataFrame:
     """The columns the measures test. A missing onboard date is ``date_filler``, so it lies before any month."""
-    dates = {n: parse_date(F.col(f"labels.`{label}`")) for n, label in DATES.items()}
-    dates["onboard"] = F.coalesce(dates["onboard"], moment(date_filler))
-    return flat.select(
-        *[F.col(f"labels.`{label}`").alias(n) for n, label in TEXTS.items()],
-        *[column.alias(n) for n, column in dates.items()],
+    dates = {n: date_sql(field("labels", label)) for n, label in DATES.items()}
+    dates["onboard"] = f"coalesce({dates['onboard']}, {moment_sql(date_filler)})"
+    return flat.selectExpr(
+        *[f"{field('labels', label)} AS {n}" for n, label in TEXTS.items()],
+        *[f"{text} AS {n}" for n, text in dates.items()],
     )
 
 
-def _hit_month(measure: Measure, year: int, as_of: datetime, scope: str) -> tuple[Column, Column]:
+def _hit_month(measure: Measure, year: int, as_of: datetime, scope: str) -> tuple[str, str]:
     """Condition and month of a row's hit: the month it counts in, or the first or last of several."""
-    january, december = F.lit(datetime(year, 1, 1).date()), F.lit(datetime(year, 12, 1).date())
-    date = F.col(measure.date)
-    month = month_of(date)
-    by_second = date <= month_end(date)  # a fraction after the last second belongs to no month
+    january, december = f"DATE '{year}-01-01'", f"DATE '{year}-12-01'"
+    date = measure.date
+    month = f"trunc({date}, 'MM')"
+    in_this_year = in_year_sql(date, year)
+    by_second = f"{date} <= {month_end_sql(date)}"  # a fraction after the last second belongs to no month
     if measure.rule == "in":
-        return in_year(date, year) & by_second, month
+        return f"{in_this_year} AND {by_second}", month
     if measure.rule == "onboarded":
-        onboard = F.col("onboard")
-        return in_year(date, year) & by_second & (month == month_of(onboard)), month
+        return f"{in_this_year} AND {by_second} AND {month} = trunc(onboard, 'MM')", month
     if measure.rule == "until":
-        first = F.when(date <= month.cast("timestamp_ntz"), month).otherwise(F.add_months(month, 1))
-        first = F.greatest(first, january)
-        return first <= december, first
+        first = f"greatest({january}, CASE WHEN {date} <= {month} THEN {month} ELSE add_months({month}, 1) END)"
+        return f"{first} <= {december}", first
     if measure.rule == "active":
-        over = date >= month_end(date)
+        open_today, over = f"{date} >= {moment_sql(as_of)}", f"{date} >= {month_end_sql(date)}"
         if scope == "period":
-            return in_year(date, year) & over & (date >= moment(as_of)), month
-        last = F.least(F.when(over, month).otherwise(F.add_months(month, -1)), december)
-        return (last >= january) & (date >= moment(as_of)), last
+            return f"{in_this_year} AND {open_today} AND {over}", month
+        last = f"least({december}, CASE WHEN {over} THEN {month} ELSE add_months({month}, -1) END)"
+        return f"{open_today} AND {last} >= {january}", last
     if scope == "period":
-        # the closing would have to lie in the month and after it
-        return F.lit(False), month
+        return "FALSE", month  # the closing would have to lie in the month and after it
     if measure.rule == "next":
-        before = F.add_months(month, -1)
-        inside = (date > month.cast("timestamp_ntz")) & by_second
-        return inside & (before >= january) & (before <= december), before
-    last = F.least(F.add_months(month, F.when(by_second, -2).otherwise(-1)), december)
-    return date.isNotNull() & (last >= january), last
+        before = f"add_months({month}, -1)"
+        return f"{date} > {month} AND {by_second} AND {before} BETWEEN {january} AND {december}", before
+    last = f"least({december}, add_months({month}, CASE WHEN {by_second} THEN -2 ELSE -1 END))"
+    return f"{date} IS NOT NULL AND {last} >= {january}", last
 
 
 def _hits(rows: DataFrame, year: int, as_of: datetime, scope: str) -> DataFrame:
     """(name, month, measure): number 0 for every coordinator of the table, then one per measure that counts."""
-
-    def hit(name: Column, month: Column, number: int) -> Column:
-        return F.struct(name.alias("name"), month.alias("month"), F.lit(number).alias("measure"))
-
-    found = [hit(F.col("name"), F.lit(None).cast("date"), 0)]
+    found = ["named_struct('name', name, 'month', CAST(NULL AS DATE), 'measure', 0)"]
     for number, m in enumerate(MEASURES, start=1):
         condition, month = _hit_month(m, year, as_of, scope)
-        condition = condition & F.col(m.key).isNotNull()
+        condition = f"{m.key} IS NOT NULL AND {condition}"
         if m.column:
-            condition = condition & F.col(m.column).isin(*m.values)
-        found.append(F.when(condition, hit(F.col(m.key), month, number)))
-    return rows.select(F.inline(F.filter(F.array(*found), lambda h: h.isNotNull())))
+            condition = f"{m.column} IN {in_list(m.values)} AND {condition}"
+        found.append(
+            f"CASE WHEN {condition} THEN named_struct('name', {m.key}, 'month', {month}, 'measure', {number}) END"
+        )
+    return rows.selectExpr(f"inline(filter(array({', '.join(found)}), h -> h IS NOT NULL))")
 
 
 def daily_update(
@@ -171,12 +174,16 @@ def daily_update(
         raise ValueError(f"scope must be 'period' or 'all', not {scope!r}")
     rows = source(flat)
     counted = _hits(rows, year, as_of, scope).groupBy("name", "month", "measure").agg(F.count("*").alias("n"))
-    every_month = month_literals(months_of_year(year))
-    spread = counted.withColumn("month", F.explode(F.when(F.col("measure") == 0, every_month).otherwise(F.array("month"))))
+    spread = counted.selectExpr(
+        "name",
+        "measure",
+        "n",
+        f"explode(CASE WHEN measure = 0 THEN {month_literals(months_of_year(year))} ELSE array(month) END) AS month",
+    )
     per_month = spread.groupBy("name", "month").agg(
-        F.max(F.col("measure") == 0).alias("is_coordinator"),
+        F.expr("max(measure = 0) AS is_coordinator"),
         *[
-            F.sum(F.when(F.col("measure") == number, F.col("n")).otherwise(0)).alias(m.title)
+            F.expr(f"sum(CASE WHEN measure = {number} THEN n ELSE 0 END) AS {quoted(m.title)}")
             for number, m in enumerate(MEASURES, start=1)
         ],
     )
@@ -189,7 +196,7 @@ def daily_update(
         {m.title: F.sum(named(m.title)).over(running[m.rule]) for m in MEASURES if m.rule in running}
     ).where("is_coordinator")
     report = fill_counts(_in_months(summed, rows, year, months), [m.title for m in MEASURES])
-    report = report.withColumn("period", long_month_label(F.col("month"))).withColumnRenamed("name", NAME)
+    report = report.withColumn("period", long_month_label("month")).withColumnRenamed("name", NAME)
     return in_order(report, ["month", "period", NAME, *[m.title for m in MEASURES]])
 
 
@@ -197,7 +204,7 @@ def _in_months(df: DataFrame, rows: DataFrame, year: int, months: Sequence[datet
     """Only the months asked for, or those in which some contract started."""
     if months is not None:
         return df.where(F.col("month").isin([m.date() for m in months]))
-    starts = first_days_in(rows, F.col("start"), datetime(year, 1, 1), datetime(year + 1, 1, 1))
+    starts = months_in(rows, "start", datetime(year, 1, 1), datetime(year + 1, 1, 1))
     return df.join(F.broadcast(starts), "month", "left_semi")  # at most twelve rows
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dealreports import fixed
 from dealreports.functions.attributes import equals_flag
 from dealreports.functions.calendar import first_of_month, from_month, in_month
+from dealreports.functions.text import quoted
 from dealreports.sinks.render import as_seconds
 
 GROUPS = ("keys", "keys_last", "labels", "labels_last")
@@ -66,7 +67,7 @@ def extract_rows(
     flag for closed and paid rows; they are only filtered when ``require_status`` names the status.
     """
     source = "keys_last" if extract.closed_paid else "keys"
-    date = F.col(f"{source}.{extract.date}")
+    date = f"{source}.{extract.date}"
     window = from_month if extract.onwards else in_month
     condition = window(date, as_of, extract.months, bounds)
     if extract.teams:
@@ -75,12 +76,12 @@ def extract_rows(
         condition = condition & (F.col("keys.contract_client_type") == extract.client)
     if require_status:
         condition = condition & (F.col(f"{source}.contract_status") == require_status)
-    added = [as_seconds(date).alias(extract.date)]
+    added = [as_seconds(F.col(date)).alias(extract.date)]
     if extract.client:
         added.append(F.col("keys.contract_client_type"))
     if extract.closed_paid:
         added.append(equals_flag(F.col(f"{source}.contract_status"), fixed.CTC_CLOSED_PAID).alias("is_closed_paid"))
-    kept = [F.col(f"`{c}`") for c in flat.columns if c not in GROUPS]
+    kept = [quoted(c) for c in flat.columns if c not in GROUPS]
     return flat.where(condition).select(*kept, *added)
 
 

@@ -7,8 +7,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealreports.functions.calendar import in_year, months_of_year, year_to_date
-from dealreports.operators.counting import counts_on_spine, later_months, month_of, months_as_columns
+from dealreports.functions.calendar import in_year_sql, months_of_year, year_to_date_sql
+from dealreports.functions.text import in_list, literal, quoted
+from dealreports.operators.counting import counts_on_spine, later_months, months_as_columns
 
 
 @dataclass(frozen=True)
@@ -84,30 +85,32 @@ KPIS = [
 ]
 
 
-def _date(kpi: Kpi) -> Column:
-    return F.col(f"{'keys_last' if kpi.keep == 'last' else 'keys'}.{kpi.date}")
+def _date(kpi: Kpi) -> str:
+    return f"{'keys_last' if kpi.keep == 'last' else 'keys'}.{kpi.date}"
 
 
-def _condition(kpi: Kpi, as_of: datetime, teams: Mapping[str, Sequence[str]]) -> Column:
+def _condition(kpi: Kpi, as_of: datetime, teams: Mapping[str, Sequence[str]]) -> str:
     date = _date(kpi)
     if kpi.rule == "month":
-        in_range = year_to_date(date, as_of)
+        parts = [year_to_date_sql(date, as_of)]
     elif kpi.rule == "next":
         # the next month's closings stand in this month's column; January's would stand in the year before
-        in_range = year_to_date(date, as_of, extra_months=1) & (F.month(date) > 1)
+        parts = [year_to_date_sql(date, as_of, extra_months=1), f"month({date}) > 1"]
     else:
-        in_range = in_year(date, as_of.year)
-    condition = in_range & F.col("keys.contract_status").isin(*kpi.statuses)
+        parts = [in_year_sql(date, as_of.year)]
+    parts.append(f"keys.contract_status IN {in_list(kpi.statuses)}")
     if kpi.teams:
-        condition = condition & F.col("team_name").isin(list(teams[kpi.teams]))
+        parts.append(f"team_name IN {in_list(teams[kpi.teams])}")
     if kpi.client:
-        condition = condition & (F.col("keys_last.contract_client_type") == kpi.client)
-    return condition
+        parts.append(f"keys_last.contract_client_type = {literal(kpi.client)}")
+    return " AND ".join(parts)
 
 
-def _month(kpi: Kpi) -> Column:
-    month = month_of(_date(kpi))
-    return F.add_months(month, -1) if kpi.rule == "next" else month
+def _hit(kpi: Kpi, as_of: datetime, teams: Mapping[str, Sequence[str]]) -> str:
+    month = f"trunc({_date(kpi)}, 'MM')"
+    if kpi.rule == "next":
+        month = f"add_months({month}, -1)"
+    return f"CASE WHEN {_condition(kpi, as_of, teams)} THEN named_struct('kpi', {kpi.kpi}, 'month', {month}) END"
 
 
 def monthly_kpis(
@@ -119,21 +122,12 @@ def monthly_kpis(
     """
     spark = flat.sparkSession
     statuses = sorted({s for k in kpis for s in k.statuses})
-    hits = F.array(
-        *[
-            F.when(
-                _condition(k, as_of, teams), F.struct(F.lit(k.kpi).alias("kpi"), _month(k).alias("month"))
-            )
-            for k in kpis
-        ]
+    hits = ", ".join(_hit(k, as_of, teams) for k in kpis)
+    found = flat.where(f"keys.contract_status IN {in_list(statuses)}").selectExpr(
+        f"inline(filter(array({hits}), h -> h IS NOT NULL))"
     )
-    found = (
-        flat.where(F.col("keys.contract_status").isin(statuses))
-        .select(F.inline(F.filter(hits, lambda h: h.isNotNull())))
-    )
-    months = months_of_year(as_of.year)
-    ids = spark.range(1).select(F.explode(F.array(*[F.lit(k.kpi) for k in kpis])).alias("kpi"))
-    counts = counts_on_spine(found, ids, months)
+    ids = spark.range(1).selectExpr(f"explode(array({', '.join(str(k.kpi) for k in kpis)})) AS kpi")
+    counts = counts_on_spine(found, ids, months_of_year(as_of.year))
     later = [k.kpi for k in kpis if k.rule == "rest"]
     if later:
         # every month of the year counts towards the later months, so the cut to ``as_of`` comes after
@@ -143,10 +137,8 @@ def monthly_kpis(
 
 
 def _state(kpis: Sequence[Kpi]) -> Column:
-    state = F.lit(None).cast("string")
-    for k in kpis:
-        state = F.when(F.col("kpi") == k.kpi, k.state).otherwise(state)
-    return state.alias("state")
+    cases = " ".join(f"WHEN {k.kpi} THEN {literal(k.state)}" for k in kpis)
+    return F.expr(f"CASE kpi {cases} END AS state")
 
 
 def kpis_wide(counts: DataFrame, as_of: datetime) -> DataFrame:
@@ -156,4 +148,5 @@ def kpis_wide(counts: DataFrame, as_of: datetime) -> DataFrame:
 
 def kpi_summary_json(wide: DataFrame) -> DataFrame:
     """One JSON text per count: its name and its months."""
-    return wide.select("kpi", F.to_json(F.struct(*[F.col(f"`{c}`") for c in wide.columns if c != "kpi"])).alias("summary"))
+    months = [quoted(c) for c in wide.columns if c != "kpi"]
+    return wide.select("kpi", F.to_json(F.struct(*months)).alias("summary"))

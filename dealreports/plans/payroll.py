@@ -5,12 +5,12 @@ from datetime import datetime
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from dealreports import fixed
-from dealreports.functions.calendar import half_month_end, half_month_label, half_month_start, moment
-from dealreports.operators.columns import MONEY, RATED_MONEY, fill_dates, indicator, named, sum_of, to_dates, to_money
-from dealreports.operators.counting import TOTAL, cells_with_totals, totals_matrix
+from dealreports.functions.calendar import half_month_end, half_month_label, half_month_start, moment_sql
+from dealreports.functions.text import field, quoted
+from dealreports.operators.columns import MONEY, RATED_MONEY, changed, fill_dates, indicator, sum_of, to_dates, to_money
+from dealreports.operators.counting import cells_with_totals, totals_matrix
 from dealreports.operators.filters import member_of
 
 COORDINATOR = "Empower TC Name"
@@ -55,55 +55,54 @@ def enrich(
 
     An empty date counts as ``date_filler`` and so has a period too, but no amount.
     """
-    df = flat.select(*[F.col(f"labels.`{label}`").alias(label) for label in labels])
+    df = flat.selectExpr(*[f"{field('labels', label)} AS {quoted(label)}" for label in labels])
     df = fill_dates(to_dates(df, DATES), DATES, date_filler)
     df = df.withColumns(_period_columns())
-    empty = moment(date_filler)
+    empty = moment_sql(date_filler)
 
-    def inside(date: str, period: str) -> Column:
-        value = named(date)
+    def inside(date: str, period: str) -> str:
         return (
-            (value != empty)
-            & (value >= F.col(f"{period}_period_start"))
-            & (value <= F.col(f"{period}_period_end"))
+            f"(`{date}` <> {empty} AND `{date}` >= {period}_period_start AND `{date}` <= {period}_period_end)"
         )
 
-    def when_paid(period: str, amount: Column) -> Column:
-        return F.when(inside(PERIODS[period], period), amount).otherwise(F.lit(0))
+    def when_paid(period: str, amount: str, kind: str) -> str:
+        return f"CAST(CASE WHEN {inside(PERIODS[period], period)} THEN {amount} ELSE 0 END AS {kind})"
 
-    df = df.withColumns(
+    df = changed(
+        df,
         {
-            "TC Commission Rate": F.lit(rate).cast("decimal(5,2)"),
-            "Billing Amount": to_money(named("Billing Amount")),
-            **{a: when_paid(p, to_money(named(a))).cast(MONEY) for p, a in PAID_AMOUNTS.items()},
-            "CTC Projection": indicator(named("Closing") != empty),
+            "TC Commission Rate": f"CAST({rate} AS DECIMAL(5,2))",
+            "Billing Amount": to_money("`Billing Amount`"),
+            **{a: when_paid(p, to_money(f"`{a}`"), MONEY) for p, a in PAID_AMOUNTS.items()},
+            "CTC Projection": indicator(f"Closing <> {empty}"),
             **{n: indicator(inside(date, period)) for n, (date, period) in PROJECTIONS.items()},
-        }
+        },
     )
-    any_projection = F.greatest(named("CTC Projection"), *[named(n) for n in PROJECTIONS])
-    df = df.withColumns(
+    projections = ", ".join(f"`{n}`" for n in ["CTC Projection", *PROJECTIONS])
+    df = changed(
+        df,
         {
-            "TC Commission Amount": (named("Billing Amount") * named("TC Commission Rate")).cast(RATED_MONEY),
-            "Projection Condition": any_projection,
-            "TC Revenue": sum_of(*[named(a) for a in PAID_AMOUNTS.values()]),
-        }
+            "TC Commission Amount": f"CAST(`Billing Amount` * `TC Commission Rate` AS {RATED_MONEY})",
+            "Projection Condition": f"greatest({projections})",
+            "TC Revenue": sum_of(f"`{a}`" for a in PAID_AMOUNTS.values()),
+        },
     )
-    commission = (named("TC Revenue") * named("TC Commission Rate")).cast(RATED_MONEY)
-    return df.withColumns(
+    return changed(
+        df,
         {
-            "Projected Amount": when_paid("closing", named("TC Commission Amount")).cast(RATED_MONEY),
-            "Actual Amount": when_paid("ctc", commission).cast(RATED_MONEY),
-            "TC Revenue Amount": when_paid("ctc", named("TC Revenue")).cast(MONEY),
-        }
+            "Projected Amount": when_paid("closing", "`TC Commission Amount`", RATED_MONEY),
+            "Actual Amount": when_paid("ctc", "`TC Revenue` * `TC Commission Rate`", RATED_MONEY),
+            "TC Revenue Amount": when_paid("ctc", "`TC Revenue`", MONEY),
+        },
     )
 
 
 def _period_columns() -> dict[str, Column]:
     columns = {}
     for period, date in PERIODS.items():
-        columns[f"{period}_period_start"] = half_month_start(named(date))
-        columns[f"{period}_period_end"] = half_month_end(named(date))
-        columns[f"{period}_periode"] = half_month_label(named(date))
+        columns[f"{period}_period_start"] = half_month_start(quoted(date))
+        columns[f"{period}_period_end"] = half_month_end(quoted(date))
+        columns[f"{period}_periode"] = half_month_label(quoted(date))
     return columns
 
 

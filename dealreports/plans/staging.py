@@ -5,11 +5,10 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from dealreports import fixed
-from dealreports.functions.calendar import parse_date
 from dealreports.operators.columns import (
+    changed,
     fill_blank,
     fill_dates,
     in_order,
@@ -21,6 +20,7 @@ from dealreports.operators.corrections import correct_billing, empty_closing, em
 from dealreports.operators.filters import is_not_value, is_value, never_started, title_is_excluded
 from dealreports.operators.matching import duplicates_of_newest, newest_per, only_matched, only_unmatched
 
+
 @dataclass(frozen=True)
 class Lists:
     """The column lists of the staging tables."""
@@ -43,20 +43,14 @@ class Staged:
 
 def transactions(flat: DataFrame, labels: Sequence[str] = fixed.TRANSACTION_LABELS) -> DataFrame:
     """Rows that are no agent account, by label, the last match of each."""
-    rows = flat.where(is_not_value(F.col("labels_last.`Contract Status`"), fixed.AGENT_ACCOUNT))
-    return _created_as_date(side_by_side(rows, "labels_last", labels))
+    rows = flat.where(is_not_value("labels_last.`Contract Status`", fixed.AGENT_ACCOUNT))
+    return to_dates(side_by_side(rows, "labels_last", labels), ["Date Created"])
 
 
 def agent_rows(flat: DataFrame, labels: Sequence[str] = fixed.AGENT_LABELS) -> DataFrame:
     """Agent-account rows with their ``id``."""
-    rows = flat.where(is_value(F.col("labels_last.`Contract Status`"), fixed.AGENT_ACCOUNT))
-    system = [F.col(raw).alias(name) for raw, name in fixed.SYSTEM_COLUMNS.items()]
-    attributes = [F.col(f"labels_last.`{label}`").alias(label) for label in labels]
-    return _created_as_date(rows.select("id", *system, *attributes))
-
-
-def _created_as_date(df: DataFrame) -> DataFrame:
-    return df.withColumn("Date Created", parse_date(named("Date Created")))
+    rows = flat.where(is_value("labels_last.`Contract Status`", fixed.AGENT_ACCOUNT))
+    return to_dates(side_by_side(rows, "labels_last", labels, "id"), ["Date Created"])
 
 
 def agent_accounts(flat: DataFrame, labels: Sequence[str] = fixed.AGENT_LABELS) -> DataFrame:
@@ -72,9 +66,9 @@ def duplicate_agent_accounts(flat: DataFrame, labels: Sequence[str] = fixed.AGEN
 def drop_unreal(df: DataFrame) -> DataFrame:
     """Without test, training and deleted deals and without deals that nobody started."""
     return (
-        df.where(~title_is_excluded(named("Contract Title")))
-        .where(~never_started(named("Empower TC Name")))
-        .where(~never_started(named("Empower Agent Name")))
+        df.where(~title_is_excluded("`Contract Title`"))
+        .where(~never_started("`Empower TC Name`"))
+        .where(~never_started("`Empower Agent Name`"))
     )
 
 
@@ -102,17 +96,36 @@ def stage(
 
     Empty dates of the curated table come out as ``date_filler``, or as NULL when it is None.
     """
-    deals = transactions(flat, lists.transaction_labels)
-    agents = agent_accounts(flat, lists.agent_labels)
-    fields = agents.select("Contract Title", *[named(f) for f in fixed.AGENT_FIELDS])
-    errors = only_unmatched(deals, agents, "Empower Agent Name", "Contract Title").withColumns(
-        {f: F.lit(None).cast("string") for f in fixed.AGENT_FIELDS}
+    curated = curated_transactions(flat, lists, cutover_year, zero_listing_amount, date_filler)
+    return Staged(
+        curated,
+        error_transactions(flat, lists),
+        agent_accounts(flat, lists.agent_labels),
+        duplicate_agent_accounts(flat, lists.agent_labels),
     )
-    matched = only_matched(deals, fields, "Empower Agent Name", "Contract Title")
+
+
+def curated_transactions(
+    flat: DataFrame,
+    lists: Lists = Lists(),
+    cutover_year: int = fixed.CUTOVER_YEAR,
+    zero_listing_amount: bool = False,
+    date_filler: datetime | None = fixed.STAGING_DATE_FILLER,
+) -> DataFrame:
+    """Transactions with an agent account, cleaned and corrected."""
+    accounts = in_order(agent_accounts(flat, lists.agent_labels), ["Contract Title", *fixed.AGENT_FIELDS])
+    deals = transactions(flat, lists.transaction_labels)
+    matched = only_matched(deals, accounts, "Empower Agent Name", "Contract Title")
     curated = correct(drop_unreal(clean(matched, lists)), cutover_year, zero_listing_amount)
-    if date_filler is not None:
-        curated = fill_dates(curated, lists.dates, date_filler)
-    return Staged(curated, errors, agents, duplicate_agent_accounts(flat, lists.agent_labels))
+    return curated if date_filler is None else fill_dates(curated, lists.dates, date_filler)
+
+
+def error_transactions(flat: DataFrame, lists: Lists = Lists()) -> DataFrame:
+    """Transactions without an agent account, as they came."""
+    titles = agent_rows(flat, ["Contract Title"])
+    deals = transactions(flat, lists.transaction_labels)
+    unmatched = only_unmatched(deals, titles, "Empower Agent Name", "Contract Title")
+    return changed(unmatched, {f: "CAST(NULL AS STRING)" for f in fixed.AGENT_FIELDS})
 
 
 def newest_first(df: DataFrame) -> DataFrame:

@@ -11,7 +11,6 @@ from dealreports.functions import calendar as cal
 from dealreports.functions.attributes import equals_flag, extract, labels_in, unreadable, wide_discovered
 from dealreports.operators import columns as col
 from dealreports.operators import corrections, counting, filters, matching
-from dealreports.operators.columns import named
 from dealreports.plans import daily, extracts, kpis, payroll, staging
 from dealreports.plans.statuses import status_catalogue
 from dealreports.registry import inputs
@@ -155,7 +154,7 @@ FROM (SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS
 """,
 )
 def calendar_columns(spark, sf_dir):
-    date = F.col("o_orderdate")
+    date = "o_orderdate"
     return _table(spark, sf_dir, "orders").select(
         "o_orderkey",
         cal.half_month_start(date).alias("half_start"),
@@ -164,7 +163,7 @@ def calendar_columns(spark, sf_dir):
         cal.next_month_end(date).alias("next_month_end"),
         cal.long_month_label(date).alias("long_label"),
         cal.short_month_label(date).alias("short_label"),
-        cal.parse_month_label(cal.long_month_label(date)).alias("parsed_label"),
+        cal.parse_month_label(f"upper(date_format({date}, 'MMMM yyyy'))").alias("parsed_label"),
     )
 
 
@@ -178,7 +177,7 @@ def kpi_ctc_closing(spark, sf_dir):
     rows = extract(inputs.raw(spark, sf_dir).select("team_name", "field_values"), needed)
     flat = rows.select(
         "team_name",
-        F.struct("contract_status", cal.parse_date(F.col("closing_date")).alias("closing_date")).alias("keys"),
+        F.struct("contract_status", cal.parse_date("closing_date").alias("closing_date")).alias("keys"),
     )
     return kpis.monthly_kpis(flat, d.AS_OF, TEAMS, [k for k in kpis.KPIS if k.kpi == 4])
 
@@ -252,14 +251,24 @@ def closed_halves(spark, sf_dir):
 # --- staging ------------------------------------------------------------------------------------
 
 
-def _stage(spark, sf_dir) -> staging.Staged:
-    return staging.stage(inputs.flat(spark, sf_dir), cutover_year=d.CUTOVER_YEAR)
+@register("stage_curated", sql.stage_curated())
+def stage_curated(spark, sf_dir):
+    return staging.curated_transactions(inputs.flat(spark, sf_dir), cutover_year=d.CUTOVER_YEAR)
 
 
-register("stage_curated", sql.stage_curated())(lambda spark, sf_dir: _stage(spark, sf_dir).curated)
-register("stage_errors", sql.stage_errors())(lambda spark, sf_dir: _stage(spark, sf_dir).errors)
-register("stage_agents", sql.stage_agents())(lambda spark, sf_dir: _stage(spark, sf_dir).agents)
-register("stage_agent_duplicates", sql.stage_agent_duplicates())(lambda spark, sf_dir: _stage(spark, sf_dir).duplicates)
+@register("stage_errors", sql.stage_errors())
+def stage_errors(spark, sf_dir):
+    return staging.error_transactions(inputs.flat(spark, sf_dir))
+
+
+@register("stage_agents", sql.stage_agents())
+def stage_agents(spark, sf_dir):
+    return staging.agent_accounts(inputs.flat(spark, sf_dir))
+
+
+@register("stage_agent_duplicates", sql.stage_agent_duplicates())
+def stage_agent_duplicates(spark, sf_dir):
+    return staging.duplicate_agent_accounts(inputs.flat(spark, sf_dir))
 
 
 def _typed(spark, sf_dir) -> DataFrame:
@@ -335,17 +344,17 @@ _TITLES = ["Contract Title", "Empower TC Name", "Empower Agent Name"]
 @register("exclude_titles", _titles(f"NOT ({sql._EXCLUDED})"))
 def exclude_titles(spark, sf_dir):
     rows = staging.transactions(inputs.flat(spark, sf_dir))
-    return col.in_order(rows.where(~filters.title_is_excluded(named("Contract Title"))), _TITLES)
+    return col.in_order(rows.where(~filters.title_is_excluded("`Contract Title`")), _TITLES)
 
 
 @register("exclude_never_started_coordinator", _titles(f"NOT (coalesce(tc, '') = '' AND {sql._NEVER})"))
 def exclude_never_started_coordinator(spark, sf_dir):
-    return col.in_order(_typed(spark, sf_dir).where(~filters.never_started(named("Empower TC Name"))), _TITLES)
+    return col.in_order(_typed(spark, sf_dir).where(~filters.never_started("`Empower TC Name`")), _TITLES)
 
 
 @register("exclude_never_started_agent", _titles(f"NOT (coalesce(agent, '') = '' AND {sql._NEVER})"))
 def exclude_never_started_agent(spark, sf_dir):
-    return col.in_order(_typed(spark, sf_dir).where(~filters.never_started(named("Empower Agent Name"))), _TITLES)
+    return col.in_order(_typed(spark, sf_dir).where(~filters.never_started("`Empower Agent Name`")), _TITLES)
 
 
 # --- payroll ------------------------------------------------------------------------------------
@@ -463,12 +472,12 @@ def render_cells(spark, sf_dir):
 
 # --- the operators on other tables --------------------------------------------------------------
 
-_ORDER_YEAR = datetime(2000, 1, 1)
+
 
 
 def _order_hits(spark, sf_dir) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders").where(cal.in_year(F.col("o_orderdate"), 2000))
-    return orders.select(F.col("o_orderstatus").alias("status"), counting.month_of(F.col("o_orderdate")).alias("month"))
+    orders = _table(spark, sf_dir, "orders").where(cal.in_year("o_orderdate", 2000))
+    return orders.select(F.col("o_orderstatus").alias("status"), counting.month_of("o_orderdate").alias("month"))
 
 
 def _order_statuses(spark) -> DataFrame:
@@ -508,14 +517,14 @@ GROUP BY CUBE (n_name, half)
 
 @register("orders_half_month_totals", _NATIONS)
 def orders_half_month_totals(spark, sf_dir):
-    orders = _table(spark, sf_dir, "orders").where(cal.in_year(F.col("o_orderdate"), 2000))
+    orders = _table(spark, sf_dir, "orders").where(cal.in_year("o_orderdate", 2000))
     customer, nation = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation")
     rows = (
         orders.join(customer, orders.o_custkey == customer.c_custkey)
         .join(nation, customer.c_nationkey == nation.n_nationkey)
         .select(
             "n_name",
-            cal.half_month_label(F.col("o_orderdate")).alias("half"),
+            cal.half_month_label("o_orderdate").alias("half"),
             F.col("o_totalprice").cast(col.MONEY).alias("price"),
         )
     )

@@ -15,6 +15,7 @@ def local_session(cores: str = "*", app: str = "dealreports", **conf) -> SparkSe
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else cores)
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("_", "."), value)

@@ -7,9 +7,11 @@ can be computed from the base tables without any JSON.
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealreports.functions.text import literal
+
 AS_OF = datetime(2000, 10, 20, 14, 30)
 YEAR = 2000
 CUTOVER_YEAR = 1998
@@ -44,40 +46,43 @@ STATUSES = [
 KEYS = {"Closing": "closing_date"}
 
 
-def _key(label: str) -> str:
-    return KEYS.get(label, "_".join(label.lower().split()))
+def deals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw ``properties`` rows: the order side and the agent side."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    agents = customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
+        "c_custkey",
+        "c_name",
+        "c_mktsegment",
+        "CAST(n_nationkey AS BIGINT) AS team_id",
+        "concat('Team ', n_name) AS team_name",
+    )
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
+    return _from_orders(orders, agents).unionByName(_from_agents(agents))
 
 
-def _item(label: str, json_value: Column, present: Column | None = None) -> Column:
-    text = F.concat(F.lit(f'{{"key":"{_key(label)}","label":"{label}","value":'), json_value, F.lit("}"))
-    return text if present is None else F.when(present, text)
+def _item(label: str, json_value: str, present: str | None = None) -> str:
+    """One attribute as JSON text; left out where ``present`` does not hold."""
+    key = KEYS.get(label, "_".join(label.lower().split()))
+    item = f"""concat('{{"key":"{key}","label":"{label}","value":', {json_value}, '}}')"""
+    return item if present is None else f"CASE WHEN {present} THEN {item} END"
 
 
-def _text(value: Column) -> Column:
-    quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('\\"')), F.lit('"'))
-    return F.coalesce(quoted, F.lit("null"))
+def _text(value: str) -> str:
+    """A JSON string, or null."""
+    return f"""coalesce(concat('"', replace({value}, '"', '\\\\"'), '"'), 'null')"""
 
 
-def _date(value: Column) -> Column:
-    return F.concat(F.lit('"'), value.cast("string"), F.lit('"'))
+def _date(value: str) -> str:
+    return f"""concat('"', {value}, '"')"""
 
 
-def _json_list(*elements: Column) -> Column:
-    return F.concat(F.lit("["), F.concat_ws(",", *elements), F.lit("]"))
+def _plus(date: str, days: str) -> str:
+    return f"date_add({date}, CAST({days} AS INT))"
 
 
-def deals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw ``properties`` rows: the order side and the agent side."""
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    agents = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-        "c_custkey",
-        "c_name",
-        "c_mktsegment",
-        F.col("n_nationkey").cast("long").alias("team_id"),
-        F.concat(F.lit("Team "), F.col("n_name")).alias("team_name"),
-    )
-    return _orders(spark, sf_dir, agents).unionByName(_agents(agents))
+def _json_list(items: list[str]) -> str:
+    return f"concat('[', concat_ws(',', {', '.join(items)}), ']')"
 
 
 def _spread(df: DataFrame, source: DataFrame, key: str) -> DataFrame:
@@ -86,113 +91,95 @@ def _spread(df: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if len(source.inputFiles()) < cores else df
 
 
-def _properties(df: DataFrame, row_id: Column, created: Column, field_values: Column) -> DataFrame:
-    return df.select(
-        row_id.alias("id"),
-        F.date_format(created, "yyyy-MM-dd HH:mm:ss").alias("created"),
-        F.lit("America/Chicago").alias("timezone"),
-        field_values.alias("field_values"),
+def _properties(df: DataFrame, row_id: str, created: str, field_values: str) -> DataFrame:
+    return df.selectExpr(
+        f"{row_id} AS id",
+        f"date_format({created}, 'yyyy-MM-dd HH:mm:ss') AS created",
+        "'America/Chicago' AS timezone",
+        f"{field_values} AS field_values",
         "team_id",
         "team_name",
-        (F.col("c_custkey") % 50).alias("team_user_id"),
-        F.concat(F.lit("User "), (F.col("c_custkey") % 50).cast("string")).alias("team_user_name"),
-        F.col("c_custkey").alias("agent_id"),
-        F.col("c_name").alias("agent_name"),
-        F.col("c_mktsegment").alias("brokerage"),
-        F.lit("{}").alias("api_data"),
-        F.concat(F.lit("deal-"), row_id.cast("string"), F.lit("@example.com")).alias("inbound_email_address"),
+        "c_custkey % 50 AS team_user_id",
+        "concat('User ', c_custkey % 50) AS team_user_name",
+        "c_custkey AS agent_id",
+        "c_name AS agent_name",
+        "c_mktsegment AS brokerage",
+        "'{}' AS api_data",
+        f"concat('deal-', {row_id}, '@example.com') AS inbound_email_address",
     )
 
 
-def _orders(spark: SparkSession, sf_dir: str, agents: DataFrame) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
-    df = _spread(orders.join(agents, orders.o_custkey == agents.c_custkey), orders, "o_orderkey")
-    k = F.col("o_orderkey")
-    d = F.to_date("o_orderdate")
-
-    def days(n):
-        return n.cast("int") if isinstance(n, Column) else n
-
-    def plus(date, n):
-        return F.date_add(date, days(n))
-
-    def every(n):
-        return k % n == 0
-
-    listing, offer, compliance = every(3), every(7), k % 9 < 4
-    closing = plus(d, k % 75)
-    has_closing = ~every(11)
-    amount_text = lambda c: (
-        F.when(every(41), F.lit('""')).when(every(43), F.lit('"n/a"')).otherwise(
-            F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
-        )
-    )
+def _from_orders(orders: DataFrame, agents: DataFrame) -> DataFrame:
+    joined = orders.join(agents, orders.o_custkey == agents.c_custkey)
+    rows = _spread(joined, orders, "o_orderkey").withColumnsRenamed({"o_orderkey": "k"})
+    rows = rows.withColumn("d", F.to_date("o_orderdate"))
+    closing = _plus("d", "k % 75")
+    listing, offer, compliance = "k % 3 = 0", "k % 7 = 0", "k % 9 < 4"
+
+    def amount(value: str) -> str:
+        return f"""CASE WHEN k % 41 = 0 THEN '""' WHEN k % 43 = 0 THEN '"n/a"' ELSE concat('"', {value}, '"') END"""
+
     title = (
-        F.when(every(229), F.lit(None).cast("string"))
-        .when(every(211), F.concat(F.lit("Test deal "), k.cast("string")))
-        .when(every(223), F.concat(F.lit("TRAINING "), k.cast("string")))
-        .when(every(227), F.concat(F.lit("please delete "), k.cast("string")))
-        .otherwise(F.concat(F.lit("Deal "), k.cast("string")))
+        "CASE WHEN k % 229 = 0 THEN NULL WHEN k % 211 = 0 THEN concat('Test deal ', k) "
+        "WHEN k % 223 = 0 THEN concat('TRAINING ', k) WHEN k % 227 = 0 THEN concat('please delete ', k) "
+        "ELSE concat('Deal ', k) END"
     )
-    status = F.get(F.array(*[F.lit(s).cast("string") for s in STATUSES]), (k % 20).cast("int"))
-    client = F.when(every(17), F.lit(None).cast("string")).otherwise(
-        F.when(F.floor(k / 20) % 2 == 0, "Buyer").otherwise("Seller")
+    client = "CASE WHEN k % 17 = 0 THEN NULL WHEN (k div 20) % 2 = 0 THEN 'Buyer' ELSE 'Seller' END"
+    status = f"get(array({', '.join(literal(s) for s in STATUSES)}), CAST(k % 20 AS INT))"
+    billing = (
+        """CASE WHEN k % 6 = 0 THEN '""' WHEN k % 6 = 1 THEN '0' ELSE concat('"', 400 + 25 * (k % 5), '"') END"""
     )
     attributes = _json_list(
-        F.when(every(29), F.lit("7")),
-        _item("Contract Title", _text(title)),
-        _item("Contract Client Type", _text(client)),
-        _item("Empower TC Name", _text(F.concat(F.lit("TC "), (k % 9).cast("string"))), ~every(31)),
-        _item("Empower Agent Name", F.when(every(37), F.lit("null")).otherwise(_text(F.col("c_name")))),
-        _item("Contract Status", _text(status)),
-        _item("CTC Started with Empower", _date(d), ~every(13)),
-        _item("Closing", F.when(every(97), F.lit('"TBD"')).otherwise(_date(closing)), has_closing),
-        _item("CTC PAID Date", _date(plus(closing, 10)), every(4) & has_closing & ~every(97)),
-        _item("Listing Started with Empower", _date(plus(d, k % 20)), listing),
-        _item("Listing PAID Date", _date(plus(d, k % 25 + 20)), listing),
-        _item("Offer Started with Empower", _date(plus(d, k % 10)), offer),
-        _item("Offer Prep PAID Date", _date(plus(d, k % 10 + 12)), offer),
-        _item("Compliance Started with Empower", _date(plus(d, k % 15)), compliance),
-        _item("Compliance PAID Date", _date(plus(d, k % 30 + 15)), compliance),
-        _item("Listing PAID Amount", amount_text(k % 3 * 50 + 150)),
-        _item("CTC PAID Amount", amount_text(F.lit(350))),
-        _item("Offer Prep PAID Amount", amount_text(F.lit(40))),
-        _item("Compliance PAID Amount", amount_text(k % 3 * 50 + 50)),
-        _item(
-            "Billing Amount",
-            F.when(every(6), F.lit('""'))
-            .when(k % 6 == 1, F.lit("0"))
-            .otherwise(F.concat(F.lit('"'), (k % 5 * 25 + 400).cast("string"), F.lit('"'))),
-        ),
-        _item("Other Amount", F.lit('"75"'), (k % 12).isin(0, 7)),
-        _item("Preferred  Ai  CTC", F.lit('"Yes"'), every(10)),
-        _item("Billing Status", F.lit('"Compliance - PAID"'), every(53)),
-        _item("Contract Status", F.lit('"Superseded"'), every(23)),
+        [
+            "CASE WHEN k % 29 = 0 THEN '7' END",
+            _item("Contract Title", _text(title)),
+            _item("Contract Client Type", _text(client)),
+            _item("Empower TC Name", _text("concat('TC ', k % 9)"), "k % 31 <> 0"),
+            _item("Empower Agent Name", _text("CASE WHEN k % 37 <> 0 THEN c_name END")),
+            _item("Contract Status", _text(status)),
+            _item("CTC Started with Empower", _date("d"), "k % 13 <> 0"),
+            _item("Closing", f"CASE WHEN k % 97 = 0 THEN '\"TBD\"' ELSE {_date(closing)} END", "k % 11 <> 0"),
+            _item("CTC PAID Date", _date(_plus(closing, "10")), "k % 4 = 0 AND k % 11 <> 0 AND k % 97 <> 0"),
+            _item("Listing Started with Empower", _date(_plus("d", "k % 20")), listing),
+            _item("Listing PAID Date", _date(_plus("d", "20 + k % 25")), listing),
+            _item("Offer Started with Empower", _date(_plus("d", "k % 10")), offer),
+            _item("Offer Prep PAID Date", _date(_plus("d", "12 + k % 10")), offer),
+            _item("Compliance Started with Empower", _date(_plus("d", "k % 15")), compliance),
+            _item("Compliance PAID Date", _date(_plus("d", "15 + k % 30")), compliance),
+            _item("Listing PAID Amount", amount("150 + 50 * (k % 3)")),
+            _item("CTC PAID Amount", amount("350")),
+            _item("Offer Prep PAID Amount", amount("40")),
+            _item("Compliance PAID Amount", amount("50 + 50 * (k % 3)")),
+            _item("Billing Amount", billing),
+            _item("Other Amount", """'"75"'""", "k % 12 IN (0, 7)"),
+            _item("Preferred  Ai  CTC", """'"Yes"'""", "k % 10 = 0"),
+            _item("Billing Status", """'"Compliance - PAID"'""", "k % 53 = 0"),
+            _item("Contract Status", """'"Superseded"'""", "k % 23 = 0"),
+        ]
     )
-    field_values = F.when(every(103), F.lit(None).cast("string")).when(every(101), "not json").otherwise(attributes)
-    return _properties(df, k, F.col("o_orderdate"), field_values)
+    field_values = f"CASE WHEN k % 103 = 0 THEN NULL WHEN k % 101 = 0 THEN 'not json' ELSE {attributes} END"
+    return _properties(rows, "k", "o_orderdate", field_values)
 
 
-def _agents(agents: DataFrame) -> DataFrame:
-    a = F.col("c_custkey")
-    base = _spread(agents.where(a % 13 != 0), agents, "c_custkey").withColumn(
-        "twice", F.explode(F.when(a % 17 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+def _from_agents(agents: DataFrame) -> DataFrame:
+    rows = _spread(agents.where("c_custkey % 13 <> 0"), agents, "c_custkey").selectExpr(
+        "*",
+        "c_custkey AS a",
+        "explode(CASE WHEN c_custkey % 17 = 0 THEN array(1, 2) ELSE array(1) END) AS twice",
     )
-    twice = F.col("twice")
-    start = F.lit("1995-01-01").cast("date")
-    created = F.date_sub(F.date_add(start, (a % 365).cast("int")), twice - 1)
-    onboard = F.date_add(start, (a * 7 % 2400).cast("int"))
-    has_onboard = a % 19 != 0
-    title = F.when(a % 500 != 0, F.col("c_name"))
+    created = "date_sub(date_add(DATE '1995-01-01', CAST(a % 365 AS INT)), twice - 1)"
+    onboard = "date_add(DATE '1995-01-01', CAST(a * 7 % 2400 AS INT))"
     attributes = _json_list(
-        _item("Contract Title", _text(title)),
-        _item("Contract Status", F.lit('"AGENT ACCOUNT"')),
-        _item("Transaction Coordinator", _text(F.concat(F.lit("TC "), (a % 9).cast("string")))),
-        _item("Onboard Call Complete Date", _date(onboard), has_onboard),
-        _item("Onboarding Status", F.lit('"1st Transaction"'), a % 4 == 0),
-        _item("1st Transaction Date", _date(F.date_add(onboard, (a % 40).cast("int"))), has_onboard),
-        _item("Brokerage", _text(F.col("c_mktsegment"))),
-        _item("Agent Provided by", F.when(a % 3 == 0, F.lit('"TC"')).otherwise(F.lit('"Empower"')), a % 3 != 2),
-        _item("Other Status", F.lit('"Lost - Reassigned"'), a % 23 == 0),
+        [
+            _item("Contract Title", _text("CASE WHEN a % 500 <> 0 THEN c_name END")),
+            _item("Contract Status", """'"AGENT ACCOUNT"'"""),
+            _item("Transaction Coordinator", _text("concat('TC ', a % 9)")),
+            _item("Onboard Call Complete Date", _date(onboard), "a % 19 <> 0"),
+            _item("Onboarding Status", """'"1st Transaction"'""", "a % 4 = 0"),
+            _item("1st Transaction Date", _date(_plus(onboard, "a % 40")), "a % 19 <> 0"),
+            _item("Brokerage", _text("c_mktsegment")),
+            _item("Agent Provided by", """CASE WHEN a % 3 = 0 THEN '"TC"' ELSE '"Empower"' END""", "a % 3 <> 2"),
+            _item("Other Status", """'"Lost - Reassigned"'""", "a % 23 = 0"),
+        ]
     )
-    return _properties(base, a + twice * 10_000_000, created, attributes)
+    return _properties(rows, "a + twice * 10000000", created, attributes)
