@@ -72,14 +72,22 @@ def month_bounds(as_of: datetime, offset: int, bounds: str = "calendar") -> tupl
     raise ValueError(f"bounds must be 'calendar' or 'clock', not {bounds!r}")
 
 
-def in_month(date: str, as_of: datetime, offset: int = 0, bounds: str = "calendar") -> Column:
+def in_month_sql(date: str, as_of: datetime, offset: int = 0, bounds: str = "calendar") -> str:
     low, high = month_bounds(as_of, offset, bounds)
     upper = "<" if bounds == "calendar" else "<="
-    return F.expr(f"{date} >= {moment_sql(low)} AND {date} {upper} {moment_sql(high)}")
+    return f"({date} >= {moment_sql(low)} AND {date} {upper} {moment_sql(high)})"
+
+
+def from_month_sql(date: str, as_of: datetime, offset: int = 1, bounds: str = "calendar") -> str:
+    return f"({date} >= {moment_sql(month_bounds(as_of, offset, bounds)[0])})"
+
+
+def in_month(date: str, as_of: datetime, offset: int = 0, bounds: str = "calendar") -> Column:
+    return F.expr(in_month_sql(date, as_of, offset, bounds))
 
 
 def from_month(date: str, as_of: datetime, offset: int = 1, bounds: str = "calendar") -> Column:
-    return F.expr(f"{date} >= {moment_sql(month_bounds(as_of, offset, bounds)[0])}")
+    return F.expr(from_month_sql(date, as_of, offset, bounds))
 
 
 def between_sql(date: str, low: datetime, high: datetime) -> str:

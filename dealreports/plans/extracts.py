@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from dealreports import fixed
 from dealreports.functions.attributes import equals_flag
-from dealreports.functions.calendar import first_of_month, from_month, in_month
-from dealreports.functions.text import quoted
+from dealreports.functions.calendar import first_of_month, from_month_sql, in_month_sql
+from dealreports.functions.text import in_list, literal, quoted
 from dealreports.sinks.render import as_seconds
 
 GROUPS = ("keys", "keys_last", "labels", "labels_last")
@@ -66,23 +66,56 @@ def extract_rows(
     ``bounds='clock'`` compares with the clock time of ``as_of`` on the first and last day. ``closed`` carries a
     flag for closed and paid rows; they are only filtered when ``require_status`` names the status.
     """
-    source = "keys_last" if extract.closed_paid else "keys"
-    date = f"{source}.{extract.date}"
-    window = from_month if extract.onwards else in_month
-    condition = window(date, as_of, extract.months, bounds)
-    if extract.teams:
-        condition = condition & F.col("team_name").isin(list(teams[extract.teams]))
-    if extract.client:
-        condition = condition & (F.col("keys.contract_client_type") == extract.client)
+    source, date = _date(extract)
+    rows = flat.where(_condition(extract, as_of, teams, bounds))
     if require_status:
-        condition = condition & (F.col(f"{source}.contract_status") == require_status)
+        rows = rows.where(f"{source}.contract_status = {literal(require_status)}")
     added = [as_seconds(F.col(date)).alias(extract.date)]
     if extract.client:
         added.append(F.col("keys.contract_client_type"))
     if extract.closed_paid:
         added.append(equals_flag(F.col(f"{source}.contract_status"), fixed.CTC_CLOSED_PAID).alias("is_closed_paid"))
-    kept = [quoted(c) for c in flat.columns if c not in GROUPS]
-    return flat.where(condition).select(*kept, *added)
+    return rows.select(*_fixed_columns(flat), *added)
+
+
+def _date(extract: Extract) -> tuple[str, str]:
+    source = "keys_last" if extract.closed_paid else "keys"
+    return source, f"{source}.{extract.date}"
+
+
+def _fixed_columns(flat: DataFrame) -> list[str]:
+    return [quoted(c) for c in flat.columns if c not in GROUPS]
+
+
+def _condition(extract: Extract, as_of: datetime, teams: Mapping[str, Sequence[str]], bounds: str) -> str:
+    _, date = _date(extract)
+    window = from_month_sql if extract.onwards else in_month_sql
+    parts = [window(date, as_of, extract.months, bounds)]
+    if extract.teams:
+        parts.append(f"team_name IN {in_list(teams[extract.teams])}")
+    if extract.client:
+        parts.append(f"keys.contract_client_type = {literal(extract.client)}")
+    return " AND ".join(parts)
+
+
+def all_extracts(
+    flat: DataFrame,
+    as_of: datetime,
+    teams: Mapping[str, Sequence[str]] = TEAMS,
+    bounds: str = "calendar",
+) -> DataFrame:
+    """The rows of all extracts from one scan: (extract, date, fixed columns), once per extract a row is in.
+
+    Written with ``write_split(rows, root, ["extract"])`` this gives all sheets in one job.
+    """
+    hits = ", ".join(
+        f"CASE WHEN {_condition(e, as_of, teams, bounds)} "
+        f"THEN named_struct('extract', {literal(e.title)}, 'date', {_date(e)[1]}) END"
+        for e in EXTRACTS.values()
+    )
+    hit = f"inline(filter(array({hits}), h -> h IS NOT NULL))"
+    rows = flat.selectExpr(*_fixed_columns(flat), hit)
+    return rows.withColumn("date", as_seconds(F.col("date")))
 
 
 def half_titles(prefix: str, as_of: datetime) -> tuple[str, str]:

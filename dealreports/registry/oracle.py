@@ -214,6 +214,14 @@ def closed_halves() -> str:
     )
 
 
+def all_extracts() -> str:
+    parts = []
+    for name, e in EXTRACTS.items():
+        system = "id, created, timezone, team_id, team_name, team_user_id, team_user_name, agent_id, agent_name, brokerage, api_data, inbound_email_address"
+        parts.append(f"({extract(name, select=f'{system}, {_s(e.title)} AS extract, {e.date} AS date')})")
+    return "\nUNION ALL\n".join(f"SELECT * FROM {p}" for p in parts)
+
+
 # --- staging ------------------------------------------------------------------------------------
 
 _LABEL_COLUMN = {

@@ -243,6 +243,11 @@ register(
 )(_extract("closed", require_status=fixed.CTC_CLOSED_PAID))
 
 
+@register("extract_all", sql.all_extracts())
+def extract_all(spark, sf_dir):
+    return extracts.all_extracts(inputs.flat(spark, sf_dir), d.AS_OF, TEAMS)
+
+
 @register("extract_closed_halves", sql.closed_halves())
 def closed_halves(spark, sf_dir):
     return extracts.closed_halves(inputs.flat(spark, sf_dir), d.AS_OF, TEAMS)
