@@ -1,0 +1,59 @@
+"""What the physical plans must look like at scale."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry_points
+from dealreports.registry import inputs
+
+QUERIES = entry_points.queries()
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+REPORTS = [n for n in QUERIES if n.startswith(("kpi_", "extract_", "stage_", "rule_", "exclude_", "payroll_", "daily_", "status_"))]
+
+
+@pytest.mark.parametrize("name", REPORTS)
+def test_reports_need_no_python_and_no_pairs(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert not re.search(r"Cartesian|NestedLoop|BatchEvalPython|ArrowEval|MapInPandas|PythonUDF", text)
+
+
+def scans(df):
+    return re.findall(r"FileScan parquet .*", plan(df))
+
+
+def test_extracts_scan_once_and_push_the_filter(spark, sf_dir):
+    df = QUERIES["extract_current_month"](spark, sf_dir)
+    (scan,) = scans(df)
+    assert "GreaterThanOrEqual(keys.closing_date" in scan and "labels" not in scan
+    assert "Exchange" not in plan(df)
+
+
+def test_monthly_counts_scan_once_and_shuffle_only_counts(spark, sf_dir):
+    df = QUERIES["kpi_long"](spark, sf_dir)
+    assert len(scans(df)) == 1 and "In(keys.contract_status" in scans(df)[0]
+    # partial counts before the first exchange; the second carries twelve rows per count
+    assert plan(df).count("Exchange") == 2 and "partial_sum" in plan(df)
+
+
+def test_daily_update_aggregates_before_every_exchange(spark, sf_dir):
+    text = plan(QUERIES["daily_update_all_scope"](spark, sf_dir))
+    assert "partial_count" in text and "partial_sum" in text and "SortMergeJoin" not in text
+
+
+def test_flatten_moves_no_row(spark, sf_dir):
+    from dealreports.functions.attributes import flatten
+    from dealreports.sources.tables import PROPERTIES
+
+    raw = spark.createDataFrame([], PROPERTIES)
+    text = plan(flatten(raw, inputs.FLAT))
+    assert "Exchange" not in text and text.count("from_json") == 1
+
+
+def test_flat_table_is_written_once_per_session(spark, sf_dir):
+    assert inputs.flat(spark, sf_dir) is inputs.flat(spark, sf_dir)
