@@ -5,6 +5,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from dealreports import fixed
 from dealreports.operators.columns import (
@@ -129,5 +130,8 @@ def error_transactions(flat: DataFrame, lists: Lists = Lists()) -> DataFrame:
 
 
 def newest_first(df: DataFrame) -> DataFrame:
-    """Report order; only for output, since it moves every row."""
-    return df.orderBy(named("Date Created").desc_nulls_last())
+    """Report order; only for output, since it moves every row.
+
+    Rows of one moment come in any order, so their content may split them over several tasks.
+    """
+    return df.orderBy(named("Date Created").desc_nulls_last(), F.xxhash64(*[named(c) for c in df.columns]))

@@ -11,7 +11,7 @@ from dealreports.functions import calendar as cal
 from dealreports.functions.attributes import equals_flag, extract, labels_in, unreadable, wide_discovered
 from dealreports.operators import columns as col
 from dealreports.operators import corrections, counting, filters, matching
-from dealreports.plans import daily, extracts, kpis, payroll, staging
+from dealreports.plans import daily, extracts, kpis, payroll, staging, workbooks
 from dealreports.plans.statuses import status_catalogue
 from dealreports.registry import inputs
 from dealreports.registry import oracle as sql
@@ -19,7 +19,7 @@ from dealreports.session import scratch_path
 from dealreports.sinks import render, reports
 from dealreports.sources import deals as d
 from dealreports.sources import ingest
-from dealreports.sources.tables import read_properties
+from dealreports.sources.tables import read_csv_columns, read_list, read_properties
 from dealreports.streaming.landing import land_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -397,6 +397,45 @@ for _scope in ("period", "all"):
         lambda spark, sf_dir, scope=_scope: daily.daily_update(inputs.flat(spark, sf_dir), d.YEAR, d.AS_OF, scope)
     )
 
+# --- lists from files ---------------------------------------------------------------------------
+
+
+@register(
+    "team_list_members",
+    sql.with_agents(
+        "SELECT id, team_name FROM (SELECT k AS id, team_name FROM deal UNION ALL SELECT id, team_name FROM agent_row) "
+        f"WHERE team_name IN {sql._in(d.PREFERRED_TEAMS)}"
+    ),
+)
+def team_list_members(spark, sf_dir):
+    """Rows of the teams in a list file; here the file holds the teams of ten nations."""
+    path = scratch_path(spark, "teams")
+    nations = _table(spark, sf_dir, "nation").where("n_nationkey BETWEEN 5 AND 15")
+    nations.selectExpr("concat('Team ', n_name) AS name").write.csv(path)
+    rows = inputs.flat(spark, sf_dir).select("id", "team_name")
+    return filters.member_of(rows, "team_name", read_list(spark, path))
+
+
+@register(
+    "agent_list_join",
+    sql.with_agents(
+        'SELECT deal.title AS "Contract Title", deal.agent AS "Empower Agent Name" '
+        "FROM deal LEFT JOIN agent_row ON deal.agent IS NOT DISTINCT FROM agent_row.title"
+    ),
+)
+def agent_list_join(spark, sf_dir):
+    """The join to an agent list in CSV: repeated titles repeat the deal."""
+    path = scratch_path(spark, "agents")
+    flat = inputs.flat(spark, sf_dir)
+    agents = staging.agent_rows(flat, ["Contract Title", "Brokerage", "Agent Provided by"])
+    agents.select(F.col("`Contract Title`").alias("Title"), "Brokerage", "`Agent Provided by`").write.option(
+        "header", True
+    ).csv(path)
+    deals = staging.transactions(flat, ["Contract Title", "Empower Agent Name"])
+    listed = read_csv_columns(spark, path, ["Title", "Agent Provided by"])
+    return col.in_order(matching.with_agent_list(deals, listed), ["Contract Title", "Empower Agent Name"])
+
+
 # --- ingest and sinks ---------------------------------------------------------------------------
 
 
@@ -438,6 +477,24 @@ def ingest_stream(spark, sf_dir):
     return extract(read_properties(spark, out), ["contract_status"])
 
 
+@register(
+    "ingest_agents",
+    """
+SELECT c_custkey AS id, c_name AS name,
+  CAST(json_object('segment', c_mktsegment, 'nations', [c_nationkey]) AS VARCHAR) AS details FROM customer
+""",
+)
+def ingest_agents(spark, sf_dir):
+    pages, out = scratch_path(spark, "agent-pages"), scratch_path(spark, "agents-landed")
+    details = F.struct(F.col("c_mktsegment").alias("segment"), F.array("c_nationkey").alias("nations"))
+    records = _table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), details.alias("details")
+    )
+    records.write.json(pages)
+    ingest.land_agents(spark, pages, out, records.schema)
+    return spark.read.parquet(out)
+
+
 @register("sink_roundtrip", sql.kpi_wide())
 def sink_roundtrip(spark, sf_dir):
     paths = reports.write_report(
@@ -464,6 +521,13 @@ def sink_per_team(spark, sf_dir):
     return back.groupBy("workbook", "sheet").agg(F.count("*").alias("n"))
 
 
+@register("sink_per_month", f"SELECT period AS sheet, count(*) AS n FROM ({sql.daily_update('period')}) GROUP BY ALL")
+def sink_per_month(spark, sf_dir):
+    root = scratch_path(spark, "workbooks")
+    path = workbooks.write_daily_update(inputs.flat(spark, sf_dir), root, d.YEAR, d.AS_OF)
+    return spark.read.parquet(path).groupBy("sheet").agg(F.count("*").alias("n"))
+
+
 @register(
     "render_cells",
     """

@@ -85,10 +85,15 @@ def _json_list(items: list[str]) -> str:
     return f"concat('[', concat_ws(',', {', '.join(items)}), ']')"
 
 
-def _spread(df: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """The JSON text is a hundred times the row it comes from: a source of few files is spread out first."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(source.inputFiles()) < cores else df
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """The JSON text is a hundred times the row it comes from, so the rows are spread evenly before it is made.
+
+    Neither the size of the files nor the skew of the join says how long a task would take. The number is fixed
+    because adaptive execution would put small rows together again.
+    """
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, key)
 
 
 def _properties(df: DataFrame, row_id: str, created: str, field_values: str) -> DataFrame:
@@ -111,7 +116,7 @@ def _properties(df: DataFrame, row_id: str, created: str, field_values: str) ->
 
 def _from_orders(orders: DataFrame, agents: DataFrame) -> DataFrame:
     joined = orders.join(agents, orders.o_custkey == agents.c_custkey)
-    rows = _spread(joined, orders, "o_orderkey").withColumnsRenamed({"o_orderkey": "k"})
+    rows = _spread(joined, "o_orderkey").withColumnsRenamed({"o_orderkey": "k"})
     rows = rows.withColumn("d", F.to_date("o_orderdate"))
     closing = _plus("d", "k % 75")
     listing, offer, compliance = "k % 3 = 0", "k % 7 = 0", "k % 9 < 4"
@@ -162,7 +167,7 @@ def _from_orders(orders: DataFrame, agents: DataFrame) -> DataFrame:
 
 
 def _from_agents(agents: DataFrame) -> DataFrame:
-    rows = _spread(agents.where("c_custkey % 13 <> 0"), agents, "c_custkey").selectExpr(
+    rows = _spread(agents.where("c_custkey % 13 <> 0"), "c_custkey").selectExpr(
         "*",
         "c_custkey AS a",
         "explode(CASE WHEN c_custkey % 17 = 0 THEN array(1, 2) ELSE array(1) END) AS twice",
