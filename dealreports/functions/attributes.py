@@ -123,7 +123,8 @@ def extract(
 class FlatSpec:
     """Which attributes the flat table holds: by key or by label, first or last match.
 
-    Keys in ``key_dates`` become timestamps, NULL where the text is no date; all else stays text.
+    Keys in ``key_dates`` become timestamps, NULL where the text is no date; all else stays text. Their days
+    are kept in ``days`` too: Parquet skips row groups by dates, but not by timestamps without a zone.
     """
 
     keys: list[str] = field(default_factory=list)
@@ -146,20 +147,25 @@ def flatten(df: DataFrame, spec: FlatSpec, text: str = "field_values") -> DataFr
     }
     groups = {f"__{group}": parts for group, parts in groups.items() if parts[0]}
 
-    def struct(group: str, names: list[str]) -> str:
-        fields = []
-        for i, name in enumerate(names):
-            value = f"get({group}, {i})"
-            is_date = group.startswith("__keys") and name in spec.key_dates
-            fields.append(f"{literal(name)}, {date_sql(value) if is_date else value}")
-        return f"named_struct({', '.join(fields)}) AS {group[2:]}"
+    def structs(group: str, names: list[str]) -> list[str]:
+        values = {name: f"get({group}, {i})" for i, name in enumerate(names)}
+        dates = {n: date_sql(v) for n, v in values.items() if group.startswith("__keys") and n in spec.key_dates}
+        made = [_struct({**values, **dates}, group[2:])]
+        if dates:
+            days = {n: f"CAST({v} AS DATE)" for n, v in dates.items()}
+            made.append(_struct(days, group[2:].replace("keys", "days")))
+        return made
 
     return _pick(parse_once(df, text), groups).selectExpr(
         *[quoted(c) for c in df.columns if c != text],
-        *[struct(group, parts[0]) for group, parts in groups.items()],
+        *[made for group, parts in groups.items() for made in structs(group, parts[0])],
     )
 
 
+def _struct(fields: Mapping[str, str], name: str) -> str:
+    return f"named_struct({', '.join(f'{literal(n)}, {v}' for n, v in fields.items())}) AS {name}"
+
+
 def labels_in(df: DataFrame, text: str = "field_values", most: int = 10_000) -> list[str]:
     """The distinct labels of a table, in alphabetical order.
 

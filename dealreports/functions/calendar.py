@@ -90,6 +90,16 @@ def from_month(date: str, as_of: datetime, offset: int = 1, bounds: str = "calen
     return F.expr(from_month_sql(date, as_of, offset, bounds))
 
 
+def in_month_days_sql(day: str, as_of: datetime, offset: int = 0) -> str:
+    """The days that either kind of month bounds can touch; for skipping parts of the table."""
+    low, high = first_of_month(as_of, offset), first_of_month(as_of, offset + 1)
+    return f"({day} >= {day_sql(low)} AND {day} < {day_sql(high)})"
+
+
+def day_sql(value: datetime) -> str:
+    return f"DATE '{value:%Y-%m-%d}'"
+
+
 def between_sql(date: str, low: datetime, high: datetime) -> str:
     return f"({date} >= {moment_sql(low)} AND {date} < {moment_sql(high)})"
 

@@ -9,11 +9,17 @@ from pyspark.sql import functions as F
 
 from dealreports import fixed
 from dealreports.functions.attributes import equals_flag
-from dealreports.functions.calendar import first_of_month, from_month_sql, in_month_sql
+from dealreports.functions.calendar import (
+    day_sql,
+    first_of_month,
+    from_month_sql,
+    in_month_days_sql,
+    in_month_sql,
+)
 from dealreports.functions.text import in_list, literal, quoted
 from dealreports.sinks.render import as_seconds
 
-GROUPS = ("keys", "keys_last", "labels", "labels_last")
+GROUPS = ("keys", "days", "keys_last", "days_last", "labels", "labels_last")
 
 
 @dataclass(frozen=True)
@@ -89,8 +95,13 @@ def _fixed_columns(flat: DataFrame) -> list[str]:
 
 def _condition(extract: Extract, as_of: datetime, teams: Mapping[str, Sequence[str]], bounds: str) -> str:
     _, date = _date(extract)
-    window = from_month_sql if extract.onwards else in_month_sql
-    parts = [window(date, as_of, extract.months, bounds)]
+    day = date.replace("keys", "days")
+    if extract.onwards:
+        parts = [f"{day} >= {day_sql(first_of_month(as_of, extract.months))}"]
+        parts.append(from_month_sql(date, as_of, extract.months, bounds))
+    else:
+        parts = [in_month_days_sql(day, as_of, extract.months)]
+        parts.append(in_month_sql(date, as_of, extract.months, bounds))
     if extract.teams:
         parts.append(f"team_name IN {in_list(teams[extract.teams])}")
     if extract.client:
@@ -108,13 +119,13 @@ def all_extracts(
 
     Written with ``write_split(rows, root, ["extract"])`` this gives all sheets in one job.
     """
+    conditions = {e: _condition(e, as_of, teams, bounds) for e in EXTRACTS.values()}
     hits = ", ".join(
-        f"CASE WHEN {_condition(e, as_of, teams, bounds)} "
-        f"THEN named_struct('extract', {literal(e.title)}, 'date', {_date(e)[1]}) END"
-        for e in EXTRACTS.values()
+        f"CASE WHEN {condition} THEN named_struct('extract', {literal(e.title)}, 'date', {_date(e)[1]}) END"
+        for e, condition in conditions.items()
     )
     hit = f"inline(filter(array({hits}), h -> h IS NOT NULL))"
-    rows = flat.selectExpr(*_fixed_columns(flat), hit)
+    rows = flat.where(" OR ".join(f"({c})" for c in conditions.values())).selectExpr(*_fixed_columns(flat), hit)
     return rows.withColumn("date", as_seconds(F.col("date")))
 
 

@@ -106,6 +106,12 @@ def _condition(kpi: Kpi, as_of: datetime, teams: Mapping[str, Sequence[str]]) ->
     return " AND ".join(parts)
 
 
+def _some_day_in_year(kpis: Sequence[Kpi], year: int) -> str:
+    """Lets the scan skip the parts of the table that lie in other years."""
+    days = dict.fromkeys(_date(k).replace("keys", "days") for k in kpis)
+    return " OR ".join(f"{day} BETWEEN DATE '{year}-01-01' AND DATE '{year}-12-31'" for day in days)
+
+
 def _hit(kpi: Kpi, as_of: datetime, teams: Mapping[str, Sequence[str]]) -> str:
     month = f"trunc({_date(kpi)}, 'MM')"
     if kpi.rule == "next":
@@ -123,8 +129,10 @@ def monthly_kpis(
     spark = flat.sparkSession
     statuses = sorted({s for k in kpis for s in k.statuses})
     hits = ", ".join(_hit(k, as_of, teams) for k in kpis)
-    found = flat.where(f"keys.contract_status IN {in_list(statuses)}").selectExpr(
-        f"inline(filter(array({hits}), h -> h IS NOT NULL))"
+    found = (
+        flat.where(f"keys.contract_status IN {in_list(statuses)}")
+        .where(_some_day_in_year(kpis, as_of.year))
+        .selectExpr(f"inline(filter(array({hits}), h -> h IS NOT NULL))")
     )
     ids = spark.range(1).selectExpr(f"explode(array({', '.join(str(k.kpi) for k in kpis)})) AS kpi")
     counts = counts_on_spine(found, ids, months_of_year(as_of.year))

@@ -32,7 +32,7 @@ def write_monthly_counts(
     flat: DataFrame, root: str, as_of: datetime, teams: Mapping[str, Sequence[str]], fmt: str = "csv"
 ) -> dict[str, str]:
     wide = kpis.kpis_wide(kpis.monthly_kpis(flat, as_of, teams), as_of).drop("kpi")
-    return write_report({"Overview": wide}, root, "daily_contract_count", fmt=fmt)
+    return write_report({"Overview": wide}, root, "monthly_counts", fmt=fmt)
 
 
 def write_payroll(
@@ -42,7 +42,7 @@ def write_payroll(
     labels: Sequence[str] = tuple(fixed.TRANSACTION_LABELS),
 ) -> dict[str, str]:
     """The transactions are written first; both matrices read the written sheet."""
-    path = sheet_path(root, "tc_payroll", "transaction_data")
+    path = sheet_path(root, "payroll", "transaction_data")
     enriched = payroll.enrich(flat, labels=labels)
     write_sheet(enriched, path)
     enriched = flat.sparkSession.read.schema(enriched.schema).parquet(path)
@@ -50,7 +50,7 @@ def write_payroll(
         "projected": payroll.payroll_matrix(enriched, "p", coordinators),
         "actual": payroll.payroll_matrix(enriched, "a", coordinators),
     }
-    return {"transaction_data": path, **write_report(matrices, root, "tc_payroll")}
+    return {"transaction_data": path, **write_report(matrices, root, "payroll")}
 
 
 def write_staging(flat: DataFrame, root: str, lists: staging.Lists = staging.Lists()) -> dict[str, str]:
@@ -63,13 +63,13 @@ def write_staging(flat: DataFrame, root: str, lists: staging.Lists = staging.Lis
             "Duplicated Agent Account": staged.duplicates,
         },
         root,
-        "Source Report",
+        "source_report",
     )
 
 
 def write_daily_update(flat: DataFrame, root: str, year: int, as_of: datetime, scope: str = "period") -> str:
     """All months of the year in one job, a folder per month."""
-    path = f"{root.rstrip('/')}/report=tc_daily_update"
+    path = f"{root.rstrip('/')}/report=daily_update"
     report = daily.daily_update(flat, year, as_of, scope).drop("month").withColumnRenamed("period", "sheet")
     write_split(report, path, ["sheet"])
     return path

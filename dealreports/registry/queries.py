@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 
 from dealreports import fixed
 from dealreports.functions import calendar as cal
-from dealreports.functions.attributes import equals_flag, extract, labels_in, unreadable, wide_discovered
+from dealreports.functions.attributes import (
+    FlatSpec,
+    equals_flag,
+    extract,
+    flatten,
+    labels_in,
+    unreadable,
+    wide_discovered,
+)
 from dealreports.operators import columns as col
 from dealreports.operators import corrections, counting, filters, matching
 from dealreports.plans import daily, extracts, kpis, payroll, staging, workbooks
@@ -173,12 +181,8 @@ def calendar_columns(spark, sf_dir):
 @register("kpi_ctc_closing", sql.kpi_long([k for k in kpis.KPIS if k.kpi == 4]))
 def kpi_ctc_closing(spark, sf_dir):
     """Straight from the JSON in one job, reading only the attributes of this count."""
-    needed = ["contract_status", "closing_date"]
-    rows = extract(inputs.raw(spark, sf_dir).select("team_name", "field_values"), needed)
-    flat = rows.select(
-        "team_name",
-        F.struct("contract_status", cal.parse_date("closing_date").alias("closing_date")).alias("keys"),
-    )
+    spec = FlatSpec(keys=["contract_status", "closing_date"], key_dates=["closing_date"])
+    flat = flatten(inputs.raw(spark, sf_dir).select("team_name", "field_values"), spec)
     return kpis.monthly_kpis(flat, d.AS_OF, TEAMS, [k for k in kpis.KPIS if k.kpi == 4])
 
 
@@ -498,7 +502,7 @@ def ingest_agents(spark, sf_dir):
 @register("sink_roundtrip", sql.kpi_wide())
 def sink_roundtrip(spark, sf_dir):
     paths = reports.write_report(
-        {"Overview": kpi_wide(spark, sf_dir)}, scratch_path(spark, "reports"), "daily_contract_count"
+        {"Overview": kpi_wide(spark, sf_dir)}, scratch_path(spark, "reports"), "monthly_counts"
     )
     return spark.read.parquet(paths["Overview"])
 

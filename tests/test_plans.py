@@ -30,7 +30,7 @@ def scans(df):
 def test_extracts_scan_once_and_push_the_filter(spark, sf_dir):
     df = QUERIES["extract_current_month"](spark, sf_dir)
     (scan,) = scans(df)
-    assert "GreaterThanOrEqual(keys.closing_date" in scan and "labels" not in scan
+    assert "GreaterThanOrEqual(days.closing_date" in scan and "labels" not in scan
     assert "Exchange" not in plan(df)
 
 
@@ -41,6 +41,27 @@ def test_monthly_counts_scan_once_and_shuffle_only_counts(spark, sf_dir):
     assert plan(df).count("Exchange") == 2 and "partial_sum" in plan(df)
 
 
+def test_days_skip_row_groups(spark, tmp_path, properties):
+    """Records arrive in order of time, so a month is in few row groups; only those are read."""
+    from datetime import date, datetime, timedelta
+
+    from conftest import record
+    from dealreports.functions.attributes import FlatSpec, flatten
+    from dealreports.plans import extracts
+
+    days = [date(2024, 1, 1) + timedelta(days=i // 200) for i in range(60_000)]
+    raw = properties([record(i, items=[("Closing", str(d))]) for i, d in enumerate(days)])
+    flat = flatten(raw, FlatSpec(keys=["closing_date"], key_dates=["closing_date"]))
+    flat.coalesce(1).write.option("parquet.block.size", 64 * 1024).parquet(str(tmp_path / "flat"))
+    written = spark.read.parquet(str(tmp_path / "flat"))
+    month = extracts.extract_rows(written, extracts.EXTRACTS["current_month"], datetime(2024, 3, 15))
+    assert month.count() == 31 * 200
+    executed = month._jdf.queryExecution()
+    executed.toRdd().count()
+    scan = executed.executedPlan().collectLeaves().head()
+    assert 31 * 200 <= scan.metrics().apply("numOutputRows").value() < 30_000
+
+
 def test_daily_update_aggregates_before_every_exchange(spark, sf_dir):
     text = plan(QUERIES["daily_update_all_scope"](spark, sf_dir))
     assert "partial_count" in text and "partial_sum" in text and "SortMergeJoin" not in text
