@@ -71,7 +71,7 @@ def enrich(
     df = changed(
         df,
         {
-            "TC Commission Rate": f"CAST({rate} AS DECIMAL(5,2))",
+            "TC Commission Rate": f"CAST({rate} AS DECIMAL(6,4))",
             "Billing Amount": to_money("`Billing Amount`"),
             **{a: when_paid(p, to_money(f"`{a}`"), MONEY) for p, a in PAID_AMOUNTS.items()},
             "CTC Projection": indicator(f"Closing <> {empty}"),

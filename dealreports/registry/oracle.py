@@ -394,7 +394,7 @@ def _payroll_rows() -> str:
 SELECT tc, {", ".join(columns)},
   {", ".join(f"CAST(coalesce({c}, DATE '1990-01-01') AS TIMESTAMP) AS {c}_filled" for c in ("closing", "ctc_paid", "listing_paid", "offer_paid", "compliance_paid", "listing_started", "offer_started", "compliance_started"))},
   TRY_CAST(billing AS DECIMAL(18,2)) AS billing,
-  CAST(0.5 AS DECIMAL(5,2)) AS rate,
+  CAST(0.5 AS DECIMAL(6,4)) AS rate,
   CAST(TRY_CAST(billing AS DECIMAL(18,2)) * 0.5 AS DECIMAL(20,4)) AS commission,
   {paid("listing_paid", "listing_amount")} AS listing_amount,
   {paid("ctc_paid", "ctc_amount")} AS ctc_amount,

@@ -99,7 +99,7 @@ def _spread(df: DataFrame, key: str) -> DataFrame:
 def _properties(df: DataFrame, row_id: str, created: str, field_values: str) -> DataFrame:
     return df.selectExpr(
         f"{row_id} AS id",
-        f"date_format({created}, 'yyyy-MM-dd HH:mm:ss') AS created",
+        f"substr(CAST(CAST({created} AS TIMESTAMP_NTZ) AS STRING), 1, 19) AS created",
         "'America/Chicago' AS timezone",
         f"{field_values} AS field_values",
         "team_id",
