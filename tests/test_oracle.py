@@ -4,9 +4,7 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+from dealreports.registry.queries import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +19,7 @@ def test_query_matches_sql(spark, sf_dir, con, name):
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 def test_entry_gives_the_closings_of_ten_months(spark):
