@@ -23,7 +23,7 @@ _LOWER[0x41:0x5B] += 32
 _powers: dict[str, np.ndarray] = {}
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers.get("up", ())) < n:
         size = max(n, CHUNK_BYTES + 1)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
@@ -65,7 +65,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     begins[inner] = inside[1:-1][inner]  # a text never continues the word that the one before ends with
     ends[inner - 1] = inside[1:-1][inner - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = _power(n + 1)
+    up, down = powers(n + 1)
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_BYTE[data] * up[:n], dtype=np.uint64, out=total[1:])
     hashes = mixed((total[end] - total[start]) * down[start])
@@ -77,7 +77,7 @@ def runs(values: np.ndarray, length: int) -> np.ndarray:
     n = len(values)
     if n < length:
         return np.zeros(0, dtype=np.uint64)
-    up, down = _power(n + 1)
+    up, down = powers(n + 1)
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(values * up[:n], dtype=np.uint64, out=total[1:])
     return mixed((total[length:] - total[:-length]) * down[: n - length + 1])

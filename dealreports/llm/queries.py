@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dealreports.llm import near_duplicates as nd
+from dealreports.llm import substrings
 from dealreports.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register(
+    "op7_repeated_passages",
+    r"""
+    WITH w AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    windows AS (
+      SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS content
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50)),
+    firsts AS (SELECT content, min(doc_id) AS owner FROM windows GROUP BY content),
+    gone AS (
+      SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS place
+      FROM windows JOIN firsts USING (content) WHERE owner < doc_id),
+    gone_lists AS (SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id),
+    kept AS (
+      SELECT doc_id, len(words) AS n_words, coalesce(len(places), 0) AS n_removed,
+        [x FOR x, i IN words IF places IS NULL OR NOT list_contains(places, i)] AS words
+      FROM w LEFT JOIN gone_lists USING (doc_id))
+    SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(words, ' '), '')) AS kept_sha256 FROM kept
+    """,
+)
+def repeated_passages(spark, sf_dir):
+    """Words of every document that an earlier document has in a run of 50, and what is left."""
+    return substrings.without_repeats(table(spark, sf_dir, "documents"))
+
+
 @register(
     "op9_near_duplicates",
     rf"""
