@@ -15,8 +15,10 @@ CHUNK_BYTES = 1 << 20  # texts worked on together; one longer text is a chunk of
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 5
-_SEPARATOR = np.zeros(256, dtype=bool)
-_SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+WHITE = np.zeros(256, dtype=bool)
+WHITE[[0x20, *range(0x09, 0x0E)]] = True
+# For words without marks: all of ASCII but letters and digits.
+MARKS = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
@@ -52,13 +54,15 @@ class Words(NamedTuple):
     data: np.ndarray
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
+def words(
+    data: np.ndarray, offsets: np.ndarray, lower: bool = False, separators: np.ndarray = WHITE
+) -> Words:
     """The words of texts that lie one after another in ``data``, text i from ``offsets[i]``."""
     if lower:
         data = _LOWER[data]
     n = len(data)
     inside = np.zeros(n + 2, dtype=bool)
-    np.logical_not(_SEPARATOR[data], out=inside[1:-1])
+    np.logical_not(separators[data], out=inside[1:-1])
     begins = inside[1:-1] & ~inside[:-2]
     ends = inside[1:-1] & ~inside[2:]
     inner = offsets[(offsets > 0) & (offsets < n)]

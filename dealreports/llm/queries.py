@@ -4,8 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dealreports.llm import decontamination, substrings
 from dealreports.llm import near_duplicates as nd
-from dealreports.llm import substrings
 from dealreports.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,9 @@ def repeated_passages(spark, sf_dir):
 def near_duplicate_documents(spark, sf_dir):
     """Components of documents whose five-word shingles are similar by 0.75 or more, over all documents."""
     return nd.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op10_contaminated_documents")
+def contaminated_documents(spark, sf_dir):
+    """Documents that hold half of a benchmark item or more, with the item and the cover."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
