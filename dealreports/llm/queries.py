@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dealreports.llm import decontamination, substrings
+from dealreports.llm import decontamination, languages, substrings
 from dealreports.llm import near_duplicates as nd
 from dealreports.llm.shipping import ship
 
@@ -29,6 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op1_languages")
+def document_languages(spark, sf_dir):
+    """Main language and mixture of every document, learned from three quarters of them."""
+    return languages.languages_of(table(spark, sf_dir, "documents"))
+
+
 @register(
     "op7_repeated_passages",
     r"""
