@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealreports.llm import arrays
-from dealreports.session import written
+from dealreports.llm.shared import written
 
 SEED = 4
 COVERAGE = 0.5

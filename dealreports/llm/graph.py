@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealreports.session import written
+from dealreports.llm.shared import written
 
 
 def components(links: DataFrame) -> DataFrame:

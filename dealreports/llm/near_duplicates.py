@@ -1,21 +1,24 @@
 """Near duplicates by bottom-k sketches from one hash function.
 
 A text's set holds the hashes of its distinct five-word shingles. Texts with equal sets form a class, and only one
-text of a class goes on. Its sketch is the ``K`` smallest hashes. The ``POSTED`` smallest of them go into inverted
-lists. Two sets with similarity 0.75 share each of the smallest hashes of their union with probability 0.75 at
-least, so both miss each other in all 16 lists with probability 0.25 ** 16.
-
-A list is worked on in rounds. In a round its first texts (by size of set) are pivots, and every other text of the
-list that is not in a pivot's component yet is compared with them. Pivots leave the list, the others stay. The
-number of pivots doubles twice a round, until no list holds two components. Copies fall together in the first
-round, so a list of n copies costs n comparisons and not n * n / 2.
-
-A hash that very many texts hold (``COMMON``) says little about them. Texts post their smallest hashes that are not
-common, and post common ones only when common hashes make up so much of their sketch that a partner could share
-nothing else. Nothing is dropped: what is posted decides only where two texts meet.
-
-Pairs pass through a filter by size and an estimate from the union of both sketches, then through the exact
-similarity of the whole sets.
+text of a class goes on. The ``POSTED`` smallest hashes of each text go into inverted lists. Two sets with similarity
+0.75 share each of the smallest hashes of their union with probability 0.75 at least, so both miss each other in all
+16 lists with probability 0.25 ** 16.
+
+A hash that more than ``COMMON`` texts post is common. Texts leave common lists if enough of their posted hashes are
+rare, for a partner shares one of those. The others (crowded texts: made of much repeated passages) go by their whole
+sets. Sizes fix how many hashes two similar sets share at least. Either one of them is rare, and the two meet in its
+list since crowded texts post all their rare hashes. Or all of them are common; then both sets have so many common
+hashes, and they meet in the lists of their ``POSTED`` smallest common ones. Nothing is dropped: what is posted
+decides only where two texts meet.
+
+A list is worked on in rounds. In a round its first texts (those with fewest rare hashes) are pivots, and every other
+text of the list that is not in a pivot's component yet is compared with them. Pivots leave the list, the others
+stay. The number of pivots grows from round to round, until no list holds two components that still could have a
+link. Copies fall together in the first round, so a list of n copies costs n comparisons and not n * n / 2.
+
+Pairs pass through a filter by size and an estimate from the union of both sketches (the ``K`` smallest hashes), then
+through the exact similarity of the whole sets.
 """
 
 import numpy as np
@@ -29,17 +32,18 @@ from pyspark.sql.window import Window
 
 from dealreports.llm import arrays
 from dealreports.llm.graph import components
-from dealreports.session import written
+from dealreports.llm.shared import written
 
 WORDS = 5
 SIMILAR = (75, 100)  # 100 * intersection >= 75 * union
-K = 64
 POSTED = 16
-COMMON = 64  # a hash in the lists of more texts than this is common
-# Six standard deviations of an estimate from 64 values below 0.75; the exact similarity decides.
-LEAST_ESTIMATE = 0.42
+COMMON = 16  # a hash that more texts than this post is common
+K = 128
+# Six standard deviations of an estimate from 128 values below 0.75; the exact similarity decides.
+LEAST_ESTIMATE = 0.52
+PIVOTS = 16  # times as many pivots in each round
 
-SKETCHES = "doc_id long, n_shingles long, class string, sketch binary"
+SKETCHES = "doc_id long, n_shingles long, class string, lowest array<long>, sketch binary"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray):
@@ -56,40 +60,33 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray):
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """Size, class (a digest of the whole set) and the smallest hashes of every text."""
+    """Size, class (a digest of the whole set), hashes to post and sketch (upper halves of hashes) of every text."""
 
     def rows(batches):
         for batch in batches:
             ids = batch.column(0)
             for chunk in arrays.chunks(batch.column(1)):
-                sizes, classes, lowest = [], [], []
+                sizes, classes, lowest, sketched = [], [], [], []
                 for s in shingle_sets(chunk.data, chunk.offsets):
                     sizes.append(len(s))
                     classes.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
-                    lowest.append(s[:K].tobytes())
+                    lowest.append(s[:POSTED].view(np.int64))
+                    sketched.append((s[:K] >> np.uint64(32)).astype(np.uint32).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [ids[chunk.rows], pa.array(sizes, pa.int64()), pa.array(classes, pa.string()),
-                     pa.array(lowest, pa.binary())],
-                    names=["doc_id", "n_shingles", "class", "sketch"],
+                     pa.array(lowest, pa.list_(pa.int64())), pa.array(sketched, pa.binary())],
+                    names=["doc_id", "n_shingles", "class", "lowest", "sketch"],
                 )
 
     return docs.select("doc_id", "text").mapInArrow(rows, SKETCHES)
 
 
-def hashes(sketch: str | F.Column, first: int, to: int) -> F.Column:
-    """Values ``first`` up to ``to`` of a sketch as an array of texts of eight bytes."""
-    sketch = F.col(sketch) if isinstance(sketch, str) else sketch
-    n = F.least(F.lit(to), (F.length(sketch) / 8).cast("int"))
-    places = F.when(n > first, F.sequence(F.lit(first), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.substring(sketch, i * 8 + 1, F.lit(8)))
-
-
 @F.pandas_udf(T.DoubleType())
 def estimate(a, b):
     """Share of the smallest values of the union that both sketches hold."""
     out = np.empty(len(a))
     for i, (x, y) in enumerate(zip(a, b)):
-        x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+        x, y = np.unique(np.frombuffer(x, dtype=np.uint32)), np.unique(np.frombuffer(y, dtype=np.uint32))
         union = np.union1d(x, y)[:K]
         out[i] = len(np.intersect1d(np.intersect1d(x, y, True), union, True)) / max(1, len(union))
     return pd.Series(out)
@@ -117,58 +114,75 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(rows, "a long, b long")
 
 
-def _enough(posted: F.Column) -> F.Column:
-    """So many lists that are not common make a partner share one of them (all but surely for large sets)."""
-    return F.least(F.lit(12), F.floor(posted / 4) + 1)
+def _sized(posted: DataFrame) -> DataFrame:
+    """With ``members``, the number of texts in the list of each posted hash."""
+    size = posted.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
+    joined = posted.join(size, "value", "left")
+    return joined.withColumn("members", F.coalesce("members", F.lit(1)))
 
 
-def postings(texts: DataFrame) -> DataFrame:
-    """``value, doc, n``: the lists in which texts meet.
+def _whole_sets(texts: DataFrame) -> DataFrame:
+    """``doc, n, value``: every shingle hash of every text."""
 
-    A text posts its smallest hashes. If too few of them are not common it posts its whole sketch, and if these are
-    too few still, it also stays in the common lists.
-    """
-    first = texts.select("doc_id", "n_shingles", F.explode(hashes("sketch", 0, POSTED)).alias("value"))
-    first = written(_with_list_size(first), "postings")
-    deep = _short_of_lists(first).join(texts.select("doc_id", "sketch"), "doc_id")
-    second = deep.select("doc_id", "n_shingles", F.explode(hashes("sketch", POSTED, K)).alias("value"))
-    second = written(_with_list_size(second), "postings")
-    stays = _short_of_lists(first.join(deep.select("doc_id"), "doc_id", "left_semi").union(second))
-    shared = first.union(second).where("members > 1")
-    return shared.where(F.col("members") <= COMMON).union(
-        shared.where(F.col("members") > COMMON).join(stays.select("doc_id"), "doc_id", "left_semi").select(shared.columns)
-    )
-
-
-def _with_list_size(posted: DataFrame) -> DataFrame:
-    size = posted.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
-    joined = posted.join(size, "value", "left")
-    return joined.select("doc_id", "n_shingles", "value", F.coalesce("members", F.lit(1)).alias("members"))
+    def rows(batches):
+        for batch in batches:
+            for chunk in arrays.chunks(batch.column(1)):
+                found = list(shingle_sets(chunk.data, chunk.offsets))
+                sizes = np.array([len(s) for s in found], dtype=np.int64)
+                ids = batch.column(0)[chunk.rows].take(pa.array(np.repeat(np.arange(len(found)), sizes)))
+                values = np.concatenate(found).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(np.repeat(sizes, sizes)), pa.array(values)], names=["doc", "n", "value"]
+                )
 
+    return texts.mapInArrow(rows, "doc long, n long, value long")
 
-def _short_of_lists(posted: DataFrame) -> DataFrame:
-    each = posted.groupBy("doc_id", "n_shingles").agg(
-        F.count("*").alias("posted"), F.count_if(F.col("members") <= COMMON).alias("rare")
-    )
-    return each.where(F.col("rare") < _enough(F.col("posted"))).select("doc_id", "n_shingles")
 
+def postings(heads: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lists in which texts meet, and the texts that are in them.
 
-def links(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    ``value, doc, n, rare, common``: list, text, size of its set, hashes of it that are not common, and for common
+    lists how many common ones it has (NULL: a list of a rare hash, in which any two texts may have a link).
+    """
+    first = heads.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("lowest").alias("value"))
+    first = written(_sized(first), "posted")
+    met = first.where("members > 1").select(F.col("doc").alias("doc_id")).distinct()
+    listed = written(docs.join(met, "doc_id").select("doc_id", "text"), "listed")
+    rare = F.count_if(F.col("members") <= COMMON)
+    # With so many rare hashes a partner shares one: surely where the whole set is posted, else but for 0.25 ** 12.
+    enough = F.when(F.max("n") > POSTED, 12).otherwise(F.floor(F.max("n") / 4) + 1)
+    crowded = first.groupBy("doc").agg((rare < enough).alias("crowded")).where("crowded").select("doc")
+    whole = _whole_sets(listed.join(crowded.withColumnRenamed("doc", "doc_id"), "doc_id"))
+    whole = written(_sized(whole), "whole")
+    counts = whole.groupBy("doc").agg(rare.alias("rare"), F.count_if(F.col("members") > COMMON).alias("common"))
+    lowest = F.col("value").bitwiseXOR(F.lit(-(1 << 63)))  # in the order of unsigned numbers
+    order = F.row_number().over(Window.partitionBy("doc").orderBy(lowest))
+    common = whole.where(F.col("members") > COMMON).withColumn("order", order).where(F.col("order") <= POSTED)
+    shared = F.col("members").between(2, COMMON)
+    anywhere = first.where(shared).union(whole.where(shared).select(first.columns)).select("value", "doc", "n").distinct()
+    none = F.lit(None).cast("long")
+    lists = anywhere.select("value", "doc", "n", "n", none).toDF("value", "doc", "n", "rare", "common")
+    return lists.union(common.join(counts, "doc").select(lists.columns)), listed
+
+
+def links(docs: DataFrame, heads: DataFrame) -> DataFrame:
     """Links between class representatives that span the components of all links between them."""
     part, whole = SIMILAR
-    lists = written(postings(texts).select("value", F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n")), "lists")
-    listed = written(docs.join(lists.select(F.col("doc").alias("doc_id")).distinct(), "doc_id").select("doc_id", "text"), "listed")
-    sketch = texts.select("doc_id", "sketch")
-    spark = docs.sparkSession
-    found = spark.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
+    lists, listed = postings(heads, docs)
+    lists = written(lists, "lists")
+    sketch = heads.select("doc_id", "sketch")
+    found = docs.sparkSession.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
     placed, pivots = lists.withColumn("component", F.col("doc")), 1
     while True:
-        rank = F.row_number().over(Window.partitionBy("value").orderBy("n", "doc"))
-        chosen = placed.withColumn("rank", rank).where(F.col("rank") <= pivots)
-        chosen = written(chosen.select("value", F.col("doc").alias("p"), F.col("n").alias("pn"), F.col("component").alias("pc")), "pivots")
+        rank = F.row_number().over(Window.partitionBy("value").orderBy("rare", "n", "doc"))
+        chosen = placed.withColumn("rank", rank).where(F.col("rank") <= pivots).drop("rank", "rare")
+        chosen = written(chosen.toDF("value", "p", "pn", "pc", "home"), "pivots")
+        both, least = F.col("n") + F.col("pn"), F.least("n", "pn")
+        # Similar sets share part / (part + whole) of both sizes together, and cannot share more than the smaller has.
         met = placed.join(chosen, "value").where(
-            (F.col("component") != F.col("pc"))
-            & (whole * F.least("n", "pn") >= part * F.greatest("n", "pn"))
+            (F.col("component") != F.col("home"))
+            & ((part + whole) * least >= part * both)
+            & (F.col("common").isNull() | ((part + whole) * F.least("common", "pc") >= part * both))
         )
         pairs = met.select(F.least("doc", "p").alias("a"), F.greatest("doc", "p").alias("b")).distinct()
         near = (
@@ -177,13 +191,21 @@ def links(docs: DataFrame, texts: DataFrame) -> DataFrame:
         )
         found = written(found.union(verified(written(near, "near"), listed)), "found")
         member = components(found).select(F.col("node").alias("doc"), F.col("component").alias("linked"))
-        rest = lists.join(chosen.select("value", F.col("p").alias("doc")), ["value", "doc"], "left_anti")
-        rest = rest.join(member, "doc", "left").select("value", "doc", "n", F.coalesce("linked", "doc").alias("component"))
-        open_lists = rest.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        lists = written(rest.join(open_lists.where("lo < hi").select("value"), "value", "left_semi"), "lists")
-        if lists.isEmpty():
+        rest = placed.drop("component").join(chosen.select("value", F.col("p").alias("doc")), ["value", "doc"], "left_anti")
+        rest = rest.join(member, "doc", "left").select(*lists.columns, F.coalesce("linked", "doc").alias("component"))
+        # A text of a common list that could have a link only with a smaller set than any there has none.
+        ends = rest.groupBy("value").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least_n"),
+            F.max("common").alias("most_common"),
+        )
+        open_lists = ends.where("low < high")
+        able = F.col("common").isNull() | (
+            (part + whole) * F.least("common", "most_common") >= part * (F.col("n") + F.col("least_n"))
+        )
+        placed = written(rest.join(open_lists, "value").where(able).select(rest.columns), "lists")
+        if placed.isEmpty():
             return found
-        placed, lists, pivots = lists, lists.drop("component"), pivots * 8
+        pivots *= PIVOTS
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -196,7 +218,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     sketched = written(sketches(docs), "sketches")
     sets = sketched.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
-    heads = sets.groupBy("class").agg(F.min(F.struct("doc_id", "n_shingles", "sketch")).alias("head"))
+    heads = sets.groupBy("class").agg(F.min(F.struct("doc_id", "n_shingles", "lowest", "sketch")).alias("head"))
     heads = written(heads.select("class", "head.*"), "heads")
     member = components(links(docs, heads))
     component = heads.select("class", "doc_id").join(member, F.col("doc_id") == F.col("node"), "left")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from dealreports.llm import arrays
 from dealreports.llm.fm_index import Index
-from dealreports.session import written
+from dealreports.llm.shared import written
 
 WINDOW = 50
 ANCHOR = 16  # words of the runs that anchors are chosen from
