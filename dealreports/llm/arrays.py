@@ -13,7 +13,7 @@ import pyarrow as pa
 CHUNK_BYTES = 1 << 20  # texts worked on together; one longer text is a chunk of its own
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 5
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -71,7 +71,7 @@ def words(
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     up, down = powers(n + 1)
     total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * up[:n], dtype=np.uint64, out=total[1:])
+    np.cumsum(BYTE[data] * up[:n], dtype=np.uint64, out=total[1:])
     hashes = mixed((total[end] - total[start]) * down[start])
     return Words(hashes, start, end, np.searchsorted(start, offsets), data)
 

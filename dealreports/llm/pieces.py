@@ -10,7 +10,7 @@ No piece goes across a space or a line end, or joins letters with marks but for
 so the lattice of a text is the lattices of its words one after another.
 Words are solved once and kept (up to ``KEPT_WORDS``). The N best paths differ from the best in the N - 1 words whose
 second best path loses least. Through the lattice of these words a backward A-star search, with the forward Viterbi
-scores as exact heuristics, gives the N best paths in order. Equal scores: words further left change first.
+scores as exact heuristics, gives the N best paths in order. Of words with equal losses those further left change.
 """
 
 import hashlib
@@ -155,9 +155,10 @@ def n_best(arcs, n: int) -> list[tuple[float, list[tuple[int, int, int | None]]]
         for j, score, piece in here:
             into[j].append((i, score, piece))
     out, count = [], 0
-    agenda = [(-forward[-1], 0, len(arcs), 0.0, None)]
+    # Among equal scores the path that has come furthest goes on, so that ties cannot fill the agenda.
+    agenda = [(-forward[-1], len(arcs), 0, 0.0, None)]
     while agenda and len(out) < n:
-        _, _, at, done, tail = heapq.heappop(agenda)
+        _, at, _, done, tail = heapq.heappop(agenda)
         if at == 0:
             steps = []
             while tail:
@@ -167,7 +168,7 @@ def n_best(arcs, n: int) -> list[tuple[float, list[tuple[int, int, int | None]]]
             continue
         for i, score, piece in into[at]:
             count += 1
-            item = (-(forward[i] + score + done), count, i, done + score, ((i, at, piece), tail))
+            item = (-(forward[i] + score + done), i, count, done + score, ((i, at, piece), tail))
             heapq.heappush(agenda, item)
     return out
 

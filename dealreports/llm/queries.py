@@ -4,10 +4,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dealreports.llm import decontamination, languages, substrings
+from dealreports.llm import decontamination, fingerprints, languages, pages, pieces, substrings
 from dealreports.llm import near_duplicates as nd
 from dealreports.llm.shipping import ship
 
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -35,6 +37,24 @@ def document_languages(spark, sf_dir):
     return languages.languages_of(table(spark, sf_dir, "documents"))
 
 
+@register("op2_main_text")
+def main_text_of_pages(spark, sf_dir):
+    """The main text of every page."""
+    return pages.with_main_text(table(spark, sf_dir, "pages"))
+
+
+@register("op3_fingerprints")
+def document_fingerprints(spark, sf_dir):
+    """Every document compared with its edited text and with the next document by fingerprint."""
+    return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
+@register("op4_segmentations")
+def document_segmentations(spark, sf_dir):
+    """The four best segmentations of every whole document, and the text that the best one decodes to, as digests."""
+    return pieces.digests(table(spark, sf_dir, "documents"), PIECES)
+
+
 @register(
     "op7_repeated_passages",
     r"""
