@@ -3,8 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dealreports.llm import decontamination, fingerprints, languages, pages, pieces, substrings
+from dealreports.llm import decontamination, fingerprints, languages, pages, pieces, shards, substrings, url_rules
 from dealreports.llm import near_duplicates as nd
 from dealreports.llm.shipping import ship
 
@@ -55,6 +56,12 @@ def document_segmentations(spark, sf_dir):
     return pieces.digests(table(spark, sf_dir, "documents"), PIECES)
 
 
+@register("op5_shards")
+def document_shards(spark, sf_dir):
+    """Every document in one of 24 shards of nearly equal bytes, equal texts together."""
+    return shards.sharded(table(spark, sf_dir, "documents"))
+
+
 @register(
     "op7_repeated_passages",
     r"""
@@ -80,6 +87,47 @@ def repeated_passages(spark, sf_dir):
     return substrings.without_repeats(table(spark, sf_dir, "documents"))
 
 
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@register(
+    "op8_url_rules",
+    r"""
+    WITH rest AS (
+      SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+      FROM pages),
+    raw AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS host FROM rest),
+    parts AS (
+      SELECT page_id, translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(substr(rest, length(host) + 1), '^[^?#]*') AS path
+      FROM raw),
+    rules(rule_host, rule_path, verdict) AS (VALUES
+      ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+      ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+    named AS (SELECT row_number() OVER () AS row_id, * FROM parts),
+    fit AS (
+      SELECT row_id, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+        max_by(verdict, length(rule_host || rule_path)) AS verdict
+      FROM named JOIN rules
+        ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+      GROUP BY row_id)
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM named LEFT JOIN fit USING (row_id)
+    """,
+)
+def url_verdicts(spark, sf_dir):
+    """The rule and verdict for every page's URL."""
+    names = ("host", "path", "verdict")
+    rules = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, rule)]) for rule in URL_RULES]
+    rules = spark.range(1).select(F.inline(F.array(*rules)))
+    return url_rules.judged(table(spark, sf_dir, "pages"), rules)
+
+
 @register(
     "op9_near_duplicates",
     rf"""
