@@ -5,11 +5,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealreports.llm import decontamination, fingerprints, languages, pages, pieces, shards, substrings, url_rules
+from dealreports.llm import decontamination, fingerprints, languages, pages, pieces, shards, substrings, tokens, url_rules
 from dealreports.llm import near_duplicates as nd
 from dealreports.llm.shipping import ship
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +63,12 @@ def document_shards(spark, sf_dir):
     return shards.sharded(table(spark, sf_dir, "documents"))
 
 
+@register("op6_line_tokens")
+def document_line_tokens(spark, sf_dir):
+    """Tokens of every line of every document, from one encoding of the whole document."""
+    return tokens.line_tokens(table(spark, sf_dir, "documents"), tokens.ranks(RANKS))
+
+
 @register(
     "op7_repeated_passages",
     r"""
