@@ -34,6 +34,7 @@ LONGEST = 64  # windows in a stretch
 SIGNED = """doc_id long, digest string, n_words long, kept_sha256 string,
     stretches array<struct<anchor: long, content: long, at: int, windows: int>>"""
 CUT = "anchor long, content long, doc_id long, last long, words binary"
+KEPT = "doc_id long, digest string, text_key long, n_removed long, kept_sha256 string, kept_text string"
 FOUND = "anchor long, content long, begin int, finish int, owner long"
 
 
@@ -221,7 +222,7 @@ def _crowded(cut: DataFrame) -> DataFrame:
 
 
 def _kept(docs: DataFrame, ranges: DataFrame) -> DataFrame:
-    """``doc_id, digest, n_removed, kept_sha256, text`` of documents that lose words."""
+    """``doc_id, digest, text_key, n_removed, kept_sha256, kept_text`` of documents that lose words."""
     per_doc = ranges.groupBy("doc_id").agg(F.collect_set(F.struct("digest", "begin", "finish")).alias("ranges"))
 
     def rows(batches):
@@ -245,24 +246,17 @@ def _kept(docs: DataFrame, ranges: DataFrame) -> DataFrame:
                     shas.append(hashlib.sha256(text).hexdigest())
                     texts.append(text.decode())
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(digests), pa.array(removed, pa.int64()), pa.array(shas), pa.array(texts, pa.string())],
-                    names=["doc_id", "digest", "n_removed", "kept_sha256", "kept_text"],
-                )
-
-    return _with_texts(docs, per_doc).mapInArrow(
-        rows, "doc_id long, digest string, n_removed long, kept_sha256 string, kept_text string"
-    )
+                    [ids, pa.array(digests), batch.column(3)[chunk.rows], pa.array(removed, pa.int64()), pa.array(shas),
+                     pa.array(texts, pa.string())],
+                    names=["doc_id", "digest", "text_key", "n_removed", "kept_sha256", "kept_text"],
+                )
 
+    texts = _with_texts(docs, per_doc).withColumn("text_key", F.xxhash64("text"))
+    return texts.mapInArrow(rows, KEPT)
 
-def without_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept_sha256`` for every row of ``docs`` (columns ``doc_id`` and ``text``).
 
-    With ``texts`` also ``kept_text``: the kept words joined by one space, and NULL where nothing was removed.
-    NULL and empty texts have no words. Rows that share a doc_id never remove words from each other, since neither
-    has the smaller one. A row without doc_id neither loses words nor takes any away. Other columns are not read.
-    """
-    docs = docs.select("doc_id", "text")
-    base = written(signed(docs), "signed")
+def _changed(docs: DataFrame, base: DataFrame) -> DataFrame:
+    """Documents that lose words: ``doc_id, digest, text_key, n_removed, kept_sha256, kept_text``."""
     each = base.where("doc_id is not null").select("doc_id", "digest", F.inline("stretches"))
     anchors = each.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     shared = written(each.join(anchors.select("anchor"), "anchor", "left_semi"), "shared")
@@ -277,17 +271,51 @@ def without_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
     found = _searched(written(cut.join(many, "anchor", "left_anti"), "cut")).union(_crowded(written(crowd, "cut")))
     # A copy's windows have the smallest owner of its stretch's; its own doc_id is larger than that.
     ranges = shared.join(written(found, "found"), ["anchor", "content"]).where("owner < doc_id")
-    ranges = ranges.select(
-        "doc_id", "digest", (F.col("at") + F.col("begin")).alias("begin"), (F.col("at") + F.col("finish") + (WINDOW - 1)).alias("finish")
+    finish = F.col("at") + F.col("finish") + (WINDOW - 1)
+    return _kept(suspects, ranges.select("doc_id", "digest", (F.col("at") + F.col("begin")).alias("begin"), finish.alias("finish")))
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_words, n_removed, kept_sha256`` for every row of ``docs`` (columns ``doc_id`` and ``text``).
+
+    NULL and empty texts have no words. Rows that share a doc_id never remove words from each other, since neither
+    has the smaller one. A row without doc_id neither loses words nor takes any away. Other columns are not read.
+    """
+    docs = docs.select("doc_id", "text")
+    base = written(signed(docs), "signed")
+    changed = _changed(docs, base).select(
+        "doc_id", "digest", F.col("n_removed").alias("removed"), F.col("kept_sha256").alias("kept")
     )
-    changed = _kept(suspects, ranges).toDF("doc_id", "digest", "removed", "kept", "kept_text")
-    if not texts:
-        changed = changed.drop("kept_text")
-    out = base.select("doc_id", "digest", "n_words", "kept_sha256").join(changed, ["doc_id", "digest"], "left")
+    out = base.select("doc_id", "digest", "n_words", "kept_sha256").join(changed.dropDuplicates(["doc_id", "digest"]), ["doc_id", "digest"], "left")
     return out.select(
         "doc_id",
         "n_words",
         F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("kept", "kept_sha256").alias("kept_sha256"),
-        *(["kept_text"] if texts else []),
     )
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """``docs`` without the words that ``without_repeats`` removes, with all its columns.
+
+    A text that loses words becomes its kept words joined by one space, and ``n_chars``, if there is such a column,
+    their code points; other texts stay as they are. Rows that lose all their words go.
+    """
+    two = docs.select("doc_id", "text")
+    changed = _changed(two, written(signed(two), "signed"))
+    new, key, old = (_unused(docs, name) for name in ("kept_text", "text_key", "old_key"))
+    changed = changed.select(F.col("doc_id").alias(old), F.col("text_key").alias(key), F.col("kept_text").alias(new))
+    same = (F.col("doc_id") == F.col(old)) & (F.xxhash64("text") == F.col(key))
+    joined = docs.join(changed, same, "left").where(f"`{new}` is null or `{new}` <> ''")
+    replaced = {"text": F.coalesce(new, "text")}
+    if "n_chars" in docs.columns:
+        replaced["n_chars"] = F.when(F.col(new).isNull(), F.col("n_chars")).otherwise(F.length(new)).cast(docs.schema["n_chars"].dataType)
+    return joined.select([replaced.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have, in any case of letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
