@@ -41,7 +41,7 @@ COMMON = 16  # a hash that more texts than this post is common
 K = 128
 # Six standard deviations of an estimate from 128 values below 0.75; the exact similarity decides.
 LEAST_ESTIMATE = 0.52
-PIVOTS = 16  # times as many pivots in each round
+PIVOTS = 64  # times as many pivots in each round
 
 SKETCHES = "doc_id long, n_shingles long, class string, lowest array<long>, sketch binary"
 
@@ -165,46 +165,70 @@ def postings(heads: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return lists.union(common.join(counts, "doc").select(lists.columns)), listed
 
 
-def links(docs: DataFrame, heads: DataFrame) -> DataFrame:
-    """Links between class representatives that span the components of all links between them."""
+def _pairs(placed: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
+    """The first texts of every list, and the pairs of them with the list's other texts that could have a link.
+
+    A pair meets in many common lists. It is taken in the smallest in which one of the two is a pivot.
+    """
+    part, whole = SIMILAR
+    rank = F.row_number().over(Window.partitionBy("value").orderBy("rare", "n", "doc"))
+    chosen = placed.withColumn("rank", rank).where(F.col("rank") <= pivots).drop("rank", "rare")
+    chosen = written(chosen, "pivots")
+    is_common = F.col("common").isNotNull()
+
+    def lists_of(texts: DataFrame, name: str) -> DataFrame:
+        """Common lists of each text, at most ``POSTED``."""
+        return texts.where(is_common).groupBy("doc").agg(F.collect_set("value").alias(name))
+
+    common = placed.where(is_common).join(lists_of(placed, "mine"), "doc").select(*placed.columns, "mine")
+    no_lists = F.lit(None).cast("array<long>")
+    texts = placed.where(~is_common).withColumn("mine", no_lists).union(common)
+    leads = chosen.where(is_common).join(lists_of(chosen, "leads"), "doc").select(*chosen.columns, "leads")
+    leads = chosen.where(~is_common).withColumn("leads", no_lists).union(leads)
+    leads = leads.toDF("value", "p", "pn", "pc", "home", "leads")
+    both, least = F.col("n") + F.col("pn"), F.least("n", "pn")
+    # Similar sets share part / (part + whole) of both sizes together, and cannot share more than the smaller has.
+    met = texts.join(leads, "value").where(
+        (F.col("component") != F.col("home"))
+        & ((part + whole) * least >= part * both)
+        & (
+            F.col("mine").isNull()
+            | ((part + whole) * F.least("common", "pc") >= part * both)
+            & (F.array_min(F.array_intersect("mine", "leads")) == F.col("value"))
+        )
+    )
+    return chosen, met.select(F.least("doc", "p").alias("a"), F.greatest("doc", "p").alias("b")).distinct()
+
+
+def grouped(docs: DataFrame, heads: DataFrame) -> DataFrame:
+    """``node, component`` of class representatives that have a link."""
     part, whole = SIMILAR
     lists, listed = postings(heads, docs)
-    lists = written(lists, "lists")
+    placed, pivots = written(lists.withColumn("component", F.col("doc")), "lists"), 1
     sketch = heads.select("doc_id", "sketch")
-    found = docs.sparkSession.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
-    placed, pivots = lists.withColumn("component", F.col("doc")), 1
+    member = None
     while True:
-        rank = F.row_number().over(Window.partitionBy("value").orderBy("rare", "n", "doc"))
-        chosen = placed.withColumn("rank", rank).where(F.col("rank") <= pivots).drop("rank", "rare")
-        chosen = written(chosen.toDF("value", "p", "pn", "pc", "home"), "pivots")
-        both, least = F.col("n") + F.col("pn"), F.least("n", "pn")
-        # Similar sets share part / (part + whole) of both sizes together, and cannot share more than the smaller has.
-        met = placed.join(chosen, "value").where(
-            (F.col("component") != F.col("home"))
-            & ((part + whole) * least >= part * both)
-            & (F.col("common").isNull() | ((part + whole) * F.least("common", "pc") >= part * both))
-        )
-        pairs = met.select(F.least("doc", "p").alias("a"), F.greatest("doc", "p").alias("b")).distinct()
+        chosen, pairs = _pairs(placed, pivots)
         near = (
             pairs.join(sketch.toDF("a", "sketch_a"), "a").join(sketch.toDF("b", "sketch_b"), "b")
             .where(estimate("sketch_a", "sketch_b") >= LEAST_ESTIMATE).select("a", "b")
         )
-        found = written(found.union(verified(written(near, "near"), listed)), "found")
-        member = components(found).select(F.col("node").alias("doc"), F.col("component").alias("linked"))
-        rest = placed.drop("component").join(chosen.select("value", F.col("p").alias("doc")), ["value", "doc"], "left_anti")
-        rest = rest.join(member, "doc", "left").select(*lists.columns, F.coalesce("linked", "doc").alias("component"))
-        # A text of a common list that could have a link only with a smaller set than any there has none.
+        found = verified(written(near, "near"), listed)
+        member = written(components(found if member is None else found.union(member)), "member")
+        linked = member.select(F.col("node").alias("doc"), F.col("component").alias("linked"))
+        rest = placed.drop("component").join(chosen.select("value", "doc"), ["value", "doc"], "left_anti")
+        rest = rest.join(linked, "doc", "left").select(*lists.columns, F.coalesce("linked", "doc").alias("component"))
+        # Texts leave a common list that could have a link only with a smaller set than any of the list.
         ends = rest.groupBy("value").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least_n"),
             F.max("common").alias("most_common"),
         )
-        open_lists = ends.where("low < high")
         able = F.col("common").isNull() | (
             (part + whole) * F.least("common", "most_common") >= part * (F.col("n") + F.col("least_n"))
         )
-        placed = written(rest.join(open_lists, "value").where(able).select(rest.columns), "lists")
+        placed = written(rest.join(ends.where("low < high"), "value").where(able).select(placed.columns), "lists")
         if placed.isEmpty():
-            return found
+            return member
         pivots *= PIVOTS
 
 
@@ -220,7 +244,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = sketched.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
     heads = sets.groupBy("class").agg(F.min(F.struct("doc_id", "n_shingles", "lowest", "sketch")).alias("head"))
     heads = written(heads.select("class", "head.*"), "heads")
-    member = components(links(docs, heads))
+    member = grouped(docs, heads)
     component = heads.select("class", "doc_id").join(member, F.col("doc_id") == F.col("node"), "left")
     component = component.select("class", F.coalesce("component", "doc_id").alias("of_class"))
     out = sketched.select("doc_id", "n_shingles", "class").join(component, "class", "left")
