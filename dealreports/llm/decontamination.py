@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealreports.llm import arrays
-from dealreports.llm.shared import written
+from dealreports.llm.shared import unused, written
 
 SEED = 4
 COVERAGE = 0.5
@@ -244,5 +244,5 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     if not fits(items):
         bad = _joined(docs.select("doc_id", "text"), items).select("doc_id").distinct()
         return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
-    column = "matches" + "_" * max(0, *(len(c) for c in docs.columns))  # no column has so long a name
+    column = unused(docs, "matches")
     return with_matches(docs, items, column).where(F.size(column) == 0).drop(column)

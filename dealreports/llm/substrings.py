@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from dealreports.llm import arrays
 from dealreports.llm.fm_index import Index
-from dealreports.llm.shared import written
+from dealreports.llm.shared import unused, written
 
 WINDOW = 50
 ANCHOR = 16  # words of the runs that anchors are chosen from
@@ -303,7 +303,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
     """
     two = docs.select("doc_id", "text")
     changed = _changed(two, written(signed(two), "signed"))
-    new, key, old = (_unused(docs, name) for name in ("kept_text", "text_key", "old_key"))
+    new, key, old = (unused(docs, name) for name in ("kept_text", "text_key", "old_key"))
     changed = changed.select(F.col("doc_id").alias(old), F.col("text_key").alias(key), F.col("kept_text").alias(new))
     same = (F.col("doc_id") == F.col(old)) & (F.xxhash64("text") == F.col(key))
     joined = docs.join(changed, same, "left").where(f"`{new}` is null or `{new}` <> ''")
@@ -311,11 +311,3 @@ def cleaned(docs: DataFrame) -> DataFrame:
     if "n_chars" in docs.columns:
         replaced["n_chars"] = F.when(F.col(new).isNull(), F.col("n_chars")).otherwise(F.length(new)).cast(docs.schema["n_chars"].dataType)
     return joined.select([replaced.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
-
-
-def _unused(docs: DataFrame, name: str) -> str:
-    """A column name that ``docs`` does not have, in any case of letters."""
-    taken = {c.lower() for c in docs.columns}
-    while name in taken:
-        name += "_"
-    return name
