@@ -8,7 +8,7 @@ so that decoding gives back every text exactly.
 
 No piece goes across a space or a line end, or joins letters with marks but for the pairs that the vocabulary shows,
 so the lattice of a text is the lattices of its words one after another.
-Words are solved once and kept (up to ``KEPT_WORDS``). The N best paths differ from the best in the N - 1 words whose
+Words are solved once and kept (up to ``KEPT_WORDS`` in a worker, then anew). The N best paths differ from the best in the N - 1 words whose
 second best path loses least. Through the lattice of these words a backward A-star search, with the forward Viterbi
 scores as exact heuristics, gives the N best paths in order. Of words with equal losses those further left change.
 """
@@ -29,7 +29,7 @@ SPACE = "▁"
 N_BEST = 4
 UNKNOWN_PENALTY = 10.0
 RULED_OUT = -1e8
-KEPT_WORDS = 1 << 19
+KEPT_WORDS = 1 << 20
 
 
 def _word_pattern(pieces: list[str]) -> re.Pattern:
@@ -55,13 +55,14 @@ class Vocabulary:
         self.byte = {int(p[1:-1], 16): i for i, (p, _, kind) in enumerate(entries) if kind == "byte"}
         if len(self.byte) < 256:
             raise ValueError("the model has no piece for every byte")
-        # A tree of characters; what the empty text leads to is the piece that ends there.
+        # A tree of characters: score and id of the piece that ends at a node (or None), and the nodes after it.
         self.tree: dict = {}
         for p, score, i in usable:
-            node = self.tree
+            after = self.tree
             for c in p:
-                node = node.setdefault(c, {})
-            node[""] = score, i
+                node = after.setdefault(c, [None, None, {}])
+                after = node[2]
+            node[:2] = score, i
         self.written = [
             bytes([int(p[1:-1], 16)]) if kind == "byte" else p.replace(SPACE, " ").encode() if kind == "piece" else b""
             for p, _, kind in entries
@@ -72,30 +73,69 @@ class Vocabulary:
         """A text, with a space in front, cut where no piece goes across."""
         return self.word.findall(" " + text)
 
+    @staticmethod
+    def spelled(word: str) -> str:
+        """A word with its space as ``▁``; a ``▁`` of its own as a line end, which is no piece and so goes as bytes."""
+        out = word.replace(SPACE, "\n")
+        return SPACE + out[1:] if word[:1] == " " else out
+
     def arcs(self, word: str) -> list[list[tuple[int, float, int | None]]]:
         """For each character of a word the arcs that begin there: end, score, id (None: written as bytes).
 
         A space can only be a word's first character.
         """
-        spelled = word.replace(SPACE, "\n")  # a line end is no piece, so this is written as bytes
-        if word[:1] == " ":
-            spelled = SPACE + spelled[1:]
-        out, n, tree, unknown = [], len(word), self.tree, self.unknown
+        spelled, out, n = self.spelled(word), [], len(word)
         for i in range(n):
-            here, node, j = [], tree.get(spelled[i]), i + 1
-            if node is None or "" not in node:
-                here.append((j, unknown, None))
-            while node is not None:
-                if "" in node:
-                    score, piece = node[""]
-                    here.append((j, score, piece))
-                if j == n:
-                    break
-                node = node.get(spelled[j])
+            here, after, j = [], self.tree, i
+            while j < n and (node := after.get(spelled[j])):
                 j += 1
+                score, piece, after = node
+                if score is not None:
+                    here.append((j, score, piece))
+            if not here or here[0][0] != i + 1:
+                here.insert(0, (i + 1, self.unknown, None))
             out.append(here)
         return out
 
+    def solve(self, word: str) -> tuple[float, float, list[int]]:
+        """Best score of a word, what the second best path loses against it, and the ids of the best.
+
+        A forward pass with the two best scores of every place, over the arcs as ``arcs`` gives them.
+        """
+        spelled, n, tree = self.spelled(word), len(word), self.tree
+        best, second = [0.0] + [-np.inf] * n, [-np.inf] * (n + 1)
+        origin, by = [0] * (n + 1), [None] * (n + 1)
+        for i in range(n):
+            so_far, behind, after, j = best[i], second[i], tree, i
+            node = after.get(spelled[i])
+            if node is None or node[0] is None:
+                self._reach(i + 1, i, so_far + self.unknown, behind + self.unknown, None, best, second, origin, by)
+            while node is not None:
+                j += 1
+                score, piece, after = node
+                if score is not None:
+                    value = so_far + score
+                    if value > best[j]:
+                        old, value_behind = best[j], behind + score
+                        second[j] = old if old > value_behind else value_behind
+                        best[j], origin[j], by[j] = value, i, piece
+                    elif value > second[j]:
+                        second[j] = value
+                node = after.get(spelled[j]) if j < n else None
+        steps, at = [], n
+        while at:
+            steps.append((origin[at], at, by[at]))
+            at = origin[at]
+        return best[n], best[n] - second[n], self.ids(word, steps[::-1])
+
+    @staticmethod
+    def _reach(j, i, value, value_behind, piece, best, second, origin, by) -> None:
+        if value > best[j]:
+            second[j] = max(best[j], value_behind)
+            best[j], origin[j], by[j] = value, i, piece
+        elif value > second[j]:
+            second[j] = value
+
     def ids(self, word: str, steps: list[tuple[int, int, int | None]]) -> list[int]:
         """The ids of a path's arcs (begin, end, id)."""
         out = []
@@ -111,45 +151,19 @@ class Vocabulary:
         return b"".join(map(self.written.__getitem__, ids)).decode(errors="replace")[1:]
 
 
-def viterbi(arcs) -> tuple[list[float], list[tuple[int, int | None]]]:
-    """Best score of every place from the left, and the arc (begin, id) it comes by."""
-    best, back = [0.0] + [-np.inf] * len(arcs), [(0, None)] * (len(arcs) + 1)
+def viterbi(arcs) -> list[float]:
+    """Best score of every place from the left."""
+    best = [0.0] + [-np.inf] * len(arcs)
     for i, here in enumerate(arcs):
-        so_far = best[i]
-        for j, score, piece in here:
-            if so_far + score > best[j]:
-                best[j], back[j] = so_far + score, (i, piece)
-    return best, back
-
-
-def solve(arcs) -> tuple[float, float, list[tuple[int, int, int | None]]]:
-    """Best score, what the second best path loses against it, and the best path's arcs."""
-    best, back = viterbi(arcs)
-    n = len(arcs)
-    steps, at = [], n
-    on_path = [0] * n
-    while at:
-        i, piece = back[at]
-        steps.append((i, at, piece))
-        on_path[i] = at
-        at = i
-    # The second best path leaves the best one by some arc: the best way through any arc beside it.
-    second, rest = -np.inf, [0.0] * (n + 1)
-    for i in range(n - 1, -1, -1):
-        most, kept, so_far = -np.inf, on_path[i], best[i]
-        for j, score, _ in arcs[i]:
-            value = score + rest[j]
-            if value > most:
-                most = value
-            if j != kept and so_far + value > second:
-                second = so_far + value
-        rest[i] = most
-    return best[n], best[n] - second, steps[::-1]
+        for j, score, _ in here:
+            if best[i] + score > best[j]:
+                best[j] = best[i] + score
+    return best
 
 
 def n_best(arcs, n: int) -> list[tuple[float, list[tuple[int, int, int | None]]]]:
     """The ``n`` best paths, best first, by A-star from the end; the forward scores are exact heuristics."""
-    forward, _ = viterbi(arcs)
+    forward = viterbi(arcs)
     into: list[list[tuple[int, float, int | None]]] = [[] for _ in range(len(arcs) + 1)]
     for i, here in enumerate(arcs):
         for j, score, piece in here:
@@ -183,8 +197,7 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> int:
         number = len(self)
-        score, loss, steps = solve(self.vocabulary.arcs(word))
-        ids = self.vocabulary.ids(word, steps)
+        score, loss, ids = self.vocabulary.solve(word)
         if number == len(self.score):
             self.score, self.loss = (np.concatenate([x, np.zeros_like(x)]) for x in (self.score, self.loss))
             self.begin = np.concatenate([self.begin, np.zeros(number, dtype=np.int64)])
@@ -249,6 +262,18 @@ class Encoder:
         return out
 
 
+_encoders: dict[tuple[int, int], Encoder] = {}
+
+
+def _encoder(vocabulary: Vocabulary, n: int) -> Encoder:
+    """A worker's encoder; it keeps its words from task to task. Only the last vocabulary's is kept."""
+    found = _encoders.get((id(vocabulary), n))
+    if found is None or found.vocabulary is not vocabulary:
+        _encoders.clear()
+        found = _encoders[id(vocabulary), n] = Encoder(vocabulary, n)
+    return found
+
+
 def vocabulary(model_file: str) -> Vocabulary:
     """Reads a SentencePiece model file (on the driver; a vocabulary goes to the tasks as a broadcast)."""
     import sentencepiece
@@ -281,7 +306,7 @@ def segmented(docs: DataFrame, model_file: str, n: int = N_BEST, column: str = "
     sent, at = docs.sparkSession.sparkContext.broadcast(vocabulary(model_file)), docs.columns.index("text")
 
     def rows(batches):
-        encoder = Encoder(sent.value, n)
+        encoder = _encoder(sent.value, n)
         for batch in batches:
             for lo in range(0, len(batch), 256):
                 part = batch.slice(lo, 256)
@@ -332,7 +357,7 @@ def digests(docs: DataFrame, model_file: str, n: int = N_BEST) -> DataFrame:
     kind = pa.list_(pa.struct([("score", pa.float64()), ("n_pieces", pa.int32()), ("ids_sha256", pa.string())]))
 
     def rows(batches):
-        encoder = Encoder(sent.value, n)
+        encoder = _encoder(sent.value, n)
         for batch in batches:
             for lo in range(0, len(batch), 256):
                 part = batch.slice(lo, 256)
