@@ -1,7 +1,8 @@
 """Attributes out of the JSON list of ``{"key", "label", "value"}`` objects.
 
 The list is parsed once per row into an array of structs; every attribute is then a position lookup in it.
-Elements that are no objects are passed over, and text that is no JSON list gives NULL for every attribute.
+Elements that are no objects are passed over, and text that is no JSON list, or more than one, gives NULL for every
+attribute.
 """
 
 from collections.abc import Iterable, Mapping
@@ -12,8 +13,11 @@ from pyspark.sql import functions as F
 
 from dealreports.functions.calendar import date_sql
 from dealreports.functions.text import literal, quoted
+from dealreports.session import written
 
 _OBJECTS = "array<struct<key string, label string, value variant>>"
+# Put after the text, in a list of both: only a text that is one whole JSON value leaves it in second place.
+_END = "no attribute list holds this text 5d1e"
 
 
 def items(text: Column) -> Column:
@@ -21,9 +25,15 @@ def items(text: Column) -> Column:
 
     The list is read as variants: a top-level object is then no list, and an element that is no object
     becomes a NULL without spoiling the others. ``has_value`` tells a missing member from a JSON null.
+    The reader stops after a complete value, so the text is read inside a list with a mark behind it: what follows
+    a list, a second one or a bare NaN makes the whole text unreadable.
     """
+    marked = F.concat(F.lit("["), text, F.lit(f',"{_END}"]'))
+    both = F.from_json(marked, "array<variant>", {"allowNonNumericNumbers": "false"})
+    is_whole = lambda b: (F.size(b) == 2) & (b[1].try_cast("string") == _END)
+    whole = F.transform(F.array(both), lambda b: F.when(is_whole(b), b[0].try_cast(_OBJECTS)))
     return F.transform(
-        F.from_json(text, "array<variant>").try_cast(_OBJECTS),
+        F.get(whole, 0),
         lambda x: F.struct(
             x["key"].alias("key"),
             x["label"].alias("label"),
@@ -111,10 +121,16 @@ def extract(
 
     ``attributes`` maps attribute names to column names, or just lists names.
     """
+    return _extracted(parse_once(df, text), attributes, by, keep, require_value)
+
+
+def _extracted(
+    parsed: DataFrame, attributes: Mapping[str, str] | Iterable[str], by: str, keep: str, require_value: bool
+) -> DataFrame:
     renames = dict(attributes) if isinstance(attributes, Mapping) else {a: a for a in attributes}
     elements = only_with_value(F.col("items")) if require_value else F.col("items")
-    return _pick(parse_once(df, text), {"__picked": (list(renames), elements, by, keep)}).selectExpr(
-        *[quoted(c) for c in df.columns if c != text],
+    return _pick(parsed, {"__picked": (list(renames), elements, by, keep)}).selectExpr(
+        *[quoted(c) for c in parsed.columns if c != "items"],
         *[f"get(__picked, {i}) AS {quoted(column)}" for i, column in enumerate(renames.values())],
     )
 
@@ -166,29 +182,29 @@ def _struct(fields: Mapping[str, str], name: str) -> str:
     return f"named_struct({', '.join(f'{literal(n)}, {v}' for n, v in fields.items())}) AS {name}"
 
 
-def labels_in(df: DataFrame, text: str = "field_values", most: int = 10_000) -> list[str]:
-    """The distinct labels of a table, in alphabetical order.
+def labels_in(parsed: DataFrame) -> DataFrame:
+    """The distinct labels of a parsed table that stand with a value: (label)."""
+    found = parsed.select(F.explode(only_with_value(F.col("items"))["label"]).alias("label"))
+    return found.where("label IS NOT NULL").distinct()
 
-    They become columns, so they must come to the driver; more than ``most`` is refused.
-    """
-    found = (
-        parse_once(df.select(text), text)
-        .select(F.explode(only_with_value(F.col("items"))["label"]).alias("label"))
-        .where("label IS NOT NULL")
-        .distinct()
-    )
-    rows = found.limit(most + 1).collect()
-    if len(rows) > most:
+
+def label_names(parsed: DataFrame, most: int | None = None) -> list[str]:
+    """The labels in alphabetical order, for columns. They come to the driver; ``most`` refuses more than so many."""
+    found = labels_in(parsed)
+    rows = (found if most is None else found.limit(most + 1)).collect()
+    if most is not None and len(rows) > most:
         raise ValueError(f"more than {most} distinct labels")
     return sorted(r["label"] for r in rows)
 
 
-def wide_discovered(df: DataFrame, text: str = "field_values", most: int = 10_000) -> DataFrame:
+def wide_discovered(df: DataFrame, text: str = "field_values", most: int | None = None) -> DataFrame:
     """All labels of the data as columns, last match per row.
 
-    One pass finds the labels and one projects them: no row is shuffled, as a pivot would do.
+    The lists are parsed once and written; one pass over them finds the labels and one projects them. No row is
+    shuffled, as a pivot would do.
     """
-    return extract(df, labels_in(df, text, most), by="label", keep="last", require_value=True, text=text)
+    parsed = written(parse_once(df, text), "parsed")
+    return _extracted(parsed, label_names(parsed, most), "label", "last", True)
 
 
 def unreadable(df: DataFrame, text: str = "field_values") -> DataFrame:

@@ -187,17 +187,17 @@ def parse_month_label(label: str) -> Column:
 
 
 def period_table(spark: SparkSession, months: list[datetime], as_of: datetime) -> DataFrame:
-    """One row per month: label, start, end, next start, next end, and the later of end and ``as_of``."""
+    """``expanded`` for given months."""
     starts = ", ".join(moment_sql(m) for m in months)
-    return (
-        spark.range(1)
-        .selectExpr(f"explode(array({starts})) AS period_start")
-        .selectExpr(
-            "upper(date_format(period_start, 'MMMM yyyy')) AS period",
-            "period_start",
-            "add_months(period_start, 1)::TIMESTAMP_NTZ - INTERVAL '1' SECOND AS period_end",
-            "add_months(period_start, 1)::TIMESTAMP_NTZ AS next_start",
-            "add_months(period_start, 2)::TIMESTAMP_NTZ - INTERVAL '1' SECOND AS next_end",
-        )
-        .withColumn("current_end", F.expr(f"greatest(period_end, {moment_sql(as_of)})"))
-    )
+    return expanded(spark.range(1).selectExpr(f"explode(array({starts})) AS period_start"), as_of)
+
+
+def expanded(months: DataFrame, as_of: datetime) -> DataFrame:
+    """One row per month (``period_start``): label, start, end, next start, next end, the later of end and ``as_of``."""
+    return months.selectExpr(
+        "upper(date_format(period_start, 'MMMM yyyy')) AS period",
+        "period_start",
+        "add_months(period_start, 1)::TIMESTAMP_NTZ - INTERVAL '1' SECOND AS period_end",
+        "add_months(period_start, 1)::TIMESTAMP_NTZ AS next_start",
+        "add_months(period_start, 2)::TIMESTAMP_NTZ - INTERVAL '1' SECOND AS next_end",
+    ).withColumn("current_end", F.expr(f"greatest(period_end, {moment_sql(as_of)})"))

@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealreports.functions.calendar import between_sql, short_month_label
+from dealreports.functions.calendar import short_month_label
 from dealreports.operators.columns import named
 
 TOTAL = "Total Result"
@@ -70,11 +70,11 @@ def cells_with_totals(df: DataFrame, row: str, column: str, amount: str) -> Data
 
 
 def totals_matrix(cells: DataFrame, row: str, column: str, columns: list[str]) -> DataFrame:
-    """The cells as a matrix, empty ones 0, with the total as last column."""
-    wide = cells.groupBy(named(row)).pivot(column, [*columns, TOTAL]).agg(F.first("amount"))
-    return wide.na.fill(0)
+    """The cells as a matrix, empty ones 0, with the total as last column.
 
-
-def months_in(df: DataFrame, date: str, low: datetime, high: datetime) -> DataFrame:
-    """The distinct months of a date inside [low, high)."""
-    return df.where(between_sql(date, low, high)).select(month_of(date).alias("month")).distinct()
+    A cell in a column that is not listed ends the job with an error: the totals would not be the sum of the row.
+    """
+    known = F.when(named(column).isin([*columns, TOTAL]), named(column))
+    unknown = F.raise_error(F.concat(F.lit("the matrix has no column "), named(column)))
+    wide = cells.withColumn(column, F.coalesce(known, unknown.cast("string")))
+    return wide.groupBy(named(row)).pivot(column, [*columns, TOTAL]).agg(F.first("amount")).na.fill(0)

@@ -23,7 +23,7 @@ from dealreports.functions.calendar import (
 )
 from dealreports.functions.text import field, in_list, quoted
 from dealreports.operators.columns import fill_counts, in_order, named
-from dealreports.operators.counting import month_literals, months_in
+from dealreports.operators.counting import month_literals
 
 NAME = "Empower TC Name"
 AGENT_NAME = "Transaction Coordinator"
@@ -145,8 +145,12 @@ def _hit_month(measure: Measure, year: int, as_of: datetime, scope: str) -> tupl
 
 
 def _hits(rows: DataFrame, year: int, as_of: datetime, scope: str) -> DataFrame:
-    """(name, month, measure): number 0 for every coordinator of the table, then one per measure that counts."""
-    found = ["named_struct('name', name, 'month', CAST(NULL AS DATE), 'measure', 0)"]
+    """(name, month, measure): number 0 for every coordinator, -1 for every month with a start, then the measures."""
+    found = [
+        "named_struct('name', name, 'month', CAST(NULL AS DATE), 'measure', 0)",
+        f"CASE WHEN {in_year_sql('start', year)} THEN "
+        "named_struct('name', CAST(NULL AS STRING), 'month', trunc(start, 'MM'), 'measure', -1) END",
+    ]
     for number, m in enumerate(MEASURES, start=1):
         condition, month = _hit_month(m, year, as_of, scope)
         condition = f"{m.key} IS NOT NULL AND {condition}"
@@ -182,6 +186,7 @@ def daily_update(
     )
     per_month = spread.groupBy("name", "month").agg(
         F.expr("max(measure = 0) AS is_coordinator"),
+        F.expr("max(measure = -1) AS has_start"),
         *[
             F.expr(f"sum(CASE WHEN measure = {number} THEN n ELSE 0 END) AS {quoted(m.title)}")
             for number, m in enumerate(MEASURES, start=1)
@@ -194,20 +199,18 @@ def daily_update(
         running |= {"active": from_here, "later": from_here}
     summed = per_month.withColumns(
         {m.title: F.sum(named(m.title)).over(running[m.rule]) for m in MEASURES if m.rule in running}
-    ).where("is_coordinator")
-    report = fill_counts(_in_months(summed, rows, year, months), [m.title for m in MEASURES])
+    )
+    if months is None:  # those in which some contract started; a month has a row for each coordinator
+        shown = F.max("has_start").over(Window.partitionBy("month"))
+    else:
+        shown = F.col("month").isin([m.date() for m in months])
+    summed = summed.withColumn("shown", shown)
+    shown = summed.where("is_coordinator AND shown")
+    report = fill_counts(shown, [m.title for m in MEASURES])
     report = report.withColumn("period", long_month_label("month")).withColumnRenamed("name", NAME)
     return in_order(report, ["month", "period", NAME, *[m.title for m in MEASURES]])
 
 
-def _in_months(df: DataFrame, rows: DataFrame, year: int, months: Sequence[datetime] | None) -> DataFrame:
-    """Only the months asked for, or those in which some contract started."""
-    if months is not None:
-        return df.where(F.col("month").isin([m.date() for m in months]))
-    starts = months_in(rows, "start", datetime(year, 1, 1), datetime(year + 1, 1, 1))
-    return df.join(F.broadcast(starts), "month", "left_semi")  # at most twelve rows
-
-
 def monthly_sheets(report: DataFrame, year: int) -> dict[str, DataFrame]:
     """One table per month, by its label, in order. Give a written report: each table reads it again.
 

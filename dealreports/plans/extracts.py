@@ -115,20 +115,33 @@ def all_extracts(
     teams: Mapping[str, Sequence[str]] = TEAMS,
     bounds: str = "calendar",
 ) -> DataFrame:
-    """The rows of all extracts from one scan: (extract, date, fixed columns), once per extract a row is in.
+    """The rows of all extracts from one scan, once per extract a row is in.
 
+    Fixed columns, ``extract``, ``date_name`` and ``date`` (the attribute the extract goes by), and
+    ``contract_client_type`` and ``is_closed_paid``, which are NULL for extracts that do not show them.
     Written with ``write_split(rows, root, ["extract"])`` this gives all sheets in one job.
     """
     conditions = {e: _condition(e, as_of, teams, bounds) for e in EXTRACTS.values()}
-    hits = ", ".join(
-        f"CASE WHEN {condition} THEN named_struct('extract', {literal(e.title)}, 'date', {_date(e)[1]}) END"
-        for e, condition in conditions.items()
-    )
+    hits = ", ".join(f"CASE WHEN {condition} THEN {_hit(e)} END" for e, condition in conditions.items())
     hit = f"inline(filter(array({hits}), h -> h IS NOT NULL))"
     rows = flat.where(" OR ".join(f"({c})" for c in conditions.values())).selectExpr(*_fixed_columns(flat), hit)
     return rows.withColumn("date", as_seconds(F.col("date")))
 
 
+def _hit(extract: Extract) -> str:
+    source, date = _date(extract)
+    client = "keys.contract_client_type" if extract.client else "CAST(NULL AS STRING)"
+    paid = f"({source}.contract_status <=> {literal(fixed.CTC_CLOSED_PAID)})" if extract.closed_paid else "CAST(NULL AS BOOLEAN)"
+    fields = {
+        "extract": literal(extract.title),
+        "date_name": literal(extract.date),
+        "date": date,
+        "contract_client_type": client,
+        "is_closed_paid": paid,
+    }
+    return f"named_struct({', '.join(f'{literal(name)}, {value}' for name, value in fields.items())})"
+
+
 def half_titles(prefix: str, as_of: datetime) -> tuple[str, str]:
     """Titles of the two halves of the month before ``as_of``."""
     first = first_of_month(as_of, -1)

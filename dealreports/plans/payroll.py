@@ -5,6 +5,7 @@ from datetime import datetime
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from dealreports import fixed
 from dealreports.functions.calendar import half_month_end, half_month_label, half_month_start, moment_sql
@@ -126,7 +127,7 @@ def payroll_matrix(
 ) -> DataFrame:
     """The cells as a matrix with a column per period that occurs, in order, and the total last.
 
-    Give ``periods`` to spare the pass that finds them.
+    Give ``periods`` to spare the pass that finds them; a cell in a period that is not among them is an error.
     """
     cells = payroll_cells(enriched, mode, coordinators)
     if periods is None:
@@ -134,13 +135,18 @@ def payroll_matrix(
     return totals_matrix(cells, COORDINATOR, "periode", list(periods))
 
 
-def occurring_periods(
-    enriched: DataFrame, mode: str, coordinators: Sequence[str] | DataFrame, most: int = 5_000
-) -> list[str]:
-    """The half months of the matrix: 24 a year, so they fit the driver."""
+def periods_in(enriched: DataFrame, mode: str, coordinators: Sequence[str] | DataFrame) -> DataFrame:
+    """The half months that occur: (periode)."""
     _, period = MODES[mode]
-    found = member_of(enriched, COORDINATOR, coordinators).select(period).distinct()
-    labels = [r[0] for r in found.limit(most + 1).collect() if r[0] is not None]
-    if len(labels) > most:
-        raise ValueError(f"more than {most} periods")
-    return sorted(labels)
+    found = member_of(enriched, COORDINATOR, coordinators).select(F.col(period).alias("periode"))
+    return found.na.drop().distinct()
+
+
+def occurring_periods(enriched: DataFrame, mode: str, coordinators: Sequence[str] | DataFrame) -> list[str]:
+    """The same as names of columns: 24 a year, so they fit the driver."""
+    return sorted(r[0] for r in periods_in(enriched, mode, coordinators).collect())
+
+
+def matrix_cells(matrix: DataFrame) -> DataFrame:
+    """A matrix as (coordinator, periode, amount), empty cells with 0."""
+    return matrix.unpivot(quoted(COORDINATOR), [quoted(c) for c in matrix.columns[1:]], "periode", "amount")

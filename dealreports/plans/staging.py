@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealreports import fixed
+from dealreports.fixed import SYSTEM_COLUMNS
 from dealreports.operators.columns import (
     changed,
     fill_blank,
@@ -22,6 +23,10 @@ from dealreports.operators.filters import is_not_value, is_value, never_started,
 from dealreports.operators.matching import duplicates_of_newest, newest_per, only_matched, only_unmatched
 
 
+# What a transaction gets from its agent account.
+JOINED = ["Contract Title", *fixed.AGENT_FIELDS]
+
+
 @dataclass(frozen=True)
 class Lists:
     """The column lists of the staging tables."""
@@ -55,13 +60,17 @@ def agent_rows(flat: DataFrame, labels: Sequence[str] = fixed.AGENT_LABELS) -> D
 
 
 def agent_accounts(flat: DataFrame, labels: Sequence[str] = fixed.AGENT_LABELS) -> DataFrame:
-    """The newest row per title."""
-    return newest_per(agent_rows(flat, labels), "Contract Title", "Date Created").drop("id")
+    """The newest row per title. Ties are told by the joined fields first, so any choice of labels agrees in them."""
+    rows = agent_rows(flat, list(dict.fromkeys([*labels, *JOINED])))
+    newest = newest_per(rows, "Contract Title", "Date Created", told_by=JOINED)
+    return in_order(newest, [c for c in rows.columns if c in (*SYSTEM_COLUMNS.values(), *labels)])
 
 
 def duplicate_agent_accounts(flat: DataFrame, labels: Sequence[str] = fixed.AGENT_LABELS) -> DataFrame:
     """The agent rows that are not the newest of their title."""
-    return duplicates_of_newest(agent_rows(flat, labels), "Contract Title", "Date Created").drop("id")
+    rows = agent_rows(flat, list(dict.fromkeys([*labels, *JOINED])))
+    others = duplicates_of_newest(rows, "Contract Title", "Date Created", told_by=JOINED)
+    return in_order(others, [c for c in rows.columns if c in (*SYSTEM_COLUMNS.values(), *labels)])
 
 
 def drop_unreal(df: DataFrame) -> DataFrame:
@@ -112,18 +121,19 @@ def curated_transactions(
     cutover_year: int = fixed.CUTOVER_YEAR,
     zero_listing_amount: bool = False,
     date_filler: datetime | None = fixed.STAGING_DATE_FILLER,
+    accounts: DataFrame | None = None,
 ) -> DataFrame:
-    """Transactions with an agent account, cleaned and corrected."""
-    accounts = in_order(agent_accounts(flat, lists.agent_labels), ["Contract Title", *fixed.AGENT_FIELDS])
+    """Transactions with an agent account, cleaned and corrected; ``accounts`` may be a written table of them."""
+    accounts = in_order(agent_accounts(flat, JOINED) if accounts is None else accounts, JOINED)
     deals = transactions(flat, lists.transaction_labels)
     matched = only_matched(deals, accounts, "Empower Agent Name", "Contract Title")
     curated = correct(drop_unreal(clean(matched, lists)), cutover_year, zero_listing_amount)
     return curated if date_filler is None else fill_dates(curated, lists.dates, date_filler)
 
 
-def error_transactions(flat: DataFrame, lists: Lists = Lists()) -> DataFrame:
+def error_transactions(flat: DataFrame, lists: Lists = Lists(), accounts: DataFrame | None = None) -> DataFrame:
     """Transactions without an agent account, as they came."""
-    titles = agent_rows(flat, ["Contract Title"])
+    titles = agent_rows(flat, ["Contract Title"]) if accounts is None else accounts
     deals = transactions(flat, lists.transaction_labels)
     unmatched = only_unmatched(deals, titles, "Empower Agent Name", "Contract Title")
     return changed(unmatched, {f: "CAST(NULL AS STRING)" for f in fixed.AGENT_FIELDS})

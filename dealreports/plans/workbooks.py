@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dealreports import fixed
 from dealreports.functions.attributes import FlatSpec, flatten
 from dealreports.plans import daily, extracts, kpis, payroll, staging
+from dealreports.sinks.render import render_on_one_line
 from dealreports.sinks.reports import sheet_path, write_report, write_sheet, write_split
 from dealreports.sources.tables import read_properties
 
@@ -54,13 +55,19 @@ def write_payroll(
 
 
 def write_staging(flat: DataFrame, root: str, lists: staging.Lists = staging.Lists()) -> dict[str, str]:
-    staged = staging.stage(flat, lists)
-    return write_report(
+    """The accounts are ranked and written first; the transactions read the written sheet.
+
+    Transactions and accounts come newest first.
+    """
+    title = "Agent Account"
+    accounts = staging.newest_first(staging.agent_accounts(flat, lists.agent_labels))
+    paths = write_report({title: accounts}, root, "source_report")
+    accounts = flat.sparkSession.read.schema(accounts.schema).parquet(paths[title])
+    return paths | write_report(
         {
-            "Transaction": staged.curated,
-            "Error Transaction": staged.errors,
-            "Agent Account": staged.agents,
-            "Duplicated Agent Account": staged.duplicates,
+            "Transaction": staging.newest_first(staging.curated_transactions(flat, lists, accounts=accounts)),
+            "Error Transaction": staging.error_transactions(flat, lists, accounts),
+            "Duplicated Agent Account": staging.duplicate_agent_accounts(flat, lists.agent_labels),
         },
         root,
         "source_report",
@@ -82,8 +89,12 @@ def write_extracts(
     teams: Mapping[str, Sequence[str]] = extracts.TEAMS,
     bounds: str = "calendar",
 ) -> dict[str, str]:
-    """All extracts in one job, and last month's closings by half month and team; empty extracts leave no folder."""
+    """All extracts in one job, and last month's closings by half month and team; empty extracts leave no folder.
+
+    Every cell is text on one line.
+    """
     path, halves = f"{root.rstrip('/')}/report=extracts", f"{root.rstrip('/')}/report=closed_properties"
-    write_split(extracts.all_extracts(flat, as_of, teams, bounds), path, ["extract"])
-    write_split(extracts.closed_halves(flat, as_of, teams, bounds=bounds), halves, ["workbook", "sheet"])
+    write_split(render_on_one_line(extracts.all_extracts(flat, as_of, teams, bounds)), path, ["extract"])
+    closed = extracts.closed_halves(flat, as_of, teams, bounds=bounds)
+    write_split(render_on_one_line(closed), halves, ["workbook", "sheet"])
     return {"extracts": path, "closed_properties": halves}

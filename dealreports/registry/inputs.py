@@ -2,27 +2,11 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dealreports import fixed
-from dealreports.functions.attributes import FlatSpec, flatten
-from dealreports.plans import daily, payroll
+from dealreports.functions.attributes import flatten
+from dealreports.plans.workbooks import ALL_ATTRIBUTES
 from dealreports.session import written
 from dealreports.sources.deals import deals
 
-# The attributes that the reports read: by key, by label for payroll and daily update, by label for staging.
-PAYROLL_LABELS = [
-    payroll.COORDINATOR,
-    *payroll.DATES,
-    *payroll.PAID_AMOUNTS.values(),
-    "Billing Amount",
-]
-FLAT = FlatSpec(
-    keys=fixed.ATTRIBUTE_KEYS,
-    keys_last=["contract_status", "closing_date", "contract_client_type"],
-    labels=list(dict.fromkeys([*PAYROLL_LABELS, *daily.TEXTS.values(), *daily.DATES.values()])),
-    labels_last=list(dict.fromkeys([*fixed.TRANSACTION_LABELS, *fixed.AGENT_LABELS])),
-    key_dates=[k for k in fixed.ATTRIBUTE_KEYS if k not in ("contract_status", "contract_client_type")],
-)
-
 _written: dict[tuple, DataFrame] = {}
 
 
@@ -31,21 +15,20 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flat table of ``sf_dir``, parsed and written once per session as a nightly run would.
+    """The flat table of ``sf_dir`` with all attributes, parsed and written once per session as a nightly run would.
 
     Written anew when one of the source tables has changed.
     """
     key = (spark.sparkContext.applicationId, sf_dir, *_versions(spark, sf_dir))
     if key not in _written:
-        _written[key] = written(flatten(raw(spark, sf_dir), FLAT), "flat")
+        _written[key] = written(flatten(raw(spark, sf_dir), ALL_ATTRIBUTES), "flat")
     return _written[key]
 
 
-def _versions(spark: SparkSession, sf_dir: str) -> list[int]:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+def _versions(spark: SparkSession, sf_dir: str) -> list[str]:
+    """When the files of the source tables were changed."""
     versions = []
     for table in ("orders", "customer", "nation"):
-        path = hadoop.Path(f"{sf_dir}/{table}.parquet")
-        versions.append(path.getFileSystem(conf).getFileStatus(path).getModificationTime())
+        files = spark.read.format("binaryFile").load(f"{sf_dir}/{table}.parquet").select("path", "modificationTime")
+        versions += [str(tuple(r)) for r in files.orderBy("path").collect()]
     return versions

@@ -1,9 +1,8 @@
 """The answers of the registered queries as SQL over the base tables, without any JSON."""
 
+from typing import NamedTuple
+
 from dealreports import fixed
-from dealreports.plans import daily
-from dealreports.plans.extracts import EXTRACTS
-from dealreports.plans.kpis import KPIS
 from dealreports.sources import deals as d
 
 AS_OF = "TIMESTAMP '2000-10-20 14:30:00'"
@@ -29,7 +28,7 @@ DEAL_BASE = f"""
 base AS (
   SELECT o_orderkey AS k, o_orderdate AS created, CAST(o_orderdate AS DATE) AS d,
          c_custkey, c_name, c_mktsegment, CAST(n_nationkey AS BIGINT) AS team_id, 'Team ' || n_name AS team_name,
-         o_orderkey % 103 <> 0 AND o_orderkey % 101 <> 0 AS readable
+         o_orderkey % 103 <> 0 AND o_orderkey % 101 <> 0 AND o_orderkey % 107 <> 0 AS readable
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 ),
 ruled AS (
@@ -56,7 +55,10 @@ ruled AS (
     CASE WHEN k % 6 = 0 THEN '' WHEN k % 6 = 1 THEN '0' ELSE CAST(400 + 25 * (k % 5) AS VARCHAR) END AS billing,
     CASE WHEN k % 12 IN (0, 7) THEN '75' END AS other,
     CASE WHEN k % 10 = 0 THEN 'Yes' END AS preferred,
-    CASE WHEN k % 53 = 0 THEN 'Compliance - PAID' END AS billing_status
+    CASE WHEN k % 53 = 0 THEN 'Compliance - PAID' END AS billing_status,
+    CASE WHEN k % 3 = 0 THEN d + CAST(k % 22 AS INTEGER) END AS live_on_mls,
+    CASE WHEN k % 5 = 0 THEN CASE WHEN k % 3 = 0 THEN '' ELSE '25' END END AS ctc_monthly,
+    CASE WHEN k % 6 = 0 THEN CASE WHEN k % 4 = 0 THEN '' ELSE 'Spring' END END AS promo_notes
   FROM base
 ),
 deal AS (
@@ -68,12 +70,14 @@ deal AS (
 _ATTRIBUTES = (
     "status client title tc agent started closing ctc_paid listing_started listing_paid offer_started offer_paid "
     "compliance_started compliance_paid listing_amount ctc_amount offer_amount compliance_amount billing other "
-    "preferred billing_status"
+    "preferred billing_status live_on_mls ctc_monthly promo_notes"
 ).split()
 _COLUMNS = ",\n    ".join(
     [f"CASE WHEN readable THEN {a} END AS {a}" for a in _ATTRIBUTES]
     + [
         "CASE WHEN readable THEN CASE WHEN k % 23 = 0 THEN 'Superseded' ELSE status END END AS status_last",
+        # the last object with the key, which has no value where k % 47 = 0
+        "CASE WHEN readable AND k % 47 <> 0 THEN CASE WHEN k % 23 = 0 THEN 'Superseded' ELSE status END END AS status_key",
         "CASE WHEN readable THEN CASE WHEN k % 11 = 0 THEN NULL WHEN k % 97 = 0 THEN 'TBD' "
         "ELSE CAST(d + CAST(k % 75 AS INTEGER) AS VARCHAR) END END AS closing_text",
     ]
@@ -93,7 +97,9 @@ agent_row AS (
     CASE WHEN c_custkey % 19 <> 0 THEN
       DATE '1995-01-01' + CAST(c_custkey * 7 % 2400 AS INTEGER) + CAST(c_custkey % 40 AS INTEGER) END AS first_transaction,
     CASE c_custkey % 3 WHEN 0 THEN 'TC' WHEN 1 THEN 'Empower' END AS provided_by,
-    CASE WHEN c_custkey % 23 = 0 THEN 'Lost - Reassigned' END AS other_status
+    CASE WHEN c_custkey % 23 = 0 THEN 'Lost - Reassigned' END AS other_status,
+    CASE WHEN c_custkey % 23 = 0 AND c_custkey % 19 <> 0 THEN
+      DATE '1995-01-01' + CAST(c_custkey * 7 % 2400 AS INTEGER) + 100 + CAST(c_custkey % 50 AS INTEGER) END AS reassigned
   FROM customer JOIN nation ON c_nationkey = n_nationkey
     JOIN (SELECT CAST(range AS BIGINT) AS twice FROM range(1, 3)) ON twice = 1 OR c_custkey % 17 = 0
   WHERE c_custkey % 13 <> 0
@@ -131,8 +137,44 @@ def with_agents(select: str) -> str:
 # --- monthly counts -----------------------------------------------------------------------------
 
 
+class Count(NamedTuple):
+    """A monthly count as the report states it, written out here and not taken from the plan."""
+
+    kpi: int
+    state: str
+    date: str
+    statuses: tuple[str, ...]
+    teams: str | None = None
+    client: str | None = None
+    rule: str = "month"
+
+
+# The nineteen counts of the monthly report.
+COUNTS = [
+    Count(1, "CTC - Preferred Started", "started", ("CTC - Preferred - Pending",), "preferred"),
+    Count(2, "CTC - Preferred Closing", "closing", ("CTC - Preferred - Closed - Ready to BILL",), "preferred"),
+    Count(3, "CTC - Started", "started", ("CTC - Pending",), "ctc"),
+    Count(4, "CTC - Closing", "closing", ("CTC - Closed - PAID",), "ctc"),
+    Count(5, "CTC - Terminated", "closing", ("CTC - Terminated - No Charge",), "ctc"),
+    Count(6, "CTC - Withdrawn", "closing", ("CTC - Withdrawn",), "ctc"),
+    Count(7, "Client Type-Buyer", "closing", ("CTC - Closed - PAID",), "ctc", "Buyer"),
+    Count(8, "Preferred (epique) Buyer Closed", "closing", ("CTC - Preferred - Closed - Ready to BILL",), "preferred", "Buyer"),
+    Count(9, "Client Type-Seller", "closing", ("CTC - Closed - PAID",), "ctc", "Seller"),
+    Count(10, "Preferred (epique) Seller Closed", "closing", ("CTC - Preferred - Closed - Ready to BILL",), "preferred", "Seller"),
+    Count(11, "Listing - Started with Empower", "listing_started", ("Listing - Pre-Listing",)),
+    Count(12, "Listing - Paid", "listing_paid", ("Listing - PAID",)),
+    Count(13, "Compliance - Started with Empower", "compliance_started", ("Compliance",)),
+    Count(14, "Compliance - Paid", "compliance_paid", ("Compliance - PAID",)),
+    Count(15, "All Closing Current Month", "closing", ("CTC - Closed - PAID", "CTC - Preferred - Closed - Ready to BILL")),
+    Count(16, "Future Closing Next Month - Preffered", "closing", ("CTC - Preferred - Pending",), "preferred", rule="next"),
+    Count(17, "Future Closing Next Month - CTC", "closing", ("CTC - Pending",), "ctc", rule="next"),
+    Count(18, "Future Closing All Other Month - Preferred", "closing", ("CTC - Preferred - Pending",), "preferred", rule="rest"),
+    Count(19, "Future Closing All Other Month - CTC", "closing", ("CTC - Pending",), "ctc", rule="rest"),
+]
+
+
 def _kpi_where(k) -> str:
-    date = _KEY_COLUMN[k.date]
+    date = k.date
     parts = [f"status IN {_in(k.statuses)}", f"{date} >= DATE '2000-01-01'"]
     parts.append(f"{date} < DATE '{'2000-11-01' if k.rule == 'month' else '2000-12-01' if k.rule == 'next' else '2001-01-01'}'")
     if k.teams:
@@ -143,7 +185,7 @@ def _kpi_where(k) -> str:
 
 
 def _kpi_select(k) -> str:
-    date = _KEY_COLUMN[k.date]
+    date = k.date
     match = {
         "month": f"date_trunc('month', {date}) = m.month",
         "next": f"date_trunc('month', {date}) = m.month + INTERVAL 1 MONTH",
@@ -160,8 +202,8 @@ _MONTHS = (
 )
 
 
-def kpi_long(kpis=KPIS) -> str:
-    return f"WITH {DEAL}, {_MONTHS}\n" + "\nUNION ALL\n".join(_kpi_select(k) for k in kpis)
+def kpi_long(numbers=range(1, 20)) -> str:
+    return f"WITH {DEAL}, {_MONTHS}\n" + "\nUNION ALL\n".join(_kpi_select(k) for k in COUNTS if k.kpi in numbers)
 
 
 def kpi_wide() -> str:
@@ -178,8 +220,34 @@ _CALENDAR = {-1: ("2000-09-01", "2000-10-01"), 0: ("2000-10-01", "2000-11-01"),
 _CLOCK = {-1: ("2000-09-01", "2000-09-30"), 0: ("2000-10-01", "2000-10-31"), 1: ("2000-11-01", "2000-11-30")}
 
 
+class Sheet(NamedTuple):
+    title: str
+    date: str
+    months: int
+    onwards: bool = False
+    teams: str | None = None
+    client: str | None = None
+    closed_paid: bool = False
+
+
+# The eleven extracts as the report states them.
+SHEETS = {
+    "closed": Sheet("Closed Properties", "closing_date", -1, teams="ctc", closed_paid=True),
+    "current_month": Sheet("Closings-Current Month", "closing_date", 0),
+    "preferred_seller": Sheet("Preferred - Seller Closed", "closing_date", 0, teams="preferred", client="Seller"),
+    "compliance_paid": Sheet("Last Month Compliance Paid", "compliance_paid_date", -1),
+    "compliance_started": Sheet("Last Month Compliance Empower Started", "compliance_started_with_empower", -1),
+    "listing_started": Sheet("Last Month Listing Empower Started", "listing_started_with_empower", -1),
+    "listing_paid": Sheet("Last Month Listing Paid", "listing_paid_date", -1),
+    "ctc_from_next_month": Sheet("Future Closings-CTC, All Other Months", "closing_date", 1, True, "ctc"),
+    "ctc_next_month": Sheet("Future Closings-CTC, Next Month", "closing_date", 1, teams="ctc"),
+    "preferred_from_next_month": Sheet("Future Closings-Preferred, All Other Months", "closing_date", 1, True, "preferred"),
+    "preferred_next_month": Sheet("Future Closings-Preferred, Next Month", "closing_date", 1, teams="preferred"),
+}
+
+
 def extract(name: str, bounds: str = "calendar", select: str = "*", require_status: str | None = None) -> str:
-    e = EXTRACTS[name]
+    e = SHEETS[name]
     date = f"CAST({_KEY_COLUMN[e.date]} AS TIMESTAMP)"
     if bounds == "calendar":
         low, high = _CALENDAR[e.months]
@@ -196,12 +264,12 @@ def extract(name: str, bounds: str = "calendar", select: str = "*", require_stat
     if e.client:
         where.append(f"client = {_s(e.client)}")
     if require_status:
-        where.append(f"status_last = {_s(require_status)}")
+        where.append(f"status_key = {_s(require_status)}")
     added = f"strftime({date}, '%Y-%m-%d %H:%M:%S') AS {e.date}"
     if e.client:
         added += ", client AS contract_client_type"
     if e.closed_paid:
-        added += f", coalesce(status_last = {_s(fixed.CTC_CLOSED_PAID)}, FALSE) AS is_closed_paid"
+        added += ", coalesce(status_key = 'CTC - Closed - PAID', FALSE) AS is_closed_paid"
     rows = f"SELECT k AS id, {_CREATED} AS created, {_SYSTEM}, {added} FROM deal WHERE {' AND '.join(where)}"
     return with_deals(f"SELECT {select} FROM ({rows})")
 
@@ -214,11 +282,22 @@ def closed_halves() -> str:
     )
 
 
+_FIXED = (
+    "id, created, timezone, team_id, team_name, team_user_id, team_user_name, agent_id, agent_name, brokerage, "
+    "api_data, inbound_email_address"
+)
+
+
 def all_extracts() -> str:
     parts = []
-    for name, e in EXTRACTS.items():
-        system = "id, created, timezone, team_id, team_name, team_user_id, team_user_name, agent_id, agent_name, brokerage, api_data, inbound_email_address"
-        parts.append(f"({extract(name, select=f'{system}, {_s(e.title)} AS extract, {e.date} AS date')})")
+    for name, e in SHEETS.items():
+        client = "contract_client_type" if e.client else "CAST(NULL AS VARCHAR)"
+        closed = "is_closed_paid" if e.closed_paid else "CAST(NULL AS BOOLEAN)"
+        columns = (
+            f"{_FIXED}, {_s(e.title)} AS extract, {_s(e.date)} AS date_name, {e.date} AS date, "
+            f"{client} AS contract_client_type, {closed} AS is_closed_paid"
+        )
+        parts.append(f"({extract(name, select=columns)})")
     return "\nUNION ALL\n".join(f"SELECT * FROM {p}" for p in parts)
 
 
@@ -247,6 +326,9 @@ _LABEL_COLUMN = {
     "Other Amount": "other",
     "Preferred  Ai  CTC": "preferred",
     "Billing Status": "billing_status",
+    "Live on MLS Date": "live_on_mls",
+    "CTC Monthly": "ctc_monthly",
+    "Promo Notes": "promo_notes",
 }
 _SYSTEM_COLUMN = {
     "Time Zone": "'America/Chicago'",
@@ -265,6 +347,7 @@ _AGENT_COLUMN = {
     "Brokerage": "c_mktsegment",
     "Agent Provided by": "provided_by",
     "Other Status": "other_status",
+    "Reassigned Date": "CAST(reassigned AS VARCHAR)",
 }
 _NEVER = "started IS NULL AND listing_started IS NULL AND offer_started IS NULL AND compliance_started IS NULL"
 _EXCLUDED = " OR ".join(f"lower(coalesce(title, '')) LIKE '%{w}%'" for w in fixed.EXCLUDED_TITLE_WORDS)
@@ -293,10 +376,12 @@ def _curated_column(label: str) -> str:
         source = _LABEL_COLUMN.get(label, "NULL")
         if label == "Closing":
             source = _CLOSING_KEPT
-        elif label in ("Listing Started with Empower", "Listing PAID Date"):
+        elif label in ("Listing Started with Empower", "Listing PAID Date", "Live on MLS Date"):
             source = f"CASE WHEN {_BOTH_LATE} THEN NULL ELSE {source} END"
         elif label == "1st Transaction Date":
             source = "first_transaction"
+        elif label == "Reassigned Date":
+            source = "reassigned"
         return f"coalesce(CAST({source} AS TIMESTAMP), {filler}) AS {_q(label)}"
     if label in _SYSTEM_COLUMN:
         return f"{_SYSTEM_COLUMN[label]} AS {_q(label)}"
@@ -319,7 +404,7 @@ def stage_curated() -> str:
     return with_agents(f"""
 SELECT {columns}
 FROM (
-  SELECT deal.*, acc.c_mktsegment AS agent_brokerage, acc.provided_by, acc.first_transaction
+  SELECT deal.*, acc.c_mktsegment AS agent_brokerage, acc.provided_by, acc.first_transaction, acc.reassigned
   FROM deal JOIN agent_account acc ON deal.agent IS NOT DISTINCT FROM acc.title
 )
 WHERE NOT ({_EXCLUDED}) AND NOT (coalesce(tc, '') = '' AND {_NEVER}) AND NOT (coalesce(agent, '') = '' AND {_NEVER})
@@ -353,12 +438,42 @@ def stage_agent_duplicates() -> str:
     return _agents("rn > 1")
 
 
+# When a label stands in a deal's list with a value; the others always do. JSON null is a value.
+_STANDS = {
+    "Empower TC Name": "k % 31 <> 0", "CTC Started with Empower": "k % 13 <> 0", "Closing": "k % 11 <> 0",
+    "CTC PAID Date": "ctc_paid IS NOT NULL", "Listing Started with Empower": "k % 3 = 0", "Listing PAID Date": "k % 3 = 0",
+    "Live on MLS Date": "k % 3 = 0", "Offer Started with Empower": "k % 7 = 0", "Offer Prep PAID Date": "k % 7 = 0",
+    "Compliance Started with Empower": "k % 9 < 4", "Compliance PAID Date": "k % 9 < 4", "Other Amount": "k % 12 IN (0, 7)",
+    "Preferred  Ai  CTC": "k % 10 = 0", "Billing Status": "k % 53 = 0", "CTC Monthly": "k % 5 = 0", "Promo Notes": "k % 6 = 0",
+}
+_STANDS_FOR_AGENT = {
+    "Onboard Call Complete Date": "onboard IS NOT NULL", "Onboarding Status": "onboarding IS NOT NULL",
+    "1st Transaction Date": "first_transaction IS NOT NULL", "Agent Provided by": "provided_by IS NOT NULL",
+    "Other Status": "other_status IS NOT NULL", "Reassigned Date": "reassigned IS NOT NULL",
+}
+
+
+def labels_found() -> str:
+    deals = [f"SELECT {_s(c)} AS label FROM deal WHERE readable AND {_STANDS.get(c, 'TRUE')}" for c in _LABEL_COLUMN]
+    agents = [f"SELECT {_s(c)} FROM agent_row WHERE {_STANDS_FOR_AGENT.get(c, 'TRUE')}" for c in _AGENT_COLUMN]
+    return with_agents(" UNION ".join(deals + agents))
+
+
 # --- payroll ------------------------------------------------------------------------------------
 
 _PAID = {"closing": "closing", "listing": "listing_paid", "ctc": "ctc_paid", "compliance": "compliance_paid",
          "offer_prep": "offer_paid"}
 
 
+# Labels that payroll reads as dates and amounts or computes, and the coordinator, who has another name in between.
+_TYPED = [
+    "Empower TC Name", "Closing", "Listing PAID Date", "CTC PAID Date", "Offer Prep PAID Date", "Compliance PAID Date",
+    "Listing Started with Empower", "Offer Started with Empower", "Compliance Started with Empower", "Billing Amount",
+    "Listing PAID Amount", "CTC PAID Amount", "Offer Prep PAID Amount", "Compliance PAID Amount",
+    "TC Commission Rate", "TC Commission Amount",
+]
+
+
 def _half(date: str) -> tuple[str, str]:
     filled = f"coalesce({date}, DATE '1990-01-01')"
     start = f"CASE WHEN day({filled}) <= 15 THEN date_trunc('month', {filled}) ELSE date_trunc('month', {filled}) + INTERVAL 15 DAY END"
@@ -384,14 +499,19 @@ def _payroll_rows() -> str:
             "THEN 1 ELSE 0 END"
         )
 
+    texts = [label for label in fixed.TRANSACTION_LABELS if label not in _TYPED]
+    first = {**_LABEL_COLUMN, "Contract Status": "status"}
+    of_deals = ", ".join(f"CAST({first.get(t, 'NULL')} AS VARCHAR) AS {_q(t)}" for t in texts)
+    of_agents = ", ".join(f"CAST({_AGENT_COLUMN.get(t, 'NULL')} AS VARCHAR) AS {_q(t)}" for t in texts)
     everyone = f"""
   SELECT k, tc, billing, listing_amount, ctc_amount, offer_amount, compliance_amount, started, closing, ctc_paid,
-    listing_started, listing_paid, offer_started, offer_paid, compliance_started, compliance_paid FROM deal
+    listing_started, listing_paid, offer_started, offer_paid, compliance_started, compliance_paid, {of_deals} FROM deal
   UNION ALL
-  SELECT a, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM agent_row
+  SELECT a, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, {of_agents}
+  FROM agent_row
 """
     return f"""
-SELECT tc, {", ".join(columns)},
+SELECT tc, {", ".join(map(_q, texts))}, {", ".join(columns)},
   {", ".join(f"CAST(coalesce({c}, DATE '1990-01-01') AS TIMESTAMP) AS {c}_filled" for c in ("closing", "ctc_paid", "listing_paid", "offer_paid", "compliance_paid", "listing_started", "offer_started", "compliance_started"))},
   TRY_CAST(billing AS DECIMAL(18,2)) AS billing,
   CAST(0.5 AS DECIMAL(6,4)) AS rate,
@@ -433,7 +553,7 @@ def payroll_enriched() -> str:
         "Listing Started with Empower": "listing_started", "Offer Started with Empower": "offer_started",
         "Compliance Started with Empower": "compliance_started",
     }
-    columns = ["tc AS \"Empower TC Name\""]
+    columns = ["tc AS \"Empower TC Name\"", *(_q(t) for t in fixed.TRANSACTION_LABELS if t not in _TYPED)]
     columns += [f"{c}_filled AS {_q(label)}" for label, c in dates.items()]
     for period in _PAID:
         columns += [f"{period}_period_start", f"{period}_period_end", f"{period}_periode"]
@@ -470,26 +590,65 @@ GROUP BY CUBE (tc, {period})
 """)
 
 
-def payroll_matrix(mode: str, periods: list[str]) -> str:
-    cells = ", ".join(
-        f"CAST(coalesce(max(CASE WHEN periode = {_s(p)} THEN amount END), 0) AS DECIMAL(20,4)) AS {_q(p)}"
-        for p in [*periods, "Total Result"]
-    )
-    return f'SELECT "Empower TC Name", {cells} FROM ({payroll_cells(mode)}) GROUP BY "Empower TC Name"'
+def payroll_matrix(mode: str) -> str:
+    """Every coordinator by every period that occurs, as cells."""
+    return f"""
+WITH cells AS ({payroll_cells(mode)}),
+names AS (SELECT DISTINCT "Empower TC Name" FROM cells), periods AS (SELECT DISTINCT periode FROM cells)
+SELECT "Empower TC Name", periode, CAST(coalesce(amount, 0) AS DECIMAL(20,4)) AS amount
+FROM names CROSS JOIN periods LEFT JOIN cells USING ("Empower TC Name", periode)
+"""
 
 
 # --- daily update -------------------------------------------------------------------------------
 
 
-def _daily_measure(m, scope: str) -> str:
+# Statuses of the daily update.
+_DAILY_CTC = (
+    "status IN ('CTC - Closed - PAID', 'CTC - Pending', 'CTC - PAID', 'CTC - Terminated - No Charge', 'CTC - Withdrawn', "
+    "'CTC - Terminated - Compliance - PAID')"
+)
+_DAILY_PREFERRED = (
+    "status IN ('CTC - Preferred - Closed - PAID', 'CTC - Preferred - Pending', 'CTC - Preferred - PAID', "
+    "'CTC - Preferred - Terminated - No Change', 'CTC - Preferred - Withdrawn')"
+)
+_DAILY_PENDING, _DAILY_PREFERRED_PENDING = "status = 'CTC - Pending'", "status = 'CTC - Preferred - Pending'"
+_LOST = (
+    "other_status IN ('Lost  Reassigned', 'Lost  Left Empower', 'Return to Sales', 'Lost - Do Not Contact', "
+    "'Lost  Do Not Contact', 'Lost - Left Empower', 'Lost - Reassigned')"
+)
+# The measures of the daily update in order: title, date, when it counts, and of which rows.
+DEAL_MEASURES = [
+    ("Total ACTIVE Files - CTC", "closing", "active", _DAILY_CTC),
+    ("Total ACTIVE Files - CTC Preferred", "closing", "active", _DAILY_PREFERRED),
+    ("CTC Started for this month", "started", "in", _DAILY_CTC),
+    ("CTC - Preferred Started", "started", "in", _DAILY_PREFERRED),
+    ("Closings for this month", "closing", "in", _DAILY_CTC),
+    ("CTC - Preferred Closings", "closing", "in", _DAILY_PREFERRED),
+    ("CTC Pending for this month", "closing", "in", _DAILY_PENDING),
+    ("CTC - Preferred Pending for this month", "closing", "in", _DAILY_PREFERRED_PENDING),
+    ("CTC Pending for next month", "closing", "next", _DAILY_PENDING),
+    ("CTC - Preferred Pending for next month", "closing", "next", _DAILY_PREFERRED_PENDING),
+    ("CTC Pending for other months", "closing", "later", _DAILY_PENDING),
+    ("CTC - Preferred Pending for other months", "closing", "later", _DAILY_PREFERRED_PENDING),
+    ("Offers Started this month", "offer_started", "in", "TRUE"),
+    ("Compliance Started this month", "compliance_started", "in", "TRUE"),
+    ("Listing Started", "listing_started", "in", "TRUE"),
+    ("Listing PAID", "listing_paid", "in", "TRUE"),
+]
+AGENT_MEASURES = [
+    ("TC Generated Agents", "onboard", "until", "provided_by = 'TC'"),
+    ("SALES Generated Agents", "onboard", "until", "provided_by = 'Empower'"),
+    ("TOTAL Agents", "onboard", "until", "provided_by IN ('Empower', 'TC')"),
+    ("1st Transaction Agents", "onboard", "until", "onboarding = '1st Transaction'"),
+    ("Lost Agents/return to Sales", "onboard", "until", _LOST),
+    ("OB for This Month", "onboard", "in", "TRUE"),
+    ("1st Transactions for This Month", "first_transaction", "onboarded", "TRUE"),
+]
+
+
+def _daily_measure(title: str, date: str, rule: str, rows: str, scope: str) -> str:
     """The predicate on one row and one period, as the report states it."""
-    date = {
-        "start": "started", "closing": "closing", "listing": "listing_started", "listing_paid": "listing_paid",
-        "offer": "offer_started", "compliance": "compliance_started", "onboard": "onboard",
-        "first_transaction": "first_transaction",
-    }[m.date]
-    column = {"status": "status", "provided_by": "provided_by", "onboarding": "onboarding",
-              "other_status": "other_status", None: None}[m.column]
     tests = {
         "in": f"{date} >= period_start AND {date} <= period_end",
         "active": f"{date} >= current_end",
@@ -498,18 +657,14 @@ def _daily_measure(m, scope: str) -> str:
         "until": f"{date} <= period_start",
         "onboarded": f"{date} >= period_start AND {date} <= period_end AND date_trunc('month', onboard) = period_start",
     }
-    where = [tests[m.rule]]
-    if scope == "period" and m.rule in ("active", "next", "later"):
+    where = [tests[rule], rows]
+    if scope == "period" and rule in ("active", "next", "later"):
         where.append(f"date_trunc('month', {date}) = period_start")
-    if column:
-        where.append(f"{column} IN {_in(m.values)}")
-    return f"count(CASE WHEN {' AND '.join(where)} THEN 1 END) AS {_q(m.title)}"
+    return f"count(CASE WHEN {' AND '.join(where)} THEN 1 END) AS {_q(title)}"
 
 
 def daily_update(scope: str) -> str:
-    of_deals = [m for m in daily.MEASURES if m.key == "name"]
-    of_agents = [m for m in daily.MEASURES if m.key == "agent_name"]
-    titles = ", ".join(f"coalesce({_q(m.title)}, 0) AS {_q(m.title)}" for m in daily.MEASURES)
+    titles = ", ".join(f"coalesce({_q(m[0])}, 0) AS {_q(m[0])}" for m in [*DEAL_MEASURES, *AGENT_MEASURES])
     return with_agents(f"""
 , periods AS (
   SELECT CAST(m AS TIMESTAMP) AS period_start, m + INTERVAL 1 MONTH - INTERVAL 1 SECOND AS period_end,
@@ -520,11 +675,11 @@ def daily_update(scope: str) -> str:
 everyone AS (SELECT tc FROM deal UNION SELECT NULL),
 agent_filled AS (SELECT * REPLACE (coalesce(onboard, DATE '1990-01-01') AS onboard) FROM agent_row),
 by_deal AS (
-  SELECT period_start, tc, {", ".join(_daily_measure(m, scope) for m in of_deals)}
+  SELECT period_start, tc, {", ".join(_daily_measure(*m, scope) for m in DEAL_MEASURES)}
   FROM deal CROSS JOIN periods GROUP BY period_start, tc
 ),
 by_agent AS (
-  SELECT period_start, coordinator, {", ".join(_daily_measure(m, scope) for m in of_agents)}
+  SELECT period_start, coordinator, {", ".join(_daily_measure(*m, scope) for m in AGENT_MEASURES)}
   FROM agent_filled CROSS JOIN periods GROUP BY period_start, coordinator
 )
 SELECT CAST(p.period_start AS DATE) AS month, upper(strftime(p.period_start, '%B %Y')) AS period,

@@ -3,7 +3,7 @@
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dealreports import fixed
@@ -14,6 +14,7 @@ from dealreports.functions.attributes import (
     extract,
     flatten,
     labels_in,
+    parse_once,
     unreadable,
     wide_discovered,
 )
@@ -54,8 +55,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- attributes, straight from the JSON ---------------------------------------------------------
 
 _ALL = f"""
-SELECT k AS id, status, status_last, closing_text, client, tc, billing FROM deal
-UNION ALL SELECT id, 'AGENT ACCOUNT', 'AGENT ACCOUNT', NULL, NULL, NULL, NULL FROM agent_row
+SELECT k AS id, status, status_last, status_key, closing_text, client, tc, billing FROM deal
+UNION ALL SELECT id, 'AGENT ACCOUNT', 'AGENT ACCOUNT', 'AGENT ACCOUNT', NULL, NULL, NULL, NULL FROM agent_row
 """
 
 
@@ -67,8 +68,8 @@ def attr_first(spark, sf_dir):
 @register(
     "attr_last",
     sql.with_agents(
-        "SELECT id, closing_text AS closing_date, status_last AS contract_status, "
-        f"coalesce(status_last = 'CTC - Closed - PAID', FALSE) AS is_closed_paid FROM ({_ALL})"
+        "SELECT id, closing_text AS closing_date, status_key AS contract_status, "
+        f"coalesce(status_key = 'CTC - Closed - PAID', FALSE) AS is_closed_paid FROM ({_ALL})"
     ),
 )
 def attr_last(spark, sf_dir):
@@ -77,48 +78,38 @@ def attr_last(spark, sf_dir):
     return found.withColumn("is_closed_paid", equals_flag(F.col("contract_status"), fixed.CTC_CLOSED_PAID))
 
 
-_WIDE = {"Contract Status": "status", "Empower TC Name": "tc", "Billing Amount": "billing", "Contract Client Type": "client"}
+_DISCOVERED = list(dict.fromkeys([*sql._LABEL_COLUMN, *sql._AGENT_COLUMN]))
 
 
 def _wide_sql(status: str) -> str:
-    renamed = {**_WIDE, "Contract Status": status}
+    def cell(label: str, side: dict[str, str]) -> str:
+        return f"CAST({side.get(label, 'NULL')} AS VARCHAR) AS \"{label}\""
+
+    deal_side = {**sql._LABEL_COLUMN, "Closing": "closing_text", "Contract Status": status}
+    of_deals = ", ".join(cell(label, deal_side) for label in _DISCOVERED)
+    of_agents = ", ".join(cell(label, sql._AGENT_COLUMN) for label in _DISCOVERED)
     return sql.with_agents(
-        "SELECT id, " + ", ".join(f'{c} AS "{label}"' for label, c in renamed.items()) + f" FROM ({_ALL})"
+        f"SELECT k AS id, {of_deals} FROM deal UNION ALL SELECT id, {of_agents} FROM agent_row"
     )
 
 
 @register("attr_wide_first", _wide_sql("status"))
 def attr_wide_first(spark, sf_dir):
-    return extract(inputs.raw(spark, sf_dir).select("id", "field_values"), list(_WIDE), by="label")
+    return extract(inputs.raw(spark, sf_dir).select("id", "field_values"), _DISCOVERED, by="label")
 
 
 @register("attr_wide_last", _wide_sql("status_last"))
 def attr_wide_last(spark, sf_dir):
     raw = inputs.raw(spark, sf_dir).select("id", "field_values")
-    return extract(raw, list(_WIDE), by="label", keep="last", require_value=True)
-
+    return extract(raw, _DISCOVERED, by="label", keep="last", require_value=True)
 
-_DISCOVERED = {**sql._LABEL_COLUMN, **{k: v for k, v in sql._AGENT_COLUMN.items() if k not in sql._LABEL_COLUMN}}
 
-
-def _discovered_sql() -> str:
-    def cell(label: str, side: dict[str, str]) -> str:
-        return f"CAST({side.get(label, 'NULL')} AS VARCHAR) AS \"{label}\""
-
-    deal_side = {**sql._LABEL_COLUMN, "Closing": "closing_text"}
-    of_deals = ", ".join(cell(label, deal_side) for label in _DISCOVERED)
-    of_agents = ", ".join(cell(label, sql._AGENT_COLUMN) for label in _DISCOVERED)
-    return sql.with_agents(
-        f"SELECT k AS id, {of_deals} FROM deal UNION ALL SELECT id, {of_agents} FROM agent_row"
-    )
-
-
-@register("attr_discover", _discovered_sql())
+@register("attr_discover", _wide_sql("status_last"))
 def attr_discover(spark, sf_dir):
     return wide_discovered(inputs.raw(spark, sf_dir).select("id", "field_values"))
 
 
-@register("attr_unreadable", sql.with_deals("SELECT count(*) AS rejected FROM deal WHERE k % 101 = 0 AND k % 103 <> 0"))
+@register("attr_unreadable", sql.with_deals("SELECT count(*) AS rejected FROM deal WHERE (k % 101 = 0 OR k % 107 = 0) AND k % 103 <> 0"))
 def attr_unreadable(spark, sf_dir):
     return unreadable(inputs.raw(spark, sf_dir))
 
@@ -127,11 +118,12 @@ def attr_unreadable(spark, sf_dir):
     "dates_rejected",
     sql.with_deals(
         "SELECT 'closing_date' AS \"column\", count(CASE WHEN closing_text = 'TBD' THEN 1 END) AS rejected FROM deal "
-        "UNION ALL SELECT 'listing_paid_date', 0"
+        "UNION ALL SELECT unnest(['ctc_started_with_empower', 'listing_started_with_empower', 'listing_paid_date', "
+        "'compliance_started_with_empower', 'compliance_paid_date']), 0"
     ),
 )
 def dates_rejected(spark, sf_dir):
-    dates = ["closing_date", "listing_paid_date"]
+    dates = [k for k in fixed.ATTRIBUTE_KEYS if k not in ("contract_status", "contract_client_type")]
     return cal.rejected_dates(extract(inputs.raw(spark, sf_dir), dates), dates)
 
 
@@ -178,7 +170,7 @@ def calendar_columns(spark, sf_dir):
 # --- monthly counts -----------------------------------------------------------------------------
 
 
-@register("kpi_ctc_closing", sql.kpi_long([k for k in kpis.KPIS if k.kpi == 4]))
+@register("kpi_ctc_closing", sql.kpi_long([4]))
 def kpi_ctc_closing(spark, sf_dir):
     """Straight from the JSON in one job, reading only the attributes of this count."""
     spec = FlatSpec(keys=["contract_status", "closing_date"], key_dates=["closing_date"])
@@ -196,14 +188,14 @@ def kpi_wide(spark, sf_dir):
     return kpis.kpis_wide(kpi_long(spark, sf_dir), d.AS_OF)
 
 
-@register("kpi_next_month", sql.kpi_long([k for k in kpis.KPIS if k.rule == "next"]))
+@register("kpi_next_month", sql.kpi_long([16, 17]))
 def kpi_next_month(spark, sf_dir):
     return kpis.monthly_kpis(
         inputs.flat(spark, sf_dir), d.AS_OF, TEAMS, [k for k in kpis.KPIS if k.rule == "next"]
     )
 
 
-@register("kpi_rest_of_year", sql.kpi_long([k for k in kpis.KPIS if k.rule == "rest"]))
+@register("kpi_rest_of_year", sql.kpi_long([18, 19]))
 def kpi_rest_of_year(spark, sf_dir):
     return kpis.monthly_kpis(
         inputs.flat(spark, sf_dir), d.AS_OF, TEAMS, [k for k in kpis.KPIS if k.rule == "rest"]
@@ -309,13 +301,15 @@ def rule_empty_closing(spark, sf_dir):
         f"SELECT title AS \"Contract Title\", "
         f"CAST(CASE WHEN {sql._BOTH_LATE} THEN NULL ELSE listing_started END AS TIMESTAMP) AS \"Listing Started with Empower\", "
         f"CAST(CASE WHEN {sql._BOTH_LATE} THEN NULL ELSE listing_paid END AS TIMESTAMP) AS \"Listing PAID Date\", "
+        f"CAST(CASE WHEN {sql._BOTH_LATE} THEN NULL ELSE live_on_mls END AS TIMESTAMP) AS \"Live on MLS Date\", "
         f"CASE WHEN {sql._BOTH_LATE} THEN '0' ELSE listing_amount END AS \"Listing PAID Amount\" FROM deal"
     ),
 )
 def rule_empty_listing(spark, sf_dir):
     ruled = corrections.empty_listing(_typed(spark, sf_dir), d.CUTOVER_YEAR, zero_listing_amount=True)
     return col.in_order(
-        ruled, ["Contract Title", "Listing Started with Empower", "Listing PAID Date", "Listing PAID Amount"]
+        ruled,
+        ["Contract Title", "Listing Started with Empower", "Listing PAID Date", "Live on MLS Date", "Listing PAID Amount"],
     )
 
 
@@ -368,19 +362,9 @@ def exclude_never_started_agent(spark, sf_dir):
 
 # --- payroll ------------------------------------------------------------------------------------
 
-HALF_MONTHS = ["1990/01/01 - 1990/01/15"] + [
-    label
-    for year in range(1995, 2002)
-    for month in cal.months_of_year(year)
-    for label in (
-        f"{month:%Y/%m}/01 - {month:%Y/%m}/15",
-        f"{month:%Y/%m}/16 - {month:%Y/%m}/{(cal.first_of_month(month, 1) - month).days}",
-    )
-]
-
 
 def _enriched(spark, sf_dir) -> DataFrame:
-    return payroll.enrich(inputs.flat(spark, sf_dir), labels=inputs.PAYROLL_LABELS)
+    return payroll.enrich(inputs.flat(spark, sf_dir))
 
 
 register("payroll_enriched", sql.payroll_enriched())(_enriched)
@@ -388,9 +372,9 @@ for _name, _mode in (("projected", "p"), ("actual", "a")):
     register(f"payroll_cube_{_name}", sql.payroll_cells(_mode))(
         lambda spark, sf_dir, mode=_mode: payroll.payroll_cells(_enriched(spark, sf_dir), mode, d.COORDINATORS)
     )
-    register(f"payroll_{_name}", sql.payroll_matrix(_mode, HALF_MONTHS))(
-        lambda spark, sf_dir, mode=_mode: payroll.payroll_matrix(
-            _enriched(spark, sf_dir), mode, d.COORDINATORS, HALF_MONTHS
+    register(f"payroll_{_name}", sql.payroll_matrix(_mode))(
+        lambda spark, sf_dir, mode=_mode: payroll.matrix_cells(
+            payroll.payroll_matrix(_enriched(spark, sf_dir), mode, d.COORDINATORS)
         )
     )
 
@@ -412,7 +396,7 @@ for _scope in ("period", "all"):
     ),
 )
 def team_list_members(spark, sf_dir):
-    """Rows of the teams in a list file; here the file holds the teams of ten nations."""
+    """Rows of the teams in a list file; here the file holds the teams of eleven nations."""
     path = scratch_path(spark, "teams")
     nations = _table(spark, sf_dir, "nation").where("n_nationkey BETWEEN 5 AND 15")
     nations.selectExpr("concat('Team ', n_name) AS name").write.csv(path)
@@ -424,11 +408,11 @@ def team_list_members(spark, sf_dir):
     "agent_list_join",
     sql.with_agents(
         'SELECT deal.title AS "Contract Title", deal.agent AS "Empower Agent Name" '
-        "FROM deal LEFT JOIN agent_row ON deal.agent IS NOT DISTINCT FROM agent_row.title"
+        "FROM deal LEFT JOIN agent_row ON deal.agent = agent_row.title"
     ),
 )
 def agent_list_join(spark, sf_dir):
-    """The join to an agent list in CSV: repeated titles repeat the deal."""
+    """The join to an agent list in CSV: repeated titles repeat the deal, rows without a title name nobody."""
     path = scratch_path(spark, "agents")
     flat = inputs.flat(spark, sf_dir)
     agents = staging.agent_rows(flat, ["Contract Title", "Brokerage", "Agent Provided by"])
@@ -453,7 +437,7 @@ def _write_pages(spark, sf_dir) -> str:
         }
     )
     others = ", ".join(c for c in rest.columns if c != "field_values")
-    items = "CASE WHEN field_values LIKE '[%' THEN field_values ELSE 'null' END"
+    items = "CASE WHEN field_values LIKE '[%]' THEN field_values ELSE 'null' END"
     record = f"concat('{{\"field_values\":', {items}, ',', substr(to_json(struct({others})), 2))"
     rest.selectExpr(f"{record} AS value").write.text(path)
     return path
@@ -508,40 +492,122 @@ def sink_roundtrip(spark, sf_dir):
     return spark.read.parquet(paths["Overview"])
 
 
-@register("sink_csv_roundtrip", sql.extract("preferred_seller", select="CAST(id AS VARCHAR) AS id, team_name, closing_date"))
+def _csv(spark, path: str, columns: list[str]) -> DataFrame:
+    return spark.read.option("header", True).option("escape", '"').csv(path).select(*columns)
+
+
+def _csv_sql(rows: str, numbers: str = "id, team_id, team_user_id, agent_id", flags: str = "") -> str:
+    """All columns as the CSV shows them: numbers as text, flags capitalised, no value as NULL again."""
+    texts = [f"CAST({n} AS VARCHAR) AS {n}" for n in numbers.split(", ")]
+    texts += [f"CASE {f} WHEN TRUE THEN 'True' WHEN FALSE THEN 'False' END AS {f}" for f in flags.split()]
+    return f"SELECT * REPLACE ({', '.join(texts)}) FROM ({rows})"
+
+
+@register("sink_csv_roundtrip", _csv_sql(sql.extract("preferred_seller")))
 def sink_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "extract")
     rows = QUERIES["extract_preferred_seller"](spark, sf_dir)
-    if not reports.write_extract(rows, path):
-        return rows.select(F.col("id").cast("string"), "team_name", "closing_date")
-    return spark.read.option("header", True).csv(path).select("id", "team_name", "closing_date")
+    reports.write_extract(rows, path)
+    return _csv(spark, path, rows.columns)
 
 
-@register("sink_per_team", f"SELECT workbook, sheet, count(*) AS n FROM ({sql.closed_halves()}) GROUP BY ALL")
+@register("sink_empty_extract", _csv_sql(f"SELECT * FROM ({sql.extract('preferred_seller')}) WHERE id < 0"))
+def sink_empty_extract(spark, sf_dir):
+    """An extract without rows: the sheet has its header, and the writer says so."""
+    path = scratch_path(spark, "extract")
+    rows = QUERIES["extract_preferred_seller"](spark, sf_dir).where("id < 0")
+    if reports.write_extract(rows, path):
+        raise AssertionError("rows in an empty extract")
+    return _csv(spark, path, rows.columns)
+
+
+@register("sink_sheet_replaced", _csv_sql(sql.extract("current_month")))
+def sink_sheet_replaced(spark, sf_dir):
+    """A sheet that is written over another one, all cells rendered."""
+    path = reports.sheet_path(scratch_path(spark, "sheets"), "closings", "Current")
+    reports.write_sheet(QUERIES["extract_closed"](spark, sf_dir), path, fmt="csv")
+    rows = QUERIES["extract_current_month"](spark, sf_dir)
+    reports.write_sheet(rows, path, fmt="csv")
+    return _csv(spark, path, rows.columns)
+
+
+@register(
+    "sink_plain_csv",
+    "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation",
+)
+def sink_plain_csv(spark, sf_dir):
+    path = scratch_path(spark, "plain")
+    rows = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    reports.write_csv(rows, path)
+    return _csv(spark, path, rows.columns)
+
+
+@register("sink_all_extracts", _csv_sql(sql.all_extracts(), flags="is_closed_paid"))
+def sink_all_extracts(spark, sf_dir):
+    """The scheduled extracts, read back from their folders."""
+    paths = workbooks.write_extracts(inputs.flat(spark, sf_dir), scratch_path(spark, "workbooks"), d.AS_OF, TEAMS)
+    rows = spark.read.parquet(paths["extracts"])
+    return rows.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in rows.columns])
+
+
+@register("sink_per_team", _csv_sql(sql.closed_halves(), flags="is_closed_paid"))
 def sink_per_team(spark, sf_dir):
-    path = scratch_path(spark, "closed")
-    rows = closed_halves(spark, sf_dir)
-    reports.write_split(rows, path, ["workbook", "sheet"])
-    back = spark.read.schema(rows.schema).parquet(path)
-    return back.groupBy("workbook", "sheet").agg(F.count("*").alias("n"))
+    """Last month's closings, a folder for each half and team, read back."""
+    paths = workbooks.write_extracts(inputs.flat(spark, sf_dir), scratch_path(spark, "workbooks"), d.AS_OF, TEAMS)
+    rows = spark.read.parquet(paths["closed_properties"])
+    return rows.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in rows.columns])
 
 
-@register("sink_per_month", f"SELECT period AS sheet, count(*) AS n FROM ({sql.daily_update('period')}) GROUP BY ALL")
+@register("sink_per_month", f'SELECT * EXCLUDE (month) RENAME (period AS sheet) FROM ({sql.daily_update("period")})')
 def sink_per_month(spark, sf_dir):
     root = scratch_path(spark, "workbooks")
-    path = workbooks.write_daily_update(inputs.flat(spark, sf_dir), root, d.YEAR, d.AS_OF)
-    return spark.read.parquet(path).groupBy("sheet").agg(F.count("*").alias("n"))
+    return spark.read.parquet(workbooks.write_daily_update(inputs.flat(spark, sf_dir), root, d.YEAR, d.AS_OF))
+
+
+@register(
+    "stage_newest_first",
+    sql.with_agents(
+        'SELECT created AS "Date Created", count(*) AS n, row_number() OVER (ORDER BY created DESC) AS place '
+        "FROM agent_account GROUP BY created"
+    ),
+)
+def stage_newest_first(spark, sf_dir):
+    """The agent accounts as the sheet has them: at which place each date comes."""
+    rows = staging.newest_first(staging.agent_accounts(inputs.flat(spark, sf_dir), ["Contract Title"]))
+    placed = rows.withColumn("at", F.monotonically_increasing_id())
+    dates = placed.groupBy("Date Created").agg(F.count("*").alias("n"), F.min("at").alias("at"))
+    # a row for each date; a date that came in two places would stand before one it is older than
+    return dates.withColumn("place", F.row_number().over(Window.orderBy("at"))).drop("at")
+
+
+@register(
+    "periods_of_year",
+    f"""
+SELECT upper(strftime(m, '%B %Y')) AS period, CAST(m AS TIMESTAMP) AS period_start,
+  CAST(m + INTERVAL 1 MONTH AS TIMESTAMP) - INTERVAL 1 SECOND AS period_end,
+  CAST(m + INTERVAL 1 MONTH AS TIMESTAMP) AS next_start,
+  CAST(m + INTERVAL 2 MONTH AS TIMESTAMP) - INTERVAL 1 SECOND AS next_end,
+  greatest(CAST(m + INTERVAL 1 MONTH AS TIMESTAMP) - INTERVAL 1 SECOND, {sql.AS_OF}) AS current_end
+FROM ({sql.with_deals("SELECT DISTINCT date_trunc('month', started) AS m FROM deal WHERE started IS NOT NULL")})
+""",
+)
+def periods_of_year(spark, sf_dir):
+    """The months with a contract start, each expanded to its bounds."""
+    starts = inputs.flat(spark, sf_dir).select(F.expr(cal.date_sql("labels.`CTC Started with Empower`")).alias("start"))
+    months = starts.select(cal.month_start("start").alias("period_start")).na.drop().distinct()
+    return cal.expanded(months, d.AS_OF)
 
 
 @register(
     "render_cells",
     """
 SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
-  coalesce(CAST(user_id AS VARCHAR), '') AS user_id, coalesce(replace(props, chr(10), ' '), '') AS props FROM events
+  coalesce(CAST(user_id AS VARCHAR), '') AS user_id, coalesce(replace(props, chr(10), ' '), '') AS props,
+  coalesce(event_type, '') AS event_type FROM events
 """,
 )
 def render_cells(spark, sf_dir):
-    return render.render_on_one_line(_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props"))
+    return render.render_on_one_line(_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props", "event_type"))
 
 
 # --- the operators on other tables --------------------------------------------------------------
@@ -583,15 +649,14 @@ FROM (
   SELECT n_name, CAST(o_totalprice AS DECIMAL(18,2)) AS price, strftime(o_orderdate, '%Y/%m/') ||
     CASE WHEN day(o_orderdate) <= 15 THEN '01 - ' || strftime(o_orderdate, '%Y/%m/15')
     ELSE '16 - ' || strftime(last_day(o_orderdate), '%Y/%m/%d') END AS half
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  WHERE year(o_orderdate) = 2000)
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
 GROUP BY CUBE (n_name, half)
 """
 
 
 @register("orders_half_month_totals", _NATIONS)
 def orders_half_month_totals(spark, sf_dir):
-    orders = _table(spark, sf_dir, "orders").where(cal.in_year("o_orderdate", 2000))
+    orders = _table(spark, sf_dir, "orders")
     customer, nation = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation")
     rows = (
         orders.join(customer, orders.o_custkey == customer.c_custkey)
@@ -605,18 +670,18 @@ def orders_half_month_totals(spark, sf_dir):
     return counting.cells_with_totals(rows, "n_name", "half", "price")
 
 
-_EVENTS = "SELECT event_id, ts, user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS rn FROM events"
+_EVENTS = "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS rn FROM events"
 
 
-@register("newest_event_per_user", f"SELECT event_id, ts, user_id, event_type FROM ({_EVENTS}) WHERE rn = 1")
+@register("newest_event_per_user", f"SELECT * EXCLUDE (rn) FROM ({_EVENTS}) WHERE rn = 1")
 def newest_event_per_user(spark, sf_dir):
-    events = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    events = _table(spark, sf_dir, "events")
     return matching.newest_per(events, "user_id", "ts", "event_id")
 
 
-@register("older_events_per_user", f"SELECT event_id, ts, user_id, event_type FROM ({_EVENTS}) WHERE rn > 1")
+@register("older_events_per_user", f"SELECT * EXCLUDE (rn) FROM ({_EVENTS}) WHERE rn > 1")
 def older_events_per_user(spark, sf_dir):
-    events = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    events = _table(spark, sf_dir, "events")
     return matching.duplicates_of_newest(events, "user_id", "ts", "event_id")
 
 
@@ -647,11 +712,7 @@ def documents_with_match_flag(spark, sf_dir):
     return matching.left_match(documents, _table(spark, sf_dir, "labels"), "doc_id", "doc_id")
 
 
-# the labels an exploration finds
-@register(
-    "labels_found",
-    "SELECT unnest([" + ", ".join(f"'{label}'" for label in _DISCOVERED) + "]) AS label",
-)
+@register("labels_found", sql.labels_found())
 def labels_found(spark, sf_dir):
-    found = labels_in(inputs.raw(spark, sf_dir))
-    return spark.range(1).select(F.explode(F.array(*[F.lit(label) for label in found])).alias("label"))
+    """The labels an exploration finds."""
+    return labels_in(parse_once(inputs.raw(spark, sf_dir).select("field_values")))

@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dealreports.sinks.render import render, render_on_one_line
@@ -16,10 +16,15 @@ def _folder(name: str) -> str:
     return name.replace("%", "%25").replace("/", "%2F").replace(":", "%3A")
 
 
-def write_sheet(df: DataFrame, path: str, fmt: str = "parquet", skip_empty: bool = False) -> bool:
-    """Creates or replaces one sheet. With ``skip_empty`` an empty table writes nothing and gives False."""
-    if skip_empty and df.isEmpty():
-        return False
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` and the number of its rows, told by the same pass that writes it."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def write_sheet(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
+    """Creates or replaces one sheet; False if it has no rows. A sheet without rows has its header only."""
+    df, seen = _counted(df)
     if fmt == "parquet":
         df.write.mode("overwrite").parquet(path)
     elif fmt == "csv":
@@ -28,7 +33,7 @@ def write_sheet(df: DataFrame, path: str, fmt: str = "parquet", skip_empty: bool
         df.write.mode("overwrite").json(path)
     else:
         raise ValueError(f"unknown format {fmt!r}")
-    return True
+    return seen.get["rows"] > 0
 
 
 def write_report(
@@ -39,9 +44,10 @@ def write_report(
     fmt: str = "parquet",
     skip_empty: bool = False,
 ) -> dict[str, str]:
-    """Several tables as the sheets of one workbook; gives the path of every written sheet.
+    """Several tables as the sheets of one workbook; gives the path of every sheet.
 
-    Either a mapping of titles to tables, or tables and as many ``titles``.
+    Either a mapping of titles to tables, or tables and as many ``titles``. With ``skip_empty`` sheets without rows
+    are left out of the answer.
     """
     if not isinstance(frames, Mapping):
         if titles is None or len(titles) != len(frames):
@@ -52,15 +58,15 @@ def write_report(
     if not frames:
         raise ValueError("a report needs at least one table")
     paths = {title: sheet_path(root, workbook, title) for title in frames}
-    return {title: paths[title] for title, df in frames.items() if write_sheet(df, paths[title], fmt, skip_empty)}
+    has_rows = {title: write_sheet(df, paths[title], fmt) for title, df in frames.items()}
+    return {title: paths[title] for title in frames if has_rows[title] or not skip_empty}
 
 
 def write_extract(df: DataFrame, path: str) -> bool:
-    """One extract as CSV with header, every cell on one line; nothing is written when there are no rows."""
-    if df.isEmpty():
-        return False
+    """One extract as CSV with header, every cell on one line; False, and the header only, when there are no rows."""
+    df, seen = _counted(df)
     render_on_one_line(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
-    return True
+    return seen.get["rows"] > 0
 
 
 def write_split(df: DataFrame, root: str, by: Sequence[str], fmt: str = "parquet") -> None:

@@ -85,15 +85,16 @@ def _json_list(items: list[str]) -> str:
     return f"concat('[', concat_ws(',', {', '.join(items)}), ']')"
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
+ROWS_OF_TASK = 20_000
+
+
+def _spread(df: DataFrame, key: str, rows: int) -> DataFrame:
     """The JSON text is a hundred times the row it comes from, so the rows are spread evenly before it is made.
 
-    Neither the size of the files nor the skew of the join says how long a task would take. The number is fixed
-    because adaptive execution would put small rows together again.
+    Neither the size of the files nor the skew of the join says how long a task would take. The number of tasks
+    follows the number of rows, and is given because adaptive execution would put small rows together again.
     """
-    spark = df.sparkSession
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(tasks, key)
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_OF_TASK)), key)
 
 
 def _properties(df: DataFrame, row_id: str, created: str, field_values: str) -> DataFrame:
@@ -116,7 +117,7 @@ def _properties(df: DataFrame, row_id: str, created: str, field_values: str) ->
 
 def _from_orders(orders: DataFrame, agents: DataFrame) -> DataFrame:
     joined = orders.join(agents, orders.o_custkey == agents.c_custkey)
-    rows = _spread(joined, "o_orderkey").withColumnsRenamed({"o_orderkey": "k"})
+    rows = _spread(joined, "o_orderkey", orders.count()).withColumnsRenamed({"o_orderkey": "k"})
     rows = rows.withColumn("d", F.to_date("o_orderdate"))
     closing = _plus("d", "k % 75")
     listing, offer, compliance = "k % 3 = 0", "k % 7 = 0", "k % 9 < 4"
@@ -159,15 +160,22 @@ def _from_orders(orders: DataFrame, agents: DataFrame) -> DataFrame:
             _item("Other Amount", """'"75"'""", "k % 12 IN (0, 7)"),
             _item("Preferred  Ai  CTC", """'"Yes"'""", "k % 10 = 0"),
             _item("Billing Status", """'"Compliance - PAID"'""", "k % 53 = 0"),
+            _item("Live on MLS Date", _date(_plus("d", "k % 22")), listing),
+            _item("CTC Monthly", """CASE WHEN k % 3 = 0 THEN '""' ELSE '"25"' END""", "k % 5 = 0"),
+            _item("Promo Notes", """CASE WHEN k % 4 = 0 THEN '""' ELSE '"Spring"' END""", "k % 6 = 0"),
             _item("Contract Status", """'"Superseded"'""", "k % 23 = 0"),
+            """CASE WHEN k % 47 = 0 THEN '{"key":"contract_status","label":"Contract Status"}' END""",
         ]
     )
-    field_values = f"CASE WHEN k % 103 = 0 THEN NULL WHEN k % 101 = 0 THEN 'not json' ELSE {attributes} END"
+    field_values = (
+        f"CASE WHEN k % 103 = 0 THEN NULL WHEN k % 101 = 0 THEN 'not json' "
+        f"WHEN k % 107 = 0 THEN concat({attributes}, ' [') ELSE {attributes} END"
+    )
     return _properties(rows, "k", "o_orderdate", field_values)
 
 
 def _from_agents(agents: DataFrame) -> DataFrame:
-    rows = _spread(agents.where("c_custkey % 13 <> 0"), "c_custkey").selectExpr(
+    rows = _spread(agents.where("c_custkey % 13 <> 0"), "c_custkey", agents.count()).selectExpr(
         "*",
         "c_custkey AS a",
         "explode(CASE WHEN c_custkey % 17 = 0 THEN array(1, 2) ELSE array(1) END) AS twice",
@@ -185,6 +193,7 @@ def _from_agents(agents: DataFrame) -> DataFrame:
             _item("Brokerage", _text("c_mktsegment")),
             _item("Agent Provided by", """CASE WHEN a % 3 = 0 THEN '"TC"' ELSE '"Empower"' END""", "a % 3 <> 2"),
             _item("Other Status", """'"Lost - Reassigned"'""", "a % 23 = 0"),
+            _item("Reassigned Date", _date(_plus(onboard, "100 + a % 50")), "a % 23 = 0 AND a % 19 <> 0"),
         ]
     )
     return _properties(rows, "a + twice * 10000000", created, attributes)

@@ -81,7 +81,24 @@ def test_discovery_gives_the_union_of_labels_and_keeps_every_row(texts, spark):
     assert wide.columns == ["id", "x", "y"]
     assert {tuple(r) for r in wide.collect()} == {(1, "2", None), (2, None, "z"), (3, None, None)}
     with pytest.raises(ValueError):
-        A.labels_in(df, most=1)
+        A.label_names(A.parse_once(df), most=1)
+    assert {r["label"] for r in A.labels_in(A.parse_once(df)).collect()} == {"x", "y"}
+
+
+def test_text_that_is_more_than_one_list_is_unreadable(spark):
+    whole = '[{"key":"a","label":"A","value":1}]'
+    rest = [" xx", "]", "[2]", ",[2]", "] [", " [", ',"z"', "]]", " {}"]
+    rows = [(i, whole + r) for i, r in enumerate(rest)] + [(100, f" {whole}\n"), (101, '[{"key":"a","value":NaN}]'), (102, whole[:-1])]
+    df = spark.createDataFrame(rows, "id int, field_values string")
+    got = {r["id"]: r["a"] for r in A.extract(df, ["a"]).collect()}
+    assert got == {i: "1" if i == 100 else None for i, _ in rows}
+    assert A.unreadable(df).first()["rejected"] == len(rows) - 1
+
+
+def test_one_parse_for_each_row(spark):
+    df = spark.createDataFrame([(1, "[]")], "id int, field_values string")
+    plan = A.extract(df, ["a", "b"]).where("a = 'x'")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
 
 
 def test_unreadable_counts_set_text_only(texts):

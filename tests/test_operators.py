@@ -133,6 +133,8 @@ def test_totals_are_the_sums_of_the_cells_and_null_keys_drop(spark):
         ("b", "4.0000", "0.0000", "4.0000"),
         ("Total Result", "5.0000", "2.0000", "7.0000"),
     }
+    with pytest.raises(Exception, match="no column q"):
+        counting.totals_matrix(cells, "r", "c", ["p"]).collect()
 
 
 def test_distinct_values_are_sorted_and_not_null(spark):

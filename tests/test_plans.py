@@ -69,10 +69,11 @@ def test_daily_update_aggregates_before_every_exchange(spark, sf_dir):
 
 def test_flatten_moves_no_row(spark, sf_dir):
     from dealreports.functions.attributes import flatten
+    from dealreports.plans.workbooks import ALL_ATTRIBUTES
     from dealreports.sources.tables import PROPERTIES
 
     raw = spark.createDataFrame([], PROPERTIES)
-    text = plan(flatten(raw, inputs.FLAT))
+    text = plan(flatten(raw, ALL_ATTRIBUTES))
     assert "Exchange" not in text and text.count("from_json") == 1
 
 

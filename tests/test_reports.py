@@ -1,5 +1,6 @@
 """Monthly counts, extracts, staging and payroll on hand-written records."""
 
+import re
 from datetime import datetime
 from decimal import Decimal
 
@@ -111,6 +112,7 @@ def test_onwards_extracts_contain_next_month(flat_of):
         "Future Closings-CTC, All Other Months": {1, 2, 3},
         "Future Closings-CTC, Next Month": {1},
     }
+    assert {(r["date_name"], r["contract_client_type"], r["is_closed_paid"]) for r in everything} == {("closing_date", None, None)}
 
 
 def deal(i, title="Deal", tc="TC", agent="Ann", **more):
@@ -235,3 +237,23 @@ def test_matrix_with_totals(enriched):
     }
     with pytest.raises(ValueError):
         payroll.payroll_cells(enriched, "x", ["A"])
+
+
+def test_cells_add_up_to_the_totals(enriched):
+    for mode in "pa":
+        for row in payroll.payroll_matrix(enriched, mode, ["A", "B"]).collect():
+            assert sum(row[1:-1]) == row["Total Result"]
+        cells = payroll.matrix_cells(payroll.payroll_matrix(enriched, mode, ["A", "B"]))
+        assert cells.columns == ["Empower TC Name", "periode", "amount"]
+        found = {r["periode"] for r in payroll.periods_in(enriched, mode, ["A", "B"]).collect()}
+        assert {r["periode"] for r in cells.collect()} == found | {"Total Result"}
+
+
+def test_curation_reads_only_the_joined_labels(flat_of, spark, tmp_path):
+    path = str(tmp_path / "flat")
+    flat_of([account(1, "Ann"), deal(2)]).write.parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 100_000)
+    plan = staging.curated_transactions(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    agents = min(re.findall(r"ReadSchema: (.*)", plan), key=len)
+    assert "Onboarding Status" not in agents and "Reassigned Date" in agents
