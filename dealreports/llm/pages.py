@@ -138,12 +138,13 @@ def _make_room(stack: list[Node], name: str) -> None:
                 break
     if name in CLOSED_BY:
         closed, within = CLOSED_BY[name]
+        cut = len(stack)
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].name in within:
                 break
             if stack[i].name in closed:
-                del stack[i:]
-                break
+                cut = i
+        del stack[cut:]
 
 
 def nodes(root: Node) -> list[Node]:

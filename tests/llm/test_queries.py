@@ -1,0 +1,79 @@
+import re
+
+import compare
+import pytest
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from dealreports.llm.queries import ORACLE, QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_sql(spark, sf_dir, name):
+    assert compare.differences(compare.connect(sf_dir), QUERIES[name](spark, sf_dir), ORACLE[name]) == ""
+
+
+def test_one_query_for_each_operator():
+    numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
+    assert numbers == list(range(1, 11))
+    assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
+
+
+@pytest.mark.parametrize("name", ["op1_languages", "op3_fingerprints", "op4_segmentations", "op5_shards"])
+def test_one_row_for_each_document(spark, sf_dir, name):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
+    out = QUERIES[name](spark, sf_dir)
+    assert sorted(r[0] for r in out.select("doc_id").collect()) == sorted(r[0] for r in documents.collect())
+
+
+def test_stages_one_by_one(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, kept = kept, corpus_pipeline.written(stage(spark, kept, sf_dir), name)
+        assert kept.schema == docs.schema
+        assert kept.select("doc_id").exceptAll(before.select("doc_id")).isEmpty()
+    last = corpus_pipeline.as_tokens(spark, kept, sf_dir).cache()
+    assert sorted(r[0] for r in last.select("doc_id").collect()) == sorted(r[0] for r in kept.select("doc_id").collect())
+    assert last.where("not exact").isEmpty()
+
+
+def test_stages_against_brute_force(spark, sf_dir, docs_of):
+    from test_near_duplicates import brute as groups
+    from test_near_duplicates import corpus
+    from test_substrings import brute as passages
+
+    rows = corpus(3)
+    text = dict(rows)
+    docs = docs_of(rows + [(20_000, "123 456"), (20_001, "only once")])
+    stages = dict(corpus_pipeline.STAGES)
+    first = stages["language"](spark, docs, sf_dir)
+    ids = lambda df: sorted(r[0] for r in df.select("doc_id").collect())
+    assert ids(first) == sorted([d for d, t in rows if re.search(r"[^\W\d_]", t or "")] + [20_001])
+    rest = [(r["doc_id"], r["text"]) for r in first.collect()]
+    second = stages["near_duplicates"](spark, first, sf_dir)
+    assert ids(second) == sorted(d for d, (_, _, kept) in groups(rest).items() if kept)
+    rest = [(d, t) for d, t in rest if d in set(ids(second))]
+    third = stages["repeated_passages"](spark, second, sf_dir)
+    want = {d: (kept if gone else text.get(d, "only once")) for d, _, gone, _, kept in passages(rest) if kept or not gone}
+    assert {r["doc_id"]: r["text"] for r in third.collect()} == want
+    fourth = stages["benchmarks"](spark, third, sf_dir)
+    assert ids(fourth) == sorted(want)
+
+
+def test_odd_rows_pass_all_stages(spark, sf_dir, docs_of, clashing):
+    rows = [(1, None), (2, ""), (None, "a text without id"), (3, "same words here"), (3, "same words here"), (4, "Same WORDS here"), (5, "x" * 30_000)]
+    docs = clashing(docs_of(rows)).drop("ids", "score")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        columns = docs.columns
+        docs = corpus_pipeline.written(stage(spark, docs, sf_dir), "stage")
+        assert docs.columns == columns
+    last = corpus_pipeline.as_tokens(spark, docs, sf_dir)
+    assert sorted(str(r["doc_id"]) for r in last.collect()) == ["3", "5", "None"]
+
+
+def test_no_documents(spark, sf_dir, docs_of):
+    docs = docs_of([])
+    for _, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(stage(spark, docs, sf_dir), "stage")
+    assert docs.count() == 0
