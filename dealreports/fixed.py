@@ -439,6 +439,7 @@ PREFERRED_BILLING_AMOUNT = "99"
 STANDARD_BILLING_AMOUNT = "400"
 CUTOVER_YEAR = 2021
 
+# The two lists below are not given anywhere but follow from those above; staging takes others as ``Lists``.
 # A transaction has the ordered columns less those that come from the system or the agent account.
 TRANSACTION_LABELS = [
     c for c in ORDER_COLUMNS if c not in SYSTEM_COLUMNS.values() and c not in AGENT_FIELDS

@@ -33,14 +33,6 @@ def in_order(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[quoted(n) for n in names])
 
 
-def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    return df.drop(*names)
-
-
-def rename_system(df: DataFrame) -> DataFrame:
-    return df.withColumnsRenamed(SYSTEM_COLUMNS)
-
-
 def side_by_side(df: DataFrame, group: str, labels: Iterable[str], *first: str) -> DataFrame:
     """The renamed system columns and some attributes of the flat table next to each other."""
     return df.selectExpr(
@@ -79,10 +71,6 @@ def to_money(text: str) -> str:
     return f"try_cast({text} AS {MONEY})"
 
 
-def constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
-    return df.withColumns({name: F.lit(value) for name, value in values.items()})
-
-
 def sum_of(amounts: Iterable[str]) -> str:
     """Row-wise sum where a missing amount counts as nothing."""
     return f"CAST({' + '.join(f'coalesce({a}, 0)' for a in amounts)} AS {MONEY})"

@@ -209,16 +209,3 @@ def daily_update(
     report = fill_counts(shown, [m.title for m in MEASURES])
     report = report.withColumn("period", long_month_label("month")).withColumnRenamed("name", NAME)
     return in_order(report, ["month", "period", NAME, *[m.title for m in MEASURES]])
-
-
-def monthly_sheets(report: DataFrame, year: int) -> dict[str, DataFrame]:
-    """One table per month, by its label, in order. Give a written report: each table reads it again.
-
-    ``sinks.reports.write_split(report, root, ["period"])`` writes all months in one job instead.
-    """
-    found = sorted(r["month"] for r in report.select("month").distinct().collect())  # at most twelve
-    return {
-        month.strftime("%B %Y").upper(): report.where(F.col("month") == F.lit(month)).drop("month", "period")
-        for month in found
-        if month.year == year
-    }

@@ -17,12 +17,6 @@ def one_line(text: Column) -> Column:
     return F.translate(text, "\n\r", " ")
 
 
-def timestamps_as_text(df: DataFrame) -> DataFrame:
-    """Every timestamp column as text to the second; NULL stays NULL."""
-    stamps = (T.TimestampNTZType, T.TimestampType)
-    return df.withColumns({f.name: as_seconds(named(f.name)) for f in df.schema if isinstance(f.dataType, stamps)})
-
-
 def _cell(f: T.StructField) -> Column:
     value = named(f.name)
     if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):

@@ -85,8 +85,3 @@ def write_split(df: DataFrame, root: str, by: Sequence[str], fmt: str = "parquet
 def write_csv(df: DataFrame, path: str) -> None:
     """Plain CSV export with header."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
-
-
-def to_json_lines(df: DataFrame) -> DataFrame:
-    """One JSON text per row."""
-    return df.select(F.to_json(F.struct("*")).alias("value"))

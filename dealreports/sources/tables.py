@@ -36,10 +36,11 @@ def read_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("name string").csv(path, enforceSchema=True).where("name IS NOT NULL")
 
 
-def list_values(names: DataFrame, most: int = 10_000) -> list[str]:
-    """A list file as Python strings, for column lists; refuses a table that is no list file."""
-    rows = names.select("name").limit(most + 1).collect()
-    if len(rows) > most:
+def list_values(names: DataFrame, most: int | None = None) -> list[str]:
+    """A list file as Python strings, for column lists; ``most`` refuses more names than so many."""
+    names = names.select("name")
+    rows = (names if most is None else names.limit(most + 1)).collect()
+    if most is not None and len(rows) > most:
         raise ValueError(f"more than {most} names: join on them instead")
     return [r["name"] for r in rows]
 

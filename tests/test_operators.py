@@ -10,8 +10,9 @@ from dealreports.functions.calendar import months_of_year
 
 
 def test_system_columns_are_renamed(spark):
-    df = spark.createDataFrame([("z", "t", "u", "c", "a")], "timezone string, team_name string, team_user_name string, created string, agent_name string")
-    assert col.rename_system(df).columns == ["Time Zone", "Team", "Team User", "Date Created", "Created By"]
+    df = spark.createDataFrame([("z", "t", "u", "c", "a", ("x",))], "timezone string, team_name string, team_user_name string, created string, agent_name string, labels struct<`A B`: string>")
+    renamed = col.side_by_side(df, "labels", ["A B"])
+    assert renamed.columns == ["Time Zone", "Team", "Team User", "Date Created", "Created By", "A B"]
 
 
 def test_fills(spark):
@@ -20,8 +21,6 @@ def test_fills(spark):
     assert [tuple(r) for r in filled.collect()] == [("none", "none", None), ("x", "0", datetime(2024, 1, 1))]
     assert col.fill_dates(df, ["d"], datetime(1899, 12, 30)).first()["d"] == datetime(1899, 12, 30)
     assert col.in_order(df, ["c", "a b"]).columns == ["c", "a b"]
-    assert col.without(df, ["c"]).columns == ["a b", "d"]
-    assert col.constants(df, {"rate": 0.5}).first()["rate"] == 0.5
 
 
 def test_dates_before_none_fill_stay_dates(spark):
