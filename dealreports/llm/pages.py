@@ -55,6 +55,10 @@ NOT_TEXT_WORDS = frozenset(
     "pager popup promo promoted promotion related replies respond share sharing sidebar signup social sponsor sponsored "
     "subscribe toolbar widget".split()
 )
+# Within an article these words mark its own parts; on an article or main element only those of the second list count.
+HEADING_WORDS = frozenset("header banner masthead".split())
+ARTICLE_NOT_TEXT_WORDS = frozenset("comment comments replies respond ad ads advert advertisement related sponsored promo".split())
+ARTICLES = frozenset("article main".split())
 LINK_DENSE = 0.5  # parts of the content with more of their characters in links, and a low density, are left out
 
 _TAG = re.compile(
@@ -157,8 +161,8 @@ def nodes(root: Node) -> list[Node]:
     return out
 
 
-def _unwanted(node: Node) -> bool:
-    if node.name in NOT_TEXT:
+def _unwanted(node: Node, in_article: bool) -> bool:
+    if node.name in NOT_TEXT or node.name == "header" and not in_article:
         return True
     a = node.attributes
     if not a:
@@ -167,8 +171,20 @@ def _unwanted(node: Node) -> bool:
         return True
     if a.get("role", "").lower() in NOT_TEXT_ROLES:
         return True
-    named = f"{a.get('class', '')} {a.get('id', '')}".lower()
-    return node.name not in ("body", "html", "main", "article") and not NOT_TEXT_WORDS.isdisjoint(re.split(r"[^a-z]+", named))
+    words = set(re.split(r"[^a-z]+", f"{a.get('class', '')} {a.get('id', '')}".lower()))
+    if node.name in ARTICLES:
+        return not ARTICLE_NOT_TEXT_WORDS.isdisjoint(words)
+    return not NOT_TEXT_WORDS.isdisjoint(words - HEADING_WORDS if in_article else words)
+
+
+def _without_unwanted(body: Node) -> None:
+    """Takes out what is never main text; it has no part in the densities either."""
+    waiting = [(body, False)]
+    while waiting:
+        node, in_article = waiting.pop()
+        in_article = in_article or node.name in ARTICLES
+        node.children = [c for c in node.children if isinstance(c, str) or not _unwanted(c, in_article)]
+        waiting += [(c, in_article) for c in node.children if isinstance(c, Node)]
 
 
 def _measure(order: list[Node]) -> None:
@@ -201,12 +217,7 @@ def main_node(root: Node) -> tuple[Node, float]:
     """The node of the main content and the density threshold of its path from the body."""
     order = nodes(root)
     body = next((n for n in order if n.name == "body"), root)
-    within = nodes(body)
-    for node in within:  # what is never main text has no part in the densities
-        node.children = [
-            c for c in node.children
-            if isinstance(c, str) or not _unwanted(c) and (c.name != "header" or node.name in ("article", "main", "section"))
-        ]
+    _without_unwanted(body)
     within = nodes(body)
     _measure(within)
     _score(within, body)

@@ -41,12 +41,19 @@ def test_content_in_plain_divisions():
         "<section role='navigation'>Go on</section>", "<div hidden>Not seen</div>", "<div style='display: none'>Not seen</div>",
         "<p aria-hidden='true'>x</p>", "<div class='related posts'>More</div>", "<noscript>Switch it on</noscript>",
         "<!-- a note --><script>document.write('<p>x</p>')</script>", "<template><p>x</p></template>", "<aside>Aside</aside>",
+        "<section id='comments'><article class='comment'><p>I was there too</p></article></section>",
+        "<article class='related'><p>Read on</p></article>", "<div class='article-footer'>Printed by us</div>",
     ],
 )
 def test_parts_that_are_not_text(part):
     assert text(f"<article><p>{LONG}</p>{part}<p>{LONG}</p></article>") == f"{LONG}{LONG}".strip()
 
 
+def test_an_article_has_its_heading():
+    body = f"<div class='page-header'>Site</div><header>Top</header><article><header><h1>Bridge</h1></header><div class='entry-header'>By A. B.</div><p>{LONG}</p></article>"
+    assert text(body) == f"Bridge By A. B. {LONG}".strip()
+
+
 def test_formatting_breaks_and_references():
     body = f"<article><p>A <b>bold</b>&nbsp;word&amp;more &lt;tag&gt; &#8364;&#x20AC; caf&eacute;<br>next  line\n{LONG}</p><ul><li>one<li>two</ul></article>"
     assert text(body) == f"A bold word&more <tag> €€ café next line {LONG}one two"
