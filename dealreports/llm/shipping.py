@@ -1,6 +1,7 @@
-"""Sends the package to the executors' Python workers, as ``--py-files`` would."""
+"""Lets Python workers import the package in local mode, where nobody passes ``--py-files``."""
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -12,9 +13,9 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Once per application; workers that can import the package already use the same code."""
+    """Once per application. On a cluster the package is installed there or comes by ``--py-files``."""
     context = spark.sparkContext
-    if context.applicationId in _shipped:
+    if not re.match(r"local(\[|$)", context.master) or context.applicationId in _shipped:
         return
     top = os.path.dirname(os.path.abspath(dealreports.__file__))
     path = os.path.join(tempfile.mkdtemp(prefix="dealreports-"), "dealreports_package.zip")
