@@ -4,7 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import record
+from records import record
 
 from dealreports import fixed
 from dealreports.plans import daily

@@ -5,7 +5,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import record
+from records import record
 
 from dealreports import fixed
 from dealreports.plans import extracts, kpis, payroll, staging

@@ -2,7 +2,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import record
+from records import record
 
 from dealreports.plans import workbooks
 from dealreports.sinks import render, reports
