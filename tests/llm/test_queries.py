@@ -47,17 +47,19 @@ def test_stages_against_brute_force(spark, sf_dir, docs_of):
     text = dict(rows)
     docs = docs_of(rows + [(20_000, "123 456"), (20_001, "only once")])
     stages = dict(corpus_pipeline.STAGES)
-    first = stages["language"](spark, docs, sf_dir)
+    run = lambda name, df: corpus_pipeline.written(stages[name](spark, df, sf_dir), name)
     ids = lambda df: sorted(r[0] for r in df.select("doc_id").collect())
+    first = run("language", docs)
     assert ids(first) == sorted([d for d, t in rows if re.search(r"[^\W\d_]", t or "")] + [20_001])
     rest = [(r["doc_id"], r["text"]) for r in first.collect()]
-    second = stages["near_duplicates"](spark, first, sf_dir)
+    second = run("near_duplicates", first)
     assert ids(second) == sorted(d for d, (_, _, kept) in groups(rest).items() if kept)
-    rest = [(d, t) for d, t in rest if d in set(ids(second))]
-    third = stages["repeated_passages"](spark, second, sf_dir)
+    left = set(ids(second))
+    rest = [(d, t) for d, t in rest if d in left]
+    third = run("repeated_passages", second)
     want = {d: (kept if gone else text.get(d, "only once")) for d, _, gone, _, kept in passages(rest) if kept or not gone}
     assert {r["doc_id"]: r["text"] for r in third.collect()} == want
-    fourth = stages["benchmarks"](spark, third, sf_dir)
+    fourth = run("benchmarks", third)
     assert ids(fourth) == sorted(want)
 
 
