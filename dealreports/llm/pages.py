@@ -7,9 +7,10 @@ density is
     C / T * log(C * T / (LC * LT)) / log(log(C / notLC * LC + C_body / LC_body * C + e))
 
 with counts of 0 taken as 1 (``notLC`` are the characters outside links): characters per tag, adjusted by links. The
-density sum of a node adds up the densities of its children. The main content is the subtree with the largest density
-sum whose own density, and that of all nodes up to the body, is not below the smallest density on the path from the
-body to the node with the largest density sum. Within it menus, forms, adverts, comments and the like are left out by
+density sum of a node adds up the densities of its children. The threshold is the smallest density on the path from
+the body to the node with the largest density sum. The main content is every subtree whose density reaches it, taken as
+high below the body as it does and whole; article and main elements that hold most of such a subtree's text are taken
+instead of it, with what is dense beside them, and headings go with what they stand before. Within the content menus, forms, adverts, comments and the like are left out by
 their tags, roles and class names, as are parts with a lower density than the threshold that hold mostly links.
 """
 
@@ -59,6 +60,7 @@ NOT_TEXT_WORDS = frozenset(
 HEADING_WORDS = frozenset("header banner masthead".split())
 ARTICLE_NOT_TEXT_WORDS = frozenset("comment comments replies respond ad ads advert advertisement related sponsored promo".split())
 ARTICLES = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LINK_DENSE = 0.5  # parts of the content with more of their characters in links, and a low density, are left out
 
 _TAG = re.compile(
@@ -213,8 +215,19 @@ def _score(order: list[Node], body: Node) -> None:
         node.total = sum(c.density for c in node.children if isinstance(c, Node))
 
 
-def main_node(root: Node) -> tuple[Node, float]:
-    """The node of the main content and the density threshold of its path from the body."""
+def _articles(order: list[Node]) -> dict[int, int]:
+    """For each node the characters outside links that article and main elements hold, itself or below."""
+    held: dict[int, int] = {}
+    for node in reversed(order):
+        if node.name in ARTICLES:
+            held[id(node)] = node.chars - node.link_chars
+        else:
+            held[id(node)] = sum(held[id(c)] for c in node.children if isinstance(c, Node))
+    return held
+
+
+def main_nodes(root: Node) -> tuple[list[Node], float]:
+    """The subtrees of the main content in page order and the density threshold of the path from the body."""
     order = nodes(root)
     body = next((n for n in order if n.name == "body"), root)
     _without_unwanted(body)
@@ -227,14 +240,37 @@ def main_node(root: Node) -> tuple[Node, float]:
     while id(path[-1]) in parents:
         path.append(parents[id(path[-1])])
     threshold = min(n.density for n in path)
-    # The whole of the content: the highest node of the path, below the body, that is as dense as the threshold asks.
-    chosen = body
-    for node in reversed(path):
-        if node.density < threshold or node.total < best.total:
+    taken, held = {id(n) for n in path}, _articles(within)  # taken whatever their density: the path, and headings
+
+    def whole(node: Node) -> bool:
+        if node.name in ARTICLES:
+            return True
+        if 2 * held[id(node)] > node.chars - node.link_chars:  # what an article or main element holds is looked for in it
+            return False
+        own = node.chars - sum(c.chars for c in node.children if isinstance(c, Node))
+        return node is not body or node is best or 2 * own > node.chars - node.link_chars
+
+    # The highest nodes that are as dense as the threshold asks; the body, which is on the path, only if the text is its own.
+    chosen, waiting = [], [body]
+    while waiting:
+        node = waiting.pop()
+        reaches = node.chars and (id(node) in taken or node.density >= threshold)
+        if reaches and whole(node):
+            chosen.append(node)
             continue
-        chosen = node
-        break
-    return (chosen if chosen.chars else body), threshold
+        inner = [c for c in node.children if isinstance(c, Node)]
+        for child, after in reversed([*zip(inner, [*inner[1:], None])]):
+            if _heads(child, after) and (id(after) in taken or after.density >= threshold):
+                taken.add(id(child))
+            waiting.append(child)
+    return chosen or [body], threshold
+
+
+def _heads(node: Node, after: Node | None) -> bool:
+    """Whether a node is the heading of the node after it, which has none of that rank itself."""
+    if node.name not in HEADINGS or after is None or 2 * node.link_chars > node.chars:
+        return False
+    return after.chars > 0 and all(n.name != node.name for n in nodes(after))
 
 
 def blocks(node: Node, threshold: float = 0.0) -> list[str]:
@@ -272,8 +308,8 @@ def main_text(source: str | None) -> str:
     """The main text of a page: blocks joined by one space; a NULL or empty page has none."""
     if not source:
         return ""
-    chosen, threshold = main_node(parse(source))
-    return " ".join(blocks(chosen, threshold))
+    chosen, threshold = main_nodes(parse(source))
+    return " ".join(text for node in chosen for text in blocks(node, threshold))
 
 
 def with_main_text(pages: DataFrame) -> DataFrame:

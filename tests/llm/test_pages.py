@@ -119,3 +119,39 @@ def test_odd_rows(spark, clashing):
     found = sorted(((r["page_id"] or 0, r["n_chars"], r["text"][:5]) for r in out.collect()))
     assert found == [(0, 1, "x"), (1, 0, ""), (2, 0, ""), (3, 1, "a"), (3, 499_999, "word ")]
     assert pages.with_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+PARAGRAPH = f"<p>{LONG * 4}</p>"
+
+
+def words(body):
+    return text(body).split()
+
+
+def inside(part):
+    return html.unescape(re.sub(r"<[^>]*>", " ", part)).split()
+
+
+@pytest.mark.parametrize(
+    "article",
+    [
+        f"<section>{PARAGRAPH * 12}</section><section>{PARAGRAPH * 10}</section>",
+        f"<section>{PARAGRAPH * 5}</section><section>{PARAGRAPH * 4}</section>",
+        f"<h1>Bridge</h1><div>{PARAGRAPH * 5}</div>",
+        f"<h1>Bridge</h1>{PARAGRAPH * 2}<ul>{'<li>one of the many points of the talk</li>' * 30}</ul>",
+        f"<h1>Bridge</h1>{PARAGRAPH * 2}<table>{'<tr><td>May</td><td>12</td></tr>' * 30}</table><p>End</p>",
+    ],
+)
+def test_the_whole_of_an_article(article):
+    outside = f"<div><a href='/a'>Home</a> <a href='/b'>News</a></div>{MENU}", "<div>Imprint</div>"
+    for tag in ("article", "main"):
+        assert words(f"{outside[0]}<div id='wrapper'><{tag}>{article}</{tag}>{outside[1]}</div>") == inside(article)
+    assert words(f"{MENU}<div id='content'>{article}</div>") == inside(article)
+    assert words(article) == inside(article)
+
+
+def test_articles_beside_each_other_and_text_of_the_body():
+    first, second = f"<article><h2>One</h2>{PARAGRAPH * 9}</article>", f"<article><h2>Two</h2>{PARAGRAPH * 4}</article>"
+    assert words(f"<div><h1>Both</h1>{first}{second}</div>") == ["Both", *inside(first + second)]
+    plain = f"{LONG * 5}<br><br>{LONG * 4}"
+    assert words(f"{plain}<div class='x'><p>A short note</p></div>") == [*inside(plain), "A", "short", "note"]
