@@ -11,7 +11,8 @@ density sum of a node adds up the densities of its children. The threshold is th
 the body to the node with the largest density sum. The main content is every subtree whose density reaches it, taken as
 high below the body as it does and whole; article and main elements that hold most of such a subtree's text are taken
 instead of it, with what is dense beside them, and headings go with what they stand before. Within the content menus, forms, adverts, comments and the like are left out by
-their tags, roles and class names, as are parts with a lower density than the threshold that hold mostly links.
+their tags, roles and class names. Link blocks inside article and main elements stay; elsewhere lists and divisions of
+several links with a lower density than the threshold are left out.
 """
 
 import html
@@ -61,7 +62,9 @@ HEADING_WORDS = frozenset("header banner masthead".split())
 ARTICLE_NOT_TEXT_WORDS = frozenset("comment comments replies respond ad ads advert advertisement related sponsored promo".split())
 ARTICLES = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-LINK_DENSE = 0.5  # parts of the content with more of their characters in links, and a low density, are left out
+# Outside articles, these parts are left out if their density is low and more of their characters are in several links.
+LISTS = frozenset("ul ol dl dir div section center".split())
+LINK_DENSE = 0.5
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -284,24 +287,28 @@ def blocks(node: Node, threshold: float = 0.0) -> list[str]:
         if text:
             out.append(text)
 
-    waiting: list = [node]
+    waiting: list = [(node, False)]
     while waiting:
-        item = waiting.pop()
+        item, in_article = waiting.pop()
         if isinstance(item, str):
             pieces.append(item)
         elif item is None:
             flush()
-        elif item is node or not _link_part(item, threshold):
+        elif in_article or item is node or not _link_list(item, threshold):
             if item.name in BLOCK:
                 flush()
-                waiting.append(None)
-            waiting.extend(reversed(item.children))
+                waiting.append((None, False))
+            in_article = in_article or item.name in ARTICLES
+            waiting.extend((c, in_article) for c in reversed(item.children))
     flush()
     return out
 
 
-def _link_part(node: Node, threshold: float) -> bool:
-    return node.name in BLOCK and node.density < threshold and node.link_chars > LINK_DENSE * node.chars > 0
+def _link_list(node: Node, threshold: float) -> bool:
+    """Whether a part is a menu by its looks: several links and little else."""
+    if node.name not in LISTS or node.density >= threshold or node.link_chars <= LINK_DENSE * node.chars:
+        return False
+    return sum(n.name == "a" and n.chars > 0 for n in nodes(node)) > 1
 
 
 def main_text(source: str | None) -> str:

@@ -155,3 +155,24 @@ def test_articles_beside_each_other_and_text_of_the_body():
     assert words(f"<div><h1>Both</h1>{first}{second}</div>") == ["Both", *inside(first + second)]
     plain = f"{LONG * 5}<br><br>{LONG * 4}"
     assert words(f"{plain}<div class='x'><p>A short note</p></div>") == [*inside(plain), "A", "short", "note"]
+
+
+LINKED = [
+    "<h2><a href='/x'>A linked heading</a></h2>", "<p><a href='/x'>Read the whole report</a></p>",
+    "<ol><li><a href='/1'>First source</a></li><li><a href='/2'>Second source</a></li></ol>",
+    "<table><tr><td><a href='/1'>One</a></td><td><a href='/2'>Two</a></td></tr></table>",
+]
+
+
+@pytest.mark.parametrize("part", LINKED)
+def test_link_blocks_of_an_article_stay(part):
+    article = f"{PARAGRAPH * 3}{part}{PARAGRAPH * 2}{part}"
+    for tag in ("article", "main"):
+        assert words(f"{MENU}<div><{tag}>{article}</{tag}></div>") == inside(article)
+        assert words(f"<{tag}><section><div>{article}</div></section></{tag}>") == inside(article)
+
+
+def test_link_blocks_of_plain_divisions():
+    menu = "".join(f"<li><a href='/{i}'>Link number {i}</a></li>" for i in range(15))
+    article = f"{LINKED[0]}{PARAGRAPH * 3}{LINKED[1]}{PARAGRAPH}{LINKED[3]}"
+    assert words(f"<div id='wrapper'><ul>{menu}</ul><div><div><ul>{menu}</ul></div></div><div id='content'>{article}</div></div>") == inside(article)
