@@ -47,8 +47,8 @@ CLOSES_P = BLOCK - frozenset("body br button caption dd details head html legend
 FORMAT = frozenset("abbr b bdi bdo br cite code data dfn em font i kbd mark q s samp small span strong sub sup time tt u var wbr".split())
 # Parts that are never main text, by element, by role, and by words of class and id.
 NOT_TEXT = frozenset(
-    "nav footer aside form script style noscript template iframe object svg canvas button select textarea input "
-    "head menu dialog label fieldset".split()
+    "nav footer aside script style noscript template iframe object svg canvas button select textarea input "
+    "head menu dialog label".split()
 )
 NOT_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog".split())
 NOT_TEXT_WORDS = frozenset(
@@ -57,6 +57,13 @@ NOT_TEXT_WORDS = frozenset(
     "pager popup promo promoted promotion related replies respond share sharing sidebar signup social sponsor sponsored "
     "subscribe toolbar widget".split()
 )
+FORMS = frozenset("form fieldset".split())  # some hold the whole page
+# Words of compound names that tell about layout, and first words of names that tell about what lies beside a part.
+LAYOUT_WORDS = frozenset(
+    "area bar block body bottom box buttons col column container content form holder icons inner item items left link "
+    "links list main outer panel posts right row section slot text thread top unit wrap wrapper zone".split()
+)
+BESIDE_WORDS = frozenset("has no with without".split())
 # Within an article these words mark its own parts; on an article or main element only those of the second list count.
 HEADING_WORDS = frozenset("header banner masthead".split())
 ARTICLE_NOT_TEXT_WORDS = frozenset("comment comments replies respond ad ads advert advertisement related sponsored promo".split())
@@ -167,6 +174,7 @@ def nodes(root: Node) -> list[Node]:
 
 
 def _unwanted(node: Node, in_article: bool) -> bool:
+    """Whether a part is no text by its element, its role or as it is hidden."""
     if node.name in NOT_TEXT or node.name == "header" and not in_article:
         return True
     a = node.attributes
@@ -174,26 +182,83 @@ def _unwanted(node: Node, in_article: bool) -> bool:
         return False
     if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(a.get("style", "")):
         return True
-    if a.get("role", "").lower() in NOT_TEXT_ROLES:
-        return True
-    words = set(re.split(r"[^a-z]+", f"{a.get('class', '')} {a.get('id', '')}".lower()))
-    if node.name in ARTICLES:
-        return not ARTICLE_NOT_TEXT_WORDS.isdisjoint(words)
-    return not NOT_TEXT_WORDS.isdisjoint(words - HEADING_WORDS if in_article else words)
+    return a.get("role", "").lower() in NOT_TEXT_ROLES
+
+
+def _named(node: Node, in_article: bool) -> tuple[int, bool]:
+    """How far class and id name a part as no text: 0 not, 1 perhaps, 2 surely; and whether as comments, adverts or such.
+
+    A name is the last of a token's words that does not tell about layout: ``article-footer``, ``cookie-bar``. Before
+    other words (``social-history``) it may mean something else; ``has-sidebar`` tells about what lies beside.
+    """
+    if node.name in FORMS:
+        return 2, False
+    listed = ARTICLE_NOT_TEXT_WORDS if node.name in ARTICLES else NOT_TEXT_WORDS - HEADING_WORDS if in_article else NOT_TEXT_WORDS
+    level, alien = 0, False
+    for token in f"{node.attributes.get('class', '')} {node.attributes.get('id', '')}".lower().split():
+        words = re.findall("[a-z]+", token)
+        if listed.isdisjoint(words) or words[0] in BESIDE_WORDS:
+            continue
+        while words[-1] in LAYOUT_WORDS:
+            words.pop()
+        if words[-1] in listed:
+            level, alien = 2, alien or words[-1] in ARTICLE_NOT_TEXT_WORDS
+        else:
+            level = max(level, 1)
+    return level, alien
 
 
-def _without_unwanted(body: Node) -> None:
-    """Takes out what is never main text; it has no part in the densities either."""
+def _without(body: Node, unwanted) -> None:
     waiting = [(body, False)]
     while waiting:
         node, in_article = waiting.pop()
         in_article = in_article or node.name in ARTICLES
-        node.children = [c for c in node.children if isinstance(c, str) or not _unwanted(c, in_article)]
+        node.children = [c for c in node.children if isinstance(c, str) or not unwanted(c, in_article)]
         waiting += [(c, in_article) for c in node.children if isinstance(c, Node)]
 
 
+def _without_unwanted(body: Node) -> None:
+    """Takes out what is never main text; it has no part in the densities either.
+
+    Names are weighed against the text: a part stays if it holds most of the text of articles, or of all text where
+    there are none. Comments and the like stay only if no article is outside of them. A doubtful name counts for a
+    part that is mostly links or less than half as dense as the body.
+    """
+    _without(body, _unwanted)
+    order = nodes(body)
+    _measure(order)
+    _score(order, body)
+    names: dict[int, tuple[int, bool]] = {}
+    waiting = [(body, False, False)]
+    outside = 0  # articles that are in no part named as comments or the like
+    while waiting:
+        node, in_article, in_alien = waiting.pop()
+        names[id(node)] = _named(node, in_article) if node is not body and (node.attributes or node.name in FORMS) else (0, False)
+        in_alien = in_alien or names[id(node)] == (2, True)
+        in_article = in_article or node.name in ARTICLES
+        outside += node.name in ARTICLES and not in_alien and node.chars > node.link_chars
+        waiting += [(c, in_article, in_alien) for c in node.children if isinstance(c, Node)]
+    if not any(level for level, _ in names.values()):
+        return
+    held = _articles(order, {k for k, name in names.items() if name == (2, True)})
+    all_held, plain_body = held[id(body)], body.chars - body.link_chars
+
+    def named_unwanted(node: Node, in_article: bool) -> bool:
+        level, alien = names[id(node)]
+        if not level or not node.chars:
+            return level == 2
+        plain = node.chars - node.link_chars
+        most = 2 * held[id(node)] > all_held if all_held else 2 * plain > plain_body and not alien
+        if most and not (alien and (outside or node.name in ARTICLES)):
+            return False
+        return level == 2 or 2 * plain < node.chars or 2 * node.density < body.density
+
+    _without(body, named_unwanted)
+
+
 def _measure(order: list[Node]) -> None:
     for node in reversed(order):
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
         inside = node.name == "a"
         for child in node.children:
             if isinstance(child, str):
@@ -218,11 +283,11 @@ def _score(order: list[Node], body: Node) -> None:
         node.total = sum(c.density for c in node.children if isinstance(c, Node))
 
 
-def _articles(order: list[Node]) -> dict[int, int]:
+def _articles(order: list[Node], but: set[int] = frozenset()) -> dict[int, int]:
     """For each node the characters outside links that article and main elements hold, itself or below."""
     held: dict[int, int] = {}
     for node in reversed(order):
-        if node.name in ARTICLES:
+        if node.name in ARTICLES and id(node) not in but:
             held[id(node)] = node.chars - node.link_chars
         else:
             held[id(node)] = sum(held[id(c)] for c in node.children if isinstance(c, Node))

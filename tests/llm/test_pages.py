@@ -176,3 +176,39 @@ def test_link_blocks_of_plain_divisions():
     menu = "".join(f"<li><a href='/{i}'>Link number {i}</a></li>" for i in range(15))
     article = f"{LINKED[0]}{PARAGRAPH * 3}{LINKED[1]}{PARAGRAPH}{LINKED[3]}"
     assert words(f"<div id='wrapper'><ul>{menu}</ul><div><div><ul>{menu}</ul></div></div><div id='content'>{article}</div></div>") == inside(article)
+
+
+@pytest.mark.parametrize("names", ["id='content' class='content has-sidebar'", "class='layout with-nav'", "class='page sidebar'", "id='sidebar-left'"])
+def test_names_of_what_holds_the_article(names):
+    article = f"<h1>Bridge</h1>{PARAGRAPH * 4}"
+    side = f"<div class='sidebar'><p>{LONG}</p></div>"
+    assert words(f"{MENU}<div {names}><article>{article}</article>{side}</div>{side}") == inside(article)
+    assert words(f"{MENU}<div {names}><main>{article}</main></div>") == inside(article)
+    assert words(f"{MENU}<div {names}>{article}</div>{side}") == inside(article)
+    assert words(f"<form id='page'><div {names}><article>{article}</article>{side}</div></form>") == inside(article)
+
+
+@pytest.mark.parametrize("name", ["social-history", "share-price", "cookie-recipes", "with-banner"])
+def test_names_that_mean_something_else(name):
+    article = f"{PARAGRAPH * 3}<section class='{name}'><h2>More</h2>{PARAGRAPH * 2}</section>{PARAGRAPH}"
+    assert words(f"{MENU}<article>{article}</article>") == inside(article)
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        f"<div class='comments'><article>{PARAGRAPH * 9}</article></div>", f"<div id='comment-list'>{PARAGRAPH * 9}</div>",
+        f"<section class='related-posts'><article class='card'>{PARAGRAPH}</article></section>",
+        f"<div class='sidebar-inner'>{PARAGRAPH}</div>", "<div class='share-this'><a href='/s'>Share</a> it</div>",
+        f"<div class='cookie-bar'>{PARAGRAPH}</div>", f"<form>{PARAGRAPH}</form>",
+    ],
+)
+def test_named_parts_that_go(part):
+    article = f"<article>{PARAGRAPH * 4}</article>"
+    assert words(f"{MENU}<div>{article}{part}</div>") == inside(article)
+    assert words(f"{MENU}<div class='has-sidebar'>{part}{article}</div>") == inside(article)
+
+
+def test_a_doubtful_name_of_a_page_that_is_mostly_links():
+    article, links = f"<article>{PARAGRAPH}</article>", "<ul><li><a href='/x'>One of the many links of this page</a></li></ul>" * 60
+    assert words(f"<div class='nav-open'>{links}{article}</div>") == inside(article)
