@@ -191,58 +191,68 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     if fits(items):
         found = with_matches(docs, items).select("doc_id", F.inline("matches"))
     else:
-        found = _joined(docs, items)
+        found = _joined(docs, items).select("doc_id", F.inline("matches"))
     return found.withColumn("coverage", F.col("covered_tokens") / F.col("item_tokens"))
 
 
 def _joined(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """As ``contaminated``, for benchmarks of any size: seeds of documents and items meet in a join."""
+    """As ``with_matches``, for benchmarks of any size: seeds of documents and items meet in a join.
+
+    ``docs`` may have other columns; rows without a match are left out. Texts meet by a hash of them, not by ids: equal
+    texts match alike. Texts with equal hashes only add pairs, for the tiles are made for every row's own text.
+    """
+    key, item_key = unused(docs, "text_key"), unused(docs, "item_key")
+    column, item_text, item_id = unused(docs, "matches"), unused(docs, "item_text"), unused(docs, "item_id")
 
     def seeds(batches):
         for batch in batches:
             for chunk in arrays.chunks(batch.column(1)):
                 found = arrays.words(chunk.data, chunk.offsets, True, arrays.MARKS)
                 grams = arrays.runs(found.hashes, SEED)
-                lists = [
-                    grams[lo : max(lo, hi - SEED + 1)]
-                    for lo, hi in zip(found.first[:-1].tolist(), found.first[1:].tolist())
-                ]
-                rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+                bounds = [*zip(found.first[:-1].tolist(), found.first[1:].tolist())]
+                lists = [grams[lo : max(lo, hi - SEED + 1)] for lo, hi in bounds]
+                counts = [len(x) for x in lists]
+                rows = np.repeat(np.arange(len(lists)), counts)
                 flat = np.concatenate([*lists, np.zeros(0, dtype=np.uint64)]).view(np.int64)
-                ids = batch.column(0)[chunk.rows].take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(flat)], names=["id", "seed"])
-
-    schema = "id long, seed long"
-    of_items = items.select("item_id", "text").mapInArrow(seeds, schema).withColumnRenamed("id", "item_id")
-    of_docs = docs.mapInArrow(seeds, schema).withColumnRenamed("id", "doc_id")
+                keys = batch.column(0)[chunk.rows].take(pa.array(rows))
+                sizes = np.repeat(np.array([hi - lo for lo, hi in bounds], dtype=np.int64), counts)
+                yield pa.RecordBatch.from_arrays([keys, pa.array(flat), pa.array(sizes)], names=["key", "seed", "tokens"])
+
+    schema = "key long, seed long, tokens long"
+    docs = docs.withColumn(key, F.xxhash64("text"))
+    items = items.select(
+        F.col("item_id").alias(item_id), F.col("text").alias(item_text), F.xxhash64("text").alias(item_key)
+    )
+    of_items = items.select(item_key, item_text).distinct().mapInArrow(seeds, schema).withColumnRenamed("key", "item")
+    of_docs = docs.select(key, "text").mapInArrow(seeds, schema).select("key", "seed").distinct()
     # So many places of an item begin a shared seed; tiles cover at most SEED tokens for each.
-    places = of_items.groupBy("item_id", "seed").agg(F.count("*").alias("places"))
-    tokens = of_items.groupBy("item_id").agg((F.count("*") + (SEED - 1)).alias("tokens"))
-    pairs = of_docs.distinct().join(places, "seed").groupBy("doc_id", "item_id").agg(F.sum("places").alias("shared"))
-    pairs = pairs.join(tokens, "item_id").where(SEED * F.col("shared") >= COVERAGE * F.col("tokens"))
-    pairs = written(pairs, "pairs")
-    both = (
-        pairs.select("doc_id", "item_id").join(docs, "doc_id")
-        .join(items.select("item_id", F.col("text").alias("item_text")), "item_id")
-        .select("doc_id", "text", "item_id", "item_text")
-    )
+    places = of_items.groupBy("item", "seed").agg(F.count("*").alias("places"), F.min("tokens").alias("tokens"))
+    pairs = of_docs.join(places, "seed").groupBy("key", "item")
+    pairs = pairs.agg(F.sum("places").alias("shared"), F.min("tokens").alias("tokens"))
+    pairs = pairs.where(SEED * F.col("shared") >= COVERAGE * F.col("tokens"))
+    pairs = written(pairs.select(F.col("key").alias(key), F.col("item").alias(item_key)), "pairs")
+    both = pairs.join(docs, key).join(items, item_key).drop(key, item_key)
+    at = [both.columns.index(c) for c in ("text", item_id, item_text)]
+    kept = [i for i, c in enumerate(both.columns) if c not in (item_id, item_text)]
 
     def rows(batches):
         for batch in batches:
             for i in range(len(batch)):
                 row = batch.slice(i, 1)
-                item = Benchmark(row.column(2).to_pylist(), row.column(3).to_pylist())
-                out = [m for c in arrays.chunks(row.column(1)) for m in matches(item, c.data, c.offsets)]
-                yield pa.RecordBatch.from_arrays([row.column(0), _as_array(out)], names=["doc_id", "matches"])
+                item = Benchmark(row.column(at[1]).to_pylist(), row.column(at[2]).to_pylist())
+                out = [m for c in arrays.chunks(row.column(at[0])) for m in matches(item, c.data, c.offsets)]
+                if out[0]:
+                    left = row.select(kept)
+                    yield pa.RecordBatch.from_arrays([*left.columns, _as_array(out)], names=[*left.schema.names, column])
 
-    schema = T.StructType().add("doc_id", "long").add("matches", MATCHES)
-    return both.mapInArrow(rows, schema).select("doc_id", F.inline("matches"))
+    fields = [both.schema.fields[i] for i in kept]
+    return both.mapInArrow(rows, T.StructType([*fields, T.StructField(column, MATCHES)]))
 
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, with all their columns."""
     if not fits(items):
-        bad = _joined(docs.select("doc_id", "text"), items).select("doc_id").distinct()
-        return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+        bad = _joined(docs.select("text"), items).select("text").distinct()
+        return docs.join(bad, "text", "left_anti").select(docs.columns)
     column = unused(docs, "matches")
     return with_matches(docs, items, column).where(F.size(column) == 0).drop(column)

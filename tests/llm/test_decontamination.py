@@ -91,3 +91,27 @@ def test_a_very_long_text_and_an_item_twice(docs_of, spark):
     items = spark.createDataFrame([(1, ITEM), (1, ITEM)], "item_id long, text string")
     found = dec.contaminated(docs_of([(1, long), (2, f"{long} {ITEM} {long}")]), items)
     assert [(r["doc_id"], r["item_id"]) for r in found.collect()] == [(2, 1), (2, 1)]
+
+
+def both_ways(monkeypatch, docs, items):
+    out = []
+    for sent in (1 << 20, 0):
+        monkeypatch.setattr(dec, "SENT_BYTES", sent)
+        found = dec.contaminated(docs, items).collect()
+        left = dec.decontaminated(docs, items)
+        assert left.columns == docs.columns
+        out.append((sorted(map(tuple, found), key=str), sorted(map(tuple, left.collect()), key=str)))
+    return out
+
+
+def test_sent_and_joined_give_the_same_rows(docs_of, spark, clashing, monkeypatch):
+    short, long = "one two three four five six seven eight nine ten", " ".join(f"w{i}" for i in range(100))
+    items = [*ITEMS, (10, ITEM), (20, short), (20, long), (None, "a b c d e f g")]
+    extra = [(1, "a clean row"), (2, ITEM), (2, ITEM), (None, "clean"), (None, None), (30, f"x {short} y"), (31, "a b c d e f g")]
+    docs = clashing(docs_of(rows() + extra))
+    sent, joined = both_ways(monkeypatch, docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert sent == joined
+    pairs = [r[:2] for r in sent[0]]
+    assert (None, 10) in pairs and (30, 20) in pairs and (31, None) in pairs
+    assert pairs.count((2, 10)) == 6  # three rows, an item that is given twice
+    assert sorted((r[0] for r in sent[1]), key=str) == sorted([1, 4, 5, 6, 7, 8, None, None], key=str)
