@@ -4,7 +4,9 @@ A word is a run of bytes other than space and the control characters 9 to 13, so
 are never split. Words are 64-bit values of a polynomial over random byte values, finished by a mixing step.
 """
 
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -55,17 +57,24 @@ class Words(NamedTuple):
 
 
 def words(
-    data: np.ndarray, offsets: np.ndarray, lower: bool = False, separators: np.ndarray = WHITE
+    data: np.ndarray, offsets: np.ndarray, lower: bool = False, separators: np.ndarray = WHITE,
+    marks: np.ndarray | None = None, cuts: np.ndarray | None = None,
 ) -> Words:
-    """The words of texts that lie one after another in ``data``, text i from ``offsets[i]``."""
+    """The words of texts that lie one after another in ``data``, text i from ``offsets[i]``.
+
+    No word goes on past the places ``cuts``; bytes at the places ``marks`` are in no word.
+    """
     if lower:
         data = _LOWER[data]
     n = len(data)
     inside = np.zeros(n + 2, dtype=bool)
     np.logical_not(separators[data], out=inside[1:-1])
+    if marks is not None:
+        inside[1:-1][marks] = False
     begins = inside[1:-1] & ~inside[:-2]
     ends = inside[1:-1] & ~inside[2:]
-    inner = offsets[(offsets > 0) & (offsets < n)]
+    inner = offsets if cuts is None else np.concatenate([offsets, cuts])
+    inner = inner[(inner > 0) & (inner < n)]
     begins[inner] = inside[1:-1][inner]  # a text never continues the word that the one before ends with
     ends[inner - 1] = inside[1:-1][inner - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
@@ -76,6 +85,53 @@ def words(
     return Words(hashes, start, end, np.searchsorted(start, offsets), data)
 
 
+# Scripts that are written without spaces between words, as ranges of code points.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F),
+    (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3031, 0x303C), (0x3040, 0x30FF), (0x3100, 0x312F),
+    (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA000, 0xA4CF), (0xA980, 0xA9DF),
+    (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x17000, 0x18DFF), (0x1AFF0, 0x1B2FF),
+    (0x20000, 0x3FFFF),
+)
+_SEPARATES, _LETTER, _ALONE = 0, 1, 2
+
+
+@cache
+def _classes() -> np.ndarray:
+    """For each code point whether it separates words, is a letter of one, or is a word of its own."""
+    out = np.full(0x110000, _LETTER, dtype=np.uint8)
+    for lo, hi in UNSPACED:
+        out[lo : hi + 1] = _ALONE
+    for point in range(0x80, 0x20000):
+        kind = unicodedata.category(chr(point))
+        if kind[0] in "PZ" or kind == "Cc" or point == 0x200B:  # the last is the space of zero width
+            out[point] = _SEPARATES
+        elif kind[0] == "S":
+            out[point] = _ALONE
+    return out
+
+
+def tokens(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """Runs of letters and digits, A to Z in lower case; symbols and letters of unspaced scripts stand alone.
+
+    ASCII symbols separate as punctuation does.
+    """
+    lead = np.flatnonzero(data >= 0xC0)
+    if not len(lead):
+        return words(data, offsets, True, MARKS)
+    first = data[lead].astype(np.int64)
+    length = 2 + (first >= 0xE0) + (first >= 0xF0)
+    point = first & (0x7F >> length)
+    for k in (1, 2, 3):
+        more = length > k
+        point[more] = point[more] << 6 | data[lead[more] + k] & 0x3F
+    kind = _classes()[point]
+    apart, size = lead[kind == _SEPARATES], length[kind == _SEPARATES]
+    marks = np.concatenate([apart + k if k < 2 else apart[size > k] + k for k in range(4)])
+    alone = lead[kind == _ALONE]
+    return words(data, offsets, True, MARKS, marks, np.concatenate([alone, alone + length[kind == _ALONE]]))
+
+
 def runs(values: np.ndarray, length: int) -> np.ndarray:
     """Hash of each run of ``length`` values, by the place it starts; runs that would pass the end are left out."""
     n = len(values)

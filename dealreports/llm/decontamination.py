@@ -1,9 +1,11 @@
 """Documents that hold benchmark items, by greedy string tiling.
 
-Tokens are runs of letters and digits, A to Z in lower case. Runs of ``SEED`` tokens that a document shares with an
+Tokens are runs of letters and digits, A to Z in lower case; a letter of a script that is written without spaces is
+one, as are symbols beyond ASCII. Runs of ``SEED`` tokens that a document shares with an
 item are the seeds of tiles. For each pair with seeds the longest common runs of tokens that are not yet marked are
 marked again and again (compared by Karp-Rabin hashes, then token by token), down to ``SEED`` tokens. A document is
-contaminated by an item if marked tokens are ``COVERAGE`` of the item, in whatever order its passages come.
+contaminated by an item if marked tokens are ``COVERAGE`` of the item, in whatever order its passages come. An item of
+fewer than ``SEED`` tokens is one seed, and must be there whole.
 """
 
 from collections.abc import Iterator
@@ -81,18 +83,11 @@ def _common(item: np.ndarray, other: np.ndarray, free: tuple[np.ndarray, np.ndar
                 yield length, i, j
 
 
-class Benchmark:
-    """Items with their tokens and seeds, small enough to be in every task."""
+class Seeds:
+    """Hashes of runs of ``size`` tokens with the items they are of."""
 
-    def __init__(self, ids: list, texts: list):
-        self.ids, self.tokens, seeds, owners = ids, [], [], []
-        for number, chunk in enumerate(texts):
-            data = np.frombuffer((chunk or "").encode(), dtype=np.uint8)
-            tokens = arrays.words(data, np.array([0, len(data)]), True, arrays.MARKS).hashes
-            self.tokens.append(tokens)
-            own = np.unique(arrays.runs(tokens, SEED))
-            seeds.append(own)
-            owners.append(np.full(len(own), number))
+    def __init__(self, size: int, seeds: list[np.ndarray], owners: list[np.ndarray]):
+        self.size = size
         seeds, owners = (np.concatenate([*x, np.zeros(0, dtype=k)]) for x, k in ((seeds, np.uint64), (owners, int)))
         order = np.argsort(seeds, kind="stable")
         self.seeds, self.owners = seeds[order], owners[order].astype(np.int64)
@@ -110,11 +105,30 @@ class Benchmark:
         return np.repeat(places, n), self.owners[at]
 
 
-def _near(tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
+class Benchmark:
+    """Items with their tokens and seeds, small enough to be in every task."""
+
+    def __init__(self, ids: list, texts: list):
+        self.ids, self.tokens = ids, []
+        by_size: dict[int, tuple[list, list]] = {}
+        for number, chunk in enumerate(texts):
+            data = np.frombuffer((chunk or "").encode(), dtype=np.uint8)
+            tokens = arrays.tokens(data, np.array([0, len(data)])).hashes
+            self.tokens.append(tokens)
+            if len(tokens):
+                size = min(SEED, len(tokens))
+                own = np.unique(arrays.runs(tokens, size))
+                seeds, owners = by_size.setdefault(size, ([], []))
+                seeds.append(own)
+                owners.append(np.full(len(own), number))
+        self.seeds = [Seeds(size, *by_size[size]) for size in sorted(by_size, reverse=True)]
+
+
+def _near(tokens: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
     """The tokens of seeds, with a mark where text in between is left out; no common run lies elsewhere."""
     inside = np.zeros(len(tokens) + 1, dtype=np.int64)
     np.add.at(inside, places, 1)
-    np.add.at(inside, places + SEED, -1)
+    np.add.at(inside, places + size, -1)
     inside = np.cumsum(inside[:-1]) > 0
     begin = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
     kept = np.flatnonzero(inside)
@@ -124,24 +138,27 @@ def _near(tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 def matches(benchmark: Benchmark, data: np.ndarray, offsets: np.ndarray) -> Iterator[list[tuple]]:
     """For each text the items that contaminate it."""
-    found = arrays.words(data, offsets, True, arrays.MARKS)
-    places, items = benchmark.seeded(arrays.runs(found.hashes, SEED))
-    text = np.searchsorted(found.first, places, side="right") - 1
-    inside = places + SEED <= found.first[text + 1]
-    places, items, text = places[inside], items[inside], text[inside]
-    order = np.lexsort((places, items, text))
-    places, items, text = places[order], items[order], text[order]
+    found = arrays.tokens(data, offsets)
     pairs: dict[int, list[tuple]] = {}
-    begin = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(items, prepend=-1) != 0))
-    for lo, hi in zip(begin.tolist(), np.append(begin[1:], len(places)).tolist()):
-        item = benchmark.tokens[items[lo]]
-        if SEED * (hi - lo) >= COVERAGE * len(item):  # so few seeds cannot cover enough
-            first = int(found.first[text[lo]])
-            tokens = found.hashes[first : int(found.first[text[lo] + 1])]
-            t = tile(item, _near(tokens, places[lo:hi] - first))
-            if t.covered >= COVERAGE * len(item):
-                row = (benchmark.ids[items[lo]], len(item), t.covered, t.count, t.longest)
-                pairs.setdefault(int(text[lo]), []).append(row)
+    for seeds in benchmark.seeds:
+        places, items = seeds.seeded(arrays.runs(found.hashes, seeds.size))
+        text = np.searchsorted(found.first, places, side="right") - 1
+        inside = places + seeds.size <= found.first[text + 1]
+        places, items, text = places[inside], items[inside], text[inside]
+        order = np.lexsort((places, items, text))
+        places, items, text = places[order], items[order], text[order]
+        begin = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(items, prepend=-1) != 0))
+        for lo, hi in zip(begin.tolist(), np.append(begin[1:], len(places)).tolist()):
+            item = benchmark.tokens[items[lo]]
+            if SEED * (hi - lo) >= COVERAGE * len(item):  # so few seeds cannot cover enough
+                first = int(found.first[text[lo]])
+                tokens = found.hashes[first : int(found.first[text[lo] + 1])]
+                if seeds.size < SEED:  # the whole item: one place tells
+                    hi = lo + 1
+                t = tile(item, _near(tokens, places[lo:hi] - first, seeds.size), seeds.size)
+                if t.covered >= COVERAGE * len(item):
+                    row = (benchmark.ids[items[lo]], len(item), t.covered, t.count, t.longest)
+                    pairs.setdefault(int(text[lo]), []).append(row)
     for i in range(len(offsets) - 1):
         yield pairs.get(i, [])
 
@@ -158,8 +175,8 @@ def _as_array(rows: list[list[tuple]]) -> pa.Array:
 def with_matches(docs: DataFrame, items: DataFrame, column: str = "matches") -> DataFrame:
     """``docs`` with ``column``: the items of a small benchmark (``item_id``, ``text``) that contaminate each row.
 
-    NULL and empty texts match nothing. Items with fewer than four tokens match nothing. An item that is given twice
-    is matched twice. The items are collected: the caller checks their size (``contaminated`` does).
+    NULL and empty texts match nothing, nor do items without a token. Items with fewer than four tokens match where they
+    are whole. An item that is given twice is matched twice. The items are collected: the caller checks their size (``contaminated`` does).
     """
     rows_of = items.select("item_id", "text").collect()
     sent = docs.sparkSession.sparkContext.broadcast(([r[0] for r in rows_of], [r[1] for r in rows_of]))
@@ -204,27 +221,41 @@ def _joined(docs: DataFrame, items: DataFrame) -> DataFrame:
     key, item_key = unused(docs, "text_key"), unused(docs, "item_key")
     column, item_text, item_id = unused(docs, "matches"), unused(docs, "item_text"), unused(docs, "item_id")
 
-    def seeds(batches):
-        for batch in batches:
-            for chunk in arrays.chunks(batch.column(1)):
-                found = arrays.words(chunk.data, chunk.offsets, True, arrays.MARKS)
-                grams = arrays.runs(found.hashes, SEED)
-                bounds = [*zip(found.first[:-1].tolist(), found.first[1:].tolist())]
-                lists = [grams[lo : max(lo, hi - SEED + 1)] for lo, hi in bounds]
-                counts = [len(x) for x in lists]
-                rows = np.repeat(np.arange(len(lists)), counts)
-                flat = np.concatenate([*lists, np.zeros(0, dtype=np.uint64)]).view(np.int64)
-                keys = batch.column(0)[chunk.rows].take(pa.array(rows))
-                sizes = np.repeat(np.array([hi - lo for lo, hi in bounds], dtype=np.int64), counts)
-                yield pa.RecordBatch.from_arrays([keys, pa.array(flat), pa.array(sizes)], names=["key", "seed", "tokens"])
+    def seeds(sizes: list[int]):
+        """Seeds of each row, of the whole text if it has fewer tokens than ``SEED``; or all runs of these sizes."""
+
+        def rows(batches):
+            for batch in batches:
+                for chunk in arrays.chunks(batch.column(1)):
+                    found = arrays.tokens(chunk.data, chunk.offsets)
+                    bounds = [*zip(found.first[:-1].tolist(), found.first[1:].tolist())]
+                    for size in sizes or range(1, SEED + 1):
+                        grams = arrays.runs(found.hashes, size)
+                        lists = [
+                            grams[lo : max(lo, hi - size + 1) if sizes or size == min(SEED, hi - lo) else lo]
+                            for lo, hi in bounds
+                        ]
+                        counts = [len(x) for x in lists]
+                        at = np.repeat(np.arange(len(lists)), counts)
+                        flat = np.concatenate([*lists, np.zeros(0, dtype=np.uint64)]).view(np.int64)
+                        lengths = np.repeat(np.array([hi - lo for lo, hi in bounds], dtype=np.int64), counts)
+                        keys = batch.column(0)[chunk.rows].take(pa.array(at))
+                        yield pa.RecordBatch.from_arrays(
+                            [keys, pa.array(flat), pa.array(lengths)], names=["key", "seed", "tokens"]
+                        )
+
+        return rows
 
     schema = "key long, seed long, tokens long"
     docs = docs.withColumn(key, F.xxhash64("text"))
     items = items.select(
         F.col("item_id").alias(item_id), F.col("text").alias(item_text), F.xxhash64("text").alias(item_key)
     )
-    of_items = items.select(item_key, item_text).distinct().mapInArrow(seeds, schema).withColumnRenamed("key", "item")
-    of_docs = docs.select(key, "text").mapInArrow(seeds, schema).select("key", "seed").distinct()
+    of_items = items.select(item_key, item_text).distinct().mapInArrow(seeds([]), schema)
+    of_items = written(of_items.withColumnRenamed("key", "item"), "items")
+    sizes = of_items.select(F.least("tokens", F.lit(SEED))).distinct().collect()  # four at most
+    of_docs = docs.select(key, "text").mapInArrow(seeds([r[0] for r in sizes] or [SEED]), schema)
+    of_docs = of_docs.select("key", "seed").distinct()
     # So many places of an item begin a shared seed; tiles cover at most SEED tokens for each.
     places = of_items.groupBy("item", "seed").agg(F.count("*").alias("places"), F.min("tokens").alias("tokens"))
     pairs = of_docs.join(places, "seed").groupBy("key", "item")

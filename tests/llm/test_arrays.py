@@ -63,3 +63,17 @@ def test_chunks_give_every_text_once():
         out += [chunk.data[a:b].tobytes().decode() for a, b in zip(bounds, bounds[1:])]
     assert out == [t or "" for t in texts[1:]]
     assert list(arrays.chunks(column[:0])) == []
+
+
+def test_tokens_by_unicode_class():
+    texts = ["Don’t «STOP» it—é…É", "你好，世界", "ไทย ok", "a­b c　d", "x😀😀y", "", "né"]
+    data = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, data)])
+    found = arrays.tokens(np.frombuffer(b"".join(data), dtype=np.uint8), offsets)
+    got = [
+        [found.data[s:e].tobytes().decode() for s, e in zip(found.start[lo:hi], found.end[lo:hi])]
+        for lo, hi in zip(found.first[:-1], found.first[1:])
+    ]
+    assert got == [
+        ["don", "t", "stop", "it", "é", "É"], [*"你好世界"], [*"ไทย", "ok"], ["a­b", "c", "d"], ["x", "😀", "😀", "y"], [], ["né"]
+    ]

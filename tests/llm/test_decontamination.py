@@ -115,3 +115,22 @@ def test_sent_and_joined_give_the_same_rows(docs_of, spark, clashing, monkeypatc
     assert (None, 10) in pairs and (30, 20) in pairs and (31, None) in pairs
     assert pairs.count((2, 10)) == 6  # three rows, an item that is given twice
     assert sorted((r[0] for r in sent[1]), key=str) == sorted([1, 4, 5, 6, 7, 8, None, None], key=str)
+
+
+UNSPACED = [
+    "哪一条河流穿过北方海岸最古老的城市并流入湖泊？请选择正确的答案。",
+    "北の海岸で最も古い町を通り、湖に注ぐ川はどれですか。",
+    "แม่น้ำสายใดไหลผ่านเมืองที่เก่าแก่ที่สุดของชายฝั่งทางเหนือ",
+]
+
+
+def test_scripts_without_spaces_and_short_items(docs_of, spark, monkeypatch):
+    items = [*enumerate(UNSPACED), (10, "Avogadro's number"), (11, "Zyzzyva"), (12, "Was ist “das”—hier?"), (13, "?!"), (14, "三角形")]
+    docs = [(i, f"before{t}after 和") for i, t in enumerate(UNSPACED)]
+    docs += [(5, "so Avogadro's number it is"), (6, "a Zyzzyva, and a zyzzyva"), (7, "Avogadro has a number"), (8, "was ist das hier")]
+    docs += [(9, "一个三角形的"), (20, "三和角形"), (21, "?!"), (22, UNSPACED[0][:20]), (23, UNSPACED[0][:8] + "x")]
+    docs += [(24, "Avogadro s"), (25, "number zyzzyvas")]
+    sent, joined = both_ways(monkeypatch, docs_of(docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert sent == joined
+    assert sorted(r[:2] for r in sent[0]) == [(0, 0), (1, 1), (2, 2), (5, 10), (6, 11), (8, 12), (9, 14), (22, 0)]
+    assert [r[0] for r in sent[1]] == sorted([7, 20, 21, 23, 24, 25], key=str)
