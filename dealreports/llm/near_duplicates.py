@@ -25,14 +25,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from dealreports.llm import arrays
 from dealreports.llm.graph import components
-from dealreports.llm.shared import written
+from dealreports.llm.shared import unused, written
 
 WORDS = 5
 SIMILAR = (75, 100)  # 100 * intersection >= 75 * union
@@ -43,7 +43,9 @@ K = 128
 LEAST_ESTIMATE = 0.52
 PIVOTS = 64  # times as many pivots in each round
 
-SKETCHES = "doc_id long, n_shingles long, class string, lowest array<long>, sketch binary"
+SALTS = 16  # a component's smallest doc_id is given to so many parts of its classes
+
+SKETCHES = "doc_id long, row_key long, n_shingles long, class string, node long, lowest array<long>, sketch binary"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray):
@@ -60,25 +62,35 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray):
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """Size, class (a digest of the whole set), hashes to post and sketch (upper halves of hashes) of every text."""
+    """Size, class (a digest of the whole set), hashes to post and sketch (upper halves of hashes) of every text.
+
+    ``node`` is half of the class as a number; ``row_key`` tells rows apart by doc_id and text.
+    """
 
     def rows(batches):
         for batch in batches:
-            ids = batch.column(0)
+            ids, keys = batch.column(0), batch.column(2)
             for chunk in arrays.chunks(batch.column(1)):
-                sizes, classes, lowest, sketched = [], [], [], []
+                sizes, classes, of_nodes, lowest, sketched = [], [], [], [], []
                 for s in shingle_sets(chunk.data, chunk.offsets):
                     sizes.append(len(s))
-                    classes.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
+                    digest = xxhash.xxh3_128(s.tobytes())
+                    classes.append(digest.hexdigest() if len(s) else None)
+                    of_nodes.append((digest.intdigest() >> 64) - (1 << 63))
                     lowest.append(s[:POSTED].view(np.int64))
                     sketched.append((s[:K] >> np.uint64(32)).astype(np.uint32).tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [ids[chunk.rows], pa.array(sizes, pa.int64()), pa.array(classes, pa.string()),
-                     pa.array(lowest, pa.list_(pa.int64())), pa.array(sketched, pa.binary())],
-                    names=["doc_id", "n_shingles", "class", "lowest", "sketch"],
+                    [ids[chunk.rows], keys[chunk.rows], pa.array(sizes, pa.int64()), pa.array(classes, pa.string()),
+                     pa.array(of_nodes, pa.int64()), pa.array(lowest, pa.list_(pa.int64())), pa.array(sketched, pa.binary())],
+                    names=["doc_id", "row_key", "n_shingles", "class", "node", "lowest", "sketch"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(rows, SKETCHES)
+    return docs.select("doc_id", "text", row_key()).mapInArrow(rows, SKETCHES)
+
+
+def row_key() -> Column:
+    """Equal for rows with equal doc_id and text."""
+    return F.xxhash64("doc_id", "text").alias("row_key")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -95,8 +107,8 @@ def estimate(a, b):
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose whole sets are similar, exactly."""
     part, whole = SIMILAR
-    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
     def rows(batches):
         for batch in batches:
@@ -144,15 +156,17 @@ def postings(heads: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``value, doc, n, rare, common``: list, text, size of its set, hashes of it that are not common, and for common
     lists how many common ones it has (NULL: a list of a rare hash, in which any two texts may have a link).
     """
-    first = heads.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("lowest").alias("value"))
+    first = heads.select(F.col("node").alias("doc"), F.col("n_shingles").alias("n"), F.explode("lowest").alias("value"))
     first = written(_sized(first), "posted")
-    met = first.where("members > 1").select(F.col("doc").alias("doc_id")).distinct()
-    listed = written(docs.join(met, "doc_id").select("doc_id", "text"), "listed")
+    met = first.where("members > 1").select(F.col("doc").alias("node")).distinct()
+    of_heads = heads.join(met, "node").select("row_key", "node")
+    listed = docs.select("text", row_key()).join(of_heads, "row_key").dropDuplicates(["row_key"])
+    listed = written(listed.select("node", "text"), "listed")
     rare = F.count_if(F.col("members") <= COMMON)
     # With so many rare hashes a partner shares one: surely where the whole set is posted, else but for 0.25 ** 12.
     enough = F.when(F.max("n") > POSTED, 12).otherwise(F.floor(F.max("n") / 4) + 1)
     crowded = first.groupBy("doc").agg((rare < enough).alias("crowded")).where("crowded").select("doc")
-    whole = _whole_sets(listed.join(crowded.withColumnRenamed("doc", "doc_id"), "doc_id"))
+    whole = _whole_sets(listed.join(crowded.withColumnRenamed("doc", "node"), "node").select("node", "text"))
     whole = written(_sized(whole), "whole")
     counts = whole.groupBy("doc").agg(rare.alias("rare"), F.count_if(F.col("members") > COMMON).alias("common"))
     lowest = F.col("value").bitwiseXOR(F.lit(-(1 << 63)))  # in the order of unsigned numbers
@@ -205,7 +219,7 @@ def grouped(docs: DataFrame, heads: DataFrame) -> DataFrame:
     part, whole = SIMILAR
     lists, listed = postings(heads, docs)
     placed, pivots = written(lists.withColumn("component", F.col("doc")), "lists"), 1
-    sketch = heads.select("doc_id", "sketch")
+    sketch = heads.select("node", "sketch")
     member = None
     while True:
         chosen, pairs = _pairs(placed, pivots)
@@ -232,21 +246,55 @@ def grouped(docs: DataFrame, heads: DataFrame) -> DataFrame:
         pivots *= PIVOTS
 
 
+def _judged(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sketches of all rows, and ``class, row_key, component_id, head`` of all classes.
+
+    ``row_key`` is of a class's row with the smallest doc_id, ``component_id`` the smallest doc_id of the class's
+    component (NULL if it has none), ``head`` whether the class is the one of its component that has it.
+    """
+    sketched = written(sketches(docs), "sketches")
+    by_id = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key", "node", "n_shingles", "lowest", "sketch")
+    heads = sketched.where(F.col("class").isNotNull()).groupBy("class").agg(F.min(by_id).alias("head"))
+    heads = written(heads.select("class", "head.*"), "heads")
+    member = grouped(docs, heads)
+    ids = heads.select("class", "row_key", "node", "no_id", "doc_id")
+    linked = written(ids.join(member, "node"), "linked")
+    least = linked.groupBy("component").agg(F.min(F.struct("no_id", "doc_id", "node")).alias("least"))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    salted = linked.withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(SALTS)))
+    linked = salted.join(least.select("component", "least", salts.alias("salt")), ["component", "salt"])
+    linked = linked.select(
+        "class", "row_key", F.col("least.doc_id").alias("component_id"), (F.col("least.node") == F.col("node")).alias("head")
+    )
+    alone = ids.join(member, "node", "left_anti")
+    return sketched, linked.union(alone.select("class", "row_key", "doc_id", F.lit(True)))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (columns ``doc_id`` and ``text``).
 
     NULL and empty texts have an empty set and are linked with nothing. Each row is judged by its own text, so rows
-    that repeat a doc_id with the same text give equal rows. Other columns are not read. A row without doc_id takes
-    the component of equal sets but is not linked beyond them, and is kept if it has none.
+    that repeat a doc_id with the same text give equal rows, and with unlike texts are in components of their own.
+    Other columns are not read. A row without doc_id takes the smallest doc_id of its component, and is kept if it has
+    none.
     """
     docs = docs.select("doc_id", "text")
-    sketched = written(sketches(docs), "sketches")
-    sets = sketched.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
-    heads = sets.groupBy("class").agg(F.min(F.struct("doc_id", "n_shingles", "lowest", "sketch")).alias("head"))
-    heads = written(heads.select("class", "head.*"), "heads")
-    member = grouped(docs, heads)
-    component = heads.select("class", "doc_id").join(member, F.col("doc_id") == F.col("node"), "left")
-    component = component.select("class", F.coalesce("component", "doc_id").alias("of_class"))
-    out = sketched.select("doc_id", "n_shingles", "class").join(component, "class", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("of_class", "doc_id").alias("component_id"))
+    sketched, classes = _judged(docs)
+    out = sketched.select("doc_id", "n_shingles", "class").join(classes.withColumn("found", F.lit(True)), "class", "left")
+    component = F.when(F.col("found"), F.col("component_id")).otherwise(F.col("doc_id"))
+    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each component with all its columns: of the smallest doc_id. Rows without any word are kept.
+
+    Those of them that have a doc_id are one row if that and their texts are equal.
+    """
+    key = unused(docs, "row_key")
+    sketched, classes = _judged(docs.select("doc_id", "text"))
+    empty = sketched.where(F.col("class").isNull() & F.col("doc_id").isNotNull()).select("row_key")
+    heads = classes.where("head").select("row_key").union(empty).distinct().withColumnRenamed("row_key", key)
+    kept = docs.withColumn(key, row_key()).join(heads, key, "left_semi").dropDuplicates(["doc_id", "text"])
+    has_word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return kept.select(docs.columns).union(docs.where(F.col("doc_id").isNull() & ~has_word))

@@ -92,3 +92,22 @@ def test_a_very_long_text(docs_of):
     long = " ".join(f"v{i}" for i in range(150_000))
     rows = [(1, long), (2, long + " more words at the end"), (3, "short")]
     assert {k: v[1] for k, v in found(nd.near_duplicates(docs_of(rows))).items()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_rows_that_share_a_doc_id_or_have_none(docs_of, clashing):
+    near, other = " ".join(f"s{i}" for i in range(40)), " ".join(f"t{i}" for i in range(40))
+    alone = " ".join(f"u{i}" for i in range(40))
+    rows = [
+        (3, near), (5, near + " more"), (5, other), (7, other + " more"), (9, alone), (9, alone + " more"),
+        (None, near + " yet"), (None, "no id here"), (None, "No ID here"), (None, None), (None, ""), (11, ""), (11, ""),
+    ]
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in nd.near_duplicates(docs_of(rows)).collect()}
+    assert got == {
+        (3, 36, 3, True), (5, 37, 3, False), (5, 36, 5, True), (7, 37, 5, False), (9, 36, 9, True), (9, 37, 9, True),
+        (None, 37, 3, False), (None, 1, None, True), (None, 0, None, True), (11, 0, 11, True),
+    }
+    docs = clashing(docs_of(rows))
+    left = nd.one_of_each(docs)
+    assert left.columns == docs.columns
+    kept = sorted(((r["doc_id"], r["text"] and r["text"].lower()[:2]) for r in left.collect()), key=str)
+    assert kept == sorted([(3, "s0"), (5, "t0"), (9, "u0"), (None, "no"), (None, None), (None, ""), (11, "")], key=str)
