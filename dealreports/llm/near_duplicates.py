@@ -163,7 +163,7 @@ def postings(heads: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     listed = docs.select("text", row_key()).join(of_heads, "row_key").dropDuplicates(["row_key"])
     listed = written(listed.select("node", "text"), "listed")
     rare = F.count_if(F.col("members") <= COMMON)
-    # With so many rare hashes a partner shares one: surely where the whole set is posted, else but for 0.25 ** 12.
+    # With so many rare hashes a partner shares one but for about 3.4e-5, if what they share is all common (see README).
     enough = F.when(F.max("n") > POSTED, 12).otherwise(F.floor(F.max("n") / 4) + 1)
     crowded = first.groupBy("doc").agg((rare < enough).alias("crowded")).where("crowded").select("doc")
     whole = _whole_sets(listed.join(crowded.withColumnRenamed("doc", "node"), "node").select("node", "text"))
