@@ -5,12 +5,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealreports.llm import decontamination, fingerprints, languages, pages, pieces, shards, substrings, tokens, url_rules
+from dealreports.llm import (
+    alignment,
+    decontamination,
+    fingerprints,
+    languages,
+    mixing,
+    negatives,
+    pages,
+    pieces,
+    shards,
+    substrings,
+    tokens,
+    url_rules,
+)
 from dealreports.llm import near_duplicates as nd
 from dealreports.llm.shipping import ship
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+BYTES = "/opt/tokenizers/byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -169,3 +183,71 @@ def near_duplicate_documents(spark, sf_dir):
 def contaminated_documents(spark, sf_dir):
     """Documents that hold half of a benchmark item or more, with the item and the cover."""
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op11_aligned_tokens")
+def aligned_tokens(spark, sf_dir):
+    """Every document in two tokenizers: groups with common ends, links, and how common the links are in the corpus."""
+    return alignment.aligned(table(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
+@register(
+    "op12_hard_negatives",
+    """
+    WITH rows AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+      FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    scored AS (
+      SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        list_dot_product(a.v, b.v)::BIGINT AS score
+      FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    positives AS (
+      SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+    SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, other_id AS negative_id,
+      positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+    QUALIFY row_number() OVER w <= 5
+    """,
+)
+def hard_negatives(spark, sf_dir):
+    """For every hundredth vector and its nearest of the same label, the nearest of other labels not above it."""
+    return negatives.mined(table(spark, sf_dir, "embeddings"))
+
+
+@register(
+    "op13_mixed_documents",
+    r"""
+    WITH rows AS (
+      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+        md5('13:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS key
+      FROM documents),
+    sources AS (
+      SELECT source, sum(size)::BIGINT AS source_size,
+        [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+      FROM rows GROUP BY source),
+    levels AS (
+      SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER earlier, 0))
+        / (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0)) AS level
+      FROM sources
+      WINDOW earlier AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    targets AS (
+      SELECT source, source_size, least(2.0::DOUBLE * source_size, weight * max(level) OVER ()) AS target FROM levels),
+    lines AS (
+      SELECT doc_id, size, source_size, target, floor(target + 0.5)::BIGINT AS budget,
+        sum(size) OVER (PARTITION BY t.source ORDER BY key ROWS UNBOUNDED PRECEDING) - size AS before
+      FROM rows r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source)
+    SELECT doc_id, size, source_size, target,
+      (CASE WHEN source_size = 0 THEN 0 ELSE budget // source_size * size
+        + greatest(0, least(size, budget % source_size - before)) END)::BIGINT AS taken
+    FROM lines
+    """,
+)
+def mixed_documents(spark, sf_dir):
+    """The words that a mix of all sources by weight takes of every document."""
+    return mixing.mixed(table(spark, sf_dir, "documents"))

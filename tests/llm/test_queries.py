@@ -15,11 +15,11 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", ["op1_languages", "op3_fingerprints", "op4_segmentations", "op5_shards"])
+@pytest.mark.parametrize("name", ["op1_languages", "op3_fingerprints", "op4_segmentations", "op5_shards", "op11_aligned_tokens", "op13_mixed_documents"])
 def test_one_row_for_each_document(spark, sf_dir, name):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
     out = QUERIES[name](spark, sf_dir)
