@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dealreports import fixed
 from dealreports.functions.attributes import FlatSpec, flatten
 from dealreports.plans import daily, extracts, kpis, payroll, staging
+from dealreports.sinks import manifest
 from dealreports.sinks.render import render_on_one_line
 from dealreports.sinks.reports import sheet_path, write_report, write_sheet, write_split
 from dealreports.sources.tables import read_properties
@@ -82,6 +83,16 @@ def write_daily_update(flat: DataFrame, root: str, year: int, as_of: datetime, s
     return path
 
 
+def publish_reports(flat: DataFrame, root: str, as_of: datetime, teams: Mapping[str, Sequence[str]]) -> dict[str, manifest.State]:
+    """The monthly counts, payroll and source report, each workbook replaced at once when all its sheets are there."""
+    writers = {
+        "monthly_counts": lambda top: write_monthly_counts(flat, top, as_of, teams),
+        "payroll": lambda top: write_payroll(flat, top),
+        "source_report": lambda top: write_staging(flat, top),
+    }
+    return {name: manifest.publish(flat.sparkSession, root, name, write) for name, write in writers.items()}
+
+
 def write_extracts(
     flat: DataFrame,
     root: str,

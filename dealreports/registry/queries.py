@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,10 +26,11 @@ from dealreports.plans.statuses import status_catalogue
 from dealreports.registry import inputs
 from dealreports.registry import oracle as sql
 from dealreports.session import scratch_path
-from dealreports.sinks import render, reports
+from dealreports.sinks import manifest, render, reports
 from dealreports.sources import deals as d
 from dealreports.sources import ingest
 from dealreports.sources.tables import read_csv_columns, read_list, read_properties
+from dealreports.streaming import refresh
 from dealreports.streaming.landing import land_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -466,6 +468,47 @@ def ingest_stream(spark, sf_dir):
     return extract(read_properties(spark, out), ["contract_status"])
 
 
+# Two dumps of the orders. The second has changed records, the same ones again, late older versions, deletions
+# and records that are new; a tenth is in the second only, three quarters are in both.
+_DUMPS = """
+WITH k AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS d FROM orders),
+versions AS (
+  SELECT id, d AS updated, 'first' AS team_name, FALSE AS deleted FROM k WHERE id % 10 <> 9
+  UNION ALL SELECT id, d + 5, 'changed', FALSE FROM k WHERE id % 4 = 1 AND id % 28 <> 5
+  UNION ALL SELECT id, d, 'first', FALSE FROM k WHERE id % 4 = 2
+  UNION ALL SELECT id, d - 5, 'late', FALSE FROM k WHERE id % 4 = 3
+  UNION ALL SELECT id, d + 9, 'gone', TRUE FROM k WHERE id % 28 = 5)
+SELECT id, arg_max(team_name, updated) AS team_name, CAST(max(updated) AS VARCHAR) AS created
+FROM versions GROUP BY id HAVING NOT arg_max(deleted, updated)
+"""
+
+
+def _write_dump(spark, sf_dir, path: str, cases: dict[str, tuple[str, int, str]]) -> None:
+    """A page of the orders for which a condition holds: (team name, days, whether deleted) by condition."""
+    orders = _table(spark, sf_dir, "orders").selectExpr("o_orderkey AS id", "CAST(o_orderdate AS DATE) AS d")
+    for condition, (name, days, deleted) in cases.items():
+        rows = orders.where(condition).selectExpr(
+            "id", f"'{name}' AS team_name", f"CAST(d + {days} AS STRING) AS created", f"CAST(d + {days} AS STRING) AS updated",
+            f"'{deleted}' AS deleted",
+        )
+        rows.write.mode("append").json(path)
+
+
+@register("ingest_refreshed", _DUMPS)
+def ingest_refreshed(spark, sf_dir):
+    """Two dumps by two runs of the stream; the second replaces, repeats, deletes and adds records."""
+    pages, out, check = (scratch_path(spark, n) for n in ("dumps", "refreshed", "refresh-checkpoint"))
+    _write_dump(spark, sf_dir, pages, {"id % 10 <> 9": ("first", 0, "false")})
+    refresh.refresh_stream(spark, pages, out, check).awaitTermination()
+    second = {
+        "id % 4 = 1 AND id % 28 <> 5": ("changed", 5, "false"), "id % 4 = 2": ("first", 0, "false"),
+        "id % 4 = 3": ("late", -5, "false"), "id % 28 = 5": ("gone", 9, "true"),
+    }
+    _write_dump(spark, sf_dir, pages, second)
+    refresh.refresh_stream(spark, pages, out, check).awaitTermination()
+    return refresh.read_refreshed(spark, out).select("id", "team_name", "created")
+
+
 @register(
     "ingest_agents",
     """
@@ -531,6 +574,24 @@ def sink_sheet_replaced(spark, sf_dir):
     return _csv(spark, path, rows.columns)
 
 
+_SHEETS = ("closed", "current_month", "preferred_seller")
+
+
+@register(
+    "sink_workbook",
+    "\nUNION ALL\n".join(f"SELECT '{n}' AS sheet, id, team_name FROM ({sql.extract(n)})" for n in _SHEETS),
+)
+def sink_workbook(spark, sf_dir):
+    """A workbook of three sheets, published twice; the sheets as the second version's manifest names them."""
+    root = scratch_path(spark, "published")
+    frames = {n: QUERIES[f"extract_{n}"](spark, sf_dir).select("id", "team_name") for n in _SHEETS}
+    swapped = dict(zip(_SHEETS, [frames[n] for n in reversed(_SHEETS)]))
+    for version in (swapped, frames):
+        manifest.publish(spark, root, "extracts", lambda top, v=version: reports.write_report(v, top, "extracts"))
+    found = manifest.sheets(spark, root, "extracts")
+    return reduce(DataFrame.unionByName, [spark.read.parquet(p).select(F.lit(t).alias("sheet"), "*") for t, p in found.items()])
+
+
 @register(
     "sink_plain_csv",
     "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation",

@@ -9,10 +9,10 @@ from dealreports.sinks.render import render, render_on_one_line
 
 
 def sheet_path(root: str, workbook: str, title: str) -> str:
-    return f"{root.rstrip('/')}/report={_folder(workbook)}/sheet={_folder(title)}"
+    return f"{root.rstrip('/')}/report={folder_name(workbook)}/sheet={folder_name(title)}"
 
 
-def _folder(name: str) -> str:
+def folder_name(name: str) -> str:
     return name.replace("%", "%25").replace("/", "%2F").replace(":", "%3A")
 
 

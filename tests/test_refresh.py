@@ -1,0 +1,203 @@
+import json
+import random
+from pathlib import Path
+
+import pytest
+
+from dealreports.sinks import manifest, reports
+from dealreports.streaming import refresh
+
+A = {"id": 1, "team_name": "T", "field_values": [{"key": "a", "value": 1}], "updated": "2024-01-01 10:00:00"}
+
+
+def page(folder, records, name=None):
+    folder.mkdir(exist_ok=True)
+    (folder / (name or f"page-{len(list(folder.iterdir())):03d}.json")).write_text("\n".join(json.dumps(r) for r in records))
+    return str(folder)
+
+
+def files(root):
+    return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in Path(root).rglob("*.parquet")}
+
+
+def newest(batches):
+    """By the rule alone: later moment, then deletion; equal moments do not differ in content here."""
+    best = {}
+    for records in batches:
+        for r in records:
+            order = (r.get("updated") or "", r.get("deleted") == "true")
+            if r["id"] not in best or order > best[r["id"]][0]:
+                best[r["id"]] = (order, r)
+    return {i: r["team_name"] for i, (order, r) in best.items() if not order[1]}
+
+
+def found(spark, out):
+    return {r["id"]: r["team_name"] for r in refresh.read_refreshed(spark, out).collect()}
+
+
+def batches(seed, n=3):
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n):
+        records = []
+        for _ in range(200):
+            i, minute = rng.randrange(1, 90), rng.randrange(30)
+            r = {"id": i, "team_name": f"{i} at {minute}", "updated": f"2024-01-01 10:{minute:02d}:00"}
+            if minute % 11 == 10:
+                r["deleted"] = "true"
+            records.append(r)
+        out.append(records)
+    return out
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2], [2, 1, 0], [1, 1, 0, 2, 0]])
+def test_newest_versions_win_in_any_order(spark, tmp_path, order):
+    dumps = batches(1)
+    out = str(tmp_path / "out")
+    for k, n in enumerate(order):
+        path = page(tmp_path / f"p{k}", dumps[n])
+        pages = spark.read.schema(refresh.as_text(refresh.CHANGES)).json(path)
+        refresh.upsert(spark, out, pages, buckets=8)
+    assert found(spark, out) == newest(dumps)
+
+
+def test_only_buckets_that_change_are_written(spark, tmp_path):
+    out, pages = str(tmp_path / "out"), tmp_path / "pages"
+    first = [{"id": i, "team_name": "old", "updated": "2024-01-02"} for i in range(1, 200)]
+    page(pages, first)
+    run = lambda: refresh.refresh_stream(spark, str(pages), out, str(tmp_path / "check"), buckets=16).awaitTermination()
+    run()
+    before, entries = files(out), manifest.state(spark, out).entries
+    assert len(entries) == 16
+    late = [{"id": 7, "team_name": "late", "updated": "2024-01-01"}, *first[20:40]]
+    page(pages, [*late, {"id": 5, "team_name": "new", "updated": "2024-01-03"}])
+    run()
+    after = manifest.state(spark, out)
+    assert sum(entries[b] != after.entries[b] for b in entries) == 1
+    assert {k: v for k, v in files(out).items() if k in before} == before
+    got = found(spark, out)
+    assert got[5] == "new" and got[7] == "old" and len(got) == 199
+    page(pages, late)
+    run()
+    assert manifest.state(spark, out).entries == after.entries
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    out = str(tmp_path / "out")
+    pages = spark.read.schema(refresh.as_text(refresh.CHANGES)).json(page(tmp_path / "p", [A]))
+    first = refresh.upsert(spark, out, pages, batch=0)
+    before = files(out)
+    assert refresh.upsert(spark, out, pages, batch=0) == first and files(out) == before
+    again = refresh.upsert(spark, out, pages, batch=1)
+    assert again.entries == first.entries and again.version == 2 and files(out) == before
+
+
+def test_a_run_that_fails_leaves_the_table(spark, tmp_path, monkeypatch):
+    out, pages, check = str(tmp_path / "out"), tmp_path / "pages", str(tmp_path / "check")
+    page(pages, [A])
+    refresh.refresh_stream(spark, str(pages), out, check).awaitTermination()
+    page(pages, [A | {"team_name": "new", "updated": "2024-02-01"}])
+    commit = manifest.commit
+
+    def fail(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(manifest, "commit", fail)
+    with pytest.raises(Exception, match="lost"):
+        refresh.refresh_stream(spark, str(pages), out, check).awaitTermination()
+    assert found(spark, out) == {1: "T"}
+    monkeypatch.setattr(manifest, "commit", commit)
+    refresh.refresh_stream(spark, str(pages), out, check).awaitTermination()
+    assert found(spark, out) == {1: "new"}
+    gone = manifest.expire(spark, out, keep=1)
+    assert len(gone) == 2 and found(spark, out) == {1: "new"}
+
+
+def test_odd_records(spark, tmp_path):
+    records = [
+        {"id": "none", "team_name": "x"}, {"id": "none", "team_name": "x"}, {"team_name": "y"}, {"id": 3, "updated": "bad", "team_name": "a"},
+        {"id": 3, "updated": "0099-01-01", "team_name": "b"}, {"id": 4, "deleted": "TRUE"}, {"id": 4, "team_name": "back", "extra": 1}, {"id": 5, "team_name": None},
+    ]
+    out = str(tmp_path / "out")
+    pages = spark.read.schema(refresh.as_text(refresh.CHANGES)).json(page(tmp_path / "p", records))
+    refresh.upsert(spark, out, pages)
+    rows = sorted((r["id"], r["team_name"]) for r in refresh.read_refreshed(spark, out).fillna("-").collect())
+    assert rows == [(0, "x"), (0, "y"), (3, "b"), (5, "-")]
+    assert refresh.read_refreshed(spark, str(tmp_path / "nothing")).collect() == []
+    empty = refresh.upsert(spark, str(tmp_path / "none"), pages.where("false"))
+    assert empty == manifest.EMPTY
+
+
+def test_a_hot_id_with_many_versions(spark, tmp_path):
+    many = spark.range(60_000).selectExpr(
+        "CAST(CASE WHEN id % 3 > 0 THEN 1 ELSE id END AS STRING) AS id", "CAST(id AS STRING) AS team_name",
+        "CAST(timestamp_seconds(id) AS STRING) AS updated",
+    )
+    out = str(tmp_path / "out")
+    refresh.upsert(spark, out, many)
+    rows = refresh.read_refreshed(spark, out)
+    assert rows.count() == 20_000 + 1 and rows.where("id = 1").first()["team_name"] == "59999"
+
+
+def test_two_writers_do_not_both_commit(spark, tmp_path):
+    root = str(tmp_path / "t")
+    state = manifest.commit(spark, root, manifest.EMPTY, {"a": "x"})
+    with pytest.raises(manifest.Conflict):
+        manifest.commit(spark, root, manifest.EMPTY, {"a": "y"})
+    assert manifest.state(spark, root) == state and manifest.versions(spark, root) == [1]
+    with pytest.raises(ValueError):
+        manifest.state(spark, root, 9)
+
+
+# --- workbooks ------------------------------------------------------------------------------------
+
+
+def test_a_workbook_appears_at_once(spark, tmp_path):
+    root = str(tmp_path)
+    write = lambda n: lambda top: reports.write_report({"A": spark.range(n), "B 1/2": spark.range(2 * n)}, top, "book")
+    assert manifest.sheets(spark, root, "book") == {}
+    manifest.publish(spark, root, "book", write(3))
+    count = lambda: {t: spark.read.parquet(p).count() for t, p in manifest.sheets(spark, root, "book").items()}
+    assert count() == {"A": 3, "B 1/2": 6}
+
+    def fails(top):
+        reports.write_report({"A": spark.range(5)}, top, "book")
+        reports.write_report({"B 1/2": spark.range(5).selectExpr("raise_error('broken')")}, top, "book")
+
+    with pytest.raises(Exception, match="broken"):
+        manifest.publish(spark, root, "book", fails)
+    assert count() == {"A": 3, "B 1/2": 6}
+    manifest.publish(spark, root, "book", lambda top: reports.write_report({"C": spark.range(1)}, top, "book"), keep=True)
+    assert count() == {"A": 3, "B 1/2": 6, "C": 1}
+    manifest.publish(spark, root, "book", write(4))
+    assert count() == {"A": 4, "B 1/2": 8}
+    with pytest.raises(ValueError):
+        manifest.publish(spark, root, "book", lambda top: {"A": str(tmp_path / "elsewhere")})
+
+
+def test_full_refresh_at_once(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for k, n in enumerate((3, 2)):
+        refresh.land_at_once(spark, page(tmp_path / f"p{k}", [{"id": i} for i in range(1, n + 1)]), out)
+        rows = manifest.read(spark, out, refresh.PROPERTIES)
+        assert sorted(r["id"] for r in rows.collect()) == list(range(1, n + 1))
+    assert manifest.read(spark, out, refresh.PROPERTIES, version=1).count() == 3
+
+
+def test_reports_are_published(spark, tmp_path, flat_of):
+    from datetime import datetime
+
+    from records import record
+
+    from dealreports.plans import workbooks
+
+    items = [("Contract Title", "Deal"), ("Empower TC Name", "Molly Kelley"), ("Contract Status", "CTC - Closed - PAID"), ("Closing", "2024-02-10")]
+    flat = flat_of([record(1, items=items), record(2, items=[("Contract Title", "Ann"), ("Contract Status", "AGENT ACCOUNT")])])
+    teams = {"ctc": ["T"], "preferred": ["P"]}
+    for version in (1, 2):
+        states = workbooks.publish_reports(flat, str(tmp_path), datetime(2024, 2, 20), teams)
+        assert {s.version for s in states.values()} == {version}
+    sheets = manifest.sheets(spark, str(tmp_path), "payroll")
+    assert set(sheets) == {"transaction_data", "projected", "actual"}
+    assert spark.read.parquet(sheets["transaction_data"]).count() == 2
+    assert set(manifest.sheets(spark, str(tmp_path), "source_report")) >= {"Transaction", "Agent Account"}
