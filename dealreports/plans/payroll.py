@@ -11,8 +11,9 @@ from dealreports import fixed
 from dealreports.functions.calendar import half_month_end, half_month_label, half_month_start, moment_sql
 from dealreports.functions.text import field, quoted
 from dealreports.operators.columns import MONEY, RATED_MONEY, changed, fill_dates, indicator, sum_of, to_dates, to_money
-from dealreports.operators.counting import cells_with_totals, totals_matrix
+from dealreports.operators.counting import TOTAL, cells_with_totals, totals_matrix
 from dealreports.operators.filters import member_of
+from dealreports.session import written
 
 COORDINATOR = "Empower TC Name"
 
@@ -127,26 +128,23 @@ def payroll_matrix(
 ) -> DataFrame:
     """The cells as a matrix with a column per period that occurs, in order, and the total last.
 
-    Give ``periods`` to spare the pass that finds them; a cell in a period that is not among them is an error.
+    The rows are read once: the periods come from the cells, a few for each coordinator and half month, which are
+    written first. Give ``periods`` to write nothing; a cell in a period that is not among them is an error.
     """
     cells = payroll_cells(enriched, mode, coordinators)
     if periods is None:
-        periods = occurring_periods(enriched, mode, coordinators)
+        cells = written(cells, "payroll-cells")
+        periods = sorted(r[0] for r in cells.select("periode").distinct().collect() if r[0] != TOTAL)
     return totals_matrix(cells, COORDINATOR, "periode", list(periods))
 
 
 def periods_in(enriched: DataFrame, mode: str, coordinators: Sequence[str] | DataFrame) -> DataFrame:
-    """The half months that occur: (periode)."""
+    """The half months that occur, as a table: (periode)."""
     _, period = MODES[mode]
     found = member_of(enriched, COORDINATOR, coordinators).select(F.col(period).alias("periode"))
     return found.na.drop().distinct()
 
 
-def occurring_periods(enriched: DataFrame, mode: str, coordinators: Sequence[str] | DataFrame) -> list[str]:
-    """The same as names of columns: 24 a year, so they fit the driver."""
-    return sorted(r[0] for r in periods_in(enriched, mode, coordinators).collect())
-
-
 def matrix_cells(matrix: DataFrame) -> DataFrame:
     """A matrix as (coordinator, periode, amount), empty cells with 0."""
     return matrix.unpivot(quoted(COORDINATOR), [quoted(c) for c in matrix.columns[1:]], "periode", "amount")

@@ -104,8 +104,20 @@ def write_extracts(
 
     Every cell is text on one line.
     """
-    path, halves = f"{root.rstrip('/')}/report=extracts", f"{root.rstrip('/')}/report=closed_properties"
+    path = f"{root.rstrip('/')}/report=extracts"
     write_split(render_on_one_line(extracts.all_extracts(flat, as_of, teams, bounds)), path, ["extract"])
+    return {"extracts": path, "closed_properties": write_closed_halves(flat, root, as_of, teams, bounds)}
+
+
+def write_closed_halves(
+    flat: DataFrame,
+    root: str,
+    as_of: datetime,
+    teams: Mapping[str, Sequence[str]] = extracts.TEAMS,
+    bounds: str = "calendar",
+) -> str:
+    """Last month's closings alone: a folder for each half month and team."""
+    path = f"{root.rstrip('/')}/report=closed_properties"
     closed = extracts.closed_halves(flat, as_of, teams, bounds=bounds)
-    write_split(render_on_one_line(closed), halves, ["workbook", "sheet"])
-    return {"extracts": path, "closed_properties": halves}
+    write_split(render_on_one_line(closed), path, ["workbook", "sheet"])
+    return path

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dealreports.functions.attributes import flatten
 from dealreports.plans.workbooks import ALL_ATTRIBUTES
 from dealreports.session import written
+from dealreports.sinks.manifest import Files
 from dealreports.sources.deals import deals
 
 _written: dict[tuple, DataFrame] = {}
@@ -25,10 +26,9 @@ def flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _written[key]
 
 
-def _versions(spark: SparkSession, sf_dir: str) -> list[str]:
-    """When the files of the source tables were changed."""
-    versions = []
+def _versions(spark: SparkSession, sf_dir: str) -> list[tuple]:
+    """When the files of the source tables were changed, by the file system's status: no Spark job."""
+    files, versions = Files(spark, sf_dir), []
     for table in ("orders", "customer", "nation"):
-        files = spark.read.format("binaryFile").load(f"{sf_dir}/{table}.parquet").select("path", "modificationTime")
-        versions += [str(tuple(r)) for r in files.orderBy("path").collect()]
+        versions += files.listed(f"{sf_dir}/{table}.parquet")
     return versions

@@ -614,8 +614,8 @@ def sink_all_extracts(spark, sf_dir):
 @register("sink_per_team", _csv_sql(sql.closed_halves(), flags="is_closed_paid"))
 def sink_per_team(spark, sf_dir):
     """Last month's closings, a folder for each half and team, read back."""
-    paths = workbooks.write_extracts(inputs.flat(spark, sf_dir), scratch_path(spark, "workbooks"), d.AS_OF, TEAMS)
-    rows = spark.read.parquet(paths["closed_properties"])
+    path = workbooks.write_closed_halves(inputs.flat(spark, sf_dir), scratch_path(spark, "workbooks"), d.AS_OF, TEAMS)
+    rows = spark.read.parquet(path)
     return rows.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in rows.columns])
 
 

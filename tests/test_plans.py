@@ -77,5 +77,21 @@ def test_flatten_moves_no_row(spark, sf_dir):
     assert "Exchange" not in text and text.count("from_json") == 1
 
 
+def test_payroll_reads_its_rows_once(spark, sf_dir, monkeypatch):
+    """The matrix reads written cells; what was written came from one scan of the flat table."""
+    from dealreports.plans import payroll
+
+    plans, write = [], payroll.written
+    monkeypatch.setattr(payroll, "written", lambda df, name: plans.append(df) or write(df, name))
+    matrix = QUERIES["payroll_projected"](spark, sf_dir)
+    assert len(scans(matrix)) == 1 and "amount" in scans(matrix)[0]
+    assert len(plans) == 1 and len(scans(plans[0])) == 1
+
+
+def test_duplicates_need_two_scans_and_one_ranking(spark, sf_dir):
+    text = plan(QUERIES["stage_agent_duplicates"](spark, sf_dir))
+    assert len(re.findall(r"FileScan parquet ", text)) <= 2 and len(re.findall(r"\bWindow \[", text)) == 1
+
+
 def test_flat_table_is_written_once_per_session(spark, sf_dir):
     assert inputs.flat(spark, sf_dir) is inputs.flat(spark, sf_dir)
