@@ -19,15 +19,15 @@ def month_literals(months: list[datetime]) -> str:
     return f"array({', '.join(f"DATE '{m:%Y-%m-%d}'" for m in months)})"
 
 
-def counts_on_spine(hits: DataFrame, keys: DataFrame, months: list[datetime]) -> DataFrame:
+def counts_on_spine(hits: DataFrame, keys: DataFrame, months: list[datetime], weight: str | None = None) -> DataFrame:
     """``hits`` (key, month) counted for every row of ``keys`` and every month: (key, month, n).
 
     The empty cells ride along with weight 0, so one aggregation does it and no join is needed. ``keys`` is a
-    short list of known keys.
+    short list of known keys. ``weight`` names a column of numbers to add up instead of counting rows.
     """
     key = keys.columns[0]
     cells = keys.selectExpr(key, f"explode({month_literals(months)}) AS month", "0 AS n")
-    weighted = hits.select(key, "month", F.lit(1).alias("n")).unionByName(cells)
+    weighted = hits.select(key, "month", (F.lit(1) if weight is None else named(weight)).alias("n")).unionByName(cells)
     return weighted.groupBy(key, "month").agg(F.sum("n").alias("n"))
 
 

@@ -85,12 +85,12 @@ KPIS = [
 ]
 
 
-def _date(kpi: Kpi) -> str:
+def date_of(kpi: Kpi) -> str:
     return f"{'keys_last' if kpi.keep == 'last' else 'keys'}.{kpi.date}"
 
 
 def _condition(kpi: Kpi, as_of: datetime, teams: Mapping[str, Sequence[str]]) -> str:
-    date = _date(kpi)
+    date = date_of(kpi)
     if kpi.rule == "month":
         parts = [year_to_date_sql(date, as_of)]
     elif kpi.rule == "next":
@@ -98,7 +98,12 @@ def _condition(kpi: Kpi, as_of: datetime, teams: Mapping[str, Sequence[str]]) ->
         parts = [year_to_date_sql(date, as_of, extra_months=1), f"month({date}) > 1"]
     else:
         parts = [in_year_sql(date, as_of.year)]
-    parts.append(f"keys.contract_status IN {in_list(kpi.statuses)}")
+    return " AND ".join([*parts, member_sql(kpi, teams)])
+
+
+def member_sql(kpi: Kpi, teams: Mapping[str, Sequence[str]]) -> str:
+    """What a record must have besides the date to belong to a count."""
+    parts = [f"keys.contract_status IN {in_list(kpi.statuses)}"]
     if kpi.teams:
         parts.append(f"team_name IN {in_list(teams[kpi.teams])}")
     if kpi.client:
@@ -108,12 +113,12 @@ def _condition(kpi: Kpi, as_of: datetime, teams: Mapping[str, Sequence[str]]) ->
 
 def _some_day_in_year(kpis: Sequence[Kpi], year: int) -> str:
     """Lets the scan skip the parts of the table that lie in other years."""
-    days = dict.fromkeys(_date(k).replace("keys", "days") for k in kpis)
+    days = dict.fromkeys(date_of(k).replace("keys", "days") for k in kpis)
     return " OR ".join(f"{day} BETWEEN DATE '{year}-01-01' AND DATE '{year}-12-31'" for day in days)
 
 
 def _hit(kpi: Kpi, as_of: datetime, teams: Mapping[str, Sequence[str]]) -> str:
-    month = f"trunc({_date(kpi)}, 'MM')"
+    month = f"trunc({date_of(kpi)}, 'MM')"
     if kpi.rule == "next":
         month = f"add_months({month}, -1)"
     return f"CASE WHEN {_condition(kpi, as_of, teams)} THEN named_struct('kpi', {kpi.kpi}, 'month', {month}) END"
@@ -141,10 +146,10 @@ def monthly_kpis(
         # every month of the year counts towards the later months, so the cut to ``as_of`` comes after
         rest = F.when(F.col("kpi").isin(later), later_months("kpi")).otherwise(F.col("n"))
         counts = counts.withColumn("n", rest)
-    return counts.where(F.col("month") <= F.lit(as_of.date())).select("kpi", _state(kpis), "month", "n")
+    return counts.where(F.col("month") <= F.lit(as_of.date())).select("kpi", state_of(kpis), "month", "n")
 
 
-def _state(kpis: Sequence[Kpi]) -> Column:
+def state_of(kpis: Sequence[Kpi]) -> Column:
     cases = " ".join(f"WHEN {k.kpi} THEN {literal(k.state)}" for k in kpis)
     return F.expr(f"CASE kpi {cases} END AS state")
 

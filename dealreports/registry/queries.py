@@ -21,7 +21,7 @@ from dealreports.functions.attributes import (
 )
 from dealreports.operators import columns as col
 from dealreports.operators import corrections, counting, filters, matching
-from dealreports.plans import daily, extracts, kpis, payroll, staging, workbooks
+from dealreports.plans import daily, extracts, increments, kpis, payroll, staging, workbooks
 from dealreports.plans.statuses import status_catalogue
 from dealreports.registry import inputs
 from dealreports.registry import oracle as sql
@@ -207,6 +207,25 @@ def kpi_rest_of_year(spark, sf_dir):
 _JSON_MONTHS = ", ".join(f"'{m} 2000', \"{m} 2000\"" for m in "Jan Feb Mar Apr May Jun Jul Aug Sep Oct".split())
 
 
+@register("kpi_incremental", sql.kpi_long())
+def kpi_incremental(spark, sf_dir):
+    """The counts after three batches: records arrive, change, go and come back; the last state is the flat table."""
+    root, flat = scratch_path(spark, "kept-counts"), inputs.flat(spark, sf_dir)
+    wrong = F.when(F.col("id") % 2 == 0, F.lit("CTC - Pending")).otherwise(F.lit("CTC - Closed - PAID"))
+    later = lambda side, c: F.col(side).withField(c, F.expr(f"{side}.{c} + INTERVAL 40 DAY"))
+    changed = flat.where("id % 5 = 0")
+    before = changed.withColumn("keys", F.col("keys").withField("contract_status", wrong))
+    before = before.withColumn("keys", later("keys", "closing_date")).withColumn("keys_last", later("keys_last", "closing_date"))
+    batches = [
+        flat.where("id % 3 < 2 AND id % 5 <> 0").unionByName(before),
+        flat.where("id % 3 = 2 AND id % 5 <> 0").unionByName(changed).withColumn("deleted", F.expr("id % 7 = 0")),
+        flat.where("id % 7 = 0"),
+    ]
+    for number, batch in enumerate(batches):
+        increments.apply_changes(spark, root, batch, TEAMS, number)
+    return increments.kept_kpis(spark, root, d.AS_OF)
+
+
 @register(
     "kpi_summary_json",
     f"SELECT kpi, CAST(json_object('state', state, {_JSON_MONTHS}) AS VARCHAR) AS summary FROM ({sql.kpi_wide()})",

@@ -13,6 +13,8 @@ A record without a whole number as id has the id 0; such records are told apart
 one another. A moment that cannot be read counts as the earliest.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,8 +68,20 @@ def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")
 
 
-def upsert(spark: SparkSession, out: str, pages: DataFrame, batch: int | None = None, buckets: int = BUCKETS) -> manifest.State:
-    """Takes a batch of pages into the table at ``out``. ``batch`` numbers the batches of a stream from 0."""
+def upsert(
+    spark: SparkSession,
+    out: str,
+    pages: DataFrame,
+    batch: int | None = None,
+    buckets: int = BUCKETS,
+    first: Callable[[DataFrame, int | None], object] | None = None,
+) -> manifest.State:
+    """Takes a batch of pages into the table at ``out``. ``batch`` numbers the batches of a stream from 0.
+
+    ``first`` is called with the records that change (newest versions, deleted ones marked) and the number of the
+    batch before the table changes. After a failure it is called again with the same records, so what it keeps
+    must know its batches, as ``plans.increments`` does.
+    """
     before = manifest.state(spark, out)
     buckets = before.notes.get("buckets", buckets)
     if batch is not None and batch <= before.notes.get("batch", -1):
@@ -84,6 +98,8 @@ def upsert(spark: SparkSession, out: str, pages: DataFrame, batch: int | None =
     names = [str(r[0]) for r in changed.select("bucket").distinct().collect()]
     if not names:
         return before if batch is None else manifest.commit(spark, out, before, before.entries, notes)
+    if first is not None:
+        first(changed, batch)
     kept = manifest.read(spark, out, STATE, names).join(changed.select("key"), "key", "left_anti")
     rows = kept.withColumn("bucket", _bucket(buckets)).select(*changed.columns).unionByName(changed)
     folder = manifest.staged()
@@ -98,16 +114,22 @@ def read_refreshed(spark: SparkSession, out: str, version: int | None = None) ->
 
 
 def refresh_stream(
-    spark: SparkSession, pages: str, out: str, checkpoint: str, files_per_batch: int = 1000, buckets: int = BUCKETS
+    spark: SparkSession,
+    pages: str,
+    out: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+    buckets: int = BUCKETS,
+    first: Callable[[DataFrame, int | None], object] | None = None,
 ) -> StreamingQuery:
-    """Takes the pages that arrived since the last run into the table, and stops.
+    """Takes the pages that arrived since the last run into the table, and stops. ``first`` as in ``upsert``.
 
     A run that fails between the commit of the table and that of the stream repeats its batch; the manifest knows it.
     One checkpoint belongs to one table.
     """
 
     def take(batch: DataFrame, number: int) -> None:
-        upsert(spark, out, batch, number, buckets)
+        upsert(spark, out, batch, number, buckets, first)
 
     stream = spark.readStream.schema(as_text(CHANGES)).option("maxFilesPerTrigger", files_per_batch).json(pages)
     writer = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)

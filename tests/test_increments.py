@@ -1,0 +1,115 @@
+import random
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+from records import record
+
+from dealreports.plans import increments, kpis
+from dealreports.sinks import manifest
+
+AS_OF, TEAMS = datetime(2024, 10, 20), {"ctc": ["T"], "preferred": ["P"]}
+STATUSES = ["CTC - Pending", "CTC - Closed - PAID", "CTC - Preferred - Pending", "Listing - PAID", "Compliance", "None of these"]
+
+
+def some_record(rng, i):
+    date = lambda: f"2024-{rng.randrange(1, 13):02d}-{rng.randrange(1, 28):02d}"
+    items = [("Contract Status", rng.choice(STATUSES)), ("Contract Client Type", rng.choice(["Buyer", "Seller", None]))]
+    items += [(label, date()) for label in ("Closing", "CTC Started with Empower", "Listing PAID Date", "Compliance Started with Empower") if rng.random() < 0.8]
+    return record(i, items=items, team=rng.choice(["T", "P", "other"]))
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+@pytest.fixture
+def apply(spark, flat_of, tmp_path):
+    root = str(tmp_path / "counts")
+
+    def run(records, deleted=(), batch=None):
+        flat = flat_of(records).withColumn("deleted", F.col("id").isin(list(deleted)))
+        return increments.apply_changes(spark, root, flat, TEAMS, batch, buckets=4)
+
+    return root, run
+
+
+def test_batches_add_up_to_counting_anew(spark, flat_of, apply):
+    root, run = apply
+    rng, state = random.Random(1), {}
+    for batch in range(4):
+        ids = rng.sample(range(1, 60), 25)
+        records = {i: some_record(rng, i) for i in ids}
+        gone = [i for i in ids if rng.random() < 0.2]
+        run(list(records.values()), gone, batch)
+        state |= records
+        state = {i: r for i, r in state.items() if i not in gone}
+        anew = kpis.monthly_kpis(flat_of(list(state.values())), AS_OF, TEAMS)
+        assert rows(increments.kept_kpis(spark, root, AS_OF)) == rows(anew)
+    for as_of in (datetime(2024, 1, 5), datetime(2024, 12, 31, 23), datetime(2023, 6, 1)):
+        anew = kpis.monthly_kpis(flat_of(list(state.values())), as_of, TEAMS)
+        assert rows(increments.kept_kpis(spark, root, as_of)) == rows(anew)
+
+
+def test_a_batch_that_runs_again_and_one_without_changes(spark, apply):
+    root, run = apply
+    rng = random.Random(2)
+    records = [some_record(rng, i) for i in range(1, 20)]
+    first = run(records, batch=0)
+    before = rows(increments.kept_counts(spark, root))
+    assert run(records, batch=0) == first
+    run(records, batch=1)
+    assert rows(increments.kept_counts(spark, root)) == before and before
+    run(records, deleted=range(100), batch=2)
+    assert rows(increments.kept_counts(spark, root)) == []
+    run([], batch=3)
+
+
+def test_only_the_buckets_of_the_batch_are_read_and_written(spark, apply):
+    root, run = apply
+    rng = random.Random(3)
+    first = run([some_record(rng, i) for i in range(1, 80)])
+    after = run([some_record(rng, 5)])
+    same = [b for b in first.entries if first.entries[b] == after.entries.get(b)]
+    assert len(first.entries) == 5 and len(same) == 3
+
+
+def test_counts_follow_the_landing_stream(spark, tmp_path):
+    """Records land by key, and the counts change with them, also where a run fails in between."""
+    import json
+
+    from dealreports.functions.attributes import flatten
+    from dealreports.plans.workbooks import ALL_ATTRIBUTES
+    from dealreports.streaming import refresh
+
+    pages, out, counts, check = tmp_path / "pages", *(str(tmp_path / n) for n in ("out", "counts", "check"))
+    pages.mkdir()
+    rng = random.Random(4)
+
+    def dump(name, ids, minute):
+        found = [some_record(rng, i) for i in ids]
+        found = [dict(zip(refresh.PROPERTIES.fieldNames(), r)) if not isinstance(r, dict) else r for r in found]
+        (pages / name).write_text("\n".join(json.dumps({**r, "updated": f"2024-01-01 10:{minute:02d}:00"}, default=str) for r in found))
+
+    def count(changed, batch):
+        flat = flatten(changed.select(*refresh.PROPERTIES.fieldNames()), ALL_ATTRIBUTES)
+        deleted = changed.select("id", "deleted")
+        increments.apply_changes(spark, counts, flat.join(deleted, "id"), TEAMS, batch, buckets=4)
+
+    def run(**kw):
+        refresh.refresh_stream(spark, str(pages), out, check, buckets=4, first=count, **kw).awaitTermination()
+
+    dump("a.json", range(1, 30), 1)
+    run()
+    dump("b.json", range(10, 40), 2)
+    commit = manifest.commit
+    manifest.commit = lambda s, root, *rest: commit(s, root, *rest) if root == counts else (_ for _ in ()).throw(OSError("lost"))
+    try:
+        with pytest.raises(Exception, match="lost"):
+            run()
+    finally:
+        manifest.commit = commit
+    run()
+    anew = kpis.monthly_kpis(flatten(refresh.read_refreshed(spark, out), ALL_ATTRIBUTES), AS_OF, TEAMS)
+    assert rows(increments.kept_kpis(spark, counts, AS_OF)) == rows(anew)
+    assert sum(r[3] for r in rows(anew)) > 20
