@@ -459,6 +459,36 @@ def labels_found() -> str:
     return with_agents(" UNION ".join(deals + agents))
 
 
+# How values are classed, written out here and not taken from the library.
+_CLASS = r"""CASE WHEN trim(v) = '' THEN 'blank' WHEN regexp_full_match(v, '[+-]?[0-9]{1,18}') THEN 'whole'
+    WHEN regexp_full_match(v, '[+-]?\$?([0-9]{1,18}|[0-9]{1,3}(,[0-9]{3}){1,5})(\.[0-9]+)?') THEN 'money'
+    WHEN TRY_CAST(v AS DATE) IS NOT NULL THEN 'yyyy-MM-dd' ELSE 'text' END"""
+
+
+def label_types(misfits: float = 0.05) -> str:
+    texts = {c: "closing_text" if c == "Closing" else "status" if c == "Contract Status" else e for c, e in _LABEL_COLUMN.items()}
+    deals = [f"SELECT {_s(c)} AS label, CAST({e} AS VARCHAR) AS v FROM deal WHERE readable" for c, e in texts.items()]
+    deals.append("SELECT 'Contract Status', 'Superseded' FROM deal WHERE readable AND k % 23 = 0")
+    agents = [f"SELECT {_s(c)}, CAST({e} AS VARCHAR) FROM agent_row" for c, e in _AGENT_COLUMN.items()]
+    return with_agents("").rstrip() + f""",
+found AS ({" UNION ALL ".join(deals + agents)}),
+counted AS (
+  SELECT label, count(CASE WHEN c <> 'blank' THEN 1 END) AS n_values, count(CASE WHEN c = 'blank' THEN 1 END) AS n_blank,
+    count(CASE WHEN c = 'whole' THEN 1 END) AS n_whole, count(CASE WHEN c IN ('whole', 'money') THEN 1 END) AS n_money,
+    count(CASE WHEN c = 'yyyy-MM-dd' THEN 1 END) AS n_date
+  FROM (SELECT label, {_CLASS} AS c FROM found WHERE v IS NOT NULL) GROUP BY label),
+typed AS (
+  SELECT *, CASE WHEN n_values > 0 AND n_values - n_whole <= n_values * {misfits}::DOUBLE THEN 'whole'
+    WHEN n_values > 0 AND n_values - n_money <= n_values * {misfits}::DOUBLE THEN 'money'
+    WHEN n_values > 0 AND n_values - n_date <= n_values * {misfits}::DOUBLE THEN 'date' ELSE 'text' END AS type
+  FROM counted)
+SELECT label, type, CASE WHEN type = 'date' THEN 'yyyy-MM-dd' END AS format, n_values, n_blank,
+  CASE WHEN n_values = 0 THEN 0::DOUBLE ELSE (n_values
+    - CASE type WHEN 'whole' THEN n_whole WHEN 'money' THEN n_money WHEN 'date' THEN n_date ELSE n_values END)::DOUBLE
+    / n_values END AS misfits
+FROM typed"""
+
+
 # --- payroll ------------------------------------------------------------------------------------
 
 _PAID = {"closing": "closing", "listing": "listing_paid", "ctc": "ctc_paid", "compliance": "compliance_paid",

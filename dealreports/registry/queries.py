@@ -19,9 +19,11 @@ from dealreports.functions.attributes import (
     unreadable,
     wide_discovered,
 )
+from dealreports.functions.discovery import add_up, class_counts, types_of
 from dealreports.operators import columns as col
-from dealreports.operators import corrections, counting, filters, matching
-from dealreports.plans import daily, extracts, increments, kpis, payroll, staging, workbooks
+from dealreports.operators import corrections, counting, filters, matching, spelling
+from dealreports.operators.asof import as_of
+from dealreports.plans import daily, extracts, history, increments, kpis, payroll, staging, workbooks
 from dealreports.plans.statuses import status_catalogue
 from dealreports.registry import inputs
 from dealreports.registry import oracle as sql
@@ -222,7 +224,7 @@ def kpi_incremental(spark, sf_dir):
         flat.where("id % 7 = 0"),
     ]
     for number, batch in enumerate(batches):
-        increments.apply_changes(spark, root, batch, TEAMS, number)
+        increments.apply_changes(spark, root, batch, TEAMS, number, buckets=8)
     return increments.kept_kpis(spark, root, d.AS_OF)
 
 
@@ -518,13 +520,13 @@ def ingest_refreshed(spark, sf_dir):
     """Two dumps by two runs of the stream; the second replaces, repeats, deletes and adds records."""
     pages, out, check = (scratch_path(spark, n) for n in ("dumps", "refreshed", "refresh-checkpoint"))
     _write_dump(spark, sf_dir, pages, {"id % 10 <> 9": ("first", 0, "false")})
-    refresh.refresh_stream(spark, pages, out, check).awaitTermination()
+    refresh.refresh_stream(spark, pages, out, check, buckets=8).awaitTermination()
     second = {
         "id % 4 = 1 AND id % 28 <> 5": ("changed", 5, "false"), "id % 4 = 2": ("first", 0, "false"),
         "id % 4 = 3": ("late", -5, "false"), "id % 28 = 5": ("gone", 9, "true"),
     }
     _write_dump(spark, sf_dir, pages, second)
-    refresh.refresh_stream(spark, pages, out, check).awaitTermination()
+    refresh.refresh_stream(spark, pages, out, check, buckets=8).awaitTermination()
     return refresh.read_refreshed(spark, out).select("id", "team_name", "created")
 
 
@@ -792,6 +794,127 @@ def documents_with_match_flag(spark, sf_dir):
     return matching.left_match(documents, _table(spark, sf_dir, "labels"), "doc_id", "doc_id")
 
 
+@register("label_types", sql.label_types())
+def label_types(spark, sf_dir):
+    """The type of every label, from the classes of its values; two batches whose counts are added up."""
+    raw = inputs.raw(spark, sf_dir).select("id", "field_values")
+    batches = [class_counts(parse_once(raw.where(f"id % 2 = {k}"))) for k in (0, 1)]
+    return types_of(add_up(*batches))
+
+
+# Statuses in use against the list of the daily update, and agents of deals without an account against the accounts.
+_SPELLED = """
+nearest AS (
+  SELECT kind, value, name, levenshtein(value, name) AS distance FROM wanted JOIN listed USING (kind)
+  WHERE levenshtein(value, name) <= 2
+  QUALIFY row_number() OVER (PARTITION BY kind, value ORDER BY levenshtein(value, name), name) = 1)
+SELECT kind, value, n.name AS nearest, CAST(n.distance AS INTEGER) AS distance
+FROM wanted LEFT JOIN nearest n USING (kind, value)
+"""
+_LISTED_STATUSES = [
+    "CTC - Pending", "CTC - Closed - PAID", "CTC - PAID", "CTC - Terminated - No Charge", "Listing - PAID", "Compliance - PAD",
+    "Compliance  - Ready to BILL", "CTC - Preferred - Withdrawm",
+]
+
+
+@register(
+    "nearest_spelling",
+    sql.with_agents("").rstrip() + f""",
+listed AS (
+  SELECT DISTINCT 'agent' AS kind, title AS name FROM agent_row WHERE title IS NOT NULL
+  UNION ALL SELECT 'status', unnest({_LISTED_STATUSES})),
+wanted AS (
+  SELECT DISTINCT 'agent' AS kind, agent AS value FROM deal
+  WHERE agent IS NOT NULL AND agent NOT IN (SELECT title FROM agent_row WHERE title IS NOT NULL)
+  UNION ALL SELECT DISTINCT 'status', status FROM deal WHERE status IS NOT NULL),
+{_SPELLED}""",
+)
+def nearest_spelling(spark, sf_dir):
+    """The nearest listed status of every status, and the nearest account of every agent without one."""
+    flat = inputs.flat(spark, sf_dir)
+    accounts = flat.where(filters.is_value("labels_last.`Contract Status`", fixed.AGENT_ACCOUNT))
+    agents = accounts.selectExpr("labels_last.`Contract Title` AS title")
+    deals_of = flat.where(filters.is_not_value("labels_last.`Contract Status`", fixed.AGENT_ACCOUNT))
+    names = deals_of.selectExpr("labels.`Empower Agent Name` AS agent").distinct()
+    missing = matching.only_unmatched(names, agents, "agent", "title")
+    statuses = spark.range(1).select(F.explode(F.array(*[F.lit(s) for s in _LISTED_STATUSES])).alias("name"))
+    found = {
+        "agent": spelling.nearest_in_list(missing, "agent", agents, "title"),
+        "status": spelling.nearest_in_list(deals_of.selectExpr("labels.`Contract Status` AS status"), "status", statuses),
+    }
+    return reduce(DataFrame.unionByName, [rows.withColumn("kind", F.lit(kind)) for kind, rows in found.items()])
+
+
+_HISTORY = """
+SELECT o_orderkey AS id, CAST(o_orderdate AS TIMESTAMP) AS updated, 'TC ' || (o_orderkey % 9) AS name, 'CTC - Pending' AS status
+FROM orders
+UNION ALL SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 1 DAY * (20 + o_orderkey % 60),
+  CASE WHEN o_orderkey % 5 = 0 THEN 'TC ' || (o_orderkey % 4) ELSE 'TC ' || (o_orderkey % 9) END,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'CTC - Pending' ELSE 'CTC - Withdrawn' END
+FROM orders WHERE o_orderkey % 7 <> 0
+UNION ALL SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 1 DAY * (100 + o_orderkey % 200), 'TC ' || (o_orderkey % 2),
+  CASE WHEN o_orderkey % 2 = 0 THEN 'CTC - Withdrawn' ELSE 'CTC - Pending' END
+FROM orders WHERE o_orderkey % 4 = 0
+"""
+
+
+def _history(spark, sf_dir) -> DataFrame:
+    """Up to three versions of every order."""
+    orders = _table(spark, sf_dir, "orders").selectExpr("o_orderkey AS id", "CAST(o_orderdate AS TIMESTAMP_NTZ) AS d")
+    name = "concat('TC ', id % {})"
+    later = "d + make_dt_interval(CAST({} AS INT))"
+    return (
+        orders.selectExpr("id", "d AS updated", f"{name.format(9)} AS name", "'CTC - Pending' AS status")
+        .unionByName(orders.where("id % 7 <> 0").selectExpr(
+            "id", f"{later.format('20 + id % 60')} AS updated",
+            f"CASE WHEN id % 5 = 0 THEN {name.format(4)} ELSE {name.format(9)} END AS name",
+            "CASE WHEN id % 3 = 0 THEN 'CTC - Pending' ELSE 'CTC - Withdrawn' END AS status",
+        ))
+        .unionByName(orders.where("id % 4 = 0").selectExpr(
+            "id", f"{later.format('100 + id % 200')} AS updated", f"{name.format(2)} AS name",
+            "CASE WHEN id % 2 = 0 THEN 'CTC - Withdrawn' ELSE 'CTC - Pending' END AS status",
+        ))
+    )
+
+
+@register(
+    "active_at_month_ends",
+    f"""
+WITH history AS ({_HISTORY}),
+months AS (SELECT CAST(range AS DATE) AS month FROM range(DATE '1995-01-01', DATE '1997-01-01', INTERVAL 1 MONTH)),
+held AS (
+  SELECT id, name, status, month FROM history JOIN months ON updated < month + INTERVAL 1 MONTH
+  QUALIFY row_number() OVER (PARTITION BY id, month ORDER BY updated DESC) = 1),
+names AS (SELECT DISTINCT name FROM history WHERE status = 'CTC - Pending')
+SELECT name, month, count(id) AS n FROM names CROSS JOIN months LEFT JOIN
+  (SELECT * FROM held WHERE status = 'CTC - Pending') USING (name, month) GROUP BY name, month
+""",
+)
+def active_at_month_ends(spark, sf_dir):
+    months = [datetime(y, m, 1) for y in (1995, 1996) for m in range(1, 13)]
+    return history.active_at_month_ends(_history(spark, sf_dir), months, ["CTC - Pending"])
+
+
+@register(
+    "state_as_of",
+    f"""
+WITH history AS ({_HISTORY}),
+asked AS (
+  SELECT l_orderkey AS id, CAST(l_shipdate AS TIMESTAMP) AS updated, l_linenumber FROM lineitem)
+SELECT a.id, a.updated, a.l_linenumber, h.name, h.status
+FROM asked a ASOF LEFT JOIN history h ON a.id = h.id AND a.updated >= h.updated
+""",
+)
+def state_as_of(spark, sf_dir):
+    """For every line of every order, the order's version when the line was shipped."""
+    lines = _table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS id", "CAST(l_shipdate AS TIMESTAMP_NTZ) AS updated", "l_linenumber"
+    )
+    return as_of(lines, _history(spark, sf_dir), ["id"], "updated").select(
+        "id", "updated", "l_linenumber", "version.name", "version.status"
+    )
+
+
 @register("labels_found", sql.labels_found())
 def labels_found(spark, sf_dir):
     """The labels an exploration finds."""

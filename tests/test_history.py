@@ -1,0 +1,92 @@
+import random
+from datetime import datetime, timedelta
+
+from pyspark.sql import functions as F
+
+from dealreports.operators.asof import as_of, intervals
+from dealreports.plans.history import active_at_month_ends
+
+DAY = datetime(2024, 1, 1)
+
+
+def at(n):
+    return None if n is None else DAY + timedelta(days=n)
+
+
+def versions_of(spark, rows):
+    return spark.createDataFrame([(i, at(m), s) for i, m, s in rows], "id long, updated timestamp_ntz, state string")
+
+
+def some(seed, n, ids=9):
+    rng = random.Random(seed)
+    days = rng.sample(range(n * 3), n)
+    return [(rng.choice([None, *range(ids)]) if rng.random() < 0.6 else 1, d, f"s{d}") for d in days]
+
+
+def test_as_of_is_the_last_version(spark):
+    rows = some(1, 400)
+    asked = [(i, d, k) for k, (i, d) in enumerate([(i, d) for i in [None, *range(11)] for d in range(0, 1200, 37)])]
+    moments = spark.createDataFrame([(i, at(d), k) for i, d, k in asked], "id long, updated timestamp_ntz, n int").repartition(5)
+    got = {r["n"]: r["version"] and r["version"]["state"] for r in as_of(moments, versions_of(spark, rows).repartition(3), ["id"], "updated").collect()}
+    for i, d, k in asked:
+        held = [(m, s) for j, m, s in rows if j == i and m <= d]
+        assert got[k] == (max(held)[1] if held else None)
+    assert len(got) == len(asked)
+
+
+def test_odd_versions_and_moments(spark):
+    versions = versions_of(spark, [(1, None, "none"), (1, 5, "a"), (1, 5, "b"), (2, 7, None)])
+    moments = spark.createDataFrame([(1, None), (1, at(5)), (2, at(8)), (2, at(8)), (3, at(1))], "id long, updated timestamp_ntz")
+    rows = as_of(moments, versions, ["id"], "updated").collect()
+    got = sorted((r["id"], str(r["updated"]), r["version"] is not None and (r["version"]["state"] or "-")) for r in rows)
+    assert len(got) == 5 and got[1] == (1, "None", False) and got[0][2] in ("a", "b") and got[2:4] == [(2, str(at(8)), "-")] * 2
+    assert as_of(moments, versions.where("false"), ["id"], "updated").where("version IS NULL").count() == 5
+    assert as_of(moments.where("false"), versions, ["id"], "updated").count() == 0
+
+
+def test_intervals_end_where_the_next_begins(spark):
+    rows = some(2, 500)
+    got = {(r["id"], r["state"]): r["until"] for r in intervals(versions_of(spark, rows).repartition(4), ["id"], "updated").collect()}
+    for i, d, s in rows:
+        later = [m for j, m, _ in rows if j == i and m > d]
+        assert got[i, s] == (at(min(later)) if later else None)
+    assert len(got) == len(rows)
+
+
+def test_a_hot_id_is_dealt_to_many_tasks(spark):
+    rows = spark.range(80_000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 7 ELSE id END AS id", "CAST(timestamp_seconds(id) AS TIMESTAMP_NTZ) AS updated", "id AS n"
+    )
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = intervals(rows, ["id"], "updated")
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 40_000 and found.count() == 80_000
+        assert found.where("id = 7 AND until IS NULL").count() == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_no_product_in_the_plan(spark, sf_dir):
+    import __spark_entry__ as entry_points
+
+    for name in ("state_as_of", "active_at_month_ends"):
+        text = entry_points.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "Cartesian" not in text and "NestedLoop" not in text and "Join" not in text
+
+
+def test_active_files_by_brute_force(spark):
+    rng = random.Random(3)
+    rows = [(i, DAY + timedelta(days=d), rng.choice(["A", "B", None]), rng.choice(["on", "on", "off", None])) for i in range(60) for d in sorted(rng.sample(range(400), 3))]
+    history = spark.createDataFrame(rows, "id long, updated timestamp_ntz, name string, status string").repartition(3)
+    months = [datetime(2024, m, 1) for m in (1, 2, 3, 6, 11)]
+    got = {(r["name"], r["month"].month): r["n"] for r in active_at_month_ends(history, months, ["on"]).collect()}
+    want = {}
+    for m in months:
+        end = datetime(m.year, m.month + 1, 1)
+        for i in range(60):
+            held = [r for r in rows if r[0] == i and r[1] < end]
+            if held and held[-1][3] == "on" and held[-1][2]:
+                want[held[-1][2], m.month] = want.get((held[-1][2], m.month), 0) + 1
+    assert got == {(n, m.month): want.get((n, m.month), 0) for n in "AB" for m in months}
