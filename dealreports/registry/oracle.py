@@ -350,14 +350,20 @@ _AGENT_COLUMN = {
     "Reassigned Date": "CAST(reassigned AS VARCHAR)",
 }
 _NEVER = "started IS NULL AND listing_started IS NULL AND offer_started IS NULL AND compliance_started IS NULL"
-_EXCLUDED = " OR ".join(f"lower(coalesce(title, '')) LIKE '%{w}%'" for w in fixed.EXCLUDED_TITLE_WORDS)
+# Fixed values, as the records spell them; not taken from the library, so that a slip there shows.
+_EXCLUDED = " OR ".join(f"lower(coalesce(title, '')) LIKE '%{w}%'" for w in ("test", "training", "delete"))
+_NO_CLOSING = (
+    "Compliance - PAID", "Compliance - Ready to BILL", "CTC - Preferred - Terminated - No Change",
+    "CTC - Terminated - No Change", "CTC - Preferred - Withdrawn", "CTC - Withdrawn", "Listing - PAID",
+    "Listing - Pre-Listing",
+)
 _BOTH_LATE = f"(year(started) >= {d.CUTOVER_YEAR} AND year(listing_started) >= {d.CUTOVER_YEAR})"
 _BLANK_AMOUNT = "(coalesce({0}, '') = '' OR coalesce(TRY_CAST({0} AS DOUBLE) = 0, FALSE))"
-_CLOSING_KEPT = f"CASE WHEN status_last IN {_in(fixed.NO_CLOSING_STATUSES)} THEN NULL ELSE closing END"
+_CLOSING_KEPT = f"CASE WHEN status_last IN {_in(_NO_CLOSING)} THEN NULL ELSE closing END"
 _BILLING = (
     f"CASE WHEN {_BLANK_AMOUNT.format('billing')} AND ({_CLOSING_KEPT}) IS NOT NULL THEN "
     f"CASE WHEN NOT {_BLANK_AMOUNT.format('other')} THEN other "
-    f"WHEN preferred = 'Yes' THEN '{fixed.PREFERRED_BILLING_AMOUNT}' ELSE '{fixed.STANDARD_BILLING_AMOUNT}' END "
+    f"WHEN preferred = 'Yes' THEN '99' ELSE '400' END "
     f"ELSE billing END"
 )
 

@@ -26,3 +26,8 @@ def test_entry_gives_the_closings_of_ten_months(spark):
     df = entry_points.entry(spark)
     assert df.columns == ["kpi", "state", "month", "n"]
     assert df.count() == 10
+
+
+def test_statuses_come_in_order(spark, sf_dir):
+    found = [r[0] for r in QUERIES["status_catalogue"](spark, sf_dir).collect()]
+    assert found == sorted(found, key=str.encode) and len(found) > 10
