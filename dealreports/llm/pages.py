@@ -8,15 +8,17 @@ density is
 
 with counts of 0 taken as 1 (``notLC`` are the characters outside links): characters per tag, adjusted by links. The
 density sum of a node adds up the densities of its children. The threshold is the smallest density on the path from
-the body to the node with the largest density sum. The main content is every subtree whose density reaches it, taken as
-high below the body as it does and whole; article and main elements that hold most of such a subtree's text are taken
-instead of it, with what is dense beside them, and headings go with what they stand before. Within the content menus, forms, adverts, comments and the like are left out by
-their tags, roles and class names. Link blocks inside article and main elements stay; elsewhere lists and divisions of
+the body to the node with the largest density sum. Where article and main elements hold most of the text outside links,
+the main content is those of them whose density reaches it, and the headings directly before them; nothing beside them
+is taken. Elsewhere it is every subtree whose density reaches it, taken as high below the body as it does and whole,
+and headings go with what they stand before. Within the content menus, forms, adverts, comments and the like are left
+out by their tags, roles and class names. Link blocks inside article and main elements stay; elsewhere lists and divisions of
 several links with a lower density than the threshold are left out.
 """
 
 import html
 import re
+from functools import lru_cache
 from math import e, log
 
 import pyarrow as pa
@@ -52,11 +54,13 @@ NOT_TEXT = frozenset(
 )
 NOT_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog".split())
 NOT_TEXT_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "
-    "cookies copyright disqus footer header masthead menu modal nav navbar navigation newsletter notice pagination "
-    "pager popup promo promoted promotion related replies respond share sharing sidebar signup social sponsor sponsored "
-    "subscribe toolbar widget".split()
+    "ad ads adsbygoogle advert adverts advertisement advertising alert alerts banner breadcrumb breadcrumbs comment "
+    "comments consent cookie cookies copyright disclaimer disqus footer gdpr header latest masthead menu modal nav navbar "
+    "navigation newsletter notice overlay pagination pager popular popup promo promoted promotion recommended related "
+    "replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar trending widget".split()
 )
+# After another noun these may mean something else: market-share, oil-alert.
+AMBIGUOUS_WORDS = frozenset("alert alerts latest notice popular promotion recommended related respond share sharing social trending".split())
 FORMS = frozenset("form fieldset".split())  # some hold the whole page
 # Words of compound names that tell about layout, and first words of names that tell about what lies beside a part.
 LAYOUT_WORDS = frozenset(
@@ -66,7 +70,11 @@ LAYOUT_WORDS = frozenset(
 BESIDE_WORDS = frozenset("has no with without".split())
 # Within an article these words mark its own parts; on an article or main element only those of the second list count.
 HEADING_WORDS = frozenset("header banner masthead".split())
-ARTICLE_NOT_TEXT_WORDS = frozenset("comment comments replies respond ad ads advert advertisement related sponsored promo".split())
+ARTICLE_NOT_TEXT_WORDS = frozenset(
+    "comment comments replies respond ad ads adsbygoogle advert advertisement related sponsored promo".split()
+)
+# The shortest listed word that counts at the end of a longer one: usercomments, but not thread.
+LEAST_ENDING = 5
 ARTICLES = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Outside articles, these parts are left out if their density is low and more of their characters are in several links.
@@ -188,26 +196,43 @@ def _unwanted(node: Node, in_article: bool) -> bool:
 def _named(node: Node, in_article: bool) -> tuple[int, bool]:
     """How far class and id name a part as no text: 0 not, 1 perhaps, 2 surely; and whether as comments, adverts or such.
 
-    A name is the last of a token's words that does not tell about layout: ``article-footer``, ``cookie-bar``. Before
-    other words (``social-history``) it may mean something else; ``has-sidebar`` tells about what lies beside.
+    A name is the last of a token's words that does not tell about layout: ``article-footer``, ``cookie-bar``,
+    ``commentList``. Before other words (``social-history``), and some after others (``market-share``), it may mean
+    something else; ``has-sidebar`` tells about what lies beside.
     """
     if node.name in FORMS:
         return 2, False
     listed = ARTICLE_NOT_TEXT_WORDS if node.name in ARTICLES else NOT_TEXT_WORDS - HEADING_WORDS if in_article else NOT_TEXT_WORDS
     level, alien = 0, False
-    for token in f"{node.attributes.get('class', '')} {node.attributes.get('id', '')}".lower().split():
-        words = re.findall("[a-z]+", token)
+    for token in f"{node.attributes.get('class', '')} {node.attributes.get('id', '')}".split():
+        words = list(_words(token))
         if listed.isdisjoint(words) or words[0] in BESIDE_WORDS:
             continue
         while words[-1] in LAYOUT_WORDS:
             words.pop()
-        if words[-1] in listed:
+        if words[-1] in listed and (len(words) == 1 or words[-1] not in AMBIGUOUS_WORDS or words[-2] in NOT_TEXT_WORDS):
             level, alien = 2, alien or words[-1] in ARTICLE_NOT_TEXT_WORDS
         else:
             level = max(level, 1)
     return level, alien
 
 
+@lru_cache(1 << 16)
+def _words(token: str) -> tuple[str, ...]:
+    """Words of a name, cut at marks and changes of case; compounds of a listed word and another are two words."""
+    words = []
+    for word in re.findall("[A-Z]+(?![a-z])|[A-Z]?[a-z]+", token):
+        word = word.lower()
+        if word not in NOT_TEXT_WORDS and word not in LAYOUT_WORDS:
+            cuts = [k for k in range(2, len(word) - 1) if word[:k] in NOT_TEXT_WORDS and word[k:] in LAYOUT_WORDS]
+            cuts += [k for k in range(2, len(word) - LEAST_ENDING + 1) if word[k:] in NOT_TEXT_WORDS]
+            if cuts:
+                words.append(word[: cuts[0]])
+                word = word[cuts[0] :]
+        words.append(word)
+    return tuple(words)
+
+
 def _without(body: Node, unwanted) -> None:
     waiting = [(body, False)]
     while waiting:
@@ -309,10 +334,14 @@ def main_nodes(root: Node) -> tuple[list[Node], float]:
         path.append(parents[id(path[-1])])
     threshold = min(n.density for n in path)
     taken, held = {id(n) for n in path}, _articles(within)  # taken whatever their density: the path, and headings
+    headings: set[int] = set()
+    in_articles = 2 * held[id(body)] > body.chars - body.link_chars
 
     def whole(node: Node) -> bool:
         if node.name in ARTICLES:
             return True
+        if in_articles:
+            return id(node) in headings
         if 2 * held[id(node)] > node.chars - node.link_chars:  # what an article or main element holds is looked for in it
             return False
         own = node.chars - sum(c.chars for c in node.children if isinstance(c, Node))
@@ -330,6 +359,8 @@ def main_nodes(root: Node) -> tuple[list[Node], float]:
         for child, after in reversed([*zip(inner, [*inner[1:], None])]):
             if _heads(child, after) and (id(after) in taken or after.density >= threshold):
                 taken.add(id(child))
+                if 2 * held[id(after)] > after.chars - after.link_chars:
+                    headings.add(id(child))
             waiting.append(child)
     return chosen or [body], threshold
 

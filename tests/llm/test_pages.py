@@ -212,3 +212,42 @@ def test_named_parts_that_go(part):
 def test_a_doubtful_name_of_a_page_that_is_mostly_links():
     article, links = f"<article>{PARAGRAPH}</article>", "<ul><li><a href='/x'>One of the many links of this page</a></li></ul>" * 60
     assert words(f"<div class='nav-open'>{links}{article}</div>") == inside(article)
+
+
+SAME_PROSE = [
+    "class='latest'", "class='disclaimer'", "class='alert alert-info'", "class='adsbygoogle'", "class='adbox'",
+    "id='gdpr-overlay'", "id='userComments'", "class='commentlist'", "class='siteFooter'", "class='adSlot'",
+]
+
+
+@pytest.mark.parametrize("name", [*SAME_PROSE, "class='x'", ""])
+def test_prose_beside_an_article_goes_whatever_its_name(name):
+    article = f"<h1>Bridge</h1>{PARAGRAPH * 2}"
+    for part in (f"<div {name}>{PARAGRAPH}</div>", f"<ol {name}><li>{LONG * 4}</li></ol>", f"<section {name}>{PARAGRAPH * 2}</section>"):
+        assert words(f"{MENU}<article>{article}</article>{part}") == inside(article)
+        assert words(f"{part}<div><h2>Title</h2><main>{article * 3}</main></div>{part}") == ["Title", *inside(article * 3)]
+
+
+@pytest.mark.parametrize("name", SAME_PROSE)
+def test_named_prose_goes_without_an_article_too(name):
+    content = f"<h1>Bridge</h1>{PARAGRAPH * 5}"
+    for part in (f"<div {name}>{PARAGRAPH}</div>", f"<ol {name}><li>{LONG * 4}</li></ol>"):
+        assert words(f"{MENU}<div id='content'>{content}</div>{part}") == inside(content)
+        assert words(f"{MENU}{content}{part}") == inside(content)
+
+
+@pytest.mark.parametrize("name", ["commentlist", "adbox", "userComments", "comment-list", "adsbygoogle"])
+def test_comments_and_adverts_within_an_article_go(name):
+    assert words(f"<article>{PARAGRAPH * 3}<ol class='{name}'><li>{LONG * 4}</li></ol></article>") == inside(PARAGRAPH * 3)
+
+
+@pytest.mark.parametrize("name", ["market-share", "marketshare", "oilAlert", "thread", "download", "latest-war", "bread"])
+def test_compounds_that_mean_something_else(name):
+    article = f"{PARAGRAPH * 3}<section class='{name}'><h2>More</h2>{PARAGRAPH * 2}</section>{PARAGRAPH}"
+    assert words(f"{MENU}<article>{article}</article>") == inside(article)
+    assert words(f"{MENU}<div id='content'>{article}</div>") == inside(article)
+
+
+def test_words_of_names():
+    cases = {"userComments": "user comments", "commentlist": "comment list", "adbox": "ad box", "HTMLNav": "html nav", "thread": "thread", "pagefooter": "page footer", "x-1": "x", "1": ""}
+    assert {k: " ".join(pages._words(k)) for k in cases} == cases
