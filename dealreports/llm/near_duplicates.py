@@ -1,16 +1,17 @@
 """Near duplicates by bottom-k sketches from one hash function.
 
 A text's set holds the hashes of its distinct five-word shingles. Texts with equal sets form a class, and only one
-text of a class goes on. The ``POSTED`` smallest hashes of each text go into inverted lists. Two sets with similarity
-0.75 share each of the smallest hashes of their union with probability 0.75 at least, so both miss each other in all
-16 lists with probability 0.25 ** 16.
-
-A hash that more than ``COMMON`` texts post is common. Texts leave common lists if enough of their posted hashes are
-rare, for a partner shares one of those. The others (crowded texts: made of much repeated passages) go by their whole
-sets. Sizes fix how many hashes two similar sets share at least. Either one of them is rare, and the two meet in its
-list since crowded texts post all their rare hashes. Or all of them are common; then both sets have so many common
-hashes, and they meet in the lists of their ``POSTED`` smallest common ones. Nothing is dropped: what is posted
-decides only where two texts meet.
+text of a class goes on. The ``POSTED`` smallest hashes of each text (all of a set of up to ``SMALL``) go into inverted
+lists. Two sets with similarity 0.75 share each of the smallest hashes of their union with probability 0.75 at least,
+so both miss each other in all 16 lists with probability 0.25 ** 16.
+
+A hash that more than ``COMMON`` texts post is common. Texts that are made of much repeated passages (crowded texts:
+more than a quarter of their posted hashes are common) go by their whole sets. Sizes fix how many hashes two similar
+sets share at least. Either one of them is rare, and the two meet in its list, since crowded texts post all their rare
+hashes. Or all of them are common; then both sets have so many common hashes, and they meet in the lists of their
+``POSTED`` smallest common ones. The other texts leave common lists, for a partner shares one of their rare hashes: for
+certain in a set of up to 16, whose partners have up to 21 hashes and are posted whole; in a larger set but for about
+3.4e-5 of those whose shared hashes are all common (see README).
 
 A list is worked on in rounds. In a round its first texts (those with fewest rare hashes) are pivots, and every other
 text of the list that is not in a pivot's component yet is compared with them. Pivots leave the list, the others
@@ -37,6 +38,7 @@ from dealreports.llm.shared import unused, written
 WORDS = 5
 SIMILAR = (75, 100)  # 100 * intersection >= 75 * union
 POSTED = 16
+SMALL = 21  # sets that a set of 16 hashes can be similar to; such sets are posted whole
 COMMON = 16  # a hash that more texts than this post is common
 K = 128
 # Six standard deviations of an estimate from 128 values below 0.75; the exact similarity decides.
@@ -77,7 +79,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     digest = xxhash.xxh3_128(s.tobytes())
                     classes.append(digest.hexdigest() if len(s) else None)
                     of_nodes.append((digest.intdigest() >> 64) - (1 << 63))
-                    lowest.append(s[:POSTED].view(np.int64))
+                    lowest.append((s if len(s) <= SMALL else s[:POSTED]).view(np.int64))
                     sketched.append((s[:K] >> np.uint64(32)).astype(np.uint32).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [ids[chunk.rows], keys[chunk.rows], pa.array(sizes, pa.int64()), pa.array(classes, pa.string()),
@@ -163,20 +165,26 @@ def postings(heads: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     listed = docs.select("text", row_key()).join(of_heads, "row_key").dropDuplicates(["row_key"])
     listed = written(listed.select("node", "text"), "listed")
     rare = F.count_if(F.col("members") <= COMMON)
-    # With so many rare hashes a partner shares one but for about 3.4e-5, if what they share is all common (see README).
-    enough = F.when(F.max("n") > POSTED, 12).otherwise(F.floor(F.max("n") / 4) + 1)
-    crowded = first.groupBy("doc").agg((rare < enough).alias("crowded")).where("crowded").select("doc")
+    # A partner of a set of up to 16 shares three quarters of it, so one of so many; larger sets are judged by a share.
+    enough = F.when(F.col("n") <= POSTED, F.floor(F.col("n") / 4) + 1).otherwise(F.ceil(0.75 * F.col("posted")))
+    judged = first.groupBy("doc").agg(F.max("n").alias("n"), F.count("*").alias("posted"), rare.alias("rare"))
+    crowded = written(judged.where(F.col("rare") < enough).select("doc"), "crowded")
     whole = _whole_sets(listed.join(crowded.withColumnRenamed("doc", "node"), "node").select("node", "text"))
-    whole = written(_sized(whole), "whole")
-    counts = whole.groupBy("doc").agg(rare.alias("rare"), F.count_if(F.col("members") > COMMON).alias("common"))
+    # Whole sets and what the other texts post are counted together. A hash that only then is common stays a meeting
+    # place of the few texts that post it.
+    posted = first.join(crowded, "doc", "left_anti").where(F.col("members") <= COMMON).select("doc", "n", "value", F.lit(False).alias("whole"))
+    both = written(_sized(posted.union(whole.select("doc", "n", "value", F.lit(True)))), "whole")
+    both = both.where("members > 1")
+    whole = both.where("whole")
+    counts = whole.groupBy("doc").agg(F.count_if(F.col("members") > COMMON).alias("common"))
     lowest = F.col("value").bitwiseXOR(F.lit(-(1 << 63)))  # in the order of unsigned numbers
     order = F.row_number().over(Window.partitionBy("doc").orderBy(lowest))
     common = whole.where(F.col("members") > COMMON).withColumn("order", order).where(F.col("order") <= POSTED)
-    shared = F.col("members").between(2, COMMON)
-    anywhere = first.where(shared).union(whole.where(shared).select(first.columns)).select("value", "doc", "n").distinct()
+    common = common.join(counts, "doc").select("value", "doc", "n", (F.col("n") - F.col("common")).alias("rare"), "common")
+    few = both.where(~F.col("whole") & (F.col("members") > COMMON)).select("value", "doc", "n", "n", "n")
     none = F.lit(None).cast("long")
-    lists = anywhere.select("value", "doc", "n", "n", none).toDF("value", "doc", "n", "rare", "common")
-    return lists.union(common.join(counts, "doc").select(lists.columns)), listed
+    lists = both.where(F.col("members") <= COMMON).select("value", "doc", "n", "n", none).toDF("value", "doc", "n", "rare", "common")
+    return lists.union(common).union(few), listed
 
 
 def _pairs(placed: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
@@ -214,6 +222,22 @@ def _pairs(placed: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
     return chosen, met.select(F.least("doc", "p").alias("a"), F.greatest("doc", "p").alias("b")).distinct()
 
 
+def _with_links(member: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, component`` with more links: only the components that they join are looked at again."""
+    if links.isEmpty():
+        return member
+    ends = links
+    for end in ("a", "b"):
+        of_end = member.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+        ends = ends.join(of_end, end, "left").withColumn(end, F.coalesce(f"of_{end}", end)).drop(f"of_{end}")
+    moved = written(components(ends.where("a <> b").distinct()), "moved")
+    new = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().join(member, "node", "left_anti")
+    everyone = member.union(new.select("node", F.col("node").alias("component")))
+    to = moved.select(F.col("node").alias("component"), F.col("component").alias("low"))
+    everyone = everyone.join(to, "component", "left").select("node", F.coalesce("low", "component").alias("component"))
+    return written(everyone, "member")
+
+
 def grouped(docs: DataFrame, heads: DataFrame) -> DataFrame:
     """``node, component`` of class representatives that have a link."""
     part, whole = SIMILAR
@@ -227,8 +251,11 @@ def grouped(docs: DataFrame, heads: DataFrame) -> DataFrame:
             pairs.join(sketch.toDF("a", "sketch_a"), "a").join(sketch.toDF("b", "sketch_b"), "b")
             .where(estimate("sketch_a", "sketch_b") >= LEAST_ESTIMATE).select("a", "b")
         )
-        found = verified(written(near, "near"), listed)
-        member = written(components(found if member is None else found.union(member)), "member")
+        near = written(near, "near")
+        if member is None:
+            member = written(components(verified(near, listed)), "member")
+        elif not near.isEmpty():
+            member = _with_links(member, written(verified(near, listed), "links"))
         linked = member.select(F.col("node").alias("doc"), F.col("component").alias("linked"))
         rest = placed.drop("component").join(chosen.select("value", "doc"), ["value", "doc"], "left_anti")
         rest = rest.join(linked, "doc", "left").select(*lists.columns, F.coalesce("linked", "doc").alias("component"))

@@ -111,3 +111,48 @@ def test_rows_that_share_a_doc_id_or_have_none(docs_of, clashing):
     assert left.columns == docs.columns
     kept = sorted(((r["doc_id"], r["text"] and r["text"].lower()[:2]) for r in left.collect()), key=str)
     assert kept == sorted([(3, "s0"), (5, "t0"), (9, "u0"), (None, "no"), (None, None), (None, ""), (11, "")], key=str)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_passages_with_a_third_more_of_own_text(docs_of, seed):
+    """Texts made of one common passage and about a third of own words, next to texts of the passage alone."""
+    rng = random.Random(seed)
+    passage = words(rng, rng.choice([15, 19, 40]), 10**6)
+    rows = [(i, " ".join(passage + [f"own{seed}-{i}"])) for i in range(20)]
+    n = len(passage) - 4
+    for i in range(100, 140):
+        own = [f"p{seed}-{i // 2}-{k}" for k in range(rng.randrange(n // 4, n // 3 + 2))]
+        rows.append((i, " ".join(passage + own)))
+        rows.append((i + 1000, " ".join(passage + own + [f"q{i}-{k}" for k in range(rng.randrange(0, n // 3 + 2))])))
+    rows += [(5000 + i, " ".join(passage + words(rng, rng.randrange(60, 90), 10**6))) for i in range(25)]
+    assert found(nd.near_duplicates(docs_of(rows))) == brute(rows)
+
+
+def hashes(text):
+    import numpy as np
+
+    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    return next(nd.shingle_sets(data, np.array([0, len(data)]))).tolist()
+
+
+def test_a_small_text_that_leaves_common_lists(docs_of):
+    """16 hashes of 21 are shared; what both have besides the passage is not among the 16 lowest of the larger text."""
+    rng = random.Random(1)
+    while True:
+        passage = words(rng, 15, 10**6)
+        one = passage + words(rng, 5, 10**6)
+        two = one + words(rng, 5, 10**6)
+        shared = set(hashes(" ".join(one))) - set(hashes(" ".join(passage)))
+        if not shared & set(hashes(" ".join(two))[: nd.POSTED]):
+            break
+    rows = [(100 + i, " ".join(passage + [f"own{i}"])) for i in range(20)] + [(1, " ".join(one)), (2, " ".join(two))]
+    want = brute(rows)
+    assert want[2][1] == 1 and found(nd.near_duplicates(docs_of(rows))) == want
+
+
+def test_more_links_join_components(spark):
+    member = spark.createDataFrame([(1, 1), (5, 1), (2, 2), (3, 2), (7, 7), (8, 7)], "node long, component long")
+    links = spark.createDataFrame([(5, 3), (9, 10), (1, 5)], "a long, b long")
+    got = {r["node"]: r["component"] for r in nd._with_links(member, links).collect()}
+    assert got == {1: 1, 5: 1, 2: 1, 3: 1, 7: 7, 8: 7, 9: 9, 10: 9}
+    assert nd._with_links(member, links.where("false")) is member
