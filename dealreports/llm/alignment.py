@@ -29,6 +29,7 @@ import hashlib
 import heapq
 import json
 import os
+import re
 import struct
 from collections.abc import Iterable, Iterator
 
@@ -41,6 +42,7 @@ from pyspark.sql import types as T
 
 from dealreports.llm import arrays
 from dealreports.llm.shared import written
+from dealreports.llm.tokens import PATTERN
 
 BLOCK_BYTES = 2 << 20
 RADICES = 64
@@ -56,6 +58,35 @@ def byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+# Letters, marks and spaces up to here have been the same in all versions of Unicode that the two libraries may have.
+LONG_KNOWN = re.compile("[\\x00-\u04ff\u2010-\u2027\u2030-\u205e]*")
+
+
+def ranked(file: dict, a_bytes: list[bytes]):
+    """The same byte-level BPE in tiktoken, some three times as fast; None if the file asks for anything else.
+
+    Ranks are ids, so the merges must be in the order of the ids that they make.
+    """
+    import tiktoken
+
+    model, cut = file["model"], file.get("pre_tokenizer") or {}
+    plain = (
+        model.get("type") == "BPE"
+        and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
+        and (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex", True)) == ("ByteLevel", False, True)
+        and file.get("normalizer") is None
+    )
+    if not plain:
+        return None
+    added = {t["id"] for t in file.get("added_tokens", [])}
+    merges = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    ids = [model["vocab"].get(m) for m in merges]
+    if ids != list(range(256, 256 + len(ids))) or len(set(model["vocab"].values()) - added) != 256 + len(ids):
+        return None
+    ranks = {token: i for i, token in enumerate(a_bytes) if i not in added}
+    return tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Pair:
     """The two tokenizers and the bytes of their tokens."""
 
@@ -69,8 +100,9 @@ class Pair:
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_file)
         self.b_file = b_file
         letters = byte_of_letter()
-        with open(a_file, encoding="utf-8") as file:
-            extra = {t["id"]: t["content"].encode() for t in json.load(file).get("added_tokens", [])}
+        with open(a_file, encoding="utf-8") as lines:
+            file = json.load(lines)
+        extra = {t["id"]: t["content"].encode() for t in file.get("added_tokens", [])}
         entries = {i: t for t, i in self.a.get_vocab(with_added_tokens=True).items()}
         n = max(entries) + 1
         self.a_bytes = [
@@ -81,17 +113,23 @@ class Pair:
             for i, p in enumerate(self.b.id_to_piece(list(range(self.b.get_piece_size()))))
         ]
         self.a_size, self.b_size = (np.array([len(x) for x in side]) for side in (self.a_bytes, self.b_bytes))
+        self.ranked = ranked(file, self.a_bytes)
         names = [f"{i}{end}" for i in range(n) for end in ",|"]
         self.names = np.array(names + [f"{i}{end}" for i in range(len(self.b_bytes)) for end in ",;"], dtype=object)
 
+    def a_ids(self, texts: list[str]) -> list[list[int]]:
+        """The ids of A: by ranks where both libraries cut the text alike for certain."""
+        quick = [self.ranked is not None and LONG_KNOWN.fullmatch(t) is not None for t in texts]
+        rest = iter(self.a.encode_batch_fast([t for t, q in zip(texts, quick) if not q], add_special_tokens=False))
+        return [self.ranked.encode_ordinary(t) if q else next(rest).ids for t, q in zip(texts, quick)]
+
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
         """Ids of A and B of each text; None where either does not give back space and text."""
-        found = []
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        for text, x, y in zip(texts, a, self.b.encode(texts, num_threads=1)):
-            ids, want = x.ids, (" " + text).encode()
-            exact = b"".join(map(self.a_bytes.__getitem__, ids)) == want == b"".join(map(self.b_bytes.__getitem__, y))
-            found.append((ids, y) if text and exact else None)
+        spaced, found = [" " + t for t in texts], []
+        for text, x, y in zip(spaced, self.a_ids(spaced), self.b.encode(texts, num_threads=1)):
+            want = text.encode()
+            exact = b"".join(map(self.a_bytes.__getitem__, x)) == want == b"".join(map(self.b_bytes.__getitem__, y))
+            found.append((x, y) if len(text) > 1 and exact else None)
         return found
 
 
@@ -209,7 +247,8 @@ class Block:
         self.n_a[where], self.n_b[where] = ([len(found[i][side]) for i in where] for side in (0, 1))
         a_end, b_end = np.cumsum(pair.a_size[a]), np.cumsum(pair.b_size[b])
         text_end = a_end[np.cumsum(self.n_a[where]) - 1]
-        cuts = np.union1d(a_end, b_end)
+        cuts = np.sort(np.concatenate([a_end, b_end]), kind="stable")
+        cuts = cuts[np.append(True, cuts[1:] != cuts[:-1])]
         at_a, at_b = np.searchsorted(a_end, cuts), np.searchsorted(b_end, cuts)
         text = np.searchsorted(text_end, cuts)
         common = (a_end[at_a] == cuts) & (b_end[at_b] == cuts)
@@ -234,7 +273,9 @@ class Block:
     def _cut_runs(self, a, b, text, n, pair, radices) -> None:
         n_a, n_b = len(pair.a_bytes), len(pair.b_bytes)
         record = (radix_major(a, n_a, radices) * n_b + b) * n + text
-        record, times = np.unique(record, return_counts=True)
+        record = np.sort(record)
+        first = np.flatnonzero(np.append(True, record[1:] != record[:-1]))
+        times, record = np.diff(np.append(first, len(record))), record[first]
         pairs, text = np.divmod(record, n)
         first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
         counts, pairs = np.diff(np.append(first, len(record))), pairs[first]

@@ -132,3 +132,17 @@ def test_radices_keep_all_ids():
         rank = al.radix_major(ids, 1003, radices)
         assert len(set(rank.tolist())) == 1003 and (al.of_radix_major(rank, 1003, radices) == ids).all()
         assert (rank // -(-1003 // radices) == ids % radices).all()
+
+
+def test_ranks_give_the_ids_of_the_library():
+    pair = al.tokenizer_pair(BYTES, PIECES)
+    assert pair.ranked is not None
+    rng = random.Random(6)
+    known = [chr(c) for c in range(0x500)] + [chr(c) for c in (*range(0x2010, 0x2028), *range(0x2030, 0x205F))]
+    parts = known + ["the ", " of", "'s", "'ll", "  ", "\n\n", "ing", "123", "<|endoftext|>", "\r\n", "\xa0 ", "\x85"] * 40
+    texts = [" " + "".join(rng.choices(parts, k=rng.randrange(1, 60))) for _ in range(4000)]
+    texts += [f" a{c}b {c}{c} 1{c}2 .{c}. \n{c}\n {c}" for c in known]
+    assert all(al.LONG_KNOWN.fullmatch(t) for t in texts) and not al.LONG_KNOWN.fullmatch("a 日")
+    assert pair.a_ids(texts) == [x.ids for x in pair.a.encode_batch(texts, add_special_tokens=False)]
+    mixed = texts[:50] + ["日本語 text", " ", "\u2028 x", "\u0560"]
+    assert pair.a_ids(mixed) == [x.ids for x in pair.a.encode_batch(mixed, add_special_tokens=False)]
