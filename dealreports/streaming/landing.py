@@ -14,7 +14,10 @@ def page_stream(spark: SparkSession, pages: str, files_per_batch: int = 1000) ->
 
 
 def land_stream(spark: SparkSession, pages: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Appends the new pages to the landing area and stops. Stateless; the checkpoint knows what was read."""
+    """Appends the new pages to the landing area and stops. Stateless; the checkpoint knows what was read.
+
+    A record that is fetched again is in the table twice; ``refresh.refresh_stream`` keeps its newest version only.
+    """
     return (
         page_stream(spark, pages)
         .writeStream.format("parquet")
