@@ -23,7 +23,7 @@ from dealreports.functions.discovery import add_up, class_counts, types_of
 from dealreports.operators import columns as col
 from dealreports.operators import corrections, counting, filters, matching, spelling
 from dealreports.operators.asof import as_of
-from dealreports.plans import daily, extracts, history, increments, kpis, payroll, staging, workbooks
+from dealreports.plans import daily, extracts, history, increments, kpis, payroll, sketches, staging, workbooks
 from dealreports.plans.statuses import status_catalogue
 from dealreports.registry import inputs
 from dealreports.registry import oracle as sql
@@ -32,7 +32,7 @@ from dealreports.sinks import manifest, render, reports
 from dealreports.sources import deals as d
 from dealreports.sources import ingest
 from dealreports.sources.tables import read_csv_columns, read_list, read_properties
-from dealreports.streaming import refresh
+from dealreports.streaming import activity, refresh
 from dealreports.streaming.landing import land_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -915,6 +915,98 @@ def state_as_of(spark, sf_dir):
     )
 
 
+# Events arrive in three parts, up to four hours out of order; a window or session is written once it is closed.
+_CLOSED = """
+timed AS (SELECT *, CAST(round(value * 100) AS BIGINT) AS cents FROM events),
+mark AS (SELECT max(ts) - INTERVAL 6 HOUR AS closed FROM events)
+"""
+
+
+def _closed_in_parts(spark, sf_dir, name: str, result: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What three runs of a stream write, each after a third of the month's events has arrived."""
+    events = _table(spark, sf_dir, "events").selectExpr(
+        "event_id", "user_id", "event_type", "CAST(ts AS TIMESTAMP) AS ts", "CAST(round(value * 100) AS BIGINT) AS cents"
+    )
+    arrival = "unix_timestamp(ts) + 3600 * (event_id % 5)"
+    source, out, checkpoint = (scratch_path(spark, f"{name}-{kind}") for kind in ("events", "closed", "checkpoint"))
+    first, last = events.selectExpr(f"min({arrival})", f"max({arrival})").first()
+    part = F.expr(f"least(2, 3 * ({arrival} - {first}) div greatest(1, {last} - {first}))")
+    for number in range(3):
+        events.where(part == number).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        activity.write_closed(result(stream), out, checkpoint).awaitTermination()
+    closed = spark.read.parquet(out)
+    return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+
+
+@register(
+    "activity_windows",
+    f"""
+WITH {_CLOSED},
+opened AS (
+  SELECT event_type, cents, time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '1970-01-01') - i * INTERVAL 3 HOUR AS "start"
+  FROM timed, range(4) AS t(i))
+SELECT event_type, "start", "start" + INTERVAL 12 HOUR AS "end", count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents
+FROM opened, mark WHERE "start" + INTERVAL 12 HOUR <= closed GROUP BY ALL
+""",
+)
+def activity_windows(spark, sf_dir):
+    """Events of twelve hours, every three hours."""
+    sums = {"cents": F.col("cents")}
+    return _closed_in_parts(
+        spark, sf_dir, "windows",
+        lambda events: activity.windows(events, "ts", ["event_type"], "12 hours", "3 hours", "6 hours", sums),
+    )
+
+
+@register(
+    "activity_sessions",
+    f"""
+WITH {_CLOSED},
+steps AS (
+  SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 4 HOUR, TRUE) AS opens FROM timed),
+numbered AS (SELECT *, count_if(opens) OVER (PARTITION BY user_id ORDER BY ts) AS number FROM steps),
+found AS (
+  SELECT user_id, min(ts) AS "start", max(ts) + INTERVAL 4 HOUR AS "end", count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents
+  FROM numbered GROUP BY user_id, number)
+SELECT f.* FROM found f, mark WHERE "end" <= closed
+""",
+)
+def activity_sessions(spark, sf_dir):
+    """Events of a user no more than four hours apart."""
+    sums = {"cents": F.col("cents")}
+    return _closed_in_parts(
+        spark, sf_dir, "sessions", lambda events: activity.sessions(events, "ts", ["user_id"], "4 hours", "6 hours", sums)
+    )
+
+
+@register(
+    "sketched_quarters",
+    sql.with_deals(
+        "SELECT year(closing) AS year, quarter(closing) AS quarter, count(*) AS n, count(DISTINCT tc) AS coordinators, "
+        "count(TRY_CAST(billing AS DOUBLE)) AS amounts, min(TRY_CAST(billing AS DOUBLE)) AS lowest, "
+        "max(TRY_CAST(billing AS DOUBLE)) AS highest, quantile_disc(TRY_CAST(billing AS DOUBLE), 0.5) AS median "
+        "FROM deal WHERE closing IS NOT NULL GROUP BY ALL"
+    ),
+)
+def sketched_quarters(spark, sf_dir):
+    """Coordinators and billing amounts of a quarter from the sketches of its months and teams.
+
+    Coordinators and amounts have few different values here, so count and median are exact.
+    """
+    flat = inputs.flat(spark, sf_dir).where(filters.is_not_value("labels_last.`Contract Status`", fixed.AGENT_ACCOUNT))
+    rows = flat.where("keys.closing_date IS NOT NULL").selectExpr(
+        "trunc(keys.closing_date, 'MM') AS month", "team_name", "labels.`Empower TC Name` AS tc",
+        f"{col.to_money('labels.`Billing Amount`')} AS amount",
+    )
+    months = sketches.sketched(rows, ["month", "team_name"], {"tc": F.col("tc")}, {"amount": F.col("amount")})
+    quarters = months.withColumns({"year": F.year("month"), "quarter": F.quarter("month")})
+    return sketches.merged(quarters, ["year", "quarter"]).select(
+        "year", "quarter", "n", sketches.distinct_count("tc").alias("coordinators"), sketches.n_values("amount").alias("amounts"),
+        *[sketches.quantile("amount", rank).alias(name) for name, rank in (("lowest", 0), ("highest", 1), ("median", 0.5))],
+    )
+
+
 @register("labels_found", sql.labels_found())
 def labels_found(spark, sf_dir):
     """The labels an exploration finds."""
