@@ -3,8 +3,13 @@
 Features are three-byte grams of the text in lower case (A to Z), all but letters read as one space. Every language
 has a distribution over hashed grams, counted over all labelled rows it is learned from. A document is a mixture of
 these distributions; expectation-maximisation finds the shares. The set of languages is the one of the nested sets
-(largest share first) with the best likelihood less half the logarithm of the number of grams for each language.
-Neighbouring grams overlap in two bytes of three, so a third of the grams counts as independent.
+(largest share first) with the best likelihood less half the logarithm of the number of grams for each language. No
+share is too small for the choice: sets are left out only where the greatest likelihood that any mixture can have, less
+their penalty, is below what a smaller set has reached. Neighbouring grams overlap in two bytes of three, so a third
+of the grams counts as independent.
+
+The model goes to every task, 256 kB a language. Of more than ``MOST_LANGUAGES`` values of ``lang`` those with the
+most grams are learned, of equal ones those that sort first; ``values_of`` tells which. The others are never predicted.
 """
 
 import numpy as np
@@ -19,9 +24,9 @@ from dealreports.llm.shared import written
 GRAMS = 1 << 15
 ORDER = 3
 SMOOTH = 0.5
-LEAST_SHARE = 0.02  # languages below this share are not considered for the set
 STEPS = 25
-MOST_LANGUAGES = 1000  # the model has 128 kB for each, and goes to every task
+MOST_LANGUAGES = 1000
+HELD = 200  # languages that a task adds up at a time
 UNKNOWN = "und"
 
 COUNTS = "lang string, gram int, n long"
@@ -61,18 +66,25 @@ def has_letter(data: np.ndarray) -> bool:
 def counts(labelled: DataFrame) -> DataFrame:
     """``lang, gram, n`` over all rows of ``labelled`` (``text``, ``lang``); each task adds up its own rows first."""
 
+    def given(sums: dict[str, np.ndarray]):
+        for lang, n in sums.items():
+            seen = np.flatnonzero(n)
+            columns = [pa.array([lang] * len(seen), pa.string()), pa.array(seen, pa.int32()), pa.array(n[seen])]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
+
     def rows(batches):
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for chunk in arrays.chunks(batch.column(0)):
                 bounds = chunk.offsets.tolist()
                 for lang, lo, hi in zip(batch.column(1)[chunk.rows].to_pylist(), bounds, bounds[1:]):
-                    own = sums.setdefault(lang, np.zeros(GRAMS, dtype=np.int64))
-                    own += np.bincount(grams(chunk.data[lo:hi]), minlength=GRAMS)
-        for lang, n in sums.items():
-            seen = np.flatnonzero(n)
-            columns = [pa.array([lang] * len(seen), pa.string()), pa.array(seen, pa.int32()), pa.array(n[seen])]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
+                    if lang not in sums:
+                        if len(sums) == HELD:
+                            yield from given(sums)
+                            sums = {}
+                        sums[lang] = np.zeros(GRAMS, dtype=np.int64)
+                    sums[lang] += np.bincount(grams(chunk.data[lo:hi]), minlength=GRAMS)
+        yield from given(sums)
 
     found = labelled.where("lang is not null").select("text", "lang").mapInArrow(rows, COUNTS)
     return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -93,6 +105,16 @@ class Model:
                 pi = pi * (chances.T @ (n / (chances @ pi))) / total
         return pi, float(n @ np.log(chances @ pi))
 
+    def missing(self, n: np.ndarray, seen: np.ndarray, pi: np.ndarray) -> float:
+        """At most so much are the shares ``pi`` of all languages below the greatest log-likelihood.
+
+        By Jensen's inequality the gain of any other shares is no more than the logarithm of the largest factor that
+        the next step would give a share, for each gram.
+        """
+        chances = self.chances[seen]
+        factors = chances.T @ (n / (chances @ pi)) / n.sum()
+        return float(n.sum() * np.log(max(factors.max(), 1.0)))
+
     def predict(self, data: np.ndarray) -> tuple[str, float, list[str], list[float], float]:
         """Main language and its share, all languages of the set and their shares, mean log-likelihood of a gram."""
         if not self.languages or not has_letter(data):
@@ -100,14 +122,16 @@ class Model:
         n = np.bincount(grams(data), minlength=GRAMS)
         seen = np.flatnonzero(n)
         n = n[seen].astype(float)
-        every, _ = self.shares(n, seen, np.arange(len(self.languages)))
+        every, likelihood = self.shares(n, seen, np.arange(len(self.languages)))
+        greatest = likelihood + self.missing(n, seen, every)
         order = np.argsort(-every, kind="stable")
-        order = order[: max(1, int((every >= LEAST_SHARE).sum()))]
-        independent = n.sum() / ORDER
+        penalty = 0.5 * np.log(max(n.sum() / ORDER, 2))
         best = None
         for size in range(1, len(order) + 1):
+            if best is not None and greatest / ORDER - penalty * size <= best[0]:
+                break  # neither this set nor a larger one can be better
             pi, likelihood = self.shares(n, seen, order[:size])
-            value = likelihood / ORDER - 0.5 * size * np.log(max(independent, 2))
+            value = likelihood / ORDER - penalty * size
             if best is None or value > best[0]:
                 best = value, pi, order[:size], likelihood / n.sum()
         _, pi, chosen, fit = best
@@ -117,19 +141,34 @@ class Model:
         return names[0], shares[0], names, shares, fit
 
 
+def values_of(table: DataFrame) -> DataFrame:
+    """``lang, n_grams, learned`` of every value in a table of counts: whether it is among those a model learns."""
+    totals = table.groupBy("lang").agg(F.sum("n").alias("n_grams"))
+    most = totals.orderBy(F.desc("n_grams"), "lang").limit(MOST_LANGUAGES).select("lang", F.lit(True).alias("learned"))
+    return totals.join(F.broadcast(most), "lang", "left").select("lang", "n_grams", F.coalesce("learned", F.lit(False)).alias("learned"))
+
+
 def learn(labelled: DataFrame) -> Model:
     """A model from all rows of ``labelled`` (``text``, ``lang``). Rows without lang, and empty texts, teach nothing."""
-    table = written(counts(labelled), "grams")
-    found = table.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()
-    languages = sorted(r[0] for r in found)
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    n = np.zeros((GRAMS, len(languages)))
-    place = {lang: i for i, lang in enumerate(languages)}
-    # At most GRAMS rows for each language.
-    for row in table.collect():
-        n[row["gram"], place[row["lang"]]] = row["n"]
-    return Model(languages, (n + SMOOTH) / (n.sum(axis=0) + SMOOTH * GRAMS))
+    return fitted(written(counts(labelled), "grams"))
+
+
+def fitted(table: DataFrame) -> Model:
+    """A model from a table of counts. The driver gets one row a language, its counts packed."""
+
+    def packed(group: pa.Table) -> pa.Table:
+        n = np.zeros(GRAMS, dtype=np.int64)
+        n[np.asarray(group.column("gram"))] = np.asarray(group.column("n"))
+        return pa.table({"lang": group.column("lang").slice(0, 1), "counts": pa.array([n.tobytes()], pa.binary())})
+
+    # A group has at most GRAMS rows.
+    learned = table.join(F.broadcast(values_of(table).where("learned").select("lang")), "lang")
+    found = learned.groupBy("lang").applyInArrow(packed, "lang string, counts binary").collect()
+    found.sort(key=lambda r: r["lang"])
+    n = np.zeros((GRAMS, len(found)))
+    for i, row in enumerate(found):
+        n[:, i] = np.frombuffer(row["counts"], dtype=np.int64)
+    return Model([r["lang"] for r in found], (n + SMOOTH) / (n.sum(axis=0) + SMOOTH * GRAMS))
 
 
 def predicted(docs: DataFrame, model: Model, column: str = "language") -> DataFrame:

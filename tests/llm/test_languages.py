@@ -99,10 +99,68 @@ def test_no_rows_and_nothing_to_learn(docs_of):
     assert [(r["lang_pred"], r["score"], r["held_out"]) for r in out] == [("und", 0.0, False)] * 2
 
 
-def test_too_many_languages(spark, monkeypatch):
+def test_more_languages_than_a_model_holds(spark, monkeypatch):
+    """The rarest are left out and told; the job goes on."""
     monkeypatch.setattr(lang, "MOST_LANGUAGES", 2)
-    with pytest.raises(ValueError, match="languages"):
-        lang.learn(spark.createDataFrame([("t", g) for g in "abc"], "text string, lang string"))
+    rows = [("some words " * 9, "b"), ("other words " * 5, "c"), ("a few", "a"), ("a fez", "d"), ("no end", None)]
+    table = lang.counts(spark.createDataFrame(rows, "text string, lang string"))
+    assert lang.fitted(table).languages == ["b", "c"]
+    assert {r["lang"]: r["learned"] for r in lang.values_of(table).collect()} == {"a": False, "b": True, "c": True, "d": False}
+
+
+def test_a_thousand_stray_values(spark):
+    rows = [(t, g) for _, t, g in labelled(60)] + [(f"stray {i}", f"junk {i}") for i in range(1100)]
+    learned = lang.learn(spark.createDataFrame(rows, "text string, lang string").repartition(3))
+    assert len(learned.languages) == lang.MOST_LANGUAGES and set(SYLLABLES) <= set(learned.languages)
+    assert learned.predict(as_bytes(sentence(random.Random(5), "bb", 40)))[0] == "bb"
+
+
+def test_counts_of_more_languages_than_a_task_holds(spark, monkeypatch):
+    rows = [(t, f"{g}{i % 7}") for i, t, g in labelled(60)]
+    df = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
+    whole = sorted(map(tuple, lang.counts(df).collect()))
+    monkeypatch.setattr(lang, "HELD", 2)
+    assert sorted(map(tuple, lang.counts(df).collect())) == whole
+
+
+def plainly(model, data):
+    """The main language by trying every nested set to the end, written without matrices."""
+    n = {}
+    for gram in lang.grams(data).tolist():
+        n[gram] = n.get(gram, 0) + 1
+    total = sum(n.values())
+
+    def shares(among):
+        pi = {k: 1 / len(among) for k in among}
+        for _ in range(lang.STEPS if len(among) > 1 else 0):
+            mix = {g: sum(pi[k] * model.chances[g, k] for k in among) for g in n}
+            pi = {k: pi[k] * sum(c * model.chances[g, k] / mix[g] for g, c in n.items()) / total for k in among}
+        return pi, sum(c * np.log(sum(pi[k] * model.chances[g, k] for k in among)) for g, c in n.items())
+
+    every, _ = shares(range(len(model.languages)))
+    order = sorted(every, key=lambda k: (-every[k], k))
+    tried = []
+    for size in range(1, len(order) + 1):
+        pi, likelihood = shares(order[:size])
+        tried.append((likelihood / lang.ORDER - 0.5 * size * np.log(max(total / lang.ORDER, 2)), -size, pi))
+    pi = max(tried, key=lambda t: t[:2])[2]
+    names = sorted(pi, key=lambda k: (-pi[k], k))
+    return [model.languages[k] for k in names], [pi[k] for k in names]
+
+
+def test_predictions_are_those_of_a_plain_version(model):
+    """Also with small shares: no language is left out of the choice beforehand."""
+    rng = random.Random(11)
+    sizes = [(60, 0, 0), (40, 30, 0), (300, 3, 0), (300, 0, 6), (50, 50, 50), (400, 8, 4), (2, 1, 0), (1, 0, 0)]
+    small = 0
+    for sizes_of in sizes:
+        data = as_bytes(" ".join(sentence(rng, g, k) for g, k in zip(SYLLABLES, sizes_of) if k))
+        _, _, names, shares, _ = model.predict(data)
+        want_names, want_shares = plainly(model, data)
+        assert names == want_names
+        assert np.allclose(shares, want_shares, atol=1e-9)
+        small += min(shares) < 0.02
+    assert small
 
 
 def test_rows_without_id_are_learned_from(spark):
