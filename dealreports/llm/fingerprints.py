@@ -9,6 +9,8 @@ weight of its own.
 """
 
 import hashlib
+from bisect import bisect_left
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -16,11 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealreports.llm import arrays
+from dealreports.llm.shared import written
 
 LEAST, NORMAL, MOST = 8, 32, 128
 STRICT, LOOSE = np.uint16(9), np.uint16(13)  # bits of the hash that need not be zero
 LENGTH_BITS = 12  # of a fingerprint's entries; the others are the digest's
-PART_BYTES = 16 << 20  # texts worked on together
+PART_BYTES = 16 << 20  # about so much text in a part, or more where that would make many parts
+MOST_PARTS = 20_000
+POINTS = 20  # of the sample, for each part
 
 _GEAR = np.random.Generator(np.random.PCG64(42)).integers(0, 1 << 16, 256, dtype=np.uint16)
 
@@ -102,77 +107,150 @@ def _bytes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode(), dtype=np.uint8)
 
 
-def _compared(part: pa.Table) -> pa.Table:
-    """Rows of one part, each with the next one; the part's last row is followed by a row of the next part."""
-    order = [("doc_id", "descending"), ("text", "ascending")]
-    # Rows that come from the next part last, and after all others those without doc_id.
-    rank = [("extra", "ascending"), *order]
-    part = part.sort_by(rank)
-    ids, extra = part["doc_id"].to_pylist(), part["extra"].to_pylist()
-    texts = [t or "" for t in part["text"].to_pylist()]
-    own = sum(not x for x in extra)
-    out: dict[str, list] = {name: [] for name in ("n", "sha", "own", "edited", "near_edited", "near_next")}
-    current = fingerprint(_bytes(texts[0])) if own else None
-    for i in range(own):
-        text, following = texts[i], texts[i + 1] if i + 1 < len(texts) else texts[0]
-        new = edited(text, following).encode()
-        after, next_one = fingerprint(np.frombuffer(new, dtype=np.uint8)), fingerprint(_bytes(following))
-        out["n"].append(len(text))
-        out["sha"].append(hashlib.sha256(new).hexdigest())
-        out["own"].append(spelled(current))
-        out["edited"].append(spelled(after))
-        out["near_edited"].append(contained(current, after))
-        out["near_next"].append(contained(current, next_one))
-        current = next_one
-    kinds = (pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64())
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    return pa.table([pa.array(c, k) for c, k in zip((ids[:own], *out.values()), kinds)], names=names)
-
-
-def _parts(docs: DataFrame) -> list[int]:
-    """Smallest doc_id of all parts but the last, descending: ranges of doc_id with about ``PART_BYTES`` of text."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-total // PART_BYTES))
-    shares = [i / parts for i in range(1, parts)]
-    return sorted(set(map(int, docs.approxQuantile("doc_id", shares, 0.25 / parts))), reverse=True) if shares else []
+Key = tuple[bool, int, int]  # without doc_id, its complement, hash of the text: the order of rows
 
 
-def compared(docs: DataFrame) -> DataFrame:
-    """Every row of ``docs`` (``doc_id``, ``text``) by fingerprint with its edited text and with the next row.
+class Parts:
+    """Ranges of keys. A key that is several bounds, for many rows have it, is a part by itself with several shares.
 
-    The next row is the one with the next smaller doc_id, after the last the first. Rows that share a doc_id follow
-    each other by text (NULL last); rows without doc_id come last. NULL counts as the empty text, whose fingerprint
-    is ``gear:``. A single row is its own next. Only the row at the start of a part travels twice.
+    Part ``2 i`` holds the keys after bound i - 1 up to bound i, part ``2 i + 1`` the rows of bound i if that is a bound
+    more than once.
     """
-    docs = docs.select("doc_id", "text")
-    bounds = np.array(_parts(docs)[::-1], dtype=np.int64)
-    last = len(bounds) + 1  # the part of rows without doc_id
-
-    def part_of(ids: pa.Array) -> np.ndarray:
-        known = ids.fill_null(0).to_numpy(zero_copy_only=False)
-        part = len(bounds) - np.searchsorted(bounds, known, side="right")
-        return np.where(ids.is_null().to_numpy(zero_copy_only=False), last, part)
 
-    def parts(batches):
+    def __init__(self, bounds: list[Key]):
+        times = Counter(bounds)
+        self.bounds = sorted(times)
+        self.shares = [times[b] for b in self.bounds]
+
+    def of(self, key: Key) -> tuple[int, int]:
+        """A key's part, and among how many shares its rows are dealt."""
+        i = bisect_left(self.bounds, key)
+        if i < len(self.bounds) and self.bounds[i] == key and self.shares[i] > 1:
+            return 2 * i + 1, self.shares[i]
+        return 2 * i, 1
+
+
+def keys_of(batch: pa.RecordBatch) -> list[Key]:
+    """Of a batch with ``doc_id`` and ``hash`` as its first columns."""
+    return [(d is None, ~(d or 0), h) for d, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+
+
+def _cut(keys: DataFrame) -> Parts:
+    """Parts of about as many bytes, from a sample of rows by their bytes; at most ``POINTS * MOST_PARTS`` points."""
+    total = keys.agg(F.sum("bytes")).first()[0] or 0
+    parts = min(MOST_PARTS, -(-total // PART_BYTES))
+    if parts < 2:
+        return Parts([])
+    points = F.floor(F.col("bytes") * F.lit(POINTS * parts / total) + F.rand(1)).cast("int")
+    sample = keys.select("doc_id", "hash", points.alias("points")).where("points > 0")
+    found = sorted(((r[0] is None, ~(r[0] or 0), r[1]), r[2]) for r in sample.collect())
+    bounds, seen = [], 0
+    for key, n in found:
+        bounds += [key] * ((seen + n) // POINTS - seen // POINTS)
+        seen += n
+    return Parts(bounds)
+
+
+def _firsts(keys: DataFrame, parts: Parts) -> dict[int, Key]:
+    """The first key of every part that has rows."""
+
+    def least(batches):
+        found: dict[int, Key] = {}
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(part_of(batch.column(0)))], names=["doc_id", "part"])
+            for key in keys_of(batch):
+                part, _ = parts.of(key)
+                if part not in found or key < found[part]:
+                    found[part] = key
+        columns = [pa.array(list(found), pa.int64()), *(pa.array([k[i] for k in found.values()], t) for i, t in enumerate((pa.bool_(), pa.int64(), pa.int64())))]
+        yield pa.RecordBatch.from_arrays(columns, names=["part", "missing", "place", "hash"])
+
+    found = keys.select("doc_id", "hash").mapInArrow(least, "part long, missing boolean, place long, hash long")
+    found = found.groupBy("part").agg(F.min(F.struct("missing", "place", "hash")).alias("first"))
+    return {r["part"]: tuple(r["first"]) for r in found.collect()}
+
 
-    firsts = docs.select("doc_id").mapInArrow(parts, "doc_id long, part long")
-    firsts = {r["part"]: r["first"] for r in firsts.groupBy("part").agg(F.max("doc_id").alias("first")).collect()}
+def _dealt(docs: DataFrame, parts: Parts, firsts: dict[int, Key]) -> DataFrame:
+    """Rows with part and share; a part's first row also goes to the part before, once from each task (``extra``)."""
     present = sorted(firsts)
-    before = {part: present[i - 1] for i, part in enumerate(present)}  # of the first part: the last one
+    before = {firsts[part]: present[i - 1] for i, part in enumerate(present)} if len(present) > 1 else {}
 
     def rows(batches):
+        dealt: Counter[Key] = Counter()
         for batch in batches:
-            part, ids = part_of(batch.column(0)), batch.column(0).to_pylist()
-            again = [i for i, (p, d) in enumerate(zip(part.tolist(), ids)) if len(present) > 1 and d == firsts[p]]
-            where = np.concatenate([np.arange(len(ids)), np.array(again, dtype=np.int64)]).astype(np.int64)
-            to = np.concatenate([part, np.array([before[int(part[i])] for i in again], dtype=np.int64)])
-            extra = np.arange(len(where)) >= len(ids)
-            columns = [c.take(pa.array(where)) for c in batch.columns]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(to.astype(np.int64)), pa.array(extra)], names=["doc_id", "text", "part", "extra"]
-            )
-
-    dealt = docs.mapInArrow(rows, "doc_id long, text string, part long, extra boolean")
-    return dealt.groupBy("part").applyInArrow(_compared, COMPARED)
+            where, part, share, extra = [], [], [], []
+            for i, key in enumerate(keys_of(batch)):
+                at, shares = parts.of(key)
+                where.append(i)
+                part.append(at)
+                share.append(dealt[key] % shares if shares > 1 else 0)
+                extra.append(False)
+                if key in before and not dealt[key]:
+                    where.append(i)
+                    part.append(before[key])
+                    share.append(0)
+                    extra.append(True)
+                if shares > 1 or key in before:
+                    dealt[key] += 1
+            columns = [c.take(pa.array(where, pa.int64())) for c in batch.columns]
+            columns += [pa.array(part, pa.int64()), pa.array(share, pa.int64()), pa.array(extra, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "hash", "text", "part", "share", "extra"])
+
+    return docs.mapInArrow(rows, "doc_id long, hash long, text string, part long, share long, extra boolean")
+
+
+def _compared(batches):
+    """Rows in order, each with the next one of its part; a part's last row with its extra row, or else its first."""
+    kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64()]
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    place, waiting, first, out = None, None, None, []
+
+    def follow(text: str, own: np.ndarray) -> None:
+        doc_id, before, current = waiting
+        new = edited(before, text).encode()
+        after = fingerprint(np.frombuffer(new, dtype=np.uint8))
+        out.append(
+            (doc_id, len(before), hashlib.sha256(new).hexdigest(), spelled(current), spelled(after), contained(current, after), contained(current, own))
+        )
+
+    def packed():
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
+
+    for batch in batches:
+        for doc_id, text, part, share, extra in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            if (part, share) != place:
+                if waiting:
+                    follow(*first)
+                place, waiting, first = (part, share), None, None
+            if extra and not waiting:
+                continue  # the part's last row has met another copy of it
+            own = fingerprint(_bytes(text))
+            if waiting:
+                follow(text, own)
+            waiting = None if extra else (doc_id, text, own)
+            first = first or (text, own)
+        yield packed()
+        out = []
+    if waiting:
+        follow(*first)
+    yield packed()
+
+
+def compared(docs: DataFrame) -> DataFrame:
+    """Every row of ``docs`` (``doc_id``, ``text``) by fingerprint with its edited text and with the next row.
+
+    The next row is the one with the next smaller doc_id, after the last the first. Rows that share a doc_id follow
+    each other by a hash of their texts; rows without doc_id come last. NULL counts as the empty text, whose
+    fingerprint is ``gear:``. A single row is its own next.
+
+    Rows are cut into parts anywhere in that order, also among rows of one doc_id or without one, by a sample that
+    only decides where. Equal rows may be dealt to several shares, where each is followed by its like; those of
+    the first share have the part's end. A task holds one batch of rows, whatever a part's size.
+    """
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
+    keys = written(hashed.select("doc_id", "hash", F.octet_length("text").alias("bytes")), "keys")
+    parts = _cut(keys)
+    dealt = _dealt(hashed, parts, _firsts(keys, parts))
+    order = ["part", "share", "extra", F.col("doc_id").desc_nulls_last(), "hash"]
+    ordered = dealt.repartition("part", "share").sortWithinPartitions(*order)
+    return ordered.select("doc_id", "text", "part", "share", "extra").mapInArrow(_compared, COMPARED)

@@ -3,6 +3,8 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from dealreports.llm import fingerprints as fp
 
@@ -58,8 +60,9 @@ def test_containment_is_weighted_by_length():
 
 
 def brute(rows):
-    """Each row after the next: descending doc_id, equal ones by text, without doc_id last."""
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is None, (r[1] or "").encode()))
+    """Each row after the next: descending doc_id, equal ones by a hash of the text, without doc_id last."""
+    hashed = lambda text: np.uint64(xxhash.xxh64_intdigest((text or "").encode(), seed=42)).astype(np.int64)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashed(r[1])))
     out = []
     for i, (doc_id, text) in enumerate(order):
         text, following = text or "", order[(i + 1) % len(order)][1] or ""
@@ -91,3 +94,43 @@ def test_few_rows(docs_of):
 def test_a_very_long_text(docs_of):
     rows = [(1, "short"), (2, prose(random.Random(3), 120_000)), (3, "short")]
     assert sorted(map(tuple, fp.compared(docs_of(rows)).collect()), key=str) == brute(rows)
+
+
+def test_many_rows_of_one_doc_id_or_none(docs_of, monkeypatch):
+    """Ties are cut: with parts of 2 kB no part holds much more, and every row meets its next."""
+    monkeypatch.setattr(fp, "PART_BYTES", 2000)
+    rng = random.Random(6)
+    rows = [(None, prose(rng, 6)) for _ in range(1500)] + [(7, prose(rng, 6)) for _ in range(1500)] + [(i, "one") for i in range(5, 10)]
+    assert sorted(map(tuple, fp.compared(docs_of(rows).repartition(5)).collect()), key=str) == brute(rows)
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_many_equal_rows(docs_of, monkeypatch, doc_id):
+    monkeypatch.setattr(fp, "PART_BYTES", 1000)
+    rng = random.Random(8)
+    rows = [(doc_id, "the same text again and again")] * 1500 + [(i, prose(rng, 9)) for i in range(40)]
+    assert sorted(map(tuple, fp.compared(docs_of(rows).repartition(6)).collect()), key=str) == brute(rows)
+    alone = rows[:1500]
+    assert sorted(map(tuple, fp.compared(docs_of(alone).repartition(6)).collect()), key=str) == brute(alone)
+
+
+def test_parts_are_near_their_size(docs_of, monkeypatch):
+    """10,000 rows without doc_id and 10,000 of one, a third of them equal: no share is far above the limit."""
+    monkeypatch.setattr(fp, "PART_BYTES", 4000)
+    rng = random.Random(9)
+    texts = ["equal rows of the table" if rng.random() < 0.33 else prose(rng, 5) for _ in range(20_000)]
+    rows = [(None if i % 2 else 3, t) for i, t in enumerate(texts)]
+    docs = docs_of(rows).repartition(8).select("doc_id", F.xxhash64("text").alias("hash"), "text")
+    keys = docs.select("doc_id", "hash", F.octet_length("text").alias("bytes")).cache()
+    parts = fp._cut(keys)
+    dealt = fp._dealt(docs, parts, fp._firsts(keys, parts)).where("NOT extra").groupBy("part", "share").agg(F.sum(F.octet_length("text")).alias("b")).collect()
+    assert sum(r["b"] for r in dealt) == sum(len(t.encode()) for t in texts)
+    assert max(r["b"] for r in dealt) < 3 * 4000 and len(dealt) > 50
+
+
+def test_no_cap_on_what_a_part_holds(docs_of, monkeypatch):
+    monkeypatch.setattr(fp, "PART_BYTES", 100)
+    monkeypatch.setattr(fp, "MOST_PARTS", 3)
+    rng = random.Random(10)
+    rows = [(i, prose(rng, 9)) for i in range(200)]
+    assert sorted(map(tuple, fp.compared(docs_of(rows).repartition(4)).collect()), key=str) == brute(rows)
