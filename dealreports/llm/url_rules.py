@@ -3,7 +3,7 @@
 A rule has a host and the beginning of a path. It fits its host and all subdomains. The canonical key of a host and a
 path is the host's labels in reverse order, ``#`` (which neither can contain) and the path: ``com.example#/en/``. A
 rule's key is then the beginning of the keys it fits, and all keys with one beginning form an interval. Since a rule
-fits subdomains, a URL is looked up with each of its host's endings.
+fits subdomains, a URL is looked up with each of its host's endings that has no more labels than a rule's host.
 
 Rules' intervals lie inside one another or apart. Starts and ends of rules and the keys of URLs are put into one
 order; a start puts its rule on the stack, an end brings back the rule around it, and a URL's key finds the innermost
@@ -82,7 +82,8 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFr
     host, path = host_and_path(F.col("url"))
     urls = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
     labels = reversed_labels(F.col("host"))
-    probes = urls.withColumn("depth", F.explode(F.sequence(F.lit(1), F.size(labels))))
+    most = _most_labels(given)
+    probes = urls.withColumn("depth", F.explode(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(most)))))
     probes = probes.withColumn("key", key_of(F.slice(labels, F.lit(1), F.col("depth")), F.col("path")))
 
     cuts = _cuts(given)
@@ -111,6 +112,12 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFr
     )
 
 
+def _most_labels(rules: DataFrame) -> int:
+    """Labels of the rules' longest host, 1 without rules: every URL has one probe at least."""
+    hosts = F.substring_index("key", "#", 1)
+    return rules.agg(F.max(F.size(F.split(hosts, r"\.")))).first()[0] or 1
+
+
 def _cuts(rules: DataFrame) -> list[str]:
     """Keys of about every ``RANGE_EVENTS``-th start or end, in order; at most about ``MOST_RANGES`` of them."""
     events = 2 * rules.count()

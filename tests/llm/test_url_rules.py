@@ -78,6 +78,13 @@ def test_a_hot_and_a_long_url(run):
     assert run(pages, URL_RULES) == brute(pages, URL_RULES)
 
 
+def test_hosts_of_many_labels(run):
+    """Looked up with no more endings than rules have labels: 100,000 labels would be 20 GB of keys."""
+    hosts = ["a." * 100_000 + "example.com", "com." * 50_000 + "net", "www.example.com", "b"]
+    pages = [(i, f"http://{h}/en/x") for i, h in enumerate(hosts)]
+    assert run(pages, URL_RULES) == brute(pages, URL_RULES)
+
+
 def test_only_built_in_functions(spark, sf_dir):
     from dealreports.llm.queries import QUERIES
 
