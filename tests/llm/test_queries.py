@@ -79,3 +79,16 @@ def test_no_documents(spark, sf_dir, docs_of):
     for _, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.written(stage(spark, docs, sf_dir), "stage")
     assert docs.count() == 0
+
+
+def test_tokens_are_the_best_segmentations(spark, docs_of):
+    """The last stage gives as many segmentations as operator 4, not the first alone."""
+    texts = {1: "A house by the river.", 2: "unbelievable internationalization", 3: "x"}
+    rows = {r["doc_id"]: r for r in corpus_pipeline.as_tokens(spark, docs_of(list(texts.items())), None).collect()}
+    encoder = corpus_pipeline.pieces.Encoder(corpus_pipeline.pieces.vocabulary(corpus_pipeline.PIECES))
+    for doc_id, text in texts.items():
+        best, *others = [(score, ids.tolist()) for score, ids in encoder.encode(text)]
+        row = rows[doc_id]
+        assert (row["score"], row["ids"], row["n_pieces"], row["exact"]) == (*best, len(best[1]), True)
+        assert [(o["score"], o["pieces"]) for o in row["others"]] == others
+    assert max(len(r["others"]) for r in rows.values()) == corpus_pipeline.pieces.N_BEST - 1
