@@ -52,6 +52,12 @@ def register(name: str, oracle: str | None = None):
     return keep
 
 
+# What the reports of a family read of the flat table: attributes by key, or by label.
+_BY_KEY = ("keys", "keys_last")
+_BY_LABEL = ("labels",)
+_BY_LAST_LABEL = ("labels_last",)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -184,7 +190,7 @@ def kpi_ctc_closing(spark, sf_dir):
 
 @register("kpi_long", sql.kpi_long())
 def kpi_long(spark, sf_dir):
-    return kpis.monthly_kpis(inputs.flat(spark, sf_dir), d.AS_OF, TEAMS)
+    return kpis.monthly_kpis(inputs.flat(spark, sf_dir, *_BY_KEY), d.AS_OF, TEAMS)
 
 
 @register("kpi_wide", sql.kpi_wide())
@@ -195,14 +201,14 @@ def kpi_wide(spark, sf_dir):
 @register("kpi_next_month", sql.kpi_long([16, 17]))
 def kpi_next_month(spark, sf_dir):
     return kpis.monthly_kpis(
-        inputs.flat(spark, sf_dir), d.AS_OF, TEAMS, [k for k in kpis.KPIS if k.rule == "next"]
+        inputs.flat(spark, sf_dir, *_BY_KEY), d.AS_OF, TEAMS, [k for k in kpis.KPIS if k.rule == "next"]
     )
 
 
 @register("kpi_rest_of_year", sql.kpi_long([18, 19]))
 def kpi_rest_of_year(spark, sf_dir):
     return kpis.monthly_kpis(
-        inputs.flat(spark, sf_dir), d.AS_OF, TEAMS, [k for k in kpis.KPIS if k.rule == "rest"]
+        inputs.flat(spark, sf_dir, *_BY_KEY), d.AS_OF, TEAMS, [k for k in kpis.KPIS if k.rule == "rest"]
     )
 
 
@@ -212,7 +218,7 @@ _JSON_MONTHS = ", ".join(f"'{m} 2000', \"{m} 2000\"" for m in "Jan Feb Mar Apr M
 @register("kpi_incremental", sql.kpi_long())
 def kpi_incremental(spark, sf_dir):
     """The counts after three batches: records arrive, change, go and come back; the last state is the flat table."""
-    root, flat = scratch_path(spark, "kept-counts"), inputs.flat(spark, sf_dir)
+    root, flat = scratch_path(spark, "kept-counts"), inputs.flat(spark, sf_dir, *_BY_KEY)
     wrong = F.when(F.col("id") % 2 == 0, F.lit("CTC - Pending")).otherwise(F.lit("CTC - Closed - PAID"))
     later = lambda side, c: F.col(side).withField(c, F.expr(f"{side}.{c} + INTERVAL 40 DAY"))
     changed = flat.where("id % 5 = 0")
@@ -248,7 +254,7 @@ def statuses(spark, sf_dir):
 
 def _extract(name: str, **options) -> Query:
     return lambda spark, sf_dir: extracts.extract_rows(
-        inputs.flat(spark, sf_dir), extracts.EXTRACTS[name], d.AS_OF, TEAMS, **options
+        inputs.flat(spark, sf_dir, *_BY_KEY), extracts.EXTRACTS[name], d.AS_OF, TEAMS, **options
     )
 
 
@@ -264,12 +270,12 @@ register(
 
 @register("extract_all", sql.all_extracts())
 def extract_all(spark, sf_dir):
-    return extracts.all_extracts(inputs.flat(spark, sf_dir), d.AS_OF, TEAMS)
+    return extracts.all_extracts(inputs.flat(spark, sf_dir, *_BY_KEY), d.AS_OF, TEAMS)
 
 
 @register("extract_closed_halves", sql.closed_halves())
 def closed_halves(spark, sf_dir):
-    return extracts.closed_halves(inputs.flat(spark, sf_dir), d.AS_OF, TEAMS)
+    return extracts.closed_halves(inputs.flat(spark, sf_dir, *_BY_KEY), d.AS_OF, TEAMS)
 
 
 # --- staging ------------------------------------------------------------------------------------
@@ -277,22 +283,22 @@ def closed_halves(spark, sf_dir):
 
 @register("stage_curated", sql.stage_curated())
 def stage_curated(spark, sf_dir):
-    return staging.curated_transactions(inputs.flat(spark, sf_dir), cutover_year=d.CUTOVER_YEAR)
+    return staging.curated_transactions(inputs.flat(spark, sf_dir, *_BY_LAST_LABEL), cutover_year=d.CUTOVER_YEAR)
 
 
 @register("stage_errors", sql.stage_errors())
 def stage_errors(spark, sf_dir):
-    return staging.error_transactions(inputs.flat(spark, sf_dir))
+    return staging.error_transactions(inputs.flat(spark, sf_dir, *_BY_LAST_LABEL))
 
 
 @register("stage_agents", sql.stage_agents())
 def stage_agents(spark, sf_dir):
-    return staging.agent_accounts(inputs.flat(spark, sf_dir))
+    return staging.agent_accounts(inputs.flat(spark, sf_dir, *_BY_LAST_LABEL))
 
 
 @register("stage_agent_duplicates", sql.stage_agent_duplicates())
 def stage_agent_duplicates(spark, sf_dir):
-    return staging.duplicate_agent_accounts(inputs.flat(spark, sf_dir))
+    return staging.duplicate_agent_accounts(inputs.flat(spark, sf_dir, *_BY_LAST_LABEL))
 
 
 def _typed(spark, sf_dir) -> DataFrame:
@@ -387,7 +393,7 @@ def exclude_never_started_agent(spark, sf_dir):
 
 
 def _enriched(spark, sf_dir) -> DataFrame:
-    return payroll.enrich(inputs.flat(spark, sf_dir))
+    return payroll.enrich(inputs.flat(spark, sf_dir, *_BY_LABEL))
 
 
 register("payroll_enriched", sql.payroll_enriched())(_enriched)
@@ -437,7 +443,7 @@ def team_list_members(spark, sf_dir):
 def agent_list_join(spark, sf_dir):
     """The join to an agent list in CSV: repeated titles repeat the deal, rows without a title name nobody."""
     path = scratch_path(spark, "agents")
-    flat = inputs.flat(spark, sf_dir)
+    flat = inputs.flat(spark, sf_dir, *_BY_LAST_LABEL)
     agents = staging.agent_rows(flat, ["Contract Title", "Brokerage", "Agent Provided by"])
     agents.select(F.col("`Contract Title`").alias("Title"), "Brokerage", "`Agent Provided by`").write.option(
         "header", True

@@ -130,3 +130,12 @@ def test_many_lookups_are_compiled(spark):
     assert all(rows[i]["labels"] == rows[i]["labels_last"] == full({}) for i in (2, 3, 4))
     top = flat._jdf.queryExecution().optimizedPlan().toString().split("+- Generate")[0]
     assert "array_position" in top and "lambda" not in top
+
+
+def test_names_with_the_same_bit_are_told_apart(spark, properties):
+    """More names than bits: many of them share one, and one that is missing stays NULL."""
+    names = [f"name {i}" for i in range(300)]
+    rows = [(json.dumps([{"key": n, "label": n, "value": n} for n in names[start::3]]),) for start in range(3)]
+    found = A.extract(spark.createDataFrame(rows, "field_values string"), names, keep="last", require_value=True)
+    for start, row in enumerate(found.collect()):
+        assert row.asDict() == {n: n if i % 3 == start else None for i, n in enumerate(names)}

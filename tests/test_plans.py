@@ -95,3 +95,15 @@ def test_duplicates_need_two_scans_and_one_ranking(spark, sf_dir):
 
 def test_flat_table_is_written_once_per_session(spark, sf_dir):
     assert inputs.flat(spark, sf_dir) is inputs.flat(spark, sf_dir)
+
+
+def test_a_report_has_only_the_attributes_it_reads_made(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(inputs, "_written", {})
+    narrow = inputs.flat(spark, sf_dir, "labels_last")
+    assert {"labels_last", "id", "team_name"} <= set(narrow.columns)
+    assert not {"keys", "keys_last", "days", "days_last", "labels"} & set(narrow.columns)
+    whole = inputs.flat(spark, sf_dir)
+    assert narrow.schema["labels_last"] == whole.schema["labels_last"]
+    compared = narrow.select(whole.columns[0], "labels_last"), whole.select(whole.columns[0], "labels_last")
+    assert compared[0].exceptAll(compared[1]).isEmpty() and compared[1].exceptAll(compared[0]).isEmpty()
+    assert inputs.flat(spark, sf_dir, "labels_last") is whole
