@@ -8,7 +8,6 @@ label has the narrowest type that all but a small share of its values fit.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealreports.functions.attributes import only_with_value
 from dealreports.functions.text import literal
 
 MISFITS = 0.05
@@ -41,7 +40,7 @@ def class_sql(text: str) -> str:
 
 def class_counts(parsed: DataFrame) -> DataFrame:
     """(label, class, n) of a parsed table: its values by class, counted before the shuffle. NULL is no value."""
-    values = parsed.select(F.explode(only_with_value(F.col("items"))).alias("item"))
+    values = parsed.select(F.explode("items").alias("item"))
     values = values.select(F.col("item.label").alias("label"), F.col("item.value").alias("value"))
     values = values.where("label IS NOT NULL AND value IS NOT NULL").selectExpr("label", f"{class_sql('value')} AS class")
     return values.groupBy("label", "class").agg(F.count("*").alias("n"))

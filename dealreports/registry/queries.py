@@ -804,7 +804,7 @@ def documents_with_match_flag(spark, sf_dir):
 def label_types(spark, sf_dir):
     """The type of every label, from the classes of its values; two batches whose counts are added up."""
     raw = inputs.raw(spark, sf_dir).select("id", "field_values")
-    batches = [class_counts(parse_once(raw.where(f"id % 2 = {k}"))) for k in (0, 1)]
+    batches = [class_counts(parse_once(raw.where(f"id % 2 = {k}"), names=["label"], mark_values=False)) for k in (0, 1)]
     return types_of(add_up(*batches))
 
 

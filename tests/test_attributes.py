@@ -139,3 +139,53 @@ def test_names_with_the_same_bit_are_told_apart(spark, properties):
     found = A.extract(spark.createDataFrame(rows, "field_values string"), names, keep="last", require_value=True)
     for start, row in enumerate(found.collect()):
         assert row.asDict() == {n: n if i % 3 == start else None for i, n in enumerate(names)}
+
+
+# Elements of a list, and whether a list of them is read as texts at once.
+ELEMENTS = {
+    '{"key":"a","label":"A","value":"1"}': True,
+    '{"key": "a", "label": "A", "value": "say \\"hi\\" \\u0041{}[],:"}': True,
+    '{"value":null,"label":null,"key":"a"}': True,
+    '{"label":true,"key":"a","value":false}': True,
+    '{"key":"a","label":0,"value":-350}': True,
+    '{"key":"a","label":"A","value":123456789012345678}': True,
+    '{"key":"a","label":"A","value":12.10}': False,
+    '{"key":"a","label":"A","value":-0}': False,
+    '{"key":"a","label":"A","value":{"x": 1}}': False,
+    '{"key":"a","label":"A","value":[1, 2]}': False,
+    '{"key":"a","label":"A"}': False,
+    '{"key":"a","label":"A","value":"1","x":"y"}': False,
+    '7': False,
+}
+
+
+def test_plain_lists_and_others_are_read_alike(spark):
+    """A list is plain or, for one element more that is no object, not; its other elements are the same then."""
+    rows = [(i, n, f"[{e}, {e}{more}]") for i, e in enumerate(ELEMENTS) for n, more in enumerate(["", ", 7"])]
+    df = spark.createDataFrame(rows, "i int, n int, t string").withColumn("is_plain", F.col("t").rlike(A._PLAIN))
+    assert {r["i"] for r in df.where("is_plain").collect()} == {i for i, plain in enumerate(ELEMENTS.values()) if plain}
+    read = df.select("i", "n", F.slice(A.items(F.col("t")), 1, 2).alias("x"), F.slice(A.items(F.col("t"), ["key"], False), 1, 2).alias("k"))
+    found = {(r["i"], r["n"]): r for r in read.collect()}
+    for i, element in enumerate(ELEMENTS):
+        plain, other = found[i, 0], found[i, 1]
+        assert plain["x"] == other["x"] and len(plain["x"]) == 2
+        assert [x and (x["key"], x["value"]) for x in plain["k"]] == [x and (x["key"], x["value"]) for x in other["k"]]
+        if element != "7":
+            assert [(x["key"], x["value"]) for x in plain["x"]] == [(x["key"], x["value"]) for x in plain["k"]]
+            assert [x["has_value"] for x in plain["x"]] == ["value" in element] * 2
+
+
+def test_lists_that_only_look_plain_are_unreadable(spark):
+    """A name given twice, an escape or a sign that JSON does not know, a list that goes on."""
+    good = '{"key":"a","label":"A","value":"1"}'
+    bad = ['{"key":"a","key":"b","value":"1"}', '{"key":"a","label":"A","value":"\\q"}', '{"key":"a","label":"A","value":"\t"}',
+           '{"key":"a","label":"A","value":007}', good + "]}, [" + good, good + ","]
+    df = spark.createDataFrame([(f"[{good},{b}]",) for b in bad], "field_values string")
+    assert [r["a"] for r in A.extract(df, ["a"]).collect()] == [None] * len(bad)
+    assert A.unreadable(df).first()["rejected"] == len(bad)
+
+
+def test_a_long_list_is_plain(spark):
+    one = {"key": "k", "label": "l", "value": 'v "' * 50}
+    df = spark.createDataFrame([(json.dumps([one] * 20_000),)], "t string")
+    assert tuple(df.select(F.col("t").rlike(A._PLAIN), F.size(A.items(F.col("t")))).first()) == (True, 20_000)
