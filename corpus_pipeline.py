@@ -52,16 +52,13 @@ def as_tokens(spark, docs, sf_dir):
     """The best segmentations of every document: of the first its score, ids and their number, and whether decoding
     gives the text back; ``others`` are the next best with score and ids, best first."""
     ship(spark)
-    encoded = pieces.segmented(docs.select("doc_id", "text", "lang", "source"), PIECES)
+    encoded = pieces.segmented(docs.select("doc_id", "text", "lang", "source"), PIECES, decoded_into="decoded")
     best, others = F.col("segmentations")[0], F.slice("segmentations", 2, pieces.N_BEST)
-    encoded = encoded.select(
-        "doc_id", "text", "lang", "source", best["score"].alias("score"), best["pieces"].alias("ids"), others.alias("others")
-    )
-    back = pieces.decoded(encoded, PIECES, "ids", "decoded")
     exact = F.coalesce("text", F.lit("")) == F.col("decoded")
-    return back.select(
-        "doc_id", "lang", "source", F.size("ids").alias("n_pieces"), "score", exact.alias("exact"), "ids", "others"
+    found = encoded.select(
+        "doc_id", "lang", "source", best["score"].alias("score"), exact.alias("exact"), best["pieces"].alias("ids"), others.alias("others")
     )
+    return found.select("doc_id", "lang", "source", F.size("ids").alias("n_pieces"), "score", "exact", "ids", "others")
 
 
 STAGES = [

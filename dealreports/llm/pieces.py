@@ -297,13 +297,19 @@ SEGMENTATION = T.StructType(
 _ARROW = pa.list_(pa.struct([("score", pa.float64()), ("pieces", pa.list_(pa.int32()))]))
 
 
-def segmented(docs: DataFrame, model_file: str, n: int = N_BEST, column: str = "segmentations") -> DataFrame:
+def segmented(
+    docs: DataFrame, model_file: str, n: int = N_BEST, column: str = "segmentations", decoded_into: str | None = None
+) -> DataFrame:
     """``docs`` with ``column``: the ``n`` best segmentations (score, ids) of each ``text``, best first.
 
     A NULL text counts as an empty one; the empty text is the single space in front. Fewer than ``n`` come back if
-    there are no more.
+    there are no more. With ``decoded_into``, that column is the text that the ids of the best stand for, as
+    ``decoded`` gives it: the ids need not go to a second worker, several times the text in a batch.
     """
     sent, at = docs.sparkSession.sparkContext.broadcast(vocabulary(model_file)), docs.columns.index("text")
+    made = [T.StructField(column, T.ArrayType(SEGMENTATION))]
+    if decoded_into is not None:
+        made.append(T.StructField(decoded_into, T.StringType()))
 
     def rows(batches):
         encoder = _encoder(sent.value, n)
@@ -314,10 +320,12 @@ def segmented(docs: DataFrame, model_file: str, n: int = N_BEST, column: str = "
                 flat = [x for b in best for x in b]
                 ids = pa.ListArray.from_arrays(_bounds(len(x[1]) for x in flat), _joined([x[1] for x in flat]))
                 structs = pa.StructArray.from_arrays([pa.array([x[0] for x in flat]), ids], ["score", "pieces"])
-                lists = pa.ListArray.from_arrays(_bounds(len(b) for b in best), structs)
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, column])
+                found = [pa.ListArray.from_arrays(_bounds(len(b) for b in best), structs)]
+                if decoded_into is not None:
+                    found.append(pa.array([sent.value.decode(b[0][1].tolist()) for b in best], pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *found], names=[*part.schema.names, *(f.name for f in made)])
 
-    return docs.mapInArrow(rows, T.StructType([*docs.schema.fields, T.StructField(column, T.ArrayType(SEGMENTATION))]))
+    return docs.mapInArrow(rows, T.StructType([*docs.schema.fields, *made]))
 
 
 def _bounds(sizes) -> pa.Array:

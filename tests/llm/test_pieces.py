@@ -112,3 +112,14 @@ def test_kept_words_are_bounded(toy, monkeypatch):
         text = " ".join("".join(rng.choice("abc") for _ in range(6)) for _ in range(4))
         assert round(encoder.encode(text)[0][0], 6) == round(pieces.Encoder(toy, 2).encode(text)[0][0], 6)
         assert len(encoder.words) <= 5 + 4
+
+
+@pytest.mark.skipif(not Path(PIECES).exists(), reason="no model file")
+def test_decoded_in_the_same_pass(docs_of):
+    docs = docs_of([*ODD, (8, "a" * 20_000)])
+    both = pieces.segmented(docs, PIECES, 2, decoded_into="again")
+    assert both.columns == [*docs.columns, "segmentations", "again"]
+    apart = pieces.segmented(docs, PIECES, 2).selectExpr("*", "segmentations[0].pieces AS best")
+    apart = pieces.decoded(apart, PIECES, "best", "again").drop("best")
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(both) == rows(apart)

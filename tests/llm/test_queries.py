@@ -92,3 +92,10 @@ def test_tokens_are_the_best_segmentations(spark, docs_of):
         assert (row["score"], row["ids"], row["n_pieces"], row["exact"]) == (*best, len(best[1]), True)
         assert [(o["score"], o["pieces"]) for o in row["others"]] == others
     assert max(len(r["others"]) for r in rows.values()) == corpus_pipeline.pieces.N_BEST - 1
+
+
+def test_tokens_take_one_python_pass(spark, docs_of):
+    """Segmentations do not go to a second worker to be decoded: there, a batch holds all of them at once."""
+    last = corpus_pipeline.as_tokens(spark, docs_of([(1, "A house by the river.")]), None)
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"MapInArrow", plan)) == 1
