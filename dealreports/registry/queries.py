@@ -457,7 +457,11 @@ def agent_list_join(spark, sf_dir):
 
 
 def _write_pages(spark, sf_dir) -> str:
-    """The raw records as a paged API gives them: nested lists, numbers as text, some of them no numbers."""
+    """The raw records as a paged API gives them: nested lists, numbers as text, some of them no numbers.
+
+    Compressed, as an API sends them: the text is many times the tables it is made of. A compressed file is read by
+    one task, so it must stay small; it has the rows of one task of ``sources.deals``.
+    """
     path = scratch_path(spark, "pages")
     rest = inputs.raw(spark, sf_dir).withColumns(
         {
@@ -468,7 +472,7 @@ def _write_pages(spark, sf_dir) -> str:
     others = ", ".join(c for c in rest.columns if c != "field_values")
     items = "CASE WHEN field_values LIKE '[%]' THEN field_values ELSE 'null' END"
     record = f"concat('{{\"field_values\":', {items}, ',', substr(to_json(struct({others})), 2))"
-    rest.selectExpr(f"{record} AS value").write.text(path)
+    rest.selectExpr(f"{record} AS value").write.option("compression", "gzip").text(path)
     return path
 
 

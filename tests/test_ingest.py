@@ -1,9 +1,11 @@
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from dealreports.functions.attributes import extract
+from dealreports.registry import queries
 from dealreports.sources import ingest, tables
 from dealreports.streaming.landing import land_stream
 
@@ -99,3 +101,36 @@ def test_readers(spark, tmp_path):
     table.write_text("Title,Other,Agent Provided by\nAnn,x,TC\n")
     agents = tables.read_csv_columns(spark, str(table), ["Title", "Agent Provided by"])
     assert [tuple(r) for r in agents.collect()] == [("Ann", "TC")]
+
+
+@pytest.fixture
+def tables_dir(spark, tmp_path):
+    """Tables of 900 orders (some keys twice or NULL) of 30 customers."""
+    folder = tmp_path / "tables"
+    orders = [(None if k == 77 else k - k % 50 // 49, k % 30, datetime(1995 + k % 6, 1 + k % 12, 1 + k % 28)) for k in range(900)]
+    customers = [(a, f"Customer {a}", a % 3, "AUTOMOBILE") for a in range(30)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(customers, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string").write.parquet(f"{folder}/customer.parquet")
+    spark.createDataFrame([(n, f"NATION_{n}") for n in range(3)], "n_nationkey int, n_name string").write.parquet(f"{folder}/nation.parquet")
+    return str(folder)
+
+
+def test_pages_take_a_fraction_of_their_text(spark, tables_dir):
+    path = queries._write_pages(spark, tables_dir)
+    text = spark.read.text(path)
+    length, records = text.selectExpr("sum(octet_length(value) + 1)", "count(*)").first()
+    stored = sum(r["length"] for r in spark.read.format("binaryFile").load(path).select("length").collect())
+    assert records == queries.inputs.raw(spark, tables_dir).count() > 900
+    assert stored < length / 4
+
+
+@pytest.mark.parametrize("name", ["ingest_stream"])
+def test_every_compressed_page_is_landed_whole(spark, tables_dir, name):
+    raw = queries.inputs.raw(spark, tables_dir)
+    agent = F.when(F.col("agent_id") % 5 == 0, 0).otherwise(F.col("agent_id")).alias("agent_id")
+    expected = raw.select(F.coalesce("id", F.lit(0)).alias("id"), "created", "team_user_id", agent, "inbound_email_address")
+    got = queries.QUERIES[name](spark, tables_dir)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(got.select(expected.columns)) == rows(expected)
+    statuses = lambda df: sorted(map(str, extract(df, ["contract_status"]).select("id", "contract_status").collect()))
+    assert rows(got.select("id", "contract_status")) == statuses(raw.withColumn("id", F.coalesce("id", F.lit(0))))
