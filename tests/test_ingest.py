@@ -124,7 +124,7 @@ def test_pages_take_a_fraction_of_their_text(spark, tables_dir):
     assert stored < length / 4
 
 
-@pytest.mark.parametrize("name", ["ingest_stream"])
+@pytest.mark.parametrize("name", ["ingest_typed", "ingest_stream"])
 def test_every_compressed_page_is_landed_whole(spark, tables_dir, name):
     raw = queries.inputs.raw(spark, tables_dir)
     agent = F.when(F.col("agent_id") % 5 == 0, 0).otherwise(F.col("agent_id")).alias("agent_id")
